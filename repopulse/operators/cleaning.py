@@ -17,7 +17,8 @@ LATENESS = "5 minutes"
 
 def relevant(events: DataFrame, type_column: str = "type") -> DataFrame:
     """star and fork events only."""
-    return events.where(F.col(type_column).isin(STAR_EVENT, FORK_EVENT))
+    kind = F.col(type_column)
+    return events.where((kind == STAR_EVENT) | (kind == FORK_EVENT))
 
 
 def canonical_repo() -> Column:

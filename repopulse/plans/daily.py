@@ -81,16 +81,18 @@ def run_daily(
     if not reprocess:
         events = unprocessed(events, processed_days(spark, tables))
     staged = _staged(spark, daily_metrics(events), "daily")
-    if staged.isEmpty():
+    first_day, last_day = staged.agg(F.min("day"), F.max("day")).first()
+    if first_day is None:
         return False
 
-    days = staged.select("day").distinct()
-    snapshot = read_snapshot(spark, tables, before=days) if carry_in else None
+    snapshot = read_snapshot(spark, tables, before=first_day) if carry_in else None
     write_weekly(weekly_metrics(staged, read_repos(spark, tables), tiers, snapshot), tables)
 
-    written = read_weekly(spark, tables).join(days, "day", "left_semi")
-    write_snapshot(spark, last_days(written), tables, days)
-    finished = days if incomplete_days is None else days.join(incomplete_days, "day", "left_anti")
+    written = read_weekly(spark, tables).where(F.col("day").between(first_day, last_day))
+    write_snapshot(spark, last_days(written), tables, first_day, last_day)
+    finished = staged.select("day").distinct()
+    if incomplete_days is not None:
+        finished = finished.join(incomplete_days, "day", "left_anti")
     mark_processed(spark, finished, tables)
     return True
 

@@ -47,13 +47,9 @@ def trending_now(live_metrics: DataFrame, limit: int = 8) -> DataFrame:
 
 
 def nth_newest_window(live_metrics: DataFrame, nth: int = 1) -> Column:
-    """Start of the newest window, or of an earlier one, as a scalar."""
-    windows = live_metrics
-    newest = windows.agg(F.max("window")).scalar()
-    for _ in range(nth - 1):
-        windows = live_metrics.where(F.col("window") < newest)
-        newest = windows.agg(F.max("window")).scalar()
-    return newest
+    """Start of the newest window, or of the nth newest, as a scalar; null if there are fewer."""
+    starts = live_metrics.select("window").distinct().orderBy(F.col("window").desc()).limit(nth)
+    return starts.agg(F.when(F.count("*") == nth, F.min("window"))).scalar()
 
 
 def trending_window(live_metrics: DataFrame, limit: int = 8, nth: int = 1) -> DataFrame:
@@ -80,42 +76,57 @@ def activity_feed(live_events: DataFrame, limit: int = 20, offset_hours: int = 1
 # ---- language panels -----------------------------------------------------------------------
 
 
-def language_days(weekly: DataFrame) -> DataFrame:
-    """Stars per day and language.
-
-    `Unknown` is dropped if the table has any other language, a fact found by a
-    scalar subquery.
-    """
+def _labelled(weekly: DataFrame) -> DataFrame:
+    """Readable days and languages, and whether the language is known."""
     rows = weekly.select(
         parsed_day(F.col("day")).alias("day"),
         language_label(F.col("language")).alias("language"),
         "stars",
     ).where(F.col("day").isNotNull())
-    known = F.col("language") != UNKNOWN_LANGUAGE
-    any_known = rows.agg(F.max(known)).scalar()
+    return rows.withColumn("known", F.col("language") != UNKNOWN_LANGUAGE)
+
+
+# F9 drops `Unknown` only if the table has any other language. Both cases read
+# `known = highest known of the table`, so each panel below fetches that flag
+# along with whatever else it needs to know in one scalar subquery.
+
+
+def language_days(weekly: DataFrame) -> DataFrame:
+    """Stars per day and language."""
+    rows = _labelled(weekly)
+    any_known = rows.agg(F.max("known")).scalar()
     return (
-        rows.where(known | ~any_known)
+        rows.where(F.col("known") == any_known)
         .groupBy("day", "language")
         .agg(F.sum("stars").alias("stars"))
     )
 
 
+def _newest_two_days(rows: DataFrame) -> Column:
+    """Newest and earlier (known, day) of the rows that count, as a scalar."""
+    moment = F.struct("known", "day")
+    newest_first = rows.select(moment.alias("at")).distinct().orderBy(F.col("at").desc()).limit(2)
+    return newest_first.agg(F.struct(F.max("at").alias("newest"), F.min("at").alias("earlier"))).scalar()
+
+
 def rising_languages(weekly: DataFrame, limit: int = 10) -> DataFrame:
-    """Q7: stars per language on the newest day beside the day before it.
+    """Stars per language on the newest day beside the day before it.
 
     Both days come out of one aggregate. Languages seen only on the earlier day
     are left out; an absent earlier day counts as zero.
     """
-    per_day = language_days(weekly)
-    newest = per_day.agg(F.max("day")).scalar()
-    earlier = per_day.where(F.col("day") < newest).agg(F.max("day")).scalar()
-    on_newest = F.col("day") == newest
+    rows = _labelled(weekly)
+    days = _newest_two_days(rows)
+    newest, earlier = days["newest"], days["earlier"]
+    on_newest = F.col("day") == newest["day"]
+    on_earlier = (F.col("day") == earlier["day"]) & (earlier["day"] < newest["day"])
+    stars = F.col("stars")
     compared = (
-        per_day.where(on_newest | (F.col("day") == earlier))
+        rows.where((F.col("known") == newest["known"]) & (on_newest | on_earlier))
         .groupBy("language")
         .agg(
-            F.coalesce(F.sum(F.when(on_newest, F.col("stars"))), F.lit(0)).alias("this_week"),
-            F.coalesce(F.sum(F.when(~on_newest, F.col("stars"))), F.lit(0)).alias("last_week"),
+            F.sum(F.when(on_newest, stars).otherwise(0)).alias("this_week"),
+            F.sum(F.when(on_newest, 0).otherwise(stars)).alias("last_week"),
             F.max(on_newest).alias("is_current"),
         )
         .where("is_current")
@@ -125,10 +136,16 @@ def rising_languages(weekly: DataFrame, limit: int = 10) -> DataFrame:
     return with_bars(top, {"this_pct": "this_week", "last_pct": "last_week"}, floor=1.5)
 
 
+def _top_languages(rows: DataFrame, limit: int) -> DataFrame:
+    """Known languages by stars, or `Unknown` alone if there are none."""
+    totals = rows.groupBy("language", "known").agg(F.sum("stars").alias("stars"))
+    top = top_ranked(totals, limit, F.col("known").desc(), F.col("stars").desc(), F.col("language"))
+    return top.where(F.col("known") | (F.col("rank") == 1))
+
+
 def language_totals(weekly: DataFrame, limit: int = 5) -> DataFrame:
     """Languages with the most stars over all days."""
-    totals = language_days(weekly).groupBy("language").agg(F.sum("stars").alias("stars"))
-    return top_ranked(totals, limit, F.col("stars").desc(), F.col("language"))
+    return _top_languages(_labelled(weekly), limit).drop("known")
 
 
 def historical_slots(weekly: DataFrame, limit: int = 5) -> DataFrame:
@@ -137,21 +154,22 @@ def historical_slots(weekly: DataFrame, limit: int = 5) -> DataFrame:
     The labels arrive as one scalar struct, so days without any top language
     still get their row of zeros.
     """
-    per_day = language_days(weekly)
-    totals = per_day.groupBy("language").agg(F.sum("stars").alias("stars"))
-    top = top_ranked(totals, limit, F.col("stars").desc(), F.col("language"))
+    rows = _labelled(weekly)
     slots = range(1, limit + 1)
-    labels = top.agg(
-        F.struct(*[F.max(F.when(F.col("rank") == i, F.col("language"))).alias(f"lang_{i}") for i in slots])
-    ).scalar()
+    named = [
+        F.max(F.when(F.col("rank") == i, F.col("language"))).alias(f"lang_{i}") for i in slots
+    ]
+    top = _top_languages(rows, limit)
+    labels = top.agg(F.struct(F.max("known").alias("any_known"), *named)).scalar()
     sums = [
-        F.coalesce(
-            F.sum(F.when(F.col("language") == labels[f"lang_{i}"], F.col("stars"))), F.lit(0)
-        ).alias(f"stars_{i}")
+        F.sum(F.when(F.col("language") == labels[f"lang_{i}"], F.col("stars")).otherwise(0)).alias(
+            f"stars_{i}"
+        )
         for i in slots
     ]
     return (
-        per_day.groupBy("day")
+        rows.where(F.col("known") == labels["any_known"])
+        .groupBy("day")
         .agg(*sums)
         .select(
             F.col("day").cast("string").alias("day"),

@@ -139,7 +139,7 @@ def stream_live_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     streams.stream_live_events(
         sample.message_feed(session, sf_dir), tables, f"{folder}/checkpoints/feed", every=None
     ).awaitTermination()
-    return live.read_live_events(spark, tables)
+    return live.read_live_events(spark, tables).drop("day")
 
 
 def stream_canonical_events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from repopulse import schemas
 from repopulse.functions.text import UNKNOWN_LANGUAGE, percent_encoded
 from repopulse.functions.times import stream_time
+from repopulse.operators.cleaning import relevant
 
 # Which kind of activity each kind of table event stands for.
 KINDS = {
@@ -42,8 +43,11 @@ def repo_of(number: Column) -> Column:
 
 
 def _kind() -> Column:
-    pairs = [F.lit(text) for pair in KINDS.items() for text in pair]
-    return F.create_map(*pairs)[F.col("event_type")]
+    """Nested conditions rather than a lookup: Spark turns a filter on them into a pushed one."""
+    kind = F.lit(None).cast("string")
+    for name, activity in reversed(KINDS.items()):
+        kind = F.when(F.col("event_type") == name, activity).otherwise(kind)
+    return kind
 
 
 def _created_at() -> Column:
@@ -123,7 +127,7 @@ def tiers(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
 def messages(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """Clean messages with counts as observed at each event and the project's language."""
     observed = F.floor(F.col("value") * 10)
-    found = events(spark, sf_dir, stream).select(
+    found = relevant(events(spark, sf_dir, stream).select(
         F.col("event_id").cast("string").alias("event_id"),
         _kind().alias("event_type"),
         F.when(
@@ -136,7 +140,7 @@ def messages(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFram
         _k().alias("forks_count"),
         observed.alias("watchers_count"),
         _created_at().alias("created_at"),
-    ).where(F.col("event_type").isin("WatchEvent", "ForkEvent"))
+    ), "event_type")
     languages = metadata(spark, sf_dir).select("repo_name", "language")
     return (
         found.join(languages, "repo_name", "left")

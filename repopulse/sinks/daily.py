@@ -8,26 +8,12 @@ from pyspark.sql import functions as F
 from repopulse import schemas
 from repopulse.operators.enrichment import with_languages
 from repopulse.operators.metrics import merged_snapshot
+from repopulse.sinks.partitions import replace_partitions
 from repopulse.sources.tables import Tables, processed_days, read_table
 
 AS_OF = "as_of"
 
 
-def _replace_partitions(rows: DataFrame, path: str, column: str) -> None:
-    """Replace just the partitions that occur in `rows`.
-
-    Rebalancing gives each partition files of even size and splits a large day
-    over several tasks.
-    """
-    (
-        rows.hint("rebalance", column)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(column)
-        .parquet(path)
-    )
-
-
 def read_weekly(spark: SparkSession, tables: Tables) -> DataFrame:
     """All daily rows, `day` as text although it is the partition column."""
     return read_table(spark, tables.weekly_metrics, schemas.WEEKLY_METRICS)
@@ -35,28 +21,28 @@ def read_weekly(spark: SparkSession, tables: Tables) -> DataFrame:
 
 def write_weekly(rows: DataFrame, tables: Tables) -> None:
     """K4: replace the days that occur in `rows`; writing them twice changes nothing."""
-    _replace_partitions(rows, tables.weekly_metrics, "day")
+    replace_partitions(rows, tables.weekly_metrics, "day")
 
 
-def read_snapshot(spark: SparkSession, tables: Tables, before: DataFrame | None = None) -> DataFrame:
-    """The newest snapshot, or the newest one older than every day in `before`.
+def read_snapshot(spark: SparkSession, tables: Tables, before: str | None = None) -> DataFrame:
+    """The newest snapshot, or the newest one older than a day.
 
     Snapshots are whole copies named by the last day they include, so a day
     computed again starts from the same state as the first time.
     """
     stored = read_table(spark, tables.snapshots, f"{schemas.SNAPSHOT}, {AS_OF} string")
     if before is not None:
-        first_day = before.agg(F.min("day")).scalar()
-        stored = stored.where(F.col(AS_OF) < first_day)
+        stored = stored.where(F.col(AS_OF) < before)
     newest = stored.agg(F.max(AS_OF)).scalar()
     return stored.where(F.col(AS_OF) == newest).drop(AS_OF)
 
 
-def write_snapshot(spark: SparkSession, last: DataFrame, tables: Tables, days: DataFrame) -> None:
-    """K5: snapshot after these days: the stored one with `last` merged in."""
-    merged = merged_snapshot(read_snapshot(spark, tables, before=days), last)
-    as_of = days.agg(F.max("day")).scalar()
-    _replace_partitions(merged.withColumn(AS_OF, as_of), tables.snapshots, AS_OF)
+def write_snapshot(
+    spark: SparkSession, last: DataFrame, tables: Tables, first_day: str, last_day: str
+) -> None:
+    """K5: snapshot after the run: the one before its first day with `last` merged in."""
+    merged = merged_snapshot(read_snapshot(spark, tables, before=first_day), last)
+    merged.hint("rebalance").write.mode("overwrite").parquet(f"{tables.snapshots}/{AS_OF}={last_day}")
 
 
 def mark_processed(spark: SparkSession, days: DataFrame, tables: Tables) -> None:

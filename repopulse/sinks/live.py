@@ -9,17 +9,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repopulse import schemas
 from repopulse.operators.enrichment import absent_repos, first_seen_repos
 from repopulse.operators.metrics import latest_by_key
-from repopulse.sinks.rows import live_metrics_rows
+from repopulse.sinks.rows import live_metrics_rows, with_live_keys
+from repopulse.sinks.partitions import replace_partitions
 from repopulse.sources.tables import Tables, read_table
 
 BATCH = "batch_id"
-LIVE_KEYS = ["row_key", "name", "event_type", "language", "repo_key", "week", "window"]
+LIVE_KEYS = ["window", "name", "event_type", "language"]
+LIVE_VALUES = ["stars", "forks", "watchers", "count"]
+LIVE_LOG = f"{schemas.LIVE_METRICS}, {BATCH} bigint"
+LIVE_HISTORY = (
+    "window string, name string, event_type string, language string, stars bigint, "
+    f"forks bigint, watchers bigint, count bigint, {BATCH} bigint, day string"
+)
 
 
 def _batch_path(table: str, batch_id: int) -> str:
@@ -37,7 +44,8 @@ def upsert_live_batch(tables: Tables) -> Callable[[DataFrame, int], None]:
         rows = live_metrics_rows(batch).hint("rebalance")
         rows.write.mode("overwrite").parquet(path)
         written = batch.sparkSession.read.schema(schemas.LIVE_METRICS).parquet(path)
-        insert_repos(batch.sparkSession, tables, written, batch_id)
+        if not written.isEmpty():
+            insert_repos(batch.sparkSession, tables, written, batch_id)
 
     return write
 
@@ -55,11 +63,34 @@ def insert_repos(
     fresh.hint("rebalance").write.mode("overwrite").parquet(_batch_path(tables.repos, batch_id))
 
 
+def _newest_versions(versions: DataFrame) -> DataFrame:
+    columns = [*LIVE_KEYS, *LIVE_VALUES, BATCH]
+    return latest_by_key(versions.select(*columns), LIVE_KEYS, BATCH)
+
+
+def _day() -> Column:
+    return F.substring("window", 1, 10)
+
+
 def read_live_metrics(spark: SparkSession, tables: Tables) -> DataFrame:
-    """K1: the newest version of every live row."""
-    log = read_table(spark, tables.live_metrics, f"{schemas.LIVE_METRICS}, {BATCH} bigint")
-    newest = latest_by_key(log, LIVE_KEYS, BATCH)
-    return newest.select(*schemas.column_names(schemas.LIVE_METRICS))
+    """K1: the newest version of every live row, from compacted days and the log."""
+    history = read_table(spark, tables.live_history, LIVE_HISTORY)
+    log = read_table(spark, tables.live_metrics, LIVE_LOG)
+    return with_live_keys(_newest_versions(history.unionByName(log, allowMissingColumns=True)))
+
+
+def compact_live_metrics(spark: SparkSession, tables: Tables, before_batch: int) -> None:
+    """K1: fold the log's earlier batches into day partitions of newest versions.
+
+    Rows keep the batch they came from, so reading history and log together is
+    right whether or not the folded batches have been removed yet.
+    """
+    log = read_table(spark, tables.live_metrics, LIVE_LOG).where(F.col(BATCH) < before_batch)
+    folded = log.withColumn("day", _day())
+    history = read_table(spark, tables.live_history, LIVE_HISTORY)
+    touched = history.join(folded.select("day").distinct(), "day", "left_semi")
+    newest = _newest_versions(touched.unionByName(folded, allowMissingColumns=True))
+    replace_partitions(newest.withColumn("day", _day()), tables.live_history, "day")
 
 
 def read_repos(spark: SparkSession, tables: Tables) -> DataFrame:
@@ -69,5 +100,5 @@ def read_repos(spark: SparkSession, tables: Tables) -> DataFrame:
 
 
 def read_live_events(spark: SparkSession, tables: Tables) -> DataFrame:
-    """K3: the event feed."""
-    return read_table(spark, tables.live_events, schemas.LIVE_EVENTS)
+    """K3: the event feed, with the `day` it is partitioned by."""
+    return read_table(spark, tables.live_events, f"{schemas.LIVE_EVENTS}, day string")

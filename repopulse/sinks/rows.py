@@ -18,31 +18,40 @@ from repopulse.functions.times import compact_key, week_key
 
 
 def live_metrics_rows(windows: DataFrame) -> DataFrame:
-    """K1: one row per window, repository, type and language.
+    """K1: one row per window, repository, type and language."""
+    return with_live_keys(
+        windows.select(
+            or_default(F.col("repo_name"), UNKNOWN_NAME).alias("name"),
+            or_default(F.col("event_type"), UNKNOWN_NAME).alias("event_type"),
+            or_default(F.col("language"), UNKNOWN_LANGUAGE).alias("language"),
+            F.coalesce("stars_count", F.lit(0)).alias("stars"),
+            F.coalesce("forks_count", F.lit(0)).alias("forks"),
+            F.coalesce("watchers_count", F.lit(0)).alias("watchers"),
+            F.col("event_count").alias("count"),
+            F.col("window_start").alias("window"),
+        )
+    )
+
+
+def with_live_keys(live: DataFrame) -> DataFrame:
+    """K1: keys and week that follow from a live row's own columns.
 
     Language is part of the key, so two languages of a repository in one window
     keep a row each.
     """
-    defaults = windows.select(
-        "*",
-        or_default(F.col("repo_name"), UNKNOWN_NAME).alias("name"),
-        or_default(F.col("event_type"), UNKNOWN_NAME).alias("type"),
-        or_default(F.col("language"), UNKNOWN_LANGUAGE).alias("known"),
-    )
-    return defaults.select(
-        joined_key(F.col("window_start"), F.col("name"), F.col("type"), F.col("known")).alias(
-            "row_key"
-        ),
+    parts = [F.col(name) for name in ("window", "name", "event_type", "language")]
+    return live.select(
+        joined_key(*parts).alias("row_key"),
         "name",
-        F.col("type").alias("event_type"),
-        F.col("known").alias("language"),
-        F.coalesce("stars_count", F.lit(0)).alias("stars"),
-        F.coalesce("forks_count", F.lit(0)).alias("forks"),
-        F.coalesce("watchers_count", F.lit(0)).alias("watchers"),
+        "event_type",
+        "language",
+        "stars",
+        "forks",
+        "watchers",
         percent_encoded(F.col("name")).alias("repo_key"),
-        week_key(F.col("window_start")).alias("week"),
-        F.col("event_count").alias("count"),
-        F.col("window_start").alias("window"),
+        week_key(F.col("window")).alias("week"),
+        "count",
+        "window",
     )
 
 

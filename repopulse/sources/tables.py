@@ -37,6 +37,10 @@ class Tables:
     def live_metrics(self) -> str:
         return f"{self.root}/live_metrics"
 
+    @property
+    def live_history(self) -> str:
+        return f"{self.root}/live_history"
+
     @property
     def live_events(self) -> str:
         return f"{self.root}/live_events"
@@ -80,6 +84,17 @@ def scan(
     return ordered.limit(limit) if limit > 0 else ordered
 
 
+def recent_days(table: DataFrame, rows: int, day: str = "day") -> DataFrame:
+    """The newest day of a stored, day-partitioned table, or all of it if that day is short.
+
+    Keeps a newest-first scan from reading every day for a few rows. The day is
+    found from partition names and its rows are counted up to `rows` only.
+    """
+    newest = table.agg(F.max(day)).first()[0]
+    recent = table.where(F.col(day) == newest)
+    return recent if recent.limit(rows).count() == rows else table
+
+
 def newest_live_metrics(live_metrics: DataFrame, limit: int = 20) -> DataFrame:
     """S9."""
     return scan(live_metrics, limit, latest_first=True)

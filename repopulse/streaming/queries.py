@@ -103,11 +103,17 @@ def stream_live_metrics(
 def stream_live_events(
     feed: DataFrame, tables: Tables, checkpoint: str, every: str | None = FEED_TRIGGER
 ) -> StreamingQuery:
-    """Every valid event to the feed table; the file sink writes each batch once."""
+    """Every valid event to the feed table; the file sink writes each batch once.
+
+    The table is partitioned by day, so readers of the newest rows skip the rest.
+    """
+    rows = live_event_rows(valid_messages(parse_messages(feed)))
+    compact_day = F.to_date(F.substring("row_key", 1, 8), "yyyyMMdd")
     return (
-        live_event_rows(valid_messages(parse_messages(feed)))
+        rows.withColumn("day", compact_day.cast("string"))
         .writeStream.outputMode("append")
         .format("parquet")
+        .partitionBy("day")
         .option("path", tables.live_events)
         .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(every))
