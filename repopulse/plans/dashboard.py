@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from repopulse import schemas
 from repopulse.plans import panels
 from repopulse.sinks.daily import read_weekly
-from repopulse.sinks.live import read_live_events, read_live_metrics
+from repopulse.sinks.live import read_live_events, recent_live_metrics
 from repopulse.sources.tables import Tables, read_table, recent_days
 
 # Rows each panel shows, and how many newest rows the daily one judges.
@@ -21,11 +21,12 @@ INSIGHT_ROWS = 5
 def dashboard(spark: SparkSession, tables: Tables) -> dict[str, DataFrame]:
     """Q6-Q11: one table per panel. Tables not written yet give empty panels."""
     weekly = read_weekly(spark, tables)
+    live = recent_live_metrics(spark, tables, TRENDING_ROWS)
     events = recent_days(read_live_events(spark, tables), FEED_ROWS)
     newest_weekly = recent_days(weekly, DAILY_CANDIDATES)
     predictions = read_table(spark, tables.predictions, schemas.PREDICTIONS)
     return {
-        "trending_now": panels.trending_now(read_live_metrics(spark, tables), TRENDING_ROWS),
+        "trending_now": panels.trending_now(live, TRENDING_ROWS),
         "rising_languages": panels.rising_languages(weekly),
         "activity_feed": panels.activity_feed(events, FEED_ROWS),
         "historical_trends": panels.historical_slots(weekly),

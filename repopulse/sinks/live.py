@@ -72,11 +72,29 @@ def _day() -> Column:
     return F.substring("window", 1, 10)
 
 
-def read_live_metrics(spark: SparkSession, tables: Tables) -> DataFrame:
-    """K1: the newest version of every live row, from compacted days and the log."""
+def _stored_versions(spark: SparkSession, tables: Tables) -> DataFrame:
     history = read_table(spark, tables.live_history, LIVE_HISTORY)
     log = read_table(spark, tables.live_metrics, LIVE_LOG)
-    return with_live_keys(_newest_versions(history.unionByName(log, allowMissingColumns=True)))
+    return history.unionByName(log, allowMissingColumns=True)
+
+
+def read_live_metrics(spark: SparkSession, tables: Tables) -> DataFrame:
+    """K1: the newest version of every live row, from compacted days and the log."""
+    return with_live_keys(_newest_versions(_stored_versions(spark, tables)))
+
+
+def recent_live_metrics(spark: SparkSession, tables: Tables, rows: int) -> DataFrame:
+    """K1 restricted to the newest window if that alone has `rows` rows, else all of it.
+
+    The restriction comes before versions are merged, so older windows are not
+    shuffled for a top few.
+    """
+    versions = _stored_versions(spark, tables)
+    newest = versions.agg(F.max("window")).first()[0]
+    recent = versions.where(F.col("window") == newest)
+    if recent.select(*LIVE_KEYS).distinct().limit(rows).count() < rows:
+        recent = versions
+    return with_live_keys(_newest_versions(recent))
 
 
 def compact_live_metrics(spark: SparkSession, tables: Tables, before_batch: int) -> None:
