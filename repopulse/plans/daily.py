@@ -14,13 +14,12 @@ from repopulse.operators.metrics import (
     daily_metrics,
     daily_velocity,
     incremental_velocity,
-    last_days,
     unprocessed,
 )
 from repopulse.session import run_dir
 from repopulse.sinks.daily import (
+    last_days_before,
     mark_processed,
-    read_snapshot,
     read_weekly,
     rewrite_languages,
     write_snapshot,
@@ -69,7 +68,8 @@ def run_daily(
 ) -> bool:
     """Q4: process new days into the daily tables; True if there were any.
 
-    Finished days are skipped unless `reprocess`. With `carry_in`, velocity of
+    Finished days are skipped unless `reprocess`; as a day's velocity and
+    snapshot follow from the day before, reprocess all days after it too. With `carry_in`, velocity of
     the first new day follows the stored last day; without it, every run starts
     from zero. Days in `incomplete_days` are written but not marked, so a later
     run picks them up again.
@@ -85,11 +85,10 @@ def run_daily(
     if first_day is None:
         return False
 
-    snapshot = read_snapshot(spark, tables, before=first_day) if carry_in else None
+    snapshot = last_days_before(spark, tables, first_day) if carry_in else None
     write_weekly(weekly_metrics(staged, read_repos(spark, tables), tiers, snapshot), tables)
 
-    written = read_weekly(spark, tables).where(F.col("day").between(first_day, last_day))
-    write_snapshot(spark, last_days(written), tables, first_day, last_day)
+    write_snapshot(spark, tables, first_day, last_day)
     finished = staged.select("day").distinct()
     if incomplete_days is not None:
         finished = finished.join(incomplete_days, "day", "left_anti")

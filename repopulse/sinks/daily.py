@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from repopulse import schemas
 from repopulse.operators.enrichment import with_languages
-from repopulse.operators.metrics import merged_snapshot
+from repopulse.operators.metrics import last_days, merged_snapshot
 from repopulse.sinks.partitions import replace_partitions
 from repopulse.sources.tables import Tables, processed_days, read_table
 
@@ -24,24 +24,37 @@ def write_weekly(rows: DataFrame, tables: Tables) -> None:
     replace_partitions(rows, tables.weekly_metrics, "day")
 
 
-def read_snapshot(spark: SparkSession, tables: Tables, before: str | None = None) -> DataFrame:
-    """The newest snapshot, or the newest one older than a day.
+def _snapshots(spark: SparkSession, tables: Tables) -> DataFrame:
+    return read_table(spark, tables.snapshots, f"{schemas.SNAPSHOT}, {AS_OF} string")
 
-    Snapshots are whole copies named by the last day they include, so a day
-    computed again starts from the same state as the first time.
-    """
-    stored = read_table(spark, tables.snapshots, f"{schemas.SNAPSHOT}, {AS_OF} string")
-    if before is not None:
-        stored = stored.where(F.col(AS_OF) < before)
+
+def read_snapshot(spark: SparkSession, tables: Tables) -> DataFrame:
+    """The newest snapshot. Each is a whole copy named by the last day it includes."""
+    stored = _snapshots(spark, tables)
     newest = stored.agg(F.max(AS_OF)).scalar()
     return stored.where(F.col(AS_OF) == newest).drop(AS_OF)
 
 
-def write_snapshot(
-    spark: SparkSession, last: DataFrame, tables: Tables, first_day: str, last_day: str
-) -> None:
-    """K5: snapshot after the run: the one before its first day with `last` merged in."""
-    merged = merged_snapshot(read_snapshot(spark, tables, before=first_day), last)
+def last_days_before(spark: SparkSession, tables: Tables, first_day: str) -> DataFrame:
+    """Each repository's last stored day before a day.
+
+    That is the newest snapshot older than the day, brought up to date with the
+    daily rows stored since. For the day that follows the last run there are
+    none, so only the snapshot is read.
+    """
+    stored = _snapshots(spark, tables).where(F.col(AS_OF) < first_day)
+    as_of = stored.agg(F.max(AS_OF)).first()[0]
+    since = read_weekly(spark, tables).where(F.col("day") < first_day)
+    if as_of is None:
+        return last_days(since)
+    snapshot = stored.where(F.col(AS_OF) == as_of).drop(AS_OF)
+    return merged_snapshot(snapshot, last_days(since.where(F.col("day") > as_of)))
+
+
+def write_snapshot(spark: SparkSession, tables: Tables, first_day: str, last_day: str) -> None:
+    """K5: snapshot after a run over these days, replacing an earlier one of the same name."""
+    written = read_weekly(spark, tables).where(F.col("day").between(first_day, last_day))
+    merged = merged_snapshot(last_days_before(spark, tables, first_day), last_days(written))
     merged.hint("rebalance").write.mode("overwrite").parquet(f"{tables.snapshots}/{AS_OF}={last_day}")
 
 
