@@ -84,18 +84,20 @@ def with_lateness(messages: DataFrame, delay: str = LATENESS) -> DataFrame:
     return messages.withWatermark("event_timestamp", delay)
 
 
-def distinct_event_stream(events: DataFrame, salts: int = 1) -> DataFrame:
+def distinct_event_stream(events: DataFrame, spread_copies: bool = True) -> DataFrame:
     """R7 over a stream with a watermark: one row per event id within its delay.
 
-    Copies further apart than the delay are not recognised. With `salts` above
-    one, ids are first made distinct per id and input slice, so the copies of
-    one id spread over that many tasks and at most that many of them meet in
-    the final step. That costs a second pass of state, hence is a choice.
+    Copies further apart than the delay are not recognised. A stream has no
+    partial aggregate to collapse copies before the shuffle, so with
+    `spread_copies` each input partition first makes its own ids distinct: the
+    copies of one id then go to as many tasks as there are input partitions,
+    and no more than one from each meets in the final step. That costs a second
+    pass of state; turn it off if no id is copied a lot.
     """
-    if salts > 1:
+    if spread_copies:
         events = (
-            events.withColumn("slice", F.pmod(F.spark_partition_id(), F.lit(salts)))
-            .dropDuplicatesWithinWatermark(["event_id", "slice"])
-            .drop("slice")
+            events.withColumn("source_partition", F.spark_partition_id())
+            .dropDuplicatesWithinWatermark(["event_id", "source_partition"])
+            .drop("source_partition")
         )
     return events.dropDuplicatesWithinWatermark(["event_id"])

@@ -1,10 +1,10 @@
 """Joins that add project metadata.
 
 Metadata tables hold one row per repository. None of the joins is forced to
-broadcast: Spark broadcasts a side it has found small enough, and otherwise
-shuffles both; in batch jobs adaptive execution then splits the partition of a
-hot repository. Streams with state are planned without adaptive execution, so
-the event-level join also offers salting.
+broadcast: adaptive execution broadcasts a side once its measured size is below
+the threshold, and otherwise shuffles both sides and splits the partition of a
+hot repository. The daily joins see one row per repository and day, so only the
+event-level join can meet a hot one at all.
 """
 
 from __future__ import annotations
@@ -26,23 +26,13 @@ from repopulse.functions.text import (
 COUNTS = ("stars_count", "forks_count", "watchers_count")
 
 
-def attach_metadata(messages: DataFrame, metadata: DataFrame, salts: int = 1) -> DataFrame:
-    """Metadata of each message's repository; `Unknown` and zeros on a miss.
-
-    With `salts` above one, each metadata row is repeated per salt and messages
-    draw one from their id, which spreads a hot repository over that many tasks.
-    """
-    keys = ["repo_name"]
-    if salts > 1:
-        keys.append("salt")
-        messages = messages.withColumn("salt", F.pmod(F.xxhash64("event_id"), F.lit(salts)))
-        salt_range = F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))
-        metadata = metadata.withColumn("salt", F.explode(salt_range))
-    joined = messages.join(metadata, keys, "left").withColumn(
+def attach_metadata(messages: DataFrame, metadata: DataFrame) -> DataFrame:
+    """Metadata of each message's repository; `Unknown` and zeros on a miss."""
+    joined = messages.join(metadata, "repo_name", "left").withColumn(
         "language", or_default(F.col("language"), UNKNOWN_LANGUAGE)
     )
     counts = {name: F.coalesce(name, F.lit(0)) for name in COUNTS if name in metadata.columns}
-    return joined.withColumns(counts).drop("salt")
+    return joined.withColumns(counts)
 
 
 def language_lookup(repos: DataFrame) -> DataFrame:

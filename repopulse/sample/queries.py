@@ -122,7 +122,7 @@ def stream_windowed_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_dedup_windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with every message delivered twice and duplicates dropped."""
-    tables = _run_stream(spark, sf_dir, "stream-dedup", copies=2, drop_duplicates=True, salts=4)
+    tables = _run_stream(spark, sf_dir, "stream-dedup", copies=2, drop_duplicates=True)
     return live.read_live_metrics(spark, tables)
 
 
@@ -155,7 +155,6 @@ def stream_canonical_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         tables,
         f"{folder}/checkpoints/publish",
         every=None,
-        salts=4,
     ).awaitTermination()
     published = parse_messages(spark.read.text(tables.messages))
     return published.drop("event_timestamp")

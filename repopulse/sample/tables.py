@@ -18,18 +18,15 @@ KINDS = {
     "purchase": "PullRequestEvent",
     "error": "IssuesEvent",
 }
-EVENTS = (
-    "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
-    "props string"
-)
 UNLABELLED_TYPE = "STANDARD"
 
 
 def events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
     """The events table; the braces make the stream accept a file as well as a folder."""
+    table = spark.read.parquet(f"{sf_dir}/events.parquet")
     if stream:
-        return spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/events.{{parquet}}")
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+        return spark.readStream.schema(table.schema).parquet(f"{sf_dir}/events.{{parquet}}")
+    return table
 
 
 def parts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -59,3 +61,20 @@ def stream_session(spark: SparkSession, state_partitions: int | None = None) ->
     for name, value in STREAM_SETTINGS.items():
         session.conf.set(name, value)
     return session
+
+
+@contextmanager
+def adaptive(session: SparkSession) -> Iterator[None]:
+    """Adaptive execution for what a micro-batch callback derives from its batch.
+
+    Spark turns it off for a stream, as the partitions of state must not change.
+    The batch itself is planned before the callback starts, so joins and writes
+    inside the callback may adapt: small sides broadcast, hot partitions split,
+    and small files merge.
+    """
+    before = session.conf.get("spark.sql.adaptive.enabled")
+    session.conf.set("spark.sql.adaptive.enabled", "true")
+    try:
+        yield
+    finally:
+        session.conf.set("spark.sql.adaptive.enabled", before)

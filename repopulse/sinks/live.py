@@ -13,10 +13,11 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repopulse import schemas
-from repopulse.operators.enrichment import absent_repos, first_seen_repos
+from repopulse.operators.enrichment import absent_repos, attach_metadata, first_seen_repos
 from repopulse.operators.metrics import latest_by_key
-from repopulse.sinks.rows import live_metrics_rows, with_live_keys
+from repopulse.session import adaptive
 from repopulse.sinks.partitions import replace_partitions
+from repopulse.sinks.rows import live_metrics_rows, message_values, with_live_keys
 from repopulse.sources.tables import Tables, read_table
 
 BATCH = "batch_id"
@@ -40,12 +41,30 @@ def upsert_live_batch(tables: Tables) -> Callable[[DataFrame, int], None]:
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
         path = _batch_path(tables.live_metrics, batch_id)
-        rows = live_metrics_rows(batch).hint("rebalance")
-        rows.write.mode("overwrite").parquet(path)
-        written = batch.sparkSession.read.schema(schemas.LIVE_METRICS).parquet(path)
-        if not written.isEmpty():
-            insert_repos(batch.sparkSession, tables, written, batch_id)
+        with adaptive(session):
+            live_metrics_rows(batch).hint("rebalance").write.mode("overwrite").parquet(path)
+            written = session.read.schema(schemas.LIVE_METRICS).parquet(path)
+            if not written.isEmpty():
+                insert_repos(session, tables, written, batch_id)
+
+    return write
+
+
+def publish_batch(
+    tables: Tables, metadata: DataFrame, topic: dict[str, str] | None = None
+) -> Callable[[DataFrame, int], None]:
+    """Micro-batch callback that enriches events and publishes them as messages."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        with adaptive(batch.sparkSession):
+            values = message_values(attach_metadata(batch, metadata))
+            if topic is not None:
+                values.write.format("kafka").options(**topic).save()
+            else:
+                path = _batch_path(tables.messages, batch_id)
+                values.hint("rebalance").write.mode("overwrite").text(path)
 
     return write
 

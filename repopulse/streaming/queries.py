@@ -17,10 +17,9 @@ from repopulse.operators.cleaning import (
     valid_messages,
     with_lateness,
 )
-from repopulse.operators.enrichment import attach_metadata
 from repopulse.operators.metrics import WINDOW_WIDTH, windowed_activity
-from repopulse.sinks.live import upsert_live_batch
-from repopulse.sinks.rows import live_event_rows, message_values
+from repopulse.sinks.live import publish_batch, upsert_live_batch
+from repopulse.sinks.rows import live_event_rows
 from repopulse.sources.feed import parse_messages
 from repopulse.sources.tables import Tables
 
@@ -35,17 +34,14 @@ def _trigger(every: str | None) -> dict:
     return {"availableNow": True} if every is None else {"processingTime": every}
 
 
-def clean_messages(
-    raw: DataFrame, metadata: DataFrame, delay: str = LATENESS, salts: int = 1
-) -> DataFrame:
-    """Q1 up to the write: F1, F5, R7, J1, F4.
+def clean_events(raw: DataFrame, delay: str = LATENESS, spread_copies: bool = True) -> DataFrame:
+    """Q1 up to the metadata: F1, F5, R7.
 
     Events without a readable time are dropped here, as the metrics would drop
     them anyway and they cannot expire from the duplicate memory.
     """
     events = resolve_raw_events(raw).where(F.col("event_timestamp").isNotNull())
-    unique = distinct_event_stream(with_lateness(events, delay), salts)
-    return attach_metadata(unique, metadata, salts)
+    return distinct_event_stream(with_lateness(events, delay), spread_copies)
 
 
 def publish_messages(
@@ -54,18 +50,18 @@ def publish_messages(
     tables: Tables,
     checkpoint: str,
     every: str | None = PUBLISH_TRIGGER,
-    delay: str = LATENESS,
-    salts: int = 1,
     topic: dict[str, str] | None = None,
+    **cleaning,
 ) -> StreamingQuery:
     """Q1, K7: clean messages to the topic given by its sink options, else to text files."""
-    values = message_values(clean_messages(raw, metadata, delay, salts))
-    writer = values.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-    if topic is not None:
-        writer = writer.format("kafka").options(**topic)
-    else:
-        writer = writer.format("text").option("path", tables.messages)
-    return writer.trigger(**_trigger(every)).start()
+    return (
+        clean_events(raw, **cleaning)
+        .writeStream.outputMode("append")
+        .foreachBatch(publish_batch(tables, metadata, topic))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**_trigger(every))
+        .start()
+    )
 
 
 def live_windows(
@@ -73,12 +69,12 @@ def live_windows(
     width: str = WINDOW_WIDTH,
     delay: str = LATENESS,
     drop_duplicates: bool = False,
-    salts: int = 1,
+    spread_copies: bool = True,
 ) -> DataFrame:
     """Q2 up to the write: S2, X1, F2, R1, A1, optionally with R7."""
     messages = with_lateness(valid_messages(parse_messages(feed)), delay)
     if drop_duplicates:
-        messages = distinct_event_stream(messages, salts)
+        messages = distinct_event_stream(messages, spread_copies)
     return windowed_activity(messages, width)
 
 

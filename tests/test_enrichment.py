@@ -1,8 +1,6 @@
 from __future__ import annotations
 
 from conftest import records
-from pyspark.sql import functions as F
-
 from repopulse import schemas
 from repopulse.operators import enrichment
 
@@ -22,24 +20,13 @@ def named(spark, *names):
 def test_metadata_misses_become_defaults(spark):
     messages = spark.createDataFrame([("1", "a/b"), ("2", "c/d"), ("3", "e/f")], "event_id string, repo_name string")
     known = metadata(spark, [("a/b", "Go", 5, 2), ("e/f", None, None, 1)])
-    for salts in (1, 4):
-        found = enrichment.attach_metadata(messages, known, salts)
-        columns = ("event_id", "language", "stars_count", "forks_count", "watchers_count")
-        assert records(found, *columns) == [
-            ("1", "Go", 5, 2, 0),
-            ("2", "Unknown", 0, 0, 0),
-            ("3", "Unknown", 0, 1, 0),
-        ]
-
-
-def test_salting_spreads_a_hot_repository(spark):
-    messages = spark.range(1000).select(
-        F.col("id").cast("string").alias("event_id"), F.lit("a/b").alias("repo_name")
-    )
-    known = metadata(spark, [("a/b", "Go", 5, 2)])
-    found = enrichment.attach_metadata(messages, known, salts=8)
-    assert found.count() == 1000
-    assert found.where("language = 'Go'").count() == 1000
+    found = enrichment.attach_metadata(messages, known)
+    columns = ("event_id", "language", "stars_count", "forks_count", "watchers_count")
+    assert records(found, *columns) == [
+        ("1", "Go", 5, 2, 0),
+        ("2", "Unknown", 0, 0, 0),
+        ("3", "Unknown", 0, 1, 0),
+    ]
 
 
 def test_lookup_ignores_unknown_and_blank(spark):

@@ -84,8 +84,33 @@ def test_skipping_processed_days_comes_before_the_aggregate(spark, sf_dir):
     assert plan.index("HashAggregate") < plan.index("LeftAnti")
 
 
-def test_salted_join_shuffles_by_key_and_salt(shuffled, sf_dir):
-    events = cleaning.resolve_raw_events(sample.raw_events(shuffled, sf_dir))
-    joined = enrichment.attach_metadata(events, sample.metadata(shuffled, sf_dir), salts=8)
-    keys = exchanges(plan_of(joined))
-    assert keys and all("salt" in part for part in keys)
+def test_a_hot_repository_is_split_in_the_event_join(shuffled):
+    """Half of the rows share one key; the join reads its partition in several pieces."""
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: shuffled.conf.get(name, None) for name in small}
+    for name, value in small.items():
+        shuffled.conf.set(name, value)
+    try:
+        number = F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id") % 997)
+        events = shuffled.range(0, 200_000, 1, 8).select(
+            F.sha2(F.col("id").cast("string"), 256).alias("event_id"),
+            sample.repo_of(number).alias("repo_name"),
+        )
+        known = shuffled.range(997).select(
+            sample.repo_of(F.col("id")).alias("repo_name"), F.lit("Go").alias("language")
+        )
+        joined = enrichment.attach_metadata(events, known)
+        assert joined.agg(F.count_if(F.col("language") == "Go")).first()[0] == 200_000
+        joined.write.format("noop").mode("overwrite").save()
+        rows = joined.select("event_id", "language")
+        rows.collect()
+        assert "skewed" in plan_of(rows)
+    finally:
+        for name, value in before.items():
+            shuffled.conf.unset(name) if value is None else shuffled.conf.set(name, value)

@@ -110,13 +110,13 @@ def test_failing_sink_stops_the_stream_and_the_batch_is_repeated(
     assert records(live.read_repos(spark, tables), "full_name") == [("a/b",)]
 
 
-@pytest.mark.parametrize("salts", [1, 3])
+@pytest.mark.parametrize("spread", [True, False])
 def test_duplicates_within_and_across_batches_count_once(
-    spark, session, feed, tables, folder, salts
+    spark, session, feed, tables, folder, spread
 ):
     feed.add(*[message(1, "10:31:00")] * 3, message(2, "10:32:00"))
     feed.add(message(1, "10:31:00"), message(3, "10:33:00"))
-    run_metrics(session, feed, tables, folder, drop_duplicates=True, salts=salts)
+    run_metrics(session, feed, tables, folder, drop_duplicates=True, spread_copies=spread)
     assert [n for *_, n in counts(spark, tables)] == [3]
 
 
@@ -169,15 +169,15 @@ def raw_event(event_id, kind="WatchEvent", at="2026-04-13T10:31:00Z", payload=No
     )
 
 
-@pytest.mark.parametrize("salts", [1, 3])
-def test_publishing_cleans_resolves_and_enriches(spark, session, feed, tables, folder, salts):
+@pytest.mark.parametrize("spread", [True, False])
+def test_publishing_cleans_resolves_and_enriches(spark, session, feed, tables, folder, spread):
     fork = {"forkee": {"fork": True, "parent": {"full_name": "up/stream"}}}
     feed.add(raw_event(1), raw_event(1), raw_event(2, "ForkEvent", payload=fork))
     feed.add(raw_event(1), raw_event(3, "PushEvent"), raw_event(4, at="never"))
     known = spark.createDataFrame([("up/stream", "Go", 7, 8, 9)], schemas.METADATA)
     raw = raw_event_files(session, str(feed.path), stream=True, maxFilesPerTrigger=1)
     queries.publish_messages(
-        raw, known, tables, f"{folder}/publish", every=None, salts=salts
+        raw, known, tables, f"{folder}/publish", every=None, spread_copies=spread
     ).awaitTermination()
     published = parse_messages(spark.read.text(tables.messages))
     columns = ("event_id", "repo_name", "language", "stars_count", "watchers_count")
