@@ -64,10 +64,14 @@ def daily_metrics(events: DataFrame) -> DataFrame:
     )
 
 
-def unprocessed(events: DataFrame, processed: DataFrame) -> DataFrame:
-    """events of days not processed yet; applied before the aggregate."""
-    days = processed.select(F.col("day").cast("date").alias("day"))
-    return events.join(days, "day", "left_anti")
+def unprocessed(daily: DataFrame, processed: DataFrame) -> DataFrame:
+    """rows of days not processed yet.
+
+    Distinct days are one row per calendar day at most, hence the broadcast;
+    Spark then moves the join below the aggregate, next to the scan.
+    """
+    days = F.broadcast(processed.select("day").distinct())
+    return daily.join(days, "day", "left_anti")
 
 
 def daily_velocity(daily: DataFrame) -> DataFrame:

@@ -77,10 +77,10 @@ def run_daily(
     The archive is read once: its daily counts are written to the shared folder
     and every later step starts from them.
     """
-    events = archive_events(archive)
+    daily = daily_metrics(archive_events(archive))
     if not reprocess:
-        events = unprocessed(events, processed_days(spark, tables))
-    staged = _staged(spark, daily_metrics(events), "daily")
+        daily = unprocessed(daily, processed_days(spark, tables))
+    staged = _staged(spark, daily, "daily")
     first_day, last_day = staged.agg(F.min("day"), F.max("day")).first()
     if first_day is None:
         return False

@@ -195,6 +195,14 @@ BACKFILLED = _with(
 FROM daily LEFT JOIN meta USING (repo_name)""",
 )
 
+SNAPSHOT = _with(
+    WEEKLY_PARTS,
+    """SELECT name, arg_max(stars, day) AS last_stars, arg_max(forks, day) AS last_forks,
+       arg_max(api_stars, day) AS last_api_stars, arg_max(api_forks, day) AS last_api_forks,
+       max(day) AS last_day
+FROM weekly GROUP BY name""",
+)
+
 HOURS = """hours AS (
   SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS day, CAST(hour(ts) AS INTEGER) AS hour FROM events
   WHERE event_type = 'signup'
@@ -248,13 +256,7 @@ FROM intact""",
         (BASE, DAILY, VELOCITY),
         "SELECT * FROM velocities WHERE day = (SELECT max(day) FROM daily)",
     ),
-    "last_day_snapshot": _with(
-        WEEKLY_PARTS,
-        """SELECT name, arg_max(stars, day) AS last_stars, arg_max(forks, day) AS last_forks,
-       arg_max(api_stars, day) AS last_api_stars, arg_max(api_forks, day) AS last_api_forks,
-       max(day) AS last_day
-FROM weekly GROUP BY name""",
-    ),
+    "last_day_snapshot": SNAPSHOT,
     "unprocessed_days": _with(
         (BASE, DAILY),
         """SELECT * FROM daily WHERE day NOT IN (
@@ -277,6 +279,27 @@ ORDER BY velocity DESC, name, day LIMIT 10""",
     "language_backfill": BACKFILLED,
     "daily_job": _with(WEEKLY_PARTS, "SELECT * FROM weekly"),
     "backfill_job": BACKFILLED,
+    "snapshot_job": SNAPSHOT,
+    "processed_days_job": """SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS day FROM events
+WHERE event_type IN ('click', 'signup')""",
+    "archive_read": "WITH "
+    + BASE
+    + """, kept AS (SELECT * FROM base WHERE forks_count <> 13),
+"""
+    + DAILY.replace("FROM base", "FROM kept")
+    + " SELECT * FROM daily",
+    "archive_quarantine": """SELECT CAST(NULL AS VARCHAR) AS type, '{bad ' || event_id AS record
+FROM events WHERE CAST(json_extract_string(props, '$.k') AS BIGINT) = 13""",
+    "weekly_scan": _with(WEEKLY_PARTS, "SELECT * FROM weekly ORDER BY row_key DESC LIMIT 200"),
+    "prefix_scan": _with(
+        WEEKLY_PARTS,
+        """SELECT * FROM weekly WHERE starts_with(row_key, '2024-01-1')
+ORDER BY row_key DESC LIMIT 100""",
+    ),
+    "insight_panel": """SELECT 'org' || (p_partkey % 10) || '/repo' || p_partkey AS repo,
+       p_size / 50 AS probability, CAST(trunc(p_size / 50 * 100) AS INTEGER) AS probability_pct,
+       p_type AS cluster, CAST(trunc(p_retailprice - 1000) AS BIGINT) AS predicted_stars
+FROM part ORDER BY repo LIMIT 5""",
     "trending_now": _with(
         LIVE_PARTS,
         """SELECT CAST(row_number() OVER (ORDER BY stars DESC, newest DESC) AS INTEGER) AS rank,

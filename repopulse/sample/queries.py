@@ -13,7 +13,7 @@ from repopulse.plans import breakout, daily, panels
 from repopulse.sample import tables as sample
 from repopulse.session import configure, run_dir, stream_session
 from repopulse.sinks import live, rows
-from repopulse.sinks.daily import read_weekly
+from repopulse.sinks.daily import read_snapshot, read_weekly
 from repopulse.sources import archive as archive_files
 from repopulse.sources import tables as stored
 from repopulse.sources.feed import parse_messages
@@ -206,12 +206,12 @@ def last_day_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def unprocessed_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily counts of the days that no error event marks as done by 01:00."""
-    events = cleaning.archive_events(sample.archive(spark, sf_dir))
-    done = sample.events(spark, sf_dir).where(
-        (F.col("event_type") == "error") & (F.hour("ts") == 0)
-    ).select(F.date_format("ts", "yyyy-MM-dd").alias("day")).distinct()
-    return metrics.daily_metrics(metrics.unprocessed(events, done))
+    """Daily counts of the days without an error in their first hour, taken as not done."""
+    early_errors = (F.col("event_type") == "error") & (F.hour("ts") == 0)
+    done = sample.events(spark, sf_dir).where(early_errors).select(
+        F.date_format("ts", "yyyy-MM-dd").alias("day")
+    )
+    return metrics.unprocessed(_daily(spark, sf_dir), done)
 
 
 def top_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -249,9 +249,9 @@ def language_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrichment.with_languages(weekly, updates).select("row_key", "name", "day", "language")
 
 
-def daily_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _two_runs(spark: SparkSession, sf_dir: str, label: str) -> Tables:
     """The daily tables after two runs: all days but the last, then the last with carry-in."""
-    tables = Tables(f"{run_dir(spark, 'daily-job')}/tables")
+    tables = Tables(f"{run_dir(spark, label)}/tables")
     _store_repos(spark, sf_dir, tables)
     archive = sample.archive(spark, sf_dir)
     day = times.day_text(times.archive_time(F.col("created_at")))
@@ -259,7 +259,19 @@ def daily_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     tiers = sample.tiers(spark, sf_dir)
     daily.run_daily(spark, tables, archive.where(day < last), tiers)
     daily.run_daily(spark, tables, archive, tiers)
-    return read_weekly(spark, tables)
+    return tables
+
+
+def daily_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_weekly(spark, _two_runs(spark, sf_dir, "daily-job"))
+
+
+def snapshot_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_snapshot(spark, _two_runs(spark, sf_dir, "snapshot-job"))
+
+
+def processed_days_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored.processed_days(spark, _two_runs(spark, sf_dir, "processed-job"))
 
 
 def backfill_job(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,6 +287,25 @@ def _store_repos(spark: SparkSession, sf_dir: str, tables: Tables) -> None:
     sample.repos(spark, sf_dir).write.parquet(f"{tables.repos}/{live.BATCH}=0")
 
 
+def _archive_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole archive written as compressed JSON lines and read back by its year."""
+    folder = run_dir(spark, "archive")
+    lines = sample.archive_lines(spark, sf_dir)
+    lines.write.option("compression", "gzip").text(f"{folder}/2024-events.json.gz")
+    return archive_files.read_archive(spark, archive_files.archive_globs(folder, ["2024"]))
+
+
+def archive_read(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily counts of the readable lines of the archive files."""
+    lines = archive_files.readable(_archive_files(spark, sf_dir))
+    return metrics.daily_metrics(cleaning.archive_events(lines))
+
+
+def archive_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The unreadable lines of the archive files."""
+    return archive_files.quarantined(_archive_files(spark, sf_dir)).select("type", "record")
+
+
 # ---- panels --------------------------------------------------------------------------------
 
 
@@ -331,6 +362,20 @@ def breakout_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return breakout.breakout_scores(spark, _weekly(spark, sf_dir))
 
 
+def weekly_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return stored.newest_weekly_metrics(_weekly(spark, sf_dir), 200)
+
+
+def prefix_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A scan by key prefix: the last rows of the days from the 10th to the 19th."""
+    return stored.scan(_weekly(spark, sf_dir), 100, prefix="2024-01-1", latest_first=True)
+
+
+def insight_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prediction panel over parts read as predictions."""
+    return panels.ai_insights(sample.predictions(spark, sf_dir))
+
+
 def ai_insights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return panels.ai_insights(breakout_scores(spark, sf_dir))
 
@@ -444,7 +489,13 @@ ALL = [
     weekly_metrics,
     language_backfill,
     daily_job,
+    snapshot_job,
+    processed_days_job,
     backfill_job,
+    archive_read,
+    archive_quarantine,
+    weekly_scan,
+    prefix_scan,
     trending_now,
     trending_now_window,
     new_entrants,
@@ -456,6 +507,7 @@ ALL = [
     historical_trends_slots,
     trending_daily,
     trending_latest_day,
+    insight_panel,
     breakout_scores,
     ai_insights,
     lenient_numbers,

@@ -81,6 +81,29 @@ def archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Archive events as JSON lines, broken where `k` is 13."""
+    kept = events(spark, sf_dir).select(
+        _k().alias("k"),
+        F.concat(F.lit("{bad "), F.col("event_id").cast("string")).alias("broken"),
+        _kind().alias("type"),
+        F.struct(repo_of(F.col("user_id")).alias("name")).alias("repo"),
+        _created_at().alias("created_at"),
+    )
+    line = F.to_json(F.struct("type", "repo", "created_at"))
+    return kept.select(F.when(F.col("k") == 13, F.col("broken")).otherwise(line).alias("value"))
+
+
+def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts read as predictions."""
+    return parts(spark, sf_dir).select(
+        repo_of(F.col("p_partkey")).alias("name"),
+        (F.col("p_size") / 50).alias("probability"),
+        F.col("p_type").alias("cluster"),
+        (F.col("p_retailprice") - 1000).alias("predicted_growth"),
+    )
+
+
 def _language() -> Column:
     return F.when(F.col("p_type") == UNLABELLED_TYPE, UNKNOWN_LANGUAGE).otherwise(F.col("p_type"))
 

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from repopulse import schemas
 from repopulse.operators.enrichment import with_languages
 from repopulse.operators.metrics import last_days, merged_snapshot
-from repopulse.sinks.partitions import replace_partitions
+from repopulse.sinks.partitions import replace_partitions, rows_of_days
 from repopulse.sources.tables import Tables, processed_days, read_table
 
 AS_OF = "as_of"
@@ -69,5 +69,4 @@ def rewrite_languages(weekly: DataFrame, updates: DataFrame, tables: Tables) ->
 
     `updates` should be a written table: it is read for the days and for the rows.
     """
-    touched = weekly.join(updates.select("day").distinct(), "day", "left_semi")
-    write_weekly(with_languages(touched.select(*weekly.columns), updates), tables)
+    write_weekly(with_languages(rows_of_days(weekly, updates), updates), tables)

@@ -16,7 +16,7 @@ from repopulse import schemas
 from repopulse.operators.enrichment import absent_repos, attach_metadata, first_seen_repos
 from repopulse.operators.metrics import latest_by_key
 from repopulse.session import adaptive
-from repopulse.sinks.partitions import replace_partitions
+from repopulse.sinks.partitions import replace_partitions, rows_of_days
 from repopulse.sinks.rows import live_metrics_rows, message_values, with_live_keys
 from repopulse.sources.tables import Tables, read_table
 
@@ -125,7 +125,7 @@ def compact_live_metrics(spark: SparkSession, tables: Tables, before_batch: int)
     log = read_table(spark, tables.live_metrics, LIVE_LOG).where(F.col(BATCH) < before_batch)
     folded = log.withColumn("day", _day())
     history = read_table(spark, tables.live_history, LIVE_HISTORY)
-    touched = history.join(folded.select("day").distinct(), "day", "left_semi")
+    touched = rows_of_days(history, folded)
     newest = _newest_versions(touched.unionByName(folded, allowMissingColumns=True))
     replace_partitions(newest.withColumn("day", _day()), tables.live_history, "day")
 

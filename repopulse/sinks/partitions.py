@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def replace_partitions(rows: DataFrame, path: str, column: str) -> None:
@@ -18,3 +19,15 @@ def replace_partitions(rows: DataFrame, path: str, column: str) -> None:
         .partitionBy(column)
         .parquet(path)
     )
+
+
+def rows_of_days(table: DataFrame, days: DataFrame) -> DataFrame:
+    """Rows of a day-partitioned table whose day occurs in `days`.
+
+    The first and last day prune partitions before the scan. Distinct days are
+    one row per calendar day at most, hence the broadcast.
+    """
+    first, last = days.agg(F.min("day"), F.max("day")).first()
+    within = table.where(F.col("day").between(F.lit(first), F.lit(last)))
+    wanted = F.broadcast(days.select("day").distinct())
+    return within.join(wanted, "day", "left_semi").select(*table.columns)

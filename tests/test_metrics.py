@@ -123,9 +123,9 @@ def test_snapshots_merge_to_the_later_day(spark):
 def test_unprocessed_skips_whole_days(spark):
     data = events(spark, [("WatchEvent", "a", "2026-04-10"), ("WatchEvent", "a", "2026-04-11")])
     done = spark.createDataFrame([("2026-04-10",)], "day string")
-    left = metrics.daily_metrics(metrics.unprocessed(data, done))
-    assert records(left, "day") == [("2026-04-11",)]
-    assert metrics.unprocessed(data, schemas.empty(spark, "day string")).count() == 2
+    daily = metrics.daily_metrics(data)
+    assert records(metrics.unprocessed(daily, done), "day") == [("2026-04-11",)]
+    assert metrics.unprocessed(daily, schemas.empty(spark, "day string")).count() == 2
 
 
 def test_repo_counts_add_up_to_distinct_repositories(spark):

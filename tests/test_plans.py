@@ -12,11 +12,13 @@ from repopulse.sample import tables as sample
 # Queries that run jobs or streams of their own before they return.
 EAGER = {
     "stream_windowed_activity", "stream_dedup_windowed", "stream_repos", "stream_live_feed",
-    "stream_canonical_events", "daily_job", "backfill_job", "breakout_scores", "ai_insights",
+    "stream_canonical_events", "daily_job", "snapshot_job", "processed_days_job", "backfill_job",
+    "archive_read", "archive_quarantine", "breakout_scores", "ai_insights",
 }
 TOP_K = {
     "live_metrics_scan", "top_velocity", "trending_now", "trending_now_window", "rising_languages",
-    "language_totals", "activity_feed", "trending_daily", "trending_latest_day",
+    "language_totals", "activity_feed", "trending_daily", "trending_latest_day", "weekly_scan",
+    "prefix_scan", "insight_panel",
 }
 PYTHON = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas")
 ALL_PAIRS = ("CartesianProduct", "BroadcastNestedLoopJoin")
@@ -78,10 +80,10 @@ def test_newest_day_prunes_partitions(spark, folder):
 
 
 def test_skipping_processed_days_comes_before_the_aggregate(spark, sf_dir):
-    events = cleaning.archive_events(sample.archive(spark, sf_dir))
+    daily = metrics.daily_metrics(cleaning.archive_events(sample.archive(spark, sf_dir)))
     done = spark.createDataFrame([("2024-01-02",)], "day string")
-    plan = plan_of(metrics.daily_metrics(metrics.unprocessed(events, done)))
-    assert plan.index("HashAggregate") < plan.index("LeftAnti")
+    plan = plan_of(metrics.unprocessed(daily, done))
+    assert plan.index("partial_count") < plan.index("LeftAnti")
 
 
 def test_a_hot_repository_is_split_in_the_event_join(shuffled):
