@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from repopulse import schemas
-from repopulse.session import run_dir
+from repopulse.session import staged
 from repopulse.sources.tables import Tables
 
 FEATURES = ["stars", "forks", "velocity", "fork_velocity", "active_days"]
@@ -42,15 +42,13 @@ def breakout_scores(
     repository's latest day. The features are written to the shared folder
     first, as the estimators pass over them many times.
     """
-    path = run_dir(spark, "breakout")
     vectors = Pipeline(
         stages=[
             VectorAssembler(inputCols=FEATURES, outputCol="raw_features"),
             StandardScaler(inputCol="raw_features", outputCol="features", withMean=True),
         ]
     )
-    scored_days(weekly).write.parquet(path)
-    days = spark.read.parquet(path)
+    days = staged(spark, scored_days(weekly), "breakout")
     known = days.where(F.col("next_velocity").isNotNull()).withColumns(
         {
             "grows": (F.col("next_velocity") > 0).cast("double"),

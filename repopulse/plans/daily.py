@@ -16,7 +16,7 @@ from repopulse.operators.metrics import (
     incremental_velocity,
     unprocessed,
 )
-from repopulse.session import run_dir
+from repopulse.session import staged as staged_rows
 from repopulse.sinks.daily import (
     last_days_before,
     mark_processed,
@@ -31,13 +31,6 @@ from repopulse.sources.archive import archive_globs, quarantined, read_archive,
 from repopulse.sources.tables import Tables, processed_days
 
 
-def _staged(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
-    """Rows written to the shared folder and read back, so later steps never recompute them."""
-    path = run_dir(spark, label)
-    rows.write.parquet(path)
-    return spark.read.schema(rows.schema).parquet(path)
-
-
 def weekly_metrics(
     daily: DataFrame,
     repos: DataFrame,
@@ -80,7 +73,7 @@ def run_daily(
     daily = daily_metrics(archive_events(archive))
     if not reprocess:
         daily = unprocessed(daily, processed_days(spark, tables))
-    staged = _staged(spark, daily, "daily")
+    staged = staged_rows(spark, daily, "daily")
     first_day, last_day = staged.agg(F.min("day"), F.max("day")).first()
     if first_day is None:
         return False
@@ -118,7 +111,7 @@ def run_archive(
         kept = archive.withColumn("path", F.input_file_name()).where(
             is_relevant | F.col(schemas.CORRUPT_COLUMN).isNotNull()
         )
-        archive = _staged(spark, kept, "archive")
+        archive = staged_rows(spark, kept, "archive")
         quarantined(archive).write.mode("append").parquet(tables.quarantine)
     ran = run_daily(spark, tables, readable(archive), tiers, **options)
     if not ran and metadata is not None:
@@ -132,6 +125,6 @@ def run_backfill(
     """Q5: fill missing languages of stored daily rows, rewriting only days that change."""
     weekly = read_weekly(spark, tables)
     updates = language_updates(weekly, read_repos(spark, tables), metadata, limit)
-    staged = _staged(spark, updates, "backfill")
+    staged = staged_rows(spark, updates, "backfill")
     if not staged.isEmpty():
         rewrite_languages(weekly, staged, tables)

@@ -11,7 +11,7 @@ from repopulse.functions import numbers, text, times
 from repopulse.operators import cleaning, enrichment, metrics
 from repopulse.plans import breakout, daily, panels
 from repopulse.sample import tables as sample
-from repopulse.session import configure, run_dir, stream_session
+from repopulse.session import configure, run_dir, staged, stream_session
 from repopulse.sinks import live, rows
 from repopulse.sinks.daily import read_snapshot, read_weekly
 from repopulse.sources import archive as archive_files
@@ -76,6 +76,11 @@ def _live_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.live_metrics_rows(_batch_windows(spark, sf_dir))
 
 
+def _live_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Live rows as a written table, for panels that read them more than once."""
+    return staged(spark, _live_rows(spark, sf_dir), "live")
+
+
 def windowed_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _batch_windows(spark, sf_dir)
 
@@ -173,8 +178,9 @@ def _weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _last_day(events: DataFrame):
-    return events.agg(F.max("day")).scalar()
+def _weekly_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily rows as a written table, for panels that read them more than once."""
+    return staged(spark, _weekly(spark, sf_dir), "weekly")
 
 
 def daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -187,12 +193,11 @@ def daily_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def incremental_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last day alone, carried in from the snapshot of all days before it."""
-    events = cleaning.archive_events(sample.archive(spark, sf_dir))
-    last = _last_day(events)
-    before = metrics.daily_metrics(events.where(F.col("day") < last))
-    snapshot = metrics.last_days(rows.weekly_rows(_plain_weekly(before)))
-    newest = metrics.daily_metrics(events.where(F.col("day") == last))
-    return metrics.incremental_velocity(newest, snapshot)
+    counts = staged(spark, _daily(spark, sf_dir), "daily-counts")
+    last = counts.agg(F.max("day")).scalar()
+    before = rows.weekly_rows(_plain_weekly(counts.where(F.col("day") < last)))
+    newest = counts.where(F.col("day") == last)
+    return metrics.incremental_velocity(newest, metrics.last_days(before))
 
 
 def _plain_weekly(daily_counts: DataFrame) -> DataFrame:
@@ -243,7 +248,7 @@ def weekly_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def language_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily rows enriched by the dimension alone, then filled from the second source."""
     repos = sample.repos(spark, sf_dir)
-    weekly = daily.weekly_metrics(_daily(spark, sf_dir), repos)
+    weekly = staged(spark, daily.weekly_metrics(_daily(spark, sf_dir), repos), "weekly")
     source = sample.tiers(spark, sf_dir)[1]
     updates = enrichment.language_updates(weekly, repos, source)
     return enrichment.with_languages(weekly, updates).select("row_key", "name", "day", "language")
@@ -314,22 +319,22 @@ def trending_now(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trending_now_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return panels.trending_window(_live_rows(spark, sf_dir))
+    return panels.trending_window(_live_table(spark, sf_dir))
 
 
 def new_entrants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    live_rows = _live_rows(spark, sf_dir)
+    live_rows = _live_table(spark, sf_dir)
     return panels.new_entrants(
         panels.trending_window(live_rows), panels.trending_window(live_rows, nth=2)
     )
 
 
 def rising_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return panels.rising_languages(_weekly(spark, sf_dir))
+    return panels.rising_languages(_weekly_table(spark, sf_dir))
 
 
 def language_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    per_day = panels.language_days(_weekly(spark, sf_dir))
+    per_day = panels.language_days(_weekly_table(spark, sf_dir))
     return per_day.withColumn("day", F.col("day").cast("string"))
 
 
@@ -343,11 +348,11 @@ def activity_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def historical_trends_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return panels.historical_long(_weekly(spark, sf_dir))
+    return panels.historical_long(_weekly_table(spark, sf_dir))
 
 
 def historical_trends_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return panels.historical_slots(_weekly(spark, sf_dir))
+    return panels.historical_slots(_weekly_table(spark, sf_dir))
 
 
 def trending_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -355,7 +360,7 @@ def trending_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trending_latest_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return panels.trending_daily(_weekly(spark, sf_dir), candidate_limit=None)
+    return panels.trending_daily(_weekly_table(spark, sf_dir), candidate_limit=None)
 
 
 def breakout_scores(spark: SparkSession, sf_dir: str) -> DataFrame:

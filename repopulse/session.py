@@ -8,7 +8,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -38,6 +38,17 @@ def run_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/repopulse/{label}-{uuid.uuid4().hex}"
 
 
+def staged(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
+    """Rows written to the shared folder and read back.
+
+    For results that several later steps read: none of them recomputes the rows,
+    and losing an executor costs no more than its tasks.
+    """
+    path = run_dir(spark, label)
+    rows.write.parquet(path)
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 # State in RocksDB, checkpointed as changes instead of whole copies. Idle
 # batches would only evict state earlier, at the price of empty files.
 STREAM_SETTINGS = {

@@ -75,10 +75,15 @@ def insert_repos(
     """K2: add repositories that no earlier batch has stored.
 
     Only earlier batches count as stored, so repeating a batch adds its own
-    repositories again instead of losing them.
+    repositories again instead of losing them. The stored table is first cut to
+    the keys of this batch, which are few enough to broadcast as a rule; only
+    those few rows then take part in the anti join.
     """
     stored = read_table(spark, tables.repos, f"{schemas.REPOS}, {BATCH} bigint")
-    fresh = absent_repos(first_seen_repos(live_rows), stored.where(F.col(BATCH) < batch_id))
+    known = stored.where(F.col(BATCH) < batch_id).join(
+        live_rows.select("repo_key"), "repo_key", "left_semi"
+    )
+    fresh = absent_repos(first_seen_repos(live_rows), known)
     fresh.hint("rebalance").write.mode("overwrite").parquet(_batch_path(tables.repos, batch_id))
 
 
