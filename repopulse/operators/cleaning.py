@@ -11,8 +11,11 @@ from repopulse.functions.times import archive_time, stream_time
 # The two kinds of event that say a repository gains attention.
 STAR_EVENT = "WatchEvent"
 FORK_EVENT = "ForkEvent"
-# Fixed value: how late an event may arrive.
+# Fixed value: how late an event may arrive for the windows.
 LATENESS = "5 minutes"
+# How long published ids are remembered; far beyond the windows' lateness, as an
+# event later than this is dropped although a window might still want it.
+DUPLICATE_MEMORY = "1 hour"
 
 
 def relevant(events: DataFrame, type_column: str = "type") -> DataFrame:
@@ -87,8 +90,8 @@ def with_lateness(messages: DataFrame, delay: str = LATENESS) -> DataFrame:
 def distinct_event_stream(events: DataFrame, spread_copies: bool = True) -> DataFrame:
     """R7 over a stream with a watermark: one row per event id within its delay.
 
-    Copies further apart than the delay are not recognised. A stream has no
-    partial aggregate to collapse copies before the shuffle, so with
+    Copies further apart than the delay are not recognised, and events later
+    than the delay are dropped. A stream has no partial aggregate to collapse copies before the shuffle, so with
     `spread_copies` each input partition first makes its own ids distinct: the
     copies of one id then go to as many tasks as there are input partitions,
     and no more than one from each meets in the final step. That costs a second

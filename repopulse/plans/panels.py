@@ -29,7 +29,7 @@ def _rank_repos(live_rows: DataFrame, limit: int) -> DataFrame:
         .groupBy(F.col("name").alias("repo"))
         .agg(
             F.max_by("language", "row_key").alias("language"),
-            F.max("stars").alias("stars"),
+            F.greatest(F.max("stars"), F.lit(0)).alias("stars"),
             F.max("row_key").alias("newest_key"),
         )
     )
@@ -81,7 +81,7 @@ def _labelled(weekly: DataFrame) -> DataFrame:
     rows = weekly.select(
         parsed_day(F.col("day")).alias("day"),
         language_label(F.col("language")).alias("language"),
-        "stars",
+        F.coalesce("stars", F.lit(0)).alias("stars"),
     ).where(F.col("day").isNotNull())
     return rows.withColumn("known", F.col("language") != UNKNOWN_LANGUAGE)
 
@@ -226,11 +226,11 @@ def trending_daily(
         candidates = newest_weekly_metrics(weekly, candidate_limit)
     scored = candidates.select(
         "row_key",
-        or_default(F.col("name"), "").alias("repo"),
+        F.coalesce("name", "row_key").alias("repo"),
         F.coalesce("language", F.lit(UNKNOWN_LANGUAGE)).alias("language"),
         score(F.col("velocity"), F.col("fork_velocity")).alias("score"),
-        "stars",
-        "forks",
+        F.coalesce("stars", F.lit(0)).alias("stars"),
+        F.coalesce("forks", F.lit(0)).alias("forks"),
     )
     top = top_ranked(scored, limit, F.col("score").desc(), F.col("row_key").desc())
     return with_bars(top, {"score_pct": "score"}, floor=2.0).drop("row_key")
@@ -244,10 +244,11 @@ def ai_insights(
         first = first_predictions(predictions, limit)
     else:
         first = predictions.orderBy(F.col(order_by).desc(), "name").limit(limit)
+    probability = F.coalesce("probability", F.lit(0.0))
     return first.select(
         F.col("name").alias("repo"),
-        "probability",
-        whole_percent(F.col("probability")).alias("probability_pct"),
+        probability.alias("probability"),
+        whole_percent(probability).alias("probability_pct"),
         F.coalesce("cluster", F.lit(UNKNOWN_LANGUAGE)).alias("cluster"),
-        F.col("predicted_growth").cast("bigint").alias("predicted_stars"),
+        F.coalesce("predicted_growth", F.lit(0.0)).cast("bigint").alias("predicted_stars"),
     )

@@ -276,7 +276,9 @@ def snapshot_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def processed_days_job(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return stored.processed_days(spark, _two_runs(spark, sf_dir, "processed-job"))
+    tables = Tables(f"{run_dir(spark, 'processed-job')}/tables")
+    daily.run_daily(spark, tables, sample.archive(spark, sf_dir))
+    return stored.processed_days(spark, tables)
 
 
 def backfill_job(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from repopulse.operators.cleaning import (
+    DUPLICATE_MEMORY,
     LATENESS,
     distinct_event_stream,
     resolve_raw_events,
@@ -34,7 +35,9 @@ def _trigger(every: str | None) -> dict:
     return {"availableNow": True} if every is None else {"processingTime": every}
 
 
-def clean_events(raw: DataFrame, delay: str = LATENESS, spread_copies: bool = True) -> DataFrame:
+def clean_events(
+    raw: DataFrame, delay: str = DUPLICATE_MEMORY, spread_copies: bool = True
+) -> DataFrame:
     """Q1 up to the metadata: F1, F5, R7.
 
     Events without a readable time are dropped here, as the metrics would drop
@@ -71,7 +74,12 @@ def live_windows(
     drop_duplicates: bool = False,
     spread_copies: bool = True,
 ) -> DataFrame:
-    """Q2 up to the write: S2, X1, F2, R1, A1, optionally with R7."""
+    """Q2 up to the write: S2, X1, F2, R1, A1, optionally with R7.
+
+    Published messages are distinct already. For a topic whose messages are
+    not, R7 shares the windows' watermark, so it also drops events later than
+    `delay` whose window is still open; give a longer delay if that matters.
+    """
     messages = with_lateness(valid_messages(parse_messages(feed)), delay)
     if drop_duplicates:
         messages = distinct_event_stream(messages, spread_copies)

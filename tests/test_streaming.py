@@ -187,6 +187,29 @@ def test_publishing_cleans_resolves_and_enriches(spark, session, feed, tables, f
     ]
 
 
+def test_late_events_are_published_while_ids_are_remembered(spark, session, feed, tables, folder):
+    feed.add(raw_event(1, at="2026-04-13T10:31:00Z"))
+    feed.add(raw_event(2, at="2026-04-13T10:40:00Z"))
+    feed.add(raw_event(3, at="2026-04-13T10:41:00Z"), raw_event(4, at="2026-04-13T10:22:00Z"))
+    feed.add(raw_event(4, at="2026-04-13T10:22:00Z"), raw_event(1, at="2026-04-13T10:31:00Z"))
+    known = spark.createDataFrame([], schemas.METADATA)
+    raw = raw_event_files(session, str(feed.path), stream=True, maxFilesPerTrigger=1)
+    queries.publish_messages(raw, known, tables, f"{folder}/publish", every=None).awaitTermination()
+    published = parse_messages(spark.read.text(tables.messages))
+    assert records(published, "event_id") == [("1",), ("2",), ("3",), ("4",)]
+
+
+def test_published_messages_feed_the_windows(spark, session, feed, tables, folder):
+    feed.add(raw_event(1), raw_event(1), raw_event(2))
+    known = spark.createDataFrame([("me/copy", "Go", 7, 8, 9)], schemas.METADATA)
+    raw = raw_event_files(session, str(feed.path), stream=True)
+    queries.publish_messages(raw, known, tables, f"{folder}/publish", every=None).awaitTermination()
+    source = message_files(session, tables.messages)
+    queries.stream_live_metrics(source, tables, f"{folder}/metrics", every=None).awaitTermination()
+    found = records(live.read_live_metrics(spark, tables), "name", "language", "stars", "count")
+    assert found == [("me/copy", "Go", 7, 2)]
+
+
 def test_live_run_surfaces_a_failure_of_either_stream(spark, session, feed, folder, monkeypatch):
     feed.add(message(1, "10:31:00"))
     tables = Tables(f"{folder}/tables")
