@@ -110,35 +110,34 @@ def incremental_velocity(daily: DataFrame, snapshot: DataFrame) -> DataFrame:
     )
 
 
-def last_days(weekly: DataFrame) -> DataFrame:
-    """Each repository's counts on its latest day."""
-    day = F.col("day").cast("date")
-    carried = {
-        "last_stars": "stars",
-        "last_forks": "forks",
-        "last_api_stars": "api_stars",
-        "last_api_forks": "api_forks",
-    }
-    latest = [F.max_by(source, day).alias(name) for name, source in carried.items()]
-    return (
-        weekly.groupBy("name")
-        .agg(*latest, F.max(day).alias("last_day"))
-        .withColumn("last_day", F.col("last_day").cast("string"))
+def as_snapshot(weekly: DataFrame) -> DataFrame:
+    """Daily rows in the shape of snapshot rows."""
+    return weekly.select(
+        "name",
+        F.col("stars").alias("last_stars"),
+        F.col("forks").alias("last_forks"),
+        F.col("api_stars").alias("last_api_stars"),
+        F.col("api_forks").alias("last_api_forks"),
+        F.col("day").alias("last_day"),
     )
 
 
-def merged_snapshot(old: DataFrame, new: DataFrame) -> DataFrame:
-    """K5: stored and new last days in one table, the later day winning."""
+def merged_snapshots(rows: DataFrame, *within: str) -> DataFrame:
+    """K5: the row of the latest day per repository, or per repository and further columns."""
     columns = ["last_stars", "last_forks", "last_api_stars", "last_api_forks"]
     day = F.col("last_day").cast("date")
     return (
-        old.unionByName(new)
-        .groupBy("name")
+        rows.groupBy("name", *within)
         .agg(*[F.max_by(c, day).alias(c) for c in columns], F.max(day).alias("last_day"))
         .withColumn("last_day", F.col("last_day").cast("string"))
     )
 
 
+def last_days(weekly: DataFrame) -> DataFrame:
+    """Each repository's counts on its latest day."""
+    return merged_snapshots(as_snapshot(weekly))
+
+
 def distinct_repos_by_language(weekly: DataFrame) -> DataFrame:
     """A4: distinct repositories per language and day.
 

@@ -61,11 +61,12 @@ def run_daily(
 ) -> bool:
     """Q4: process new days into the daily tables; True if there were any.
 
-    Finished days are skipped unless `reprocess`; as a day's velocity and
-    snapshot follow from the day before, reprocess all days after it too. With `carry_in`, velocity of
-    the first new day follows the stored last day; without it, every run starts
-    from zero. Days in `incomplete_days` are written but not marked, so a later
-    run picks them up again.
+    Finished days are skipped unless `reprocess`; velocities of days after one
+    that comes late or again follow from its old counts until they are
+    reprocessed too. With `carry_in`, velocity of the first new day follows the
+    stored last day; without it, every run starts from zero. Days in
+    `incomplete_days` are written but not marked, so a later run picks them up
+    again.
 
     The archive is read once: its daily counts are written to the shared folder
     and every later step starts from them.
@@ -107,9 +108,11 @@ def run_archive(
     """
     archive = read_archive(spark, archive_globs(folder, days), skip_corrupt_files)
     if quarantine:
-        is_relevant = F.col("type").isin(STAR_EVENT, FORK_EVENT)
+        kind = F.col("type")
         kept = archive.withColumn("path", F.input_file_name()).where(
-            is_relevant | F.col(schemas.CORRUPT_COLUMN).isNotNull()
+            (kind == STAR_EVENT)
+            | (kind == FORK_EVENT)
+            | F.col(schemas.CORRUPT_COLUMN).isNotNull()
         )
         archive = staged_rows(spark, kept, "archive")
         quarantined(archive).write.mode("append").parquet(tables.quarantine)

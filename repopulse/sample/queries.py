@@ -291,7 +291,7 @@ def backfill_job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _store_repos(spark: SparkSession, sf_dir: str, tables: Tables) -> None:
-    sample.repos(spark, sf_dir).write.parquet(f"{tables.repos}/{live.BATCH}=0")
+    sample.repos(spark, sf_dir).write.parquet(live.batch_path(tables.repos, "none", 0))
 
 
 def _archive_files(spark: SparkSession, sf_dir: str) -> DataFrame:

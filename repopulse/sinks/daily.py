@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from repopulse import schemas
 from repopulse.operators.enrichment import with_languages
-from repopulse.operators.metrics import last_days, merged_snapshot
+from repopulse.operators.metrics import as_snapshot, last_days, merged_snapshots
 from repopulse.sinks.partitions import replace_partitions, rows_of_days
 from repopulse.sources.tables import Tables, processed_days, read_table
 
@@ -48,14 +48,25 @@ def last_days_before(spark: SparkSession, tables: Tables, first_day: str) -> Dat
     if as_of is None:
         return last_days(since)
     snapshot = stored.where(F.col(AS_OF) == as_of).drop(AS_OF)
-    return merged_snapshot(snapshot, last_days(since.where(F.col("day") > as_of)))
+    newer = as_snapshot(since.where(F.col("day") > as_of))
+    return merged_snapshots(snapshot.unionByName(newer))
 
 
 def write_snapshot(spark: SparkSession, tables: Tables, first_day: str, last_day: str) -> None:
-    """K5: snapshot after a run over these days, replacing an earlier one of the same name."""
-    written = read_weekly(spark, tables).where(F.col("day").between(first_day, last_day))
-    merged = merged_snapshot(last_days_before(spark, tables, first_day), last_days(written))
-    merged.hint("rebalance").write.mode("overwrite").parquet(f"{tables.snapshots}/{AS_OF}={last_day}")
+    """K5: snapshot after a run over these days.
+
+    Snapshots of later days, which exist if a day was processed late or again,
+    are written anew as well. Each row counts for every snapshot that is not
+    older than it; as a rule that is just the one of the run.
+    """
+    stored = _snapshots(spark, tables).where(F.col(AS_OF) > last_day)
+    later = [row[AS_OF] for row in stored.select(AS_OF).distinct().collect()]
+    ends = [last_day, *later]
+    days = read_weekly(spark, tables).where(F.col("day").between(first_day, max(ends)))
+    rows = last_days_before(spark, tables, first_day).unionByName(as_snapshot(days))
+    snapshots = F.filter(F.array(*[F.lit(end) for end in ends]), lambda end: end >= F.col("last_day"))
+    merged = merged_snapshots(rows.withColumn(AS_OF, F.explode(snapshots)), AS_OF)
+    replace_partitions(merged, tables.snapshots, AS_OF)
 
 
 def mark_processed(spark: SparkSession, days: DataFrame, tables: Tables) -> None:

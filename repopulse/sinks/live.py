@@ -1,12 +1,14 @@
 """Sinks of the live streams.
 
-Every micro-batch writes a folder named after its id and overwrites it, so a
-batch repeated after a failure leaves the same table. Errors are not caught:
-the stream stops and resumes from its checkpoint.
+Every micro-batch writes a folder named after its query and batch id and
+overwrites it, so a batch repeated after a failure leaves the same table, and a
+stream begun anew with an empty checkpoint never touches what an earlier one
+wrote. Errors are not caught: the stream stops and resumes from its checkpoint.
 """
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -20,31 +22,45 @@ from repopulse.sinks.partitions import replace_partitions, rows_of_days
 from repopulse.sinks.rows import live_metrics_rows, message_values, with_live_keys
 from repopulse.sources.tables import Tables, read_table
 
-BATCH = "batch_id"
+# Name under which Spark tells a micro-batch which query it belongs to.
+QUERY_ID = "sql.streaming.queryId"
+BATCHES_PER_START = 1_000_000_000
+VERSION = "version"
 LIVE_KEYS = ["window", "name", "event_type", "language"]
 LIVE_VALUES = ["stars", "forks", "watchers", "count"]
-LIVE_LOG = f"{schemas.LIVE_METRICS}, {BATCH} bigint"
+LIVE_LOG = f"{schemas.LIVE_METRICS}, {VERSION} bigint"
 LIVE_HISTORY = (
     "window string, name string, event_type string, language string, stars bigint, "
-    f"forks bigint, watchers bigint, count bigint, {BATCH} bigint, day string"
+    f"forks bigint, watchers bigint, count bigint, {VERSION} bigint, day string"
 )
+REPOS_LOG = f"{schemas.REPOS}, query string, batch_id bigint"
 
 
-def _batch_path(table: str, batch_id: int) -> str:
-    return f"{table}/{BATCH}={batch_id}"
+def query_of(session: SparkSession) -> str:
+    """Id of the stream whose batch is being written; it lasts as long as its checkpoint."""
+    return session.sparkContext.getLocalProperty(QUERY_ID) or "none"
+
+
+def batch_path(table: str, query: str, batch_id: int) -> str:
+    return f"{table}/query={query}/batch_id={batch_id}"
 
 
 def upsert_live_batch(tables: Tables) -> Callable[[DataFrame, int], None]:
     """Micro-batch callback that logs changed windows and adds new repositories.
 
-    The batch is written first and read back, so its state is computed once.
+    Versions grow with the start of the stream and then with its batches, so the
+    last write of a row wins even across checkpoints. The batch is written first
+    and read back, so its state is computed once.
     """
+    started = int(time.time()) * BATCHES_PER_START
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        path = _batch_path(tables.live_metrics, batch_id)
+        path = batch_path(tables.live_metrics, query_of(session), batch_id)
+        version = F.lit(started + batch_id).cast("bigint").alias(VERSION)
         with adaptive(session):
-            live_metrics_rows(batch).hint("rebalance").write.mode("overwrite").parquet(path)
+            rows = live_metrics_rows(batch).select("*", version)
+            rows.hint("rebalance").write.mode("overwrite").parquet(path)
             written = session.read.schema(schemas.LIVE_METRICS).parquet(path)
             if not written.isEmpty():
                 insert_repos(session, tables, written, batch_id)
@@ -58,12 +74,13 @@ def publish_batch(
     """Micro-batch callback that enriches events and publishes them as messages."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        with adaptive(batch.sparkSession):
+        session = batch.sparkSession
+        with adaptive(session):
             values = message_values(attach_metadata(batch, metadata))
             if topic is not None:
                 values.write.format("kafka").options(**topic).save()
             else:
-                path = _batch_path(tables.messages, batch_id)
+                path = batch_path(tables.messages, query_of(session), batch_id)
                 values.hint("rebalance").write.mode("overwrite").text(path)
 
     return write
@@ -72,34 +89,39 @@ def publish_batch(
 def insert_repos(
     spark: SparkSession, tables: Tables, live_rows: DataFrame, batch_id: int
 ) -> None:
-    """K2: add repositories that no earlier batch has stored.
+    """K2: add repositories that no other batch has stored.
 
-    Only earlier batches count as stored, so repeating a batch adds its own
-    repositories again instead of losing them. The stored table is first cut to
-    the keys of this batch, which are few enough to broadcast as a rule; only
+    The batch's own folder does not count as stored, so repeating a batch adds
+    its repositories again instead of losing them. The stored table is first cut
+    to the keys of this batch, which are few enough to broadcast as a rule; only
     those few rows then take part in the anti join.
     """
-    stored = read_table(spark, tables.repos, f"{schemas.REPOS}, {BATCH} bigint")
-    known = stored.where(F.col(BATCH) < batch_id).join(
-        live_rows.select("repo_key"), "repo_key", "left_semi"
-    )
+    query = query_of(spark)
+    own = (F.col("query") == query) & (F.col("batch_id") == batch_id)
+    stored = read_table(spark, tables.repos, REPOS_LOG).where(~own)
+    known = stored.join(live_rows.select("repo_key"), "repo_key", "left_semi")
     fresh = absent_repos(first_seen_repos(live_rows), known)
-    fresh.hint("rebalance").write.mode("overwrite").parquet(_batch_path(tables.repos, batch_id))
+    path = batch_path(tables.repos, query, batch_id)
+    fresh.hint("rebalance").write.mode("overwrite").parquet(path)
 
 
 def _newest_versions(versions: DataFrame) -> DataFrame:
-    columns = [*LIVE_KEYS, *LIVE_VALUES, BATCH]
-    return latest_by_key(versions.select(*columns), LIVE_KEYS, BATCH)
+    columns = [*LIVE_KEYS, *LIVE_VALUES, VERSION]
+    return latest_by_key(versions.select(*columns), LIVE_KEYS, VERSION)
 
 
 def _day() -> Column:
     return F.substring("window", 1, 10)
 
 
+def _live_log(spark: SparkSession, tables: Tables) -> DataFrame:
+    log = read_table(spark, tables.live_metrics, LIVE_LOG)
+    return log.select(*LIVE_KEYS, *LIVE_VALUES, VERSION, _day().alias("day"))
+
+
 def _stored_versions(spark: SparkSession, tables: Tables) -> DataFrame:
     history = read_table(spark, tables.live_history, LIVE_HISTORY)
-    log = read_table(spark, tables.live_metrics, LIVE_LOG)
-    return history.unionByName(log, allowMissingColumns=True)
+    return history.unionByName(_live_log(spark, tables))
 
 
 def read_live_metrics(spark: SparkSession, tables: Tables) -> DataFrame:
@@ -121,24 +143,22 @@ def recent_live_metrics(spark: SparkSession, tables: Tables, rows: int) -> DataF
     return with_live_keys(_newest_versions(recent))
 
 
-def compact_live_metrics(spark: SparkSession, tables: Tables, before_batch: int) -> None:
-    """K1: fold the log's earlier batches into day partitions of newest versions.
+def compact_live_metrics(spark: SparkSession, tables: Tables) -> None:
+    """K1: fold the log into day partitions of newest versions.
 
-    Rows keep the batch they came from, so reading history and log together is
-    right whether or not the folded batches have been removed yet.
+    Rows keep their version, so reading history and log together is right
+    whether or not the folded batches have been removed yet, which is left to
+    the caller.
     """
-    log = read_table(spark, tables.live_metrics, LIVE_LOG).where(F.col(BATCH) < before_batch)
-    folded = log.withColumn("day", _day())
-    history = read_table(spark, tables.live_history, LIVE_HISTORY)
-    touched = rows_of_days(history, folded)
-    newest = _newest_versions(touched.unionByName(folded, allowMissingColumns=True))
+    log = _live_log(spark, tables)
+    history = rows_of_days(read_table(spark, tables.live_history, LIVE_HISTORY), log)
+    newest = _newest_versions(history.unionByName(log))
     replace_partitions(newest.withColumn("day", _day()), tables.live_history, "day")
 
 
 def read_repos(spark: SparkSession, tables: Tables) -> DataFrame:
     """K2: the repository dimension."""
-    log = read_table(spark, tables.repos, f"{schemas.REPOS}, {BATCH} bigint")
-    return log.drop(BATCH)
+    return read_table(spark, tables.repos, REPOS_LOG).drop("query", "batch_id")
 
 
 def read_live_events(spark: SparkSession, tables: Tables) -> DataFrame:

@@ -114,7 +114,8 @@ def test_snapshots_merge_to_the_later_day(spark):
     new = spark.createDataFrame(
         [("a", 9, None, 9, 9, "2026-04-11"), ("b", 8, 8, 8, 8, "2026-04-11")], schemas.SNAPSHOT
     )
-    assert records(metrics.merged_snapshot(old, new)) == [
+    columns = old.columns
+    assert records(metrics.merged_snapshots(old.unionByName(new)), *columns) == [
         ("a", 9, None, 9, 9, "2026-04-11"),
         ("b", 2, 2, 2, 2, "2026-04-12"),
     ]

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import json
 import os
+import time
 from pathlib import Path
 
 import pytest
@@ -93,6 +94,17 @@ def test_state_carries_over_batches_and_restarts(spark, session, feed, tables, f
     assert found == [("Go", 2, 5), ("Unknown", 1, 1)]
 
 
+def test_a_new_checkpoint_never_touches_earlier_batches(spark, session, feed, tables, folder):
+    feed.add(message(1, "10:31:00"), message(2, "11:31:00", repo="c/d"))
+    run_metrics(session, feed, tables, folder)
+    feed.add(message(3, "10:32:00"), message(4, "12:00:00", repo="e/f"))
+    source = message_files(session, f"{feed.path}/002.{{txt}}")
+    time.sleep(1.1)
+    queries.stream_live_metrics(source, tables, f"{folder}/anew", every=None).awaitTermination()
+    assert [(name, n) for _, name, _, n in counts(spark, tables)] == [("a/b", 1), ("c/d", 1), ("e/f", 1)]
+    assert records(live.read_repos(spark, tables), "full_name") == [("a/b",), ("c/d",), ("e/f",)]
+
+
 def test_failing_sink_stops_the_stream_and_the_batch_is_repeated(
     spark, session, feed, tables, folder, monkeypatch
 ):

@@ -80,6 +80,20 @@ def test_incomplete_days_are_written_but_not_marked(spark, tables):
     assert ("2026-04-11", "c/d", 2, 0, 2) in velocities(spark, tables)
 
 
+def test_a_late_day_reaches_the_later_snapshots(spark, tables):
+    daily.run_daily(spark, tables, archive(spark, FIRST))
+    daily.run_daily(spark, tables, archive(spark, SECOND))
+    late = [("2026-04-12", "c/d", 7, 0), ("2026-04-12", "only/late", 6, 0)]
+    assert daily.run_daily(spark, tables, archive(spark, late))
+    found = records(daily_sinks.read_snapshot(spark, tables), "name", "last_stars", "last_day")
+    assert found == [
+        ("a/b", 1, "2026-04-13"), ("c/d", 4, "2026-04-13"),
+        ("new", 1, "2026-04-13"), ("only/late", 6, "2026-04-12"),
+    ]
+    daily.run_daily(spark, tables, archive(spark, [("2026-04-14", "only/late", 8, 0)]))
+    assert ("2026-04-14", "only/late", 8, 2, 0) in velocities(spark, tables)
+
+
 def test_snapshot_keeps_repositories_absent_on_the_last_day(spark, tables):
     daily.run_daily(spark, tables, archive(spark, FIRST))
     found = records(daily_sinks.read_snapshot(spark, tables), "name", "last_stars", "last_day")
@@ -138,8 +152,10 @@ LATEST = [
 
 
 def write_batches(spark, tables):
+    write = live.upsert_live_batch(tables)
     for number, rows in enumerate(BATCHES):
-        live.upsert_live_batch(tables)(windows(spark, rows), number)
+        write(windows(spark, rows), number)
+    return write
 
 
 def live_rows(spark, tables):
@@ -154,19 +170,22 @@ def test_live_rows_show_the_newest_version(spark, tables):
 
 
 def test_repeating_a_batch_changes_nothing(spark, tables):
-    write_batches(spark, tables)
+    write = write_batches(spark, tables)
     repos = records(live.read_repos(spark, tables))
-    live.upsert_live_batch(tables)(windows(spark, BATCHES[1]), 1)
-    live.upsert_live_batch(tables)(windows(spark, BATCHES[0]), 0)
+    write(windows(spark, BATCHES[1]), 1)
+    write(windows(spark, BATCHES[0]), 0)
     assert live_rows(spark, tables) == LATEST
     assert records(live.read_repos(spark, tables)) == repos
 
 
 def test_compaction_keeps_what_readers_see(spark, tables):
-    write_batches(spark, tables)
-    live.compact_live_metrics(spark, tables, before_batch=1)
+    write = live.upsert_live_batch(tables)
+    write(windows(spark, BATCHES[0]), 0)
+    live.compact_live_metrics(spark, tables)
+    write(windows(spark, BATCHES[1]), 1)
+    write(windows(spark, BATCHES[2]), 2)
     assert live_rows(spark, tables) == LATEST
-    live.compact_live_metrics(spark, tables, before_batch=3)
+    live.compact_live_metrics(spark, tables)
     assert live_rows(spark, tables) == LATEST
     history = spark.read.parquet(tables.live_history)
     assert history.count() == 4
