@@ -91,11 +91,12 @@ def distinct_event_stream(events: DataFrame, spread_copies: bool = True) -> Data
     """R7 over a stream with a watermark: one row per event id within its delay.
 
     Copies further apart than the delay are not recognised, and events later
-    than the delay are dropped. A stream has no partial aggregate to collapse copies before the shuffle, so with
-    `spread_copies` each input partition first makes its own ids distinct: the
-    copies of one id then go to as many tasks as there are input partitions,
-    and no more than one from each meets in the final step. That costs a second
-    pass of state; turn it off if no id is copied a lot.
+    than the delay are dropped. A stream has no partial aggregate to collapse
+    copies before the shuffle, so with `spread_copies` each input partition
+    first makes its own ids distinct: the copies of one id then go to as many
+    tasks as there are input partitions, and no more than one from each meets in
+    the final step. That costs a second pass of state; turn it off if no id is
+    copied a lot.
     """
     if spread_copies:
         events = (

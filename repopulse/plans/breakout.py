@@ -66,7 +66,9 @@ def breakout_scores(
     ).fit(training)
     growth = LinearRegression(labelCol="growth", predictionCol="predicted_growth", solver="normal")
     groups = KMeans(k=clusters, seed=seed, predictionCol="group")
-    scored = groups.fit(training).transform(growth.fit(training).transform(chance.transform(latest)))
+    scored = chance.transform(latest)
+    for estimator in (growth, groups):
+        scored = estimator.fit(training).transform(scored)
     return scored.select(
         "name",
         vector_to_array("chances")[1].alias("probability"),

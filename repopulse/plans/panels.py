@@ -106,7 +106,8 @@ def _newest_two_days(rows: DataFrame) -> Column:
     """Newest and earlier (known, day) of the rows that count, as a scalar."""
     moment = F.struct("known", "day")
     newest_first = rows.select(moment.alias("at")).distinct().orderBy(F.col("at").desc()).limit(2)
-    return newest_first.agg(F.struct(F.max("at").alias("newest"), F.min("at").alias("earlier"))).scalar()
+    both = F.struct(F.max("at").alias("newest"), F.min("at").alias("earlier"))
+    return newest_first.agg(both).scalar()
 
 
 def rising_languages(weekly: DataFrame, limit: int = 10) -> DataFrame:

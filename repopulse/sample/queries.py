@@ -16,7 +16,7 @@ from repopulse.sinks import live, rows
 from repopulse.sinks.daily import read_snapshot, read_weekly
 from repopulse.sources import archive as archive_files
 from repopulse.sources import tables as stored
-from repopulse.sources.feed import parse_messages
+from repopulse.sources.feed import message_files, parse_messages
 from repopulse.sources.tables import Tables
 from repopulse.streaming import queries as streams
 
@@ -52,8 +52,8 @@ def dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def validity_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    feed = sample.message_feed(spark, sf_dir, stream=False)
-    return cleaning.valid_messages(parse_messages(feed)).drop("event_timestamp")
+    lines = sample.message_lines(spark, sf_dir)
+    return cleaning.valid_messages(parse_messages(lines)).drop("event_timestamp")
 
 
 def message_values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,12 +105,18 @@ def repos_insert_if_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stars.unionByName(enrichment.absent_repos(forks, stars))
 
 
+def _landed_feed(spark: SparkSession, sf_dir: str, folder: str, copies: int = 1) -> DataFrame:
+    """All messages landed as text files, read back as a stream."""
+    path = f"{folder}/landed"
+    sample.message_lines(spark, sf_dir, copies).write.text(path)
+    return message_files(stream_session(spark), path)
+
+
 def _run_stream(spark: SparkSession, sf_dir: str, label: str, copies: int, **windows) -> Tables:
-    session = stream_session(spark)
     folder = run_dir(spark, label)
     tables = Tables(f"{folder}/tables")
     streams.stream_live_metrics(
-        sample.message_feed(session, sf_dir, copies=copies),
+        _landed_feed(spark, sf_dir, folder, copies),
         tables,
         f"{folder}/checkpoints/live-metrics",
         every=None,
@@ -138,11 +144,11 @@ def stream_repos(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_live_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    session = stream_session(spark)
     folder = run_dir(spark, "stream-feed")
     tables = Tables(f"{folder}/tables")
+    landed = _landed_feed(spark, sf_dir, folder)
     streams.stream_live_events(
-        sample.message_feed(session, sf_dir), tables, f"{folder}/checkpoints/feed", every=None
+        landed, tables, f"{folder}/checkpoints/feed", every=None
     ).awaitTermination()
     return live.read_live_events(spark, tables).drop("day")
 

@@ -144,26 +144,25 @@ def tiers(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     ]
 
 
-def messages(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
+def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean messages with counts as observed at each event and the project's language."""
     observed = F.floor(F.col("value") * 10)
-    found = relevant(events(spark, sf_dir, stream).select(
+    has_parent = (F.col("event_type") == "signup") & (_k() < 20)
+    number = F.when(has_parent, F.col("user_id") % 5).otherwise(F.col("user_id"))
+    found = events(spark, sf_dir).select(
         F.col("event_id").cast("string").alias("event_id"),
         _kind().alias("event_type"),
-        F.when(
-            (F.col("event_type") == "signup") & (_k() < 20), repo_of(F.col("user_id") % 5)
-        )
-        .otherwise(repo_of(F.col("user_id")))
-        .alias("repo_name"),
+        repo_of(number).alias("repo_name"),
         F.concat(F.lit("user"), F.col("user_id").cast("string")).alias("actor"),
         observed.alias("stars_count"),
         _k().alias("forks_count"),
         observed.alias("watchers_count"),
         _created_at().alias("created_at"),
-    ), "event_type")
+    )
     languages = metadata(spark, sf_dir).select("repo_name", "language")
     return (
-        found.join(languages, "repo_name", "left")
+        relevant(found, "event_type")
+        .join(languages, "repo_name", "left")
         .withColumn("language", F.coalesce("language", F.lit(UNKNOWN_LANGUAGE)))
         .select(*schemas.column_names(schemas.MESSAGE))
     )
@@ -176,16 +175,14 @@ def timed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def message_feed(
-    spark: SparkSession, sf_dir: str, stream: bool = True, copies: int = 1
-) -> DataFrame:
+def message_lines(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataFrame:
     """The topic's text values: every message `copies` times, broken where `k` is 13."""
     text = F.to_json(F.struct(*schemas.column_names(schemas.MESSAGE)))
     value = F.when(F.col("forks_count") == 13, F.lit("{bad")).otherwise(text)
-    rows = messages(spark, sf_dir, stream).select(value.alias("value"))
+    rows = messages(spark, sf_dir).select(value.alias("value"))
     if copies > 1:
-        rows = rows.select("value", F.explode(F.sequence(F.lit(1), F.lit(copies)))).select("value")
-    return rows
+        rows = rows.select("value", F.explode(F.sequence(F.lit(1), F.lit(copies))))
+    return rows.select("value")
 
 
 def archive_paths(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -64,8 +64,9 @@ def write_snapshot(spark: SparkSession, tables: Tables, first_day: str, last_day
     ends = [last_day, *later]
     days = read_weekly(spark, tables).where(F.col("day").between(first_day, max(ends)))
     rows = last_days_before(spark, tables, first_day).unionByName(as_snapshot(days))
-    snapshots = F.filter(F.array(*[F.lit(end) for end in ends]), lambda end: end >= F.col("last_day"))
-    merged = merged_snapshots(rows.withColumn(AS_OF, F.explode(snapshots)), AS_OF)
+    all_ends = F.array(*[F.lit(end) for end in ends])
+    not_older = F.filter(all_ends, lambda end: end >= F.col("last_day"))
+    merged = merged_snapshots(rows.withColumn(AS_OF, F.explode(not_older)), AS_OF)
     replace_partitions(merged, tables.snapshots, AS_OF)
 
 

@@ -55,9 +55,8 @@ def quarantined(archive: DataFrame) -> DataFrame:
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*.json.gz") -> DataFrame:
     """File names of a folder as a table; contents are not read."""
-    return (
-        spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder).select("path")
-    )
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+    return files.select("path")
 
 
 def archive_coverage(paths: DataFrame, days: DataFrame) -> DataFrame:

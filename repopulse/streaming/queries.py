@@ -132,7 +132,13 @@ def run_live(
     checkpoints: str,
     **windows,
 ) -> None:
-    """Run metrics and feed until either stops; a failure of one surfaces."""
-    stream_live_metrics(feed, tables, f"{checkpoints}/live-metrics", **windows)
-    stream_live_events(feed, tables, f"{checkpoints}/live-events")
-    spark.streams.awaitAnyTermination()
+    """Run metrics and feed until either stops, then stop both; a failure surfaces."""
+    started = [
+        stream_live_metrics(feed, tables, f"{checkpoints}/live-metrics", **windows),
+        stream_live_events(feed, tables, f"{checkpoints}/live-events"),
+    ]
+    try:
+        spark.streams.awaitAnyTermination()
+    finally:
+        for query in started:
+            query.stop()
