@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -20,22 +18,25 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach, as named by the cluster.
+    """Folder every executor can reach, as Spark itself is configured with it.
 
-    Only a local master, where all executors share one disk, may fall back to a
-    temporary folder.
+    The checkpoint folder where one is named, else the warehouse.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    return os.path.join(tempfile.gettempdir(), "repopulse")
+    return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def run_dir(spark: SparkSession, label: str) -> str:
-    """A fresh folder for one run below the shared folder."""
-    return f"{shared_dir(spark).rstrip('/')}/repopulse/{label}-{uuid.uuid4().hex}"
+    """A fresh folder for one run below the shared folder.
+
+    All folders of an application are removed when it ends.
+    """
+    root = f"{shared_dir(spark)}/repopulse/{spark.sparkContext.applicationId}"
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path)
+    files.deleteOnExit(path)
+    return f"{root}/{label}-{uuid.uuid4().hex}"
 
 
 def staged(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
@@ -45,7 +46,7 @@ def staged(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
     and losing an executor costs no more than its tasks.
     """
     path = run_dir(spark, label)
-    rows.write.parquet(path)
+    rows.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(rows.schema).parquet(path)
 
 

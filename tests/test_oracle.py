@@ -4,6 +4,8 @@ import pytest
 from check_oracle import difference, open_tables
 
 import __spark_entry__ as entry
+from repopulse.sample.oracle import SQL
+from repopulse.sample.queries import QUERIES
 
 
 @pytest.fixture(scope="module")
@@ -12,11 +14,11 @@ def con(sf_dir):
 
 
 def test_every_query_has_sql_but_the_models():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"breakout_scores", "ai_insights"}
+    assert set(QUERIES) - set(SQL) == {"breakout_scores", "ai_insights"}
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
-@pytest.mark.parametrize("name", list(entry.oracle_sql()))
+@pytest.mark.parametrize("name", list(SQL))
 def test_query_equals_its_sql(spark, con, sf_dir, name):
     assert difference(spark, con, name, sf_dir) in ("", "no rows")
 

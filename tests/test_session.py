@@ -7,22 +7,17 @@ import pytest
 from repopulse.session import adaptive, run_dir, shared_dir, staged, stream_session
 
 
-def session_with(master, named=None, context_dir=None):
+def session_with(named=None, context_dir=None, warehouse="file:///warehouse"):
     """Just what `shared_dir` asks a session for."""
-    context = SimpleNamespace(master=master, getCheckpointDir=lambda: context_dir)
-    return SimpleNamespace(conf=SimpleNamespace(get=lambda *_: named), sparkContext=context)
+    settings = {"spark.checkpoint.dir": named, "spark.sql.warehouse.dir": warehouse}
+    context = SimpleNamespace(getCheckpointDir=lambda: context_dir)
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda k, *_: settings[k]), sparkContext=context)
 
 
 def test_the_folder_the_cluster_names_is_used():
-    assert shared_dir(session_with("yarn", "hdfs:///shared")) == "hdfs:///shared"
-    assert shared_dir(session_with("yarn", None, "hdfs:///set")) == "hdfs:///set"
-    assert run_dir(session_with("yarn", "hdfs:///shared/"), "x").startswith("hdfs:///shared/repopulse/x-")
-
-
-def test_only_a_local_master_may_use_a_temporary_folder():
-    assert shared_dir(session_with("local[4]"))
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_dir(session_with("yarn"))
+    assert shared_dir(session_with("hdfs:///shared/")) == "hdfs:///shared"
+    assert shared_dir(session_with(None, "hdfs:///set")) == "hdfs:///set"
+    assert shared_dir(session_with()) == "file:///warehouse"
 
 
 def test_every_run_has_a_folder_of_its_own(spark):
