@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from repopulse.llm import divergence
+from repopulse.llm import divergence, simhash
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +32,15 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(spark, _table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"),
+        "component_id",
+    )
+
+
 QUERIES: dict[str, Query] = {
     name: query for name, query in globals().items() if name.startswith("op")
 }
