@@ -2,4 +2,32 @@
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+SUBSTRING_DEDUP = r"""
+WITH words AS (
+    SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                               lambda w: w <> '') AS w
+    FROM documents
+), windows AS (
+    SELECT doc_id, unnest(range(1, len(w) - 48)) AS i, w FROM words WHERE len(w) >= 50
+), hashed AS (
+    SELECT doc_id, i, sha256(array_to_string(w[i : i + 49], ' ')) AS h FROM windows
+), owned AS (
+    SELECT doc_id, i, min(doc_id) OVER (PARTITION BY h) AS owner FROM hashed
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM owned WHERE owner < doc_id
+), removed AS (
+    SELECT doc_id, list(i) AS gone FROM gone GROUP BY doc_id
+), places AS (
+    SELECT d.doc_id, unnest(range(1, len(w) + 1)) AS i, unnest(w) AS word FROM words d
+), kept AS (
+    SELECT p.doc_id, string_agg(word, ' ' ORDER BY p.i) AS kept
+    FROM places p ANTI JOIN gone g ON p.doc_id = g.doc_id AND p.i = g.i GROUP BY p.doc_id
+)
+SELECT w.doc_id, len(w.w) AS n_words, coalesce(len(r.gone), 0) AS n_removed,
+       sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM words w LEFT JOIN removed r USING (doc_id) LEFT JOIN kept k USING (doc_id)
+"""
+
+SQL: dict[str, str] = {
+    "op8_substring_dedup": SUBSTRING_DEDUP,
+}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repopulse.llm import divergence, simhash
+from repopulse.llm import divergence, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,13 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.repeated_passages(spark, _table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "n_removed", F.lower(F.hex("kept_digest")).alias("kept_sha256")
+    )
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(spark, _table(spark, sf_dir, "documents"))
     return found.select(
