@@ -28,6 +28,44 @@ SELECT w.doc_id, len(w.w) AS n_words, coalesce(len(r.gone), 0) AS n_removed,
 FROM words w LEFT JOIN removed r USING (doc_id) LEFT JOIN kept k USING (doc_id)
 """
 
+DECONTAMINATION = r"""
+WITH texts AS (
+    SELECT doc_id AS id, 'doc' AS kind, text FROM documents
+    UNION ALL SELECT item_id, 'item', text FROM benchmark
+), words AS (
+    SELECT id, kind, list_filter(
+        regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                        'abcdefghijklmnopqrstuvwxyz'),
+                              '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS w
+    FROM texts
+), item_windows AS (
+    SELECT DISTINCT id, n, array_to_string(w[i : i + n - 1], ' ') AS words
+    FROM (SELECT id, w, least(10, len(w)) AS n,
+                 unnest(range(1, len(w) - least(10, len(w)) + 2)) AS i
+          FROM words WHERE kind = 'item' AND len(w) > 0)
+), lengths AS (
+    SELECT DISTINCT n FROM item_windows
+), doc_windows AS (
+    SELECT id, n, i, array_to_string(w[i : i + n - 1], ' ') AS words
+    FROM (SELECT id, n, w, unnest(range(1, len(w) - n + 2)) AS i
+          FROM words, lengths WHERE kind = 'doc' AND len(w) >= n)
+), hits AS (
+    SELECT d.id, d.n, d.i, b.id AS item FROM doc_windows d JOIN item_windows b USING (n, words)
+), hit_words AS (
+    SELECT id, count(DISTINCT p) AS n_hit
+    FROM (SELECT id, unnest(range(i, i + n)) AS p FROM hits) GROUP BY id
+), hit_items AS (
+    SELECT id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+    FROM (SELECT DISTINCT id, CAST(item AS VARCHAR) AS item FROM hits) GROUP BY id
+)
+SELECT w.id AS doc_id, len(w.w) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM words w LEFT JOIN hit_words USING (id) LEFT JOIN hit_items USING (id)
+WHERE w.kind = 'doc'
+"""
+
 SQL: dict[str, str] = {
+    "op7_decontamination": DECONTAMINATION,
     "op8_substring_dedup": SUBSTRING_DEDUP,
 }

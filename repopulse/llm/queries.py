@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repopulse.llm import divergence, simhash, substrings
+from repopulse.llm import decontamination, divergence, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +32,22 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.matches(
+        spark,
+        _table(spark, sf_dir, "documents").select("doc_id", "text"),
+        _table(spark, sf_dir, "benchmark"),
+    )
+    return found.select(
+        "row.doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        "items_sha256",
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.repeated_passages(spark, _table(spark, sf_dir, "documents"))
     return found.select(
