@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repopulse.llm import decontamination, divergence, simhash, substrings
+from repopulse.llm import decontamination, divergence, packing, simhash, substrings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,6 +33,20 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("word_bpe_49k.json")
+    pieces = packing.pack(spark, _table(spark, sf_dir, "documents"), path)
+    return pieces.select(
+        "doc_id",
+        "start",
+        "length",
+        "ids_crc32",
+        "doc_tokens",
+        "sequence_id",
+        "offset",
+    )
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.matches(
         spark,
