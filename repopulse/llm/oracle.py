@@ -28,6 +28,60 @@ SELECT w.doc_id, len(w.w) AS n_words, coalesce(len(r.gone), 0) AS n_removed,
 FROM words w LEFT JOIN removed r USING (doc_id) LEFT JOIN kept k USING (doc_id)
 """
 
+URL_FILTERS = r"""
+WITH rules(verdict, host, path) AS (
+    VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'),
+           ('block', 'example.org', '/en/1'), ('allow', 'com', '/fr/'), ('block', 'com', '/de/')
+), rests AS (
+    SELECT page_id, CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3)
+                         ELSE '' END AS rest
+    FROM pages
+), parsed AS (
+    SELECT page_id,
+           translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                     'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM rests
+), fitting AS (
+    SELECT p.page_id, p.host, p.path, r.host || r.path AS rule, r.verdict,
+           row_number() OVER (PARTITION BY p.page_id
+                              ORDER BY length(r.host || r.path) DESC, length(r.host) DESC) AS k
+    FROM parsed p LEFT JOIN rules r
+      ON (p.host = r.host OR ends_with(p.host, '.' || r.host)) AND starts_with(p.path, r.path)
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM fitting WHERE k = 1
+"""
+
+# The checksum runs octet by octet over its table of 256 numbers, which is built here.
+SHARDING = r"""
+WITH step0 AS (SELECT i, i AS c, 0 AS k FROM range(256) t(i)
+), numbers AS (
+    SELECT list(list_reduce(list_prepend(i, range(8)),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS n
+    FROM range(256) t(i)
+), octets AS (
+    SELECT doc_id, coalesce(text, '') AS t, hex(encode(coalesce(text, ''))) AS h FROM documents
+), sized AS (
+    SELECT doc_id, octet_length(encode(t)) + 8 AS size,
+           xor(4294967295, list_reduce(
+               list_prepend(4294967295, list_transform(range(1, length(h), 2),
+                   lambda i: CAST('0x' || substr(h, i, 2) AS BIGINT))),
+               lambda c, b: xor(c >> 8, n[(xor(c, b) & 255) + 1]))) AS text_crc32
+    FROM octets, numbers
+), placed AS (
+    SELECT *, row_number() OVER w - 1 AS place,
+           coalesce(sum(size) OVER (ORDER BY doc_id NULLS FIRST, size, text_crc32
+               ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start,
+           sum(size) OVER () AS total
+    FROM sized WINDOW w AS (ORDER BY doc_id NULLS FIRST, size, text_crc32)
+), cut AS (
+    SELECT *, CAST((2 * start + size) * 24 // (2 * total) AS INTEGER) AS shard FROM placed
+)
+SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+       place - min(place) OVER (PARTITION BY shard) AS slot, CAST(NULL AS INTEGER) AS grown_shard
+FROM cut
+"""
+
 DECONTAMINATION = r"""
 WITH texts AS (
     SELECT doc_id AS id, 'doc' AS kind, text FROM documents
@@ -66,6 +120,8 @@ WHERE w.kind = 'doc'
 """
 
 SQL: dict[str, str] = {
+    "op4_url_filters": URL_FILTERS,
+    "op5_sharding": SHARDING,
     "op7_decontamination": DECONTAMINATION,
     "op8_substring_dedup": SUBSTRING_DEDUP,
 }

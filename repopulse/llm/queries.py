@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from repopulse.llm import decontamination, divergence, packing, simhash, substrings
+from repopulse.llm import (
+    decontamination,
+    divergence,
+    packing,
+    sharding,
+    simhash,
+    substrings,
+    urls,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +41,35 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The rules that pages are judged by (verdict, host, path).
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+
+def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(URL_RULES, "verdict string, host string, path string")
+    pages = _table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge(spark, pages, rules).select("row.page_id", "host", "path", "rule", "verdict")
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = sharding.shards(spark, _table(spark, sf_dir, "documents"), 24, carry=["doc_id"])
+    return found.select(
+        "row.doc_id",
+        "size",
+        "text_crc32",
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("word_bpe_49k.json")
     pieces = packing.pack(spark, _table(spark, sf_dir, "documents"), path)
