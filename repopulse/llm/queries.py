@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from repopulse.llm import (
     decontamination,
     divergence,
+    langid,
     packing,
     sharding,
     simhash,
@@ -107,6 +108,13 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    found = langid.identify(spark, docs, path)
+    return found.select("row.doc_id", "held_out", "lang_pred", "score")
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(spark, _table(spark, sf_dir, "documents"))
     return found.select(
