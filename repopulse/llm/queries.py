@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repopulse.llm import (
+    cotraining,
     decontamination,
     divergence,
     langid,
+    licenses,
     packing,
     sharding,
     simhash,
@@ -26,6 +28,19 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cotraining.classify(
+        spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    )
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.scan(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select(
+        "row.doc_id", "kind", "place", "license", "shared", "n_bigrams", "dice"
+    )
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = divergence.judge(spark, _table(spark, sf_dir, "documents"), carry=["doc_id"])
     return judged.select(
