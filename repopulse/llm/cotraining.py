@@ -44,7 +44,8 @@ def views(docs: DataFrame, settings: Settings, *kept: str) -> DataFrame:
     """The kept columns with the vectors `text_view` and `meta_view`.
 
     The text view hashes the words, in lower case, and their shapes, in which each
-    run of letters is one sign. The metadata view holds source and language, and
+    run of letters is one sign, and has the shares of different words and of words
+    that repeat the one before. The metadata view holds source and language, and
     the size and layout of the page: characters, lines, characters per line, and
     shares of capitals, digits, marks and white space.
     """
@@ -72,12 +73,22 @@ def views(docs: DataFrame, settings: Settings, *kept: str) -> DataFrame:
             F.transform(words(F.lower(text)), lambda w: F.concat(F.lit("w "), w)),
             F.transform(shapes, lambda w: F.concat(F.lit("s "), w)),
         ).alias("terms"),
+        words(text).alias("words"),
         named.alias("named"),
         *(figures[i].cast("double").alias(f"figure{i}") for i in range(7)),
     )
+    count = F.greatest(F.size("words"), F.lit(1))
+    echoes = F.zip_with("words", F.slice("words", 2, 1 << 30), lambda a, b: a == b)
+    found = found.withColumns(
+        {
+            "variety": F.size(F.array_distinct("words")) / count,
+            "echoes": F.size(F.filter(echoes, lambda x: x)) / count,
+        }
+    )
     stages = [
         HashingTF(inputCol="terms", outputCol="counts", numFeatures=settings.text_features),
-        Normalizer(inputCol="counts", outputCol="text_view"),
+        Normalizer(inputCol="counts", outputCol="frequencies"),
+        VectorAssembler(inputCols=["frequencies", "variety", "echoes"], outputCol="text_view"),
         HashingTF(inputCol="named", outputCol="names", numFeatures=settings.meta_features),
         VectorAssembler(inputCols=["names", *(f"figure{i}" for i in range(7))], outputCol="meta_view"),
     ]
