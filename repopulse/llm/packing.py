@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from repopulse.llm.tokens import Encoder
+from repopulse.llm.tokens import worker_encoder
 from repopulse.session import staged
 
 #: Sources with a queue of their own, by number of tokens; all others share one.
@@ -28,14 +28,14 @@ QUEUES = 256
 #: Weights are whole numbers up to this one.
 FINEST = 1 << 16
 #: Bytes of texts that are encoded at a time.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 2 << 20
 
 
 def _encoded(path: str, end: int, lower: bool):
     """Ids of each text and its place in its source's queue within this partition."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, ends = Encoder(path, lower), TaskContext.get().partitionId(), {}
+        encoder, part, ends = worker_encoder(path, lower), TaskContext.get().partitionId(), {}
         tail = np.array([end], "<u4").tobytes()
 
         def rows(ids: list, sources: list, texts: list) -> pa.RecordBatch:

@@ -2,18 +2,27 @@
 
 from __future__ import annotations
 
+import re
+import sys
+
 import numpy as np
 
-#: Pieces whose ids one task remembers before it starts anew.
-REMEMBERED = 500_000
+#: Pieces whose ids a worker remembers before it starts anew.
+REMEMBERED = 600_000
+#: Words that are encoded together.
+TOGETHER = 2_000
+#: A full stop or comma at the end of a piece, after a letter or digit of ASCII: always
+#: a pre-token of its own, and so as good as a piece.
+_MARK = re.compile(rb"[.,](?=[ \n])(?<=[A-Za-z0-9][.,])")
 
 
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit numbers.
 
-    For vocabularies whose pre-tokens never span ASCII white space, so that the
-    ids of a text are those of its pieces in order; and which ignore case, if
-    `lower`. Strings of special tokens are ordinary text.
+    For vocabularies whose pre-tokens are runs of letters, single digits, and runs
+    of other characters but white space, so that the ids of a text are those of its
+    pieces in order; and which ignore case, if `lower`. Strings of special tokens
+    are ordinary text.
     """
 
     def __init__(self, path: str, lower: bool) -> None:
@@ -23,36 +32,66 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.lower = lower
         self.known: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.last = suffix and np.zeros(max(vocabulary.values()) + 1, bool)
+        if suffix:
+            self.last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
 
-    def _encode(self, pieces: list[bytes]) -> None:
+    def _each(self, pieces: list[bytes]) -> None:
         texts = [p.decode() for p in pieces]
-        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        for piece, encoding in zip(pieces, found):
-            self.known[piece] = np.array(encoding.ids, "<u4").tobytes()
+        for piece, found in zip(pieces, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
+            self.known[piece] = np.array(found.ids, "<u4").tobytes()
+
+    def _line(self, words: list[bytes]) -> None:
+        """Ids of words that are one pre-token each, encoded as one text.
 
-    def _stem(self, piece: bytes) -> tuple[bytes, bytes]:
-        """The piece without a full stop or comma after a letter, and that mark."""
-        end = piece[-1:]
-        if end in b".," and len(piece) > 1 and piece[:-1].decode()[-1].isalpha():
-            return piece[:-1], end
-        return piece, b""
+        Tokens that end a word tell where each word's ids end.
+        """
+        text = b" ".join(words).decode()
+        (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
+        ids = np.array(found.ids, "<u4")
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(words):
+            return self._each(words)
+        data, bounds = ids.tobytes(), [0, *(4 * ends).tolist()]
+        self.known.update((w, data[a:b]) for w, a, b in zip(words, bounds, bounds[1:]))
 
     def learn(self, pieces: set[bytes]) -> None:
         """Makes the ids of the pieces known."""
-        if len(self.known) + len(pieces) > REMEMBERED:
-            self.known.clear()
         new = [p for p in pieces if p not in self.known]
-        stems = [self._stem(p) for p in new]
-        parts = {x for pair in stems for x in pair if x and x not in self.known}
-        self._encode(sorted(parts))
-        known = self.known
-        known[b""] = b""
-        for piece, (stem, end) in zip(new, stems):
-            known[piece] = known[stem] + known[end]
+        if len(self.known) + len(new) > REMEMBERED:
+            self.known.clear()
+            new = list(pieces)
+        words, others = [], []
+        for p in new:
+            plain = self.last is not None and (p.isalpha() or _latin(p))
+            (words if plain else others).append(p)
+        for i in range(0, len(words), TOGETHER):
+            self._line(words[i : i + TOGETHER])
+        for i in range(0, len(others), TOGETHER):
+            self._each(others[i : i + TOGETHER])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        raw = [(t or "").encode() for t in texts]
+        raw = [_MARK.sub(rb" \g<0>", (t or "").encode()) for t in texts]
         split = [(r.lower() if self.lower else r).split() for r in raw]
         self.learn(set().union(*split))
         of = self.known.__getitem__
         return [b"".join(map(of, pieces)) for pieces in split]
+
+
+def _latin(piece: bytes) -> bool:
+    text = piece.decode()
+    return max(text) < "ɐ" and text.isalpha()
+
+
+def worker_encoder(path: str, lower: bool) -> Encoder:
+    """The encoder of this Python worker, which outlives its tasks.
+
+    It hangs on `sys`, as the modules of functions that are sent to workers do not
+    outlive a task.
+    """
+    held = vars(sys).setdefault("_repopulse_encoders", {})
+    if (path, lower) not in held:
+        held[path, lower] = Encoder(path, lower)
+    return held[path, lower]
