@@ -8,23 +8,26 @@ from pyspark.sql import functions as F
 from repopulse.session import staged
 
 
-def _with_least(pairs: DataFrame) -> DataFrame:
-    """Rows (u, v) with `least`, the smallest of u and all its v."""
+def _with_least(spark: SparkSession, pairs: DataFrame) -> DataFrame:
+    """Rows (u, v) with `least`, the smallest of u and all its v.
+
+    That is staged, so that the join can split the rows of a node with many edges.
+    """
     least = pairs.groupBy("u").agg(F.least("u", F.min("v")).alias("least"))
-    return pairs.join(least, "u")
+    return pairs.join(staged(spark, least, "least"), "u")
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+def _large_star(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """Every larger neighbour of a node moves to the node's least neighbour."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    moved = _with_least(both).where("v > u").select(F.col("v").alias("u"), F.col("least").alias("v"))
+    moved = _with_least(spark, both).where("v > u").select(F.col("v").alias("u"), F.col("least").alias("v"))
     return moved.where("u != v").distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """Every node and its smaller neighbours move to the least of them."""
     down = edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-    found = _with_least(down)
+    found = _with_least(spark, down)
     moved = found.select(F.explode(F.array("u", "v")).alias("u"), F.col("least").alias("v"))
     return moved.where("u != v").distinct()
 
@@ -44,7 +47,8 @@ def connected_components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     now = staged(spark, edges.where("u != v").select("u", "v").distinct(), "edges")
     before, after = None, digest(now)
     while before != after and after[0]:
-        now = staged(spark, _small_star(_large_star(now)), "edges")
+        large = staged(spark, _large_star(spark, now), "edges")
+        now = staged(spark, _small_star(spark, large), "edges")
         before, after = after, digest(now)
     roots = now.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return roots.unionByName(now.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()

@@ -158,7 +158,8 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, window: int = 50) ->
     empty table gives none.
 
     Texts are shuffled once; after that only those that share a window of the first
-    level with another text are.
+    level with another text are. What is known of each window or digest is staged
+    before it is joined, so that a frequent one can be split among tasks.
     """
     keyed = _keyed(docs)
     first = staged(
@@ -173,7 +174,9 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, window: int = 50) ->
     # Copies of a whole text: only the least id of each text goes on.
     whole = first.select(*KEY, "n_words", "digest")
     long = whole.where(F.col("doc_id").isNotNull() & (F.col("n_words") >= window))
-    owners = long.groupBy("digest").agg(F.min("doc_id").alias("owner"))
+    owners = staged(
+        spark, long.groupBy("digest").agg(F.min("doc_id").alias("owner")), "owners"
+    )
     status = whole.join(owners, "digest", "left")
     # First level: windows found in two different texts.
     found = first.where("doc_id is not null").select(
@@ -182,10 +185,13 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, window: int = 50) ->
         F.explode(F.arrays_zip("hashes", "places")).alias("w"),
     )
     found = found.select(*KEY, "of_text", F.col("w.hashes").alias("hash"), F.col("w.places").alias("place"))
-    shared = (
+    shared = staged(
+        spark,
         found.groupBy("hash")
         .agg(F.min("of_text").alias("a"), F.max("of_text").alias("b"))
         .where("a != b")
+        .select("hash"),
+        "shared",
     )
     places = (
         found.join(shared, "hash", "left_semi")
@@ -199,11 +205,13 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, window: int = 50) ->
     rows = texts.mapInArrow(
         _full_windows(window), "doc_id long, text_key long, place int, h1 long, h2 long"
     )
-    least = (
+    least = staged(
+        spark,
         rows.groupBy("h1", "h2")
         .agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"))
         .where("owner < last")
-        .select("h1", "h2", "owner")
+        .select("h1", "h2", "owner"),
+        "least",
     )
     hits = (
         rows.join(least, ["h1", "h2"])

@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from repopulse.llm.sweep import in_order
+from repopulse.session import staged
 
 # Fixed values.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -127,6 +128,8 @@ def judge(
             )
         ).alias("best")
     )
+    # Staged, so that the join can split the rows of a frequent URL.
+    best = staged(spark, best, "verdicts")
     return parsed.join(best, ["host", "path"], "left").select(
         "row",
         "host",
