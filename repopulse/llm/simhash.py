@@ -66,13 +66,16 @@ def _signed(mask: int) -> int:
 
 
 def _blocks(n: int) -> list[int]:
-    """Masks of n blocks of nearly equal width."""
-    cuts = [BITS * i // n for i in range(n + 1)]
+    """Masks of n blocks of nearly equal width, each of whole groups of four bits."""
+    cuts = [4 * (BITS // 4 * i // n) for i in range(n + 1)]
     return [(1 << b) - (1 << a) for a, b in zip(cuts, cuts[1:])]
 
 
-def links(prints: DataFrame, max_bits: int = 2) -> DataFrame:
-    """Pairs u < v of the different fingerprints `print` that differ in at most max_bits bits."""
+def links(spark: SparkSession, prints: DataFrame, max_bits: int = 2) -> DataFrame:
+    """Pairs u < v of the different fingerprints `print` that differ in at most max_bits bits.
+
+    `max_bits` is 8 at most.
+    """
     if max_bits == 0:
         return prints.select(F.col("print").alias("u"), F.col("print").alias("v")).limit(0)
     full = (1 << BITS) - 1
@@ -94,6 +97,8 @@ def links(prints: DataFrame, max_bits: int = 2) -> DataFrame:
 
     coarse = prints.select("print", keyed(list(enumerate(free)))).select("print", "k.*")
     shared = coarse.groupBy("which", "key").agg(F.count("*").alias("n")).where("n > 1")
+    # Staged, so that the join can split a bucket among tasks.
+    shared = staged(spark, shared.select("which", "key"), "buckets")
     crowded = coarse.join(shared, ["which", "key"], "left_semi").select("print", "which")
     # Fine blocks lie within the coarse blocks that may differ.
     fine = [sum(some) for some in combinations(_blocks(BITS // 4), max_bits)]
@@ -136,7 +141,7 @@ def numbered(rows: DataFrame) -> DataFrame:
 def grouped(spark: SparkSession, prints: DataFrame, max_bits: int) -> DataFrame:
     """`near_duplicates` for staged rows of (row_id, doc_id, print)."""
     nodes = staged(spark, prints.groupBy("print").agg(F.min("doc_id").alias("least_id")), "nodes")
-    roots = connected_components(spark, links(nodes, max_bits))
+    roots = connected_components(spark, links(spark, nodes, max_bits))
     member = nodes.join(roots, nodes["print"] == roots["node"], "left").select(
         "print", "least_id", F.coalesce("root", "print").alias("group")
     )
