@@ -36,21 +36,21 @@ def _encoded(path: str, end: int, lower: bool):
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part, ends = worker_encoder(path, lower), TaskContext.get().partitionId(), {}
-        tail = np.array([end], "<u4").tobytes()
+        tail = np.array([end], encoder.kind).tobytes()
 
         def rows(ids: list, sources: list, texts: list) -> pa.RecordBatch:
             found = [x + tail for x in encoder.encode(texts)]
             before = []
             for source, own in zip(sources, found):
                 before.append(ends.get(source, 0))
-                ends[source] = before[-1] + len(own) // 4
+                ends[source] = before[-1] + len(own) // len(tail)
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array(ids, pa.int64()),
                     pa.array(sources, pa.string()),
                     pa.array([part] * len(ids), pa.int64()),
                     pa.array(before, pa.int64()),
-                    pa.array([len(x) // 4 for x in found], pa.int64()),
+                    pa.array([len(x) // len(tail) for x in found], pa.int64()),
                     pa.array(found, pa.binary()),
                 ],
                 names=["doc_id", "source", "part", "before", "n", "ids"],
@@ -133,7 +133,9 @@ def _cut(mixture: Mixture, length: int):
             sums, current, data = [], -1, b""
             for r, x, y in zip(rows.tolist(), a.tolist(), b.tolist()):
                 if r != current:
-                    current, data = r, memoryview(ids[r].as_buffer())
+                    octets = ids[r].as_buffer()
+                    numbers = np.frombuffer(octets, f"<u{octets.size // int(n[r])}")
+                    current, data = r, memoryview(numbers.astype("<u4")).cast("B")
                 sums.append(zlib.crc32(data[4 * x : 4 * y]))
             yield pa.RecordBatch.from_arrays(
                 [

@@ -1,4 +1,7 @@
-"""Token ids of whole texts, with every piece between white space encoded once."""
+"""Token ids of whole texts, with every piece between white space encoded once.
+
+Ids are little-endian unsigned numbers of 16 bits, or of 32 for large vocabularies.
+"""
 
 from __future__ import annotations
 
@@ -11,13 +14,16 @@ import numpy as np
 REMEMBERED = 600_000
 #: Words that are encoded together.
 TOGETHER = 2_000
-#: A full stop or comma at the end of a piece, after a letter or digit of ASCII: always
-#: a pre-token of its own, and so as good as a piece.
-_MARK = re.compile(rb"[.,](?=[ \n])(?<=[A-Za-z0-9][.,])")
+#: Marks at the end of a piece, after an ASCII or Latin-1 letter or a digit: always a
+#: pre-token of their own, and so as good as a piece.
+_MARKS = re.compile(
+    rb"[!-&(-/:-@\[-`{-~](?:(?<=[A-Za-z0-9].)|(?<=\xc3[\x80-\x96\x98-\xb6\xb8-\xbf].))"
+    rb"[!-&(-/:-@\[-`{-~]*(?![^ \n])"
+)
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit numbers.
+    """Ids of texts as octets.
 
     For vocabularies whose pre-tokens are runs of letters, single digits, and runs
     of other characters but white space, so that the ids of a text are those of its
@@ -34,6 +40,7 @@ class Encoder:
         self.known: dict[bytes, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        self.kind = id_kind(self.tokenizer)
         self.last = suffix and np.zeros(max(vocabulary.values()) + 1, bool)
         if suffix:
             self.last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
@@ -41,7 +48,7 @@ class Encoder:
     def _each(self, pieces: list[bytes]) -> None:
         texts = [p.decode() for p in pieces]
         for piece, found in zip(pieces, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-            self.known[piece] = np.array(found.ids, "<u4").tobytes()
+            self.known[piece] = np.array(found.ids, self.kind).tobytes()
 
     def _line(self, words: list[bytes]) -> None:
         """Ids of words that are one pre-token each, encoded as one text.
@@ -50,11 +57,11 @@ class Encoder:
         """
         text = b" ".join(words).decode()
         (found,) = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)
-        ids = np.array(found.ids, "<u4")
+        ids = np.array(found.ids, self.kind)
         ends = np.flatnonzero(self.last[ids]) + 1
         if len(ends) != len(words):
             return self._each(words)
-        data, bounds = ids.tobytes(), [0, *(4 * ends).tolist()]
+        data, bounds = ids.tobytes(), [0, *(ids.itemsize * ends).tolist()]
         self.known.update((w, data[a:b]) for w, a, b in zip(words, bounds, bounds[1:]))
 
     def learn(self, pieces: set[bytes]) -> None:
@@ -73,13 +80,17 @@ class Encoder:
             self._each(others[i : i + TOGETHER])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        raw = [_MARK.sub(rb" \g<0>", (t or "").encode()) for t in texts]
+        raw = [_MARKS.sub(rb" \g<0>", (t or "").encode()) for t in texts]
         split = [(r.lower() if self.lower else r).split() for r in raw]
         self.learn(set().union(*split))
         of = self.known.__getitem__
         return [b"".join(map(of, pieces)) for pieces in split]
 
 
+def id_kind(tokenizer) -> str:
+    return "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+
+
 def _latin(piece: bytes) -> bool:
     text = piece.decode()
     return max(text) < "ɐ" and text.isalpha()
