@@ -2,6 +2,146 @@
 
 from __future__ import annotations
 
+from repopulse.llm.divergence import COMMON_WORDS, Rules
+from repopulse.llm.licenses import TEMPLATES
+
+_RULES = Rules()
+
+
+def _values(pairs: list[tuple[str, str]]) -> str:
+    return ", ".join("('{}', '{}')".format(*(x.replace("'", "''") for x in p)) for p in pairs)
+
+
+LICENSE_SCAN = rf"""
+WITH templates AS (
+    SELECT name, string_split(trim(regexp_replace(lower(body), '[^\p{{L}}\p{{N}}]+', ' ', 'g')), ' ') AS w
+    FROM (VALUES {_values(list(TEMPLATES.items()))}) t(name, body)
+), template_pairs AS (
+    SELECT name, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS pairs
+    FROM templates
+), normal AS (
+    SELECT doc_id, regexp_replace(lower(text), '[^\p{{L}}\p{{N}}\n]+', ' ', 'g') AS t
+    FROM documents WHERE text IS NOT NULL
+), split AS (
+    SELECT doc_id, t, string_split(t, chr(10)) AS lines, regexp_split_to_array(t, '\n[ \n]*\n') AS blocks
+    FROM normal
+), passages AS (
+    SELECT doc_id, 'line' AS kind, unnest(range(len(lines))) AS place, unnest(lines) AS words FROM split
+    UNION ALL
+    SELECT * FROM (
+        SELECT doc_id, 'paragraph', unnest(range(len(blocks))), unnest(blocks) AS words FROM split
+    ) WHERE contains(trim(words, ' ' || chr(10)), chr(10))
+    UNION ALL SELECT doc_id, 'text', 0, t FROM split WHERE len(blocks) > 1
+), worded AS (
+    SELECT doc_id, kind, place,
+           string_split(trim(regexp_replace(replace(words, chr(10), ' '), ' +', ' ', 'g')), ' ') AS w
+    FROM passages
+), pairs AS (
+    SELECT doc_id, kind, place,
+           list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS pairs
+    FROM worded WHERE len(w) BETWEEN 2 AND 1000
+), compared AS (
+    SELECT doc_id, kind, place, name, len(p.pairs) AS n_bigrams,
+           len(list_intersect(p.pairs, t.pairs)) AS shared,
+           2 * len(list_intersect(p.pairs, t.pairs)) / (len(p.pairs) + len(t.pairs)) AS dice
+    FROM pairs p JOIN template_pairs t ON len(p.pairs) < 3 * len(t.pairs)
+), best AS (
+    SELECT *, row_number() OVER (PARTITION BY doc_id, kind, place ORDER BY dice DESC, name DESC) AS k
+    FROM compared WHERE dice >= 0.8
+)
+SELECT doc_id, kind, CAST(place AS INTEGER) AS place, name AS license, shared, n_bigrams, dice
+FROM best WHERE k = 1
+"""
+
+QUALITY_RULES = rf"""
+WITH common(lang, term) AS (
+    VALUES {_values([(k, w) for k, text in COMMON_WORDS.items() for w in text.split()])}
+), docs AS (
+    SELECT doc_id, lang, coalesce(text, '') AS t,
+           list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+           list_filter(string_split(coalesce(text, ''), chr(10)),
+                       lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+    FROM documents
+), counted AS (
+    SELECT doc_id, lang, len(w) AS n_words, w,
+           length(regexp_replace(t, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
+           length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+           len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+           length(t) AS n_chars,
+           length(regexp_replace(t, '[^\p{{Lu}}]+', '', 'g')) AS upper,
+           length(regexp_replace(t, '[^0-9]+', '', 'g')) AS digit,
+           length(regexp_replace(t, '[^.,;:!?''"()-]+', '', 'g')) AS stop,
+           length(regexp_replace(t, '[\p{{L}}0-9.,;:!?''"()\x20\x09-\x0D-]+', '', 'g')) AS other
+    FROM docs
+), classes AS (
+    SELECT doc_id, lang, n_chars, unnest(['space', 'upper', 'digit', 'stop', 'other', 'letter']) AS class,
+           unnest([n_chars - word_chars, upper, digit, stop, other,
+                   word_chars - upper - digit - stop - other]) AS n
+    FROM counted
+), windows AS (
+    SELECT doc_id, i, array_to_string(w[i : i + 2], ' ') AS g
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM counted WHERE len(w) >= 3)
+), repeats AS (
+    SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+    FROM (SELECT doc_id, unnest(range(i, i + 3)) AS p
+          FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, g) AS n FROM windows) WHERE n > 1)
+    GROUP BY doc_id
+), terms AS (
+    SELECT doc_id, lower(word) AS term, count(*) AS n
+    FROM (SELECT doc_id, unnest(w) AS word FROM counted) WHERE lower(word) IN (SELECT term FROM common)
+    GROUP BY ALL
+), totals AS (
+    SELECT lang, sum(n_words) AS n FROM counted GROUP BY lang HAVING sum(n_words) > 0
+), class_refs AS (
+    SELECT lang, class, sum(c.n) / sum(sum(c.n)) OVER (PARTITION BY lang) AS q
+    FROM classes c JOIN totals USING (lang) WHERE lang IN (SELECT lang FROM common) GROUP BY lang, class
+), term_refs AS (
+    SELECT c.lang, c.term, coalesce(s.n, 0) / t.n AS q
+    FROM common c JOIN totals t USING (lang)
+    LEFT JOIN (SELECT d.lang, term, sum(terms.n) AS n FROM terms JOIN counted d USING (doc_id) GROUP BY ALL) s
+      ON c.lang = s.lang AND c.term = s.term
+), word_refs AS (
+    SELECT lang, term, q FROM term_refs
+    UNION ALL SELECT lang, NULL, 1 - sum(q) FROM term_refs GROUP BY lang
+), own AS (
+    SELECT d.doc_id, r.lang, r.term, r.q, coalesce(t.n, 0) / d.n_words AS p
+    FROM counted d JOIN term_refs r ON d.n_words > 0
+    LEFT JOIN terms t ON t.doc_id = d.doc_id AND t.term = r.term
+), word_bins AS (
+    SELECT doc_id, lang, p, q FROM own
+    UNION ALL
+    SELECT o.doc_id, o.lang, 1 - sum(o.p), any_value(r.q)
+    FROM own o JOIN word_refs r ON r.lang = o.lang AND r.term IS NULL GROUP BY o.doc_id, o.lang
+), class_bins AS (
+    SELECT doc_id, r.lang, n / n_chars AS p, q FROM classes c JOIN class_refs r USING (class) WHERE n_chars > 0
+), distances AS (
+    SELECT kind, doc_id, lang, sqrt(greatest(sum(
+        CASE WHEN p > 0 THEN p * log2(2 * p / (p + q)) ELSE 0 END
+        + CASE WHEN q > 0 THEN q * log2(2 * q / (p + q)) ELSE 0 END) / 2, 0)) AS x
+    FROM (SELECT 'words' AS kind, * FROM word_bins UNION ALL SELECT 'classes', * FROM class_bins)
+    GROUP BY ALL
+), nearest AS (
+    SELECT w.doc_id, w.lang AS reference, w.x AS word_distance, c.x AS class_distance,
+           row_number() OVER (PARTITION BY w.doc_id ORDER BY w.x, w.lang) AS k
+    FROM distances w JOIN distances c ON w.kind = 'words' AND c.kind = 'classes'
+     AND w.doc_id = c.doc_id AND w.lang = c.lang
+), judged AS (
+    SELECT c.doc_id, n_words, word_chars, n_symbols, n_dup_lines,
+           coalesce(n_repeat_words, 0) AS n_repeat_words, reference,
+           n_words < {_RULES.least_words_base}
+               OR 100 * coalesce(n_repeat_words, 0) > {_RULES.repeat_percent} * n_words AS base_failed,
+           coalesce(n_chars >= {_RULES.least_chars} AND class_distance > {_RULES.class_distance}, false) AS odd_classes,
+           coalesce(n_words >= {_RULES.least_words} AND word_distance > {_RULES.word_distance}, false) AS odd_words
+    FROM counted c LEFT JOIN repeats USING (doc_id)
+    LEFT JOIN nearest n ON n.doc_id = c.doc_id AND n.k = 1
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT (base_failed OR odd_classes OR odd_words) AS kept,
+       CASE WHEN base_failed THEN 'base' WHEN odd_classes THEN 'classes' WHEN odd_words THEN 'words' END AS reason,
+       reference
+FROM judged
+"""
+
 SUBSTRING_DEDUP = r"""
 WITH words AS (
     SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
@@ -120,6 +260,8 @@ WHERE w.kind = 'doc'
 """
 
 SQL: dict[str, str] = {
+    "op2_license_scan": LICENSE_SCAN,
+    "op3_quality_rules": QUALITY_RULES,
     "op4_url_filters": URL_FILTERS,
     "op5_sharding": SHARDING,
     "op7_decontamination": DECONTAMINATION,

@@ -68,7 +68,8 @@ URL_RULES = [
 
 
 def op4_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rules = spark.createDataFrame(URL_RULES, "verdict string, host string, path string")
+    rows = ", ".join(f"('{verdict}', '{host}', '{path}')" for verdict, host, path in URL_RULES)
+    rules = spark.sql(f"SELECT * FROM VALUES {rows} AS rules(verdict, host, path)")
     pages = _table(spark, sf_dir, "pages").select("page_id", "url")
     return urls.judge(spark, pages, rules).select("row.page_id", "host", "path", "rule", "verdict")
 

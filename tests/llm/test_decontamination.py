@@ -1,0 +1,75 @@
+from __future__ import annotations
+
+import hashlib
+import random
+
+import numpy as np
+from llm.conftest import docs_of
+
+from repopulse.llm import decontamination
+from repopulse.llm.decontamination import split_words, suffix_array
+
+
+def plain(texts, items, window=10):
+    out = []
+    for text in texts:
+        words = split_words(text)
+        hit, ids = set(), set()
+        for item, body in items:
+            own = split_words(body)
+            n = min(window, len(own))
+            for i in range(len(own) - n + 1) if own else ():
+                for k in range(len(words) - n + 1):
+                    if words[k : k + n] == own[i : i + n]:
+                        hit |= set(range(k, k + n))
+                        ids.add("" if item is None else str(item))
+        sha = hashlib.sha256(",".join(sorted(ids)).encode()).hexdigest()
+        out.append((len(words), len(hit), len(ids), sha))
+    return out
+
+
+def test_words_are_those_of_the_pattern():
+    assert split_words("Ab-C_d 1xéZ\x7f,—!") == [b"ab", b"c", b"d", "1xéz".encode(), "—".encode()]
+    assert split_words(None) == []
+
+
+def test_suffix_array_orders_all_suffixes():
+    rng = np.random.default_rng(1)
+    words = np.append(rng.integers(0, 3, 200), 0)
+    order = suffix_array(words, 300)
+    assert [tuple(words[i:]) for i in order] == sorted(tuple(words[i:]) for i in range(len(words)))
+
+
+def test_equals_the_comparison_of_all_windows(spark, monkeypatch):
+    rng = random.Random(4)
+    body = lambda n: " ".join(f"w{rng.randrange(3)}" for _ in range(n))
+    items = [(i, body(rng.randrange(4, 25))) for i in range(12)] + [(None, "W1 solo"), (3, "w2"), (20, ""), (21, None)]
+    texts = [body(rng.randrange(60)) + " x " + (rng.choice(items)[1] or "") for _ in range(30)] + ["", None, "none of it"]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    want = plain(texts, items)
+    # As one block, and as many.
+    for size in (decontamination.BLOCK_BYTES, 40):
+        monkeypatch.setattr(decontamination, "BLOCK_BYTES", size)
+        found = decontamination.matches(spark, docs_of(spark, texts), benchmark).collect()
+        got = {r["row"]["doc_id"]: (r["n_words"], r["n_hit"], r["n_items"], r["items_sha256"]) for r in found}
+        assert got == dict(enumerate(want))
+
+
+def test_longest_match_and_its_place(spark):
+    passage = " ".join(f"p{i}" for i in range(30))
+    benchmark = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    texts = [f"a b c {passage} d", " ".join(passage.split()[4:19]), "p0 p1 p2"]
+    found = decontamination.matches(spark, docs_of(spark, texts), benchmark).collect()
+    got = {r["row"]["doc_id"]: (r["longest_match"], r["longest_place"], r["items"]) for r in found}
+    assert got[0] == (30, 3, ["1"]) and got[2] == (0, None, [])
+    assert found[1]["n_hit"] == 15
+
+
+def test_affected_documents_go(spark, odd_docs, no_docs, prose):
+    benchmark = spark.createDataFrame([(1, prose)], "item_id long, text string")
+    left = decontamination.without_benchmark(spark, odd_docs, benchmark)
+    assert left.columns == odd_docs.columns
+    assert sorted(r["doc_id"] or 0 for r in left.collect()) == [0, 2, 3, 4, 5, 6]
+    none = benchmark.limit(0)
+    assert decontamination.without_benchmark(spark, odd_docs, none).count() == 9
+    assert decontamination.without_benchmark(spark, no_docs, benchmark).count() == 0

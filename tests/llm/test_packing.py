@@ -1,0 +1,98 @@
+from __future__ import annotations
+
+import zlib
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from conftest import SF_DIR
+from tokenizers import Tokenizer
+
+from repopulse.llm import packing
+from repopulse.llm.tokens import Encoder
+
+TEXTS = [
+    "Hello, world. It's THE end... (really!) of 'this' 1,234.5 story", "é, É. naïve; 'quoted', \"double\".",
+    "a.b,c. d,\te.\nf.", "<|endoftext|> in a text", "don't we'll I'm", "&&& ### word&&& x%%", "", None,
+    "中文, 日本語。 ½ ² ǅ ͏a", "word\u00a0with\u2003odd\x1fspaces\x85here", "tail,", "Ünï,. öö!? ß.",
+]
+
+
+def test_ids_are_those_of_the_tokenizer(word_vocabulary):
+    plain = Tokenizer.from_file(word_vocabulary)
+    plain.encode_special_tokens = True
+    encoder = Encoder(word_vocabulary, lower=True)
+    for _ in range(2):
+        found = encoder.encode(TEXTS)
+        assert [np.frombuffer(x, encoder.kind).tolist() for x in found] == [
+            plain.encode(t or "", add_special_tokens=False).ids for t in TEXTS
+        ]
+
+
+def test_ranks_number_all_tokens_once():
+    for tokens, weights in (([7, 30, 1, 12], [7, 30, 1, 12]), ([50, 9, 20], [1, 5, 5]), ([3], [1])):
+        mixture = packing.Mixture(np.array(tokens), packing._whole_weights(weights))
+        queue = np.repeat(np.arange(len(tokens)), tokens)
+        place = np.concatenate([np.arange(t) for t in tokens])
+        ranks = mixture.rank(queue, place)
+        assert sorted(ranks) == list(range(sum(tokens)))
+        for q, t in enumerate(tokens):
+            assert (np.diff(ranks[queue == q]) > 0).all()
+
+
+def check(pieces, ids_of, length):
+    """Exact round trip, gapless sequences, and full ones but for the last."""
+    by_doc, by_sequence = defaultdict(list), defaultdict(list)
+    for p in pieces:
+        by_doc[p["doc_id"]].append(p)
+        by_sequence[p["sequence_id"]].append(p)
+    assert set(by_doc) == set(ids_of)
+    for doc, own in by_doc.items():
+        ids, at = ids_of[doc], 0
+        for p in sorted(own, key=lambda p: p["start"]):
+            part = ids[p["start"] : p["start"] + p["length"]]
+            assert p["start"] == at and p["length"] == len(part) > 0 and p["doc_tokens"] == len(ids)
+            assert p["ids_crc32"] == zlib.crc32(np.array(part, "<u4").tobytes())
+            at += p["length"]
+        assert at == len(ids)
+    assert sorted(by_sequence) == list(range(len(by_sequence)))
+    for number, own in by_sequence.items():
+        at = 0
+        for p in sorted(own, key=lambda p: p["offset"]):
+            assert p["offset"] == at
+            at += p["length"]
+        assert at == length or number == len(by_sequence) - 1 and at < length
+
+
+@pytest.mark.parametrize("weights", [None, {"src1": 5.0, "src2": 1.0}])
+@pytest.mark.parametrize("queues", [256, 3])
+def test_every_id_lies_in_one_piece(spark, word_vocabulary, monkeypatch, weights, queues):
+    monkeypatch.setattr(packing, "QUEUES", queues)
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").repartition(3)
+    plain = Tokenizer.from_file(word_vocabulary)
+    ids_of = {
+        r["doc_id"]: [*plain.encode(r["text"], add_special_tokens=False).ids, 2] for r in docs.collect()
+    }
+    pieces = packing.pack(spark, docs, word_vocabulary, length=512, weights=weights).collect()
+    check(pieces, ids_of, 512)
+
+
+def test_every_full_window_holds_the_mixture(spark, word_vocabulary):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").repartition(4)
+    pieces = packing.pack(spark, docs, word_vocabulary).collect()
+    total, held = defaultdict(int), defaultdict(int)
+    for p in pieces:
+        total[p["queue"]] += p["length"]
+        held[p["sequence_id"], p["queue"]] += p["length"]
+    last = max(p["sequence_id"] for p in pieces)
+    share = {q: n / sum(total.values()) for q, n in total.items()}
+    for s in range(last):
+        assert all(abs(held[s, q] - 4096 * share[q]) <= 5 for q in total)
+
+
+def test_odd_rows(spark, odd_docs, no_docs, word_vocabulary):
+    pieces = packing.pack(spark, odd_docs, word_vocabulary).collect()
+    ends = [p for p in pieces if p["start"] + p["length"] == p["doc_tokens"]]
+    assert len(ends) == 9 and sorted(p["doc_id"] or 0 for p in ends) == [0, 0, 1, 1, 2, 3, 4, 5, 6]
+    assert {p["doc_tokens"] for p in pieces if p["doc_id"] in (2, 3, 4)} == {1}
+    assert packing.pack(spark, no_docs, word_vocabulary).count() == 0

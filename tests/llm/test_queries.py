@@ -1,0 +1,63 @@
+from __future__ import annotations
+
+import pytest
+from check_oracle import difference, open_tables
+
+import __spark_entry__ as entry
+import corpus_pipeline
+from repopulse.llm import decontamination
+from repopulse.llm.oracle import SQL
+from repopulse.llm.queries import QUERIES
+
+
+@pytest.fixture(scope="module")
+def con(sf_dir):
+    return open_tables(sf_dir)
+
+
+def test_all_operators_and_the_pipeline_are_registered():
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert {*QUERIES, "pipeline"} <= set(entry.queries())
+    assert set(SQL) <= set(entry.oracle_sql()) and set(SQL) <= set(QUERIES)
+
+
+@pytest.mark.parametrize("name", list(SQL))
+def test_query_equals_its_sql(spark, con, sf_dir, name):
+    assert difference(spark, con, name, sf_dir) in ("", "no rows")
+
+
+NATIVE = ["op2_license_scan", "op3_quality_rules", "op4_url_filters", "op5_sharding"]
+
+
+@pytest.mark.parametrize("name", NATIVE)
+def test_native_queries_have_no_python(spark, sf_dir, name):
+    plan = QUERIES[name](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in ("Python", "Pandas", "Arrow", "Cartesian", "NestedLoop") if x in plan]
+
+
+def test_pipeline_stages_follow_their_operators(spark, sf_dir, folder):
+    """Each stage against the operator's findings on what the stage was given."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    columns, given = docs.columns, {}
+    for name, stage in corpus_pipeline.STAGES:
+        given[name] = docs
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+        assert name == "packing" or docs.columns == columns
+    texts = {n: {r["doc_id"]: r["text"] for r in d.collect()} for n, d in given.items()}
+    good = {r["doc_id"] for r in QUERIES["op3_quality_rules"](spark, sf_dir).collect() if r["kept"]}
+    assert set(texts["simhash_near_dedup"]) == good
+    groups = corpus_pipeline.simhash.near_duplicates(spark, given["simhash_near_dedup"]).collect()
+    assert set(texts["substring_dedup"]) == {r["component_id"] for r in groups}
+    assert set(texts["benchmark_decontamination"]) == set(texts["substring_dedup"])
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    hit = decontamination.matches(spark, given["benchmark_decontamination"], benchmark).collect()
+    assert set(texts["packing"]) == {r["row"]["doc_id"] for r in hit if not r["n_hit"]}
+    for r in given["packing"].collect():
+        assert r["n_chars"] == len(r["text"])
+    packed = {}
+    for r in docs.collect():
+        packed[r["doc_id"]] = packed.get(r["doc_id"], 0) + r["length"]
+        assert r["doc_tokens"] >= r["start"] + r["length"]
+    assert set(packed) == set(texts["packing"])
+    assert corpus_pipeline.run(spark, sf_dir).agg({"length": "sum"}).first()[0] == sum(packed.values())
