@@ -1,7 +1,8 @@
 """Joins that add project metadata.
 
-Metadata tables hold one row per repository. None of the joins is forced to
-broadcast: adaptive execution broadcasts a side once its measured size is below
+Metadata tables may hold several rows per repository; each is collapsed to one by
+the key of its join, before the join and without a shuffle beyond it. None of the
+joins is forced to broadcast: adaptive execution broadcasts a side once its measured size is below
 the threshold, and otherwise shuffles both sides and splits the partition of a
 hot repository. The daily joins see one row per repository and day, so only the
 event-level join can meet a hot one at all.
@@ -26,9 +27,20 @@ from repopulse.functions.text import (
 COUNTS = ("stars_count", "forks_count", "watchers_count")
 
 
+def one_per_repo(metadata: DataFrame) -> DataFrame:
+    """One row per `repo_name`: that with the highest counts, then the last language by text."""
+    values = [c for c in (*COUNTS, "language") if c in metadata.columns]
+    best = metadata.groupBy("repo_name").agg(F.max(F.struct(*values)).alias("best"))
+    return best.select("repo_name", "best.*")
+
+
 def attach_metadata(messages: DataFrame, metadata: DataFrame) -> DataFrame:
-    """Metadata of each message's repository; `Unknown` and zeros on a miss."""
-    joined = messages.join(metadata, "repo_name", "left").withColumn(
+    """Metadata of each message's repository; `Unknown` and zeros on a miss.
+
+    The collapsed metadata is rebalanced, so that both sides of the join are plain
+    shuffles and the partition of a hot repository can be split.
+    """
+    joined = messages.join(one_per_repo(metadata).hint("rebalance"), "repo_name", "left").withColumn(
         "language", or_default(F.col("language"), UNKNOWN_LANGUAGE)
     )
     counts = {name: F.coalesce(name, F.lit(0)) for name in COUNTS if name in metadata.columns}
@@ -36,15 +48,16 @@ def attach_metadata(messages: DataFrame, metadata: DataFrame) -> DataFrame:
 
 
 def language_lookup(repos: DataFrame) -> DataFrame:
-    """Repositories whose language is known."""
-    return repos.select(
+    """Repositories whose language is known, once each; of several the first by text."""
+    known = repos.select(
         F.col("full_name").alias("repo_name"),
         known_language(F.col("language")).alias("language"),
     ).where(F.col("language").isNotNull())
+    return known.groupBy("repo_name").agg(F.min("language").alias("language"))
 
 
 def _tier(metadata: DataFrame, alias: str) -> DataFrame:
-    return metadata.select(
+    return one_per_repo(metadata).select(
         "repo_name",
         F.struct(
             or_default(F.col("language"), UNKNOWN_LANGUAGE).alias("language"),
@@ -117,26 +130,23 @@ def absent_repos(candidates: DataFrame, repos: DataFrame) -> DataFrame:
     )
 
 
-def backfill_candidates(weekly: DataFrame, limit: int | None = None) -> DataFrame:
-    """Daily rows without a known language; optionally among the first keys only."""
-    rows = weekly if limit is None else weekly.orderBy("row_key").limit(limit)
-    return rows.where(
+def backfill_candidates(weekly: DataFrame) -> DataFrame:
+    """Daily rows without a known language."""
+    return weekly.where(
         F.contains("row_key", F.lit("#")) & known_language(F.col("language")).isNull()
     )
 
 
-def language_updates(
-    weekly: DataFrame, repos: DataFrame, metadata: DataFrame, limit: int | None = None
-) -> DataFrame:
+def language_updates(weekly: DataFrame, repos: DataFrame, metadata: DataFrame) -> DataFrame:
     """Languages found for daily rows that lack one, dimension before metadata."""
     named = F.coalesce(F.nullif("name", F.lit("")), key_tail(F.col("row_key")))
-    candidates = backfill_candidates(weekly, limit).select(
+    candidates = backfill_candidates(weekly).select(
         "row_key", "day", named.alias("repo_name")
     )
     from_dimension = language_lookup(repos).withColumnRenamed("language", "dimension_language")
-    from_metadata = metadata.select(
-        "repo_name", known_language(F.col("language")).alias("metadata_language")
-    )
+    from_metadata = language_lookup(
+        metadata.select(F.col("repo_name").alias("full_name"), "language")
+    ).withColumnRenamed("language", "metadata_language")
     return (
         candidates.join(from_dimension, "repo_name", "left")
         .join(from_metadata, "repo_name", "left")

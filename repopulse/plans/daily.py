@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repopulse import schemas
+from repopulse.functions.text import path_day
 from repopulse.operators.cleaning import FORK_EVENT, STAR_EVENT, archive_events
 from repopulse.operators.enrichment import enrich_repos, language_updates
 from repopulse.operators.metrics import (
@@ -23,12 +24,20 @@ from repopulse.sinks.daily import (
     read_weekly,
     rewrite_languages,
     write_snapshot,
+    write_strays,
     write_weekly,
 )
 from repopulse.sinks.live import read_repos
+from repopulse.sinks.partitions import replace_partitions
 from repopulse.sinks.rows import weekly_rows
-from repopulse.sources.archive import archive_globs, quarantined, read_archive, readable
-from repopulse.sources.tables import Tables, processed_days
+from repopulse.sources.archive import (
+    archive_paths,
+    quarantined,
+    read_archive,
+    readable,
+    target_day,
+)
+from repopulse.sources.tables import Tables, newest_days, processed_days
 
 
 def weekly_metrics(
@@ -58,30 +67,41 @@ def run_daily(
     carry_in: bool = True,
     reprocess: bool = False,
     incomplete_days: DataFrame | None = None,
+    days: Sequence[str] | None = None,
 ) -> bool:
     """Q4: process new days into the daily tables; True if there were any.
 
-    Finished days are skipped unless `reprocess`; velocities of days after one
-    that comes late or again follow from its old counts until they are
-    reprocessed too. With `carry_in`, velocity of the first new day follows the
-    stored last day; without it, every run starts from zero. Days in
-    `incomplete_days` are written but not marked, so a later run picks them up
-    again.
+    `days` are the days the run is asked for, by default all that occur. Counts of
+    other days are put aside: they neither replace stored rows nor mark a day done.
+    Finished days are skipped unless `reprocess`. With `carry_in`, velocity of the
+    first new day follows the stored last day; without it, every run starts from
+    zero. Days in `incomplete_days` are written but not marked, so a later run
+    picks them up again.
 
-    The archive is read once: its daily counts are written to the shared folder
-    and every later step starts from them.
+    Velocities of the next active day after one that comes late or again are
+    computed anew in the same run. The archive is read once: its daily counts are
+    written to the shared folder and every later step starts from them.
     """
-    daily = daily_metrics(archive_events(archive))
+    counts = daily_metrics(archive_events(archive))
     if not reprocess:
-        daily = unprocessed(daily, processed_days(spark, tables))
-    staged = staged_rows(spark, daily, "daily")
-    first_day, last_day = staged.agg(F.min("day"), F.max("day")).first()
-    if first_day is None:
+        counts = unprocessed(counts, processed_days(spark, tables))
+    found = staged_rows(spark, counts, "daily")
+    present = sorted(row["day"] for row in found.select("day").distinct().collect())
+    asked = present if days is None else [day for day in present if day in set(days)]
+    if days is not None and len(asked) < len(present):
+        strays = found.where(~F.col("day").isin(asked)) if asked else found
+        write_strays(strays, tables, f"{min(days, default='none')}..{max(days, default='none')}")
+    if not asked:
         return False
+    staged = found.where(F.col("day").isin(asked))
+    first_day, last_day = asked[0], asked[-1]
 
     snapshot = last_days_before(spark, tables, first_day) if carry_in else None
-    write_weekly(weekly_metrics(staged, read_repos(spark, tables), tiers, snapshot), tables)
-
+    rows = weekly_metrics(staged, read_repos(spark, tables), tiers, snapshot)
+    written = staged_rows(spark, rows, "weekly")
+    write_weekly(spark, written, tables, asked)
+    if carry_in:
+        refresh_later_velocity(spark, tables, first_day)
     write_snapshot(spark, tables, first_day, last_day)
     finished = staged.select("day").distinct()
     if incomplete_days is not None:
@@ -90,23 +110,68 @@ def run_daily(
     return True
 
 
+def refresh_later_velocity(spark: SparkSession, tables: Tables, first_day: str) -> None:
+    """Velocities of stored days after `first_day`, where they no longer follow.
+
+    Usually there is no later day and nothing is read. Otherwise the rows from
+    that day on are compared with velocities computed anew, and only days on which
+    some differ are rewritten.
+    """
+    if not [day for day in newest_days(spark, tables.weekly_metrics, 1) if day > first_day]:
+        return
+    since = read_weekly(spark, tables).where(F.col("day") >= first_day)
+    counts = since.select(
+        F.col("name").alias("repo_name"), "day", F.col("stars").alias("star_count"),
+        F.col("forks").alias("fork_count"),
+    )
+    again = incremental_velocity(counts, last_days_before(spark, tables, first_day)).select(
+        F.col("repo_name").alias("name"),
+        "day",
+        F.col("velocity").alias("new_velocity"),
+        F.col("fork_velocity").alias("new_fork_velocity"),
+    )
+    compared = staged_rows(spark, since.join(again, ["name", "day"]), "velocity")
+    same = (F.col("velocity") == F.col("new_velocity")) & (
+        F.col("fork_velocity") == F.col("new_fork_velocity")
+    )
+    stale = [row["day"] for row in compared.where(~same).select("day").distinct().collect()]
+    if stale:
+        fresh = compared.where(F.col("day").isin(stale)).withColumns(
+            {"velocity": F.col("new_velocity"), "fork_velocity": F.col("new_fork_velocity")}
+        )
+        write_weekly(spark, fresh.select(*since.columns), tables, stale)
+
+
 def run_archive(
     spark: SparkSession,
     tables: Tables,
     folder: str,
-    days: Sequence[str],
+    days: Sequence[str] | None = None,
     tiers: Sequence[DataFrame] = (),
     metadata: DataFrame | None = None,
     skip_corrupt_files: bool = False,
     quarantine: bool = False,
+    reprocess: bool = False,
     **options,
 ) -> bool:
     """Q4 from archive files; when nothing is new, backfill languages instead (Q5).
 
-    With `quarantine`, star and fork events and unreadable lines are taken out
-    of the files in one pass, and the latter go to the quarantine table.
+    `days` defaults to yesterday. Files of finished days are not read at all. Of a
+    day with a whole-day file only that is read, else its hourly files; a day with
+    hours missing is written but not marked. With `quarantine`, star and fork
+    events and unreadable lines are taken out of the files in one pass, and the
+    latter replace what the quarantine holds of their files' days.
     """
-    archive = read_archive(spark, archive_globs(folder, days), skip_corrupt_files)
+    wanted = [target_day()] if days is None else list(days)
+    if not reprocess:
+        done = processed_days(spark, tables).where(F.col("day").isin(wanted)).collect()
+        wanted = sorted(set(wanted) - {row["day"] for row in done})
+    paths, incomplete = archive_paths(spark, folder, wanted)
+    if not paths:
+        if metadata is not None:
+            run_backfill(spark, tables, metadata)
+        return False
+    archive = read_archive(spark, paths, skip_corrupt_files)
     if quarantine:
         kind = F.col("type")
         kept = archive.withColumn("path", F.input_file_name()).where(
@@ -115,19 +180,22 @@ def run_archive(
             | F.col(schemas.CORRUPT_COLUMN).isNotNull()
         )
         archive = staged_rows(spark, kept, "archive")
-        quarantined(archive).write.mode("append").parquet(tables.quarantine)
-    ran = run_daily(spark, tables, readable(archive), tiers, **options)
+        lines = quarantined(archive).withColumn("day", path_day(F.col("path")))
+        replace_partitions(lines, tables.quarantine, "day")
+    if incomplete:
+        options["incomplete_days"] = spark.createDataFrame([(d,) for d in incomplete], "day string")
+    ran = run_daily(
+        spark, tables, readable(archive), tiers, reprocess=reprocess, days=wanted, **options
+    )
     if not ran and metadata is not None:
         run_backfill(spark, tables, metadata)
     return ran
 
 
-def run_backfill(
-    spark: SparkSession, tables: Tables, metadata: DataFrame, limit: int | None = None
-) -> None:
+def run_backfill(spark: SparkSession, tables: Tables, metadata: DataFrame) -> None:
     """Q5: fill missing languages of stored daily rows, rewriting only days that change."""
     weekly = read_weekly(spark, tables)
-    updates = language_updates(weekly, read_repos(spark, tables), metadata, limit)
+    updates = language_updates(weekly, read_repos(spark, tables), metadata)
     staged = staged_rows(spark, updates, "backfill")
     if not staged.isEmpty():
-        rewrite_languages(weekly, staged, tables)
+        rewrite_languages(spark, weekly, staged, tables)

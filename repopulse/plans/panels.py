@@ -12,12 +12,7 @@ from repopulse.functions.numbers import score, whole_percent
 from repopulse.functions.text import UNKNOWN_LANGUAGE, key_head, language_label, or_default
 from repopulse.functions.times import chart_label, clock_label, parsed_day
 from repopulse.operators.ranking import top_ranked, with_bars
-from repopulse.sources.tables import (
-    first_predictions,
-    newest_live_events,
-    newest_live_metrics,
-    newest_weekly_metrics,
-)
+from repopulse.sources.tables import newest_live_events
 
 # ---- live panels ---------------------------------------------------------------------------
 
@@ -37,15 +32,6 @@ def _rank_repos(live_rows: DataFrame, limit: int) -> DataFrame:
     return top.select("rank", "repo", "language", "stars")
 
 
-def trending_now(live_metrics: DataFrame, limit: int = 8) -> DataFrame:
-    """Repositories among the newest `limit` live rows, by stars.
-
-    Rows are limited before repositories are merged, so fewer than `limit`
-    repositories may come out; `trending_window` ranks a whole window instead.
-    """
-    return _rank_repos(newest_live_metrics(live_metrics, limit), limit)
-
-
 def nth_newest_window(live_metrics: DataFrame, nth: int = 1) -> Column:
     """Start of the newest window, or of the nth newest, as a scalar; null if there are fewer."""
     starts = live_metrics.select("window").distinct().orderBy(F.col("window").desc()).limit(nth)
@@ -53,16 +39,29 @@ def nth_newest_window(live_metrics: DataFrame, nth: int = 1) -> Column:
 
 
 def trending_window(live_metrics: DataFrame, limit: int = 8, nth: int = 1) -> DataFrame:
-    """Q6 over all rows of the newest window, or of the nth newest."""
+    """Repositories of the newest window, or of the nth newest, by stars."""
     window = nth_newest_window(live_metrics, nth)
     return _rank_repos(live_metrics.where(F.col("window") == window), limit)
 
 
+def trending_now(live_metrics: DataFrame, limit: int = 8) -> DataFrame:
+    """Repositories with the most stars among all rows of the newest window."""
+    return trending_window(live_metrics, limit)
+
+
 def new_entrants(current: DataFrame, previous: DataFrame) -> DataFrame:
     """Ranked repositories that the previous ranking did not have."""
     return current.join(previous.select("repo"), "repo", "left_anti")
 
 
+def with_new_flag(current: DataFrame, previous: DataFrame) -> DataFrame:
+    """Every ranked repository, and whether the previous ranking did not have it."""
+    known = previous.select("repo", F.lit(False).alias("is_new"))
+    return current.join(known, "repo", "left").select(
+        *current.columns, F.coalesce("is_new", F.lit(True)).alias("is_new")
+    )
+
+
 def activity_feed(live_events: DataFrame, limit: int = 20, offset_hours: int = 1) -> DataFrame:
     """Newest events with a clock time."""
     return newest_live_events(live_events, limit).select(
@@ -212,20 +211,10 @@ def historical_wide(weekly: DataFrame, limit: int = 5) -> DataFrame:
 # ---- daily and prediction panels -----------------------------------------------------------
 
 
-def trending_daily(
-    weekly: DataFrame, limit: int = 10, candidate_limit: int | None = 2000
-) -> DataFrame:
-    """Q10, T4: highest scores among the newest `candidate_limit` daily rows.
-
-    Candidates are the last rows by key, so a day with more repositories than
-    that is judged by part of them. `None` takes all rows of the newest day.
-    """
-    if candidate_limit is None:
-        newest = weekly.agg(F.max("day")).scalar()
-        candidates = weekly.where(F.col("day") == newest)
-    else:
-        candidates = newest_weekly_metrics(weekly, candidate_limit)
-    scored = candidates.select(
+def trending_daily(weekly: DataFrame, limit: int = 10) -> DataFrame:
+    """Q10, T4: highest scores among all rows of the newest day."""
+    newest = weekly.agg(F.max("day")).scalar()
+    scored = weekly.where(F.col("day") == newest).select(
         "row_key",
         F.coalesce("name", "row_key").alias("repo"),
         F.coalesce("language", F.lit(UNKNOWN_LANGUAGE)).alias("language"),
@@ -238,13 +227,10 @@ def trending_daily(
 
 
 def ai_insights(
-    predictions: DataFrame, limit: int = 5, order_by: str | None = None
+    predictions: DataFrame, limit: int = 5, order_by: str = "probability"
 ) -> DataFrame:
-    """First predictions by name, or the highest by `order_by`."""
-    if order_by is None:
-        first = first_predictions(predictions, limit)
-    else:
-        first = predictions.orderBy(F.col(order_by).desc(), "name").limit(limit)
+    """The highest predictions by `order_by`, ties by name."""
+    first = predictions.orderBy(F.col(order_by).desc(), "name").limit(limit)
     probability = F.coalesce("probability", F.lit(0.0))
     return first.select(
         F.col("name").alias("repo"),

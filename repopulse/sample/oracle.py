@@ -188,13 +188,51 @@ FROM base LEFT JOIN meta USING (repo_name)
 WHERE event_type IN ('WatchEvent', 'ForkEvent')"""
 
 BACKFILLED = _with(
-    (BASE, META, DAILY),
+    (BASE, META, DAILY, VELOCITY),
     """SELECT day || '#' || repo_name AS row_key, repo_name AS name, day,
        CASE WHEN language <> 'Unknown' THEN language WHEN p_size <= 40 THEN p_type
-            ELSE 'Unknown' END AS language
-FROM daily LEFT JOIN meta USING (repo_name)""",
+            ELSE 'Unknown' END AS language,
+       url_encode(repo_name) AS repo_key, star_count AS stars, fork_count AS forks,
+       velocity, fork_velocity, repo_count, CAST(0 AS BIGINT) AS api_stars,
+       CAST(0 AS BIGINT) AS api_forks
+FROM velocities LEFT JOIN meta USING (repo_name)""",
 )
 
+RISING_LANGUAGES = """, compared AS (
+  SELECT c.language, c.stars AS this_week, coalesce(p.stars, 0) AS last_week
+  FROM (SELECT * FROM language_days WHERE day = (SELECT max(day) FROM language_days)) c
+  LEFT JOIN (SELECT * FROM language_days WHERE day = (
+               SELECT max(day) FROM language_days
+               WHERE day < (SELECT max(day) FROM language_days))) p USING (language)
+), top AS (
+  SELECT CAST(row_number() OVER (ORDER BY this_week DESC, language) AS INTEGER) AS rank, *
+  FROM compared ORDER BY rank LIMIT 10
+)
+SELECT rank, language, this_week, last_week,
+       greatest(this_week / greatest((SELECT max(greatest(this_week, last_week)) FROM top), 1)
+                * 100, 1.5) AS this_pct,
+       greatest(last_week / greatest((SELECT max(greatest(this_week, last_week)) FROM top), 1)
+                * 100, 1.5) AS last_pct
+FROM top"""
+
+HISTORICAL_SLOTS = (
+    "SELECT day, label,\n"
+    + ",\n".join(
+        f"  max(language) FILTER (WHERE rank = {i}) AS lang_{i},\n"
+        f"  coalesce(max(stars) FILTER (WHERE rank = {i}), 0) AS stars_{i}"
+        for i in range(1, 6)
+    )
+    + "\nFROM language_slots GROUP BY day, label"
+)
+LANGUAGE_PARTS = (*WEEKLY_PARTS, LANGUAGE_DAYS, LANGUAGE_TOP, LANGUAGE_SLOTS)
+NEWEST_DAY = "SELECT * FROM weekly WHERE day = (SELECT max(day) FROM weekly)"
+FLAGGED = f"""SELECT *, repo NOT IN (SELECT repo FROM ({_trending(SECOND_WINDOW)})) AS is_new
+FROM ({_trending(NEWEST_WINDOW)})"""
+LIVE_FEED = """SELECT strftime(event_ts, '%Y%m%d%H%M%S') || '#' || event_id || '#' || repo_name || '#'
+         || event_type AS row_key,
+       repo_name AS repo, event_type AS type, language, url_encode(repo_name) AS repo_key
+FROM intact"""
+
 SNAPSHOT = _with(
     WEEKLY_PARTS,
     """SELECT name, arg_max(stars, day) AS last_stars, arg_max(forks, day) AS last_forks,
@@ -226,9 +264,7 @@ WHERE event_type IN ('WatchEvent', 'ForkEvent')""",
         (BASE, META, MESSAGES),
         f"SELECT {MESSAGE_COLUMNS} FROM messages WHERE forks_count <> 13",
     ),
-    "message_values": _with(
-        (BASE, META, MESSAGES), "SELECT event_id, repo_name, stars_count FROM messages"
-    ),
+    "message_values": _with((BASE, META, MESSAGES), f"SELECT {MESSAGE_COLUMNS} FROM messages"),
     "windowed_activity": _with(LIVE_PARTS, f"SELECT {WINDOW_COLUMNS} FROM windows"),
     "live_metrics_rows": _with(LIVE_PARTS, "SELECT * FROM live"),
     "live_metrics_scan": _with(LIVE_PARTS, "SELECT * FROM live ORDER BY row_key DESC LIMIT 20"),
@@ -242,13 +278,8 @@ FROM live GROUP BY name""",
     "stream_windowed_activity": _with(STREAM_PARTS, "SELECT * FROM live"),
     "stream_dedup_windowed": _with(STREAM_PARTS, "SELECT * FROM live"),
     "stream_repos": _with(STREAM_PARTS, FIRST_SEEN.format(where="")),
-    "stream_live_feed": _with(
-        STREAM_PARTS,
-        """SELECT strftime(event_ts, '%Y%m%d%H%M%S') || '#' || event_id || '#' || repo_name || '#'
-         || event_type AS row_key,
-       repo_name AS repo, event_type AS type, language, url_encode(repo_name) AS repo_key
-FROM intact""",
-    ),
+    "stream_live_feed": _with(STREAM_PARTS, LIVE_FEED),
+    "stream_live_feed_restart": _with(STREAM_PARTS, LIVE_FEED),
     "stream_canonical_events": _with((BASE, META), CANONICAL),
     "daily_metrics": _with((BASE, DAILY), "SELECT * FROM daily"),
     "daily_velocity": _with((BASE, DAILY, VELOCITY), "SELECT * FROM velocities"),
@@ -279,6 +310,21 @@ ORDER BY velocity DESC, name, day LIMIT 10""",
     "language_backfill": BACKFILLED,
     "daily_job": _with(WEEKLY_PARTS, "SELECT * FROM weekly"),
     "backfill_job": BACKFILLED,
+    "daily_job_doubled_metadata": _with(WEEKLY_PARTS, "SELECT * FROM weekly"),
+    "daily_job_stray_days": _with(
+        WEEKLY_PARTS,
+        "SELECT * FROM weekly WHERE day < (SELECT max(strftime(ts, '%Y-%m-%d')) FROM events)",
+    ),
+    "daily_job_mixed_files": "WITH "
+    + BASE
+    + """, kept AS (
+  SELECT * FROM base WHERE forks_count <> 13
+     AND day = (SELECT min(strftime(ts, '%Y-%m-%d')) FROM events)),
+"""
+    + DAILY.replace("FROM base", "FROM kept")
+    + " SELECT repo_name AS name, day, star_count AS stars, fork_count AS forks,"
+    + " star_count AS velocity FROM daily",
+    "late_day_job": _with(WEEKLY_PARTS, "SELECT * FROM weekly"),
     "snapshot_job": SNAPSHOT,
     "processed_days_job": """SELECT DISTINCT strftime(ts, '%Y-%m-%d') AS day FROM events
 WHERE event_type IN ('click', 'signup')""",
@@ -299,40 +345,18 @@ ORDER BY row_key DESC LIMIT 100""",
     "insight_panel": """SELECT 'org' || (p_partkey % 10) || '/repo' || p_partkey AS repo,
        p_size / 50 AS probability, CAST(trunc(p_size / 50 * 100) AS INTEGER) AS probability_pct,
        p_type AS cluster, CAST(trunc(p_retailprice - 1000) AS BIGINT) AS predicted_stars
-FROM part ORDER BY repo LIMIT 5""",
-    "trending_now": _with(
-        LIVE_PARTS,
-        """SELECT CAST(row_number() OVER (ORDER BY stars DESC, newest DESC) AS INTEGER) AS rank,
-       repo, language, stars
-FROM (SELECT name AS repo, arg_max(language, row_key) AS language, max(stars) AS stars,
-             max(row_key) AS newest
-      FROM (SELECT * FROM live ORDER BY row_key DESC LIMIT 8) GROUP BY name)""",
-    ),
+FROM part ORDER BY probability DESC, repo LIMIT 5""",
+    "trending_now": _with(LIVE_PARTS, _trending(NEWEST_WINDOW)),
+    "trending_flags": _with(LIVE_PARTS, FLAGGED),
+    "dashboard_trending_now": _with(STREAM_PARTS, FLAGGED),
     "trending_now_window": _with(LIVE_PARTS, _trending(NEWEST_WINDOW)),
     "new_entrants": _with(
         LIVE_PARTS,
         f"""SELECT * FROM ({_trending(NEWEST_WINDOW)})
 WHERE repo NOT IN (SELECT repo FROM ({_trending(SECOND_WINDOW)}))""",
     ),
-    "rising_languages": _with(
-        (*WEEKLY_PARTS, LANGUAGE_DAYS),
-        """, compared AS (
-  SELECT c.language, c.stars AS this_week, coalesce(p.stars, 0) AS last_week
-  FROM (SELECT * FROM language_days WHERE day = (SELECT max(day) FROM language_days)) c
-  LEFT JOIN (SELECT * FROM language_days WHERE day = (
-               SELECT max(day) FROM language_days
-               WHERE day < (SELECT max(day) FROM language_days))) p USING (language)
-), top AS (
-  SELECT CAST(row_number() OVER (ORDER BY this_week DESC, language) AS INTEGER) AS rank, *
-  FROM compared ORDER BY rank LIMIT 10
-)
-SELECT rank, language, this_week, last_week,
-       greatest(this_week / greatest((SELECT max(greatest(this_week, last_week)) FROM top), 1)
-                * 100, 1.5) AS this_pct,
-       greatest(last_week / greatest((SELECT max(greatest(this_week, last_week)) FROM top), 1)
-                * 100, 1.5) AS last_pct
-FROM top""",
-    ),
+    "rising_languages": _with((*WEEKLY_PARTS, LANGUAGE_DAYS), RISING_LANGUAGES),
+    "dashboard_rising_languages": _with((*WEEKLY_PARTS, LANGUAGE_DAYS), RISING_LANGUAGES),
     "language_days": _with((*WEEKLY_PARTS, LANGUAGE_DAYS), "SELECT * FROM language_days"),
     "language_totals": _with(
         (*WEEKLY_PARTS, LANGUAGE_DAYS, LANGUAGE_TOP), "SELECT * FROM language_top"
@@ -349,22 +373,22 @@ FROM messages ORDER BY row_key DESC LIMIT 20""",
         (*WEEKLY_PARTS, LANGUAGE_DAYS, LANGUAGE_TOP, LANGUAGE_SLOTS),
         "SELECT * FROM language_slots",
     ),
-    "historical_trends_slots": _with(
-        (*WEEKLY_PARTS, LANGUAGE_DAYS, LANGUAGE_TOP, LANGUAGE_SLOTS),
-        "SELECT day, label,\n"
-        + ",\n".join(
-            f"  max(language) FILTER (WHERE rank = {i}) AS lang_{i},\n"
-            f"  coalesce(max(stars) FILTER (WHERE rank = {i}), 0) AS stars_{i}"
-            for i in range(1, 6)
-        )
-        + "\nFROM language_slots GROUP BY day, label",
-    ),
-    "trending_daily": _with(
-        WEEKLY_PARTS, _daily_top("SELECT * FROM weekly ORDER BY row_key DESC LIMIT 2000")
+    "historical_trends_slots": _with(LANGUAGE_PARTS, HISTORICAL_SLOTS),
+    "dashboard_historical_trends": _with(LANGUAGE_PARTS, HISTORICAL_SLOTS),
+    "trending_daily": _with(WEEKLY_PARTS, _daily_top(NEWEST_DAY)),
+    "trending_latest_day": _with(WEEKLY_PARTS, _daily_top(NEWEST_DAY)),
+    "dashboard_trending_daily": _with(WEEKLY_PARTS, _daily_top(NEWEST_DAY)),
+    "breakout_features": _with(
+        WEEKLY_PARTS,
+        """SELECT name, day, stars, forks, velocity, fork_velocity,
+       CAST(row_number() OVER by_day AS INTEGER) AS active_days,
+       lead(velocity) OVER by_day AS next_velocity
+FROM weekly WINDOW by_day AS (PARTITION BY name ORDER BY day)""",
     ),
-    "trending_latest_day": _with(
+    "breakout_checks": _with(
         WEEKLY_PARTS,
-        _daily_top("SELECT * FROM weekly WHERE day = (SELECT max(day) FROM weekly)"),
+        """SELECT DISTINCT name, true AS is_probability, true AS is_cluster, true AS is_growth
+FROM weekly""",
     ),
     "lenient_numbers": """SELECT event_id,
        CAST(trunc(value) AS BIGINT) AS value_lenient,

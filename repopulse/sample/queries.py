@@ -7,9 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from repopulse import schemas
 from repopulse.functions import numbers, text, times
 from repopulse.operators import cleaning, enrichment, metrics
-from repopulse.plans import breakout, daily, panels
+from repopulse.plans import breakout, daily, dashboard, panels
 from repopulse.sample import tables as sample
 from repopulse.session import configure, run_dir, staged, stream_session
 from repopulse.sinks import live, rows
@@ -58,10 +59,9 @@ def validity_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def message_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     values = rows.message_values(sample.messages(spark, sf_dir))
+    fields = (field.split() for field in schemas.MESSAGE.split(", "))
     return values.select(
-        F.get_json_object("value", "$.event_id").alias("event_id"),
-        F.get_json_object("value", "$.repo_name").alias("repo_name"),
-        F.get_json_object("value", "$.stars_count").cast("bigint").alias("stars_count"),
+        *(F.get_json_object("value", f"$.{name}").cast(kind).alias(name) for name, kind in fields)
     )
 
 
@@ -76,11 +76,6 @@ def _live_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.live_metrics_rows(_batch_windows(spark, sf_dir))
 
 
-def _live_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Live rows as a written table, for panels that read them more than once."""
-    return staged(spark, _live_rows(spark, sf_dir), "live")
-
-
 def windowed_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _batch_windows(spark, sf_dir)
 
@@ -153,6 +148,23 @@ def stream_live_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live.read_live_events(spark, tables).drop("day")
 
 
+def stream_live_feed_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed table after two streams with a checkpoint each, over half of the messages each."""
+    folder = run_dir(spark, "stream-restart")
+    tables = Tables(f"{folder}/tables")
+    lines = sample.message_lines(spark, sf_dir)
+    for half in (0, 1):
+        path = f"{folder}/landed-{half}"
+        lines.where(F.pmod(F.xxhash64("value"), F.lit(2)) == half).write.text(path)
+        streams.stream_live_events(
+            message_files(stream_session(spark), path),
+            tables,
+            f"{folder}/checkpoints/feed-{half}",
+            every=None,
+        ).awaitTermination()
+    return live.read_live_events(spark, tables).drop("day")
+
+
 def stream_canonical_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw events, each delivered twice, cleaned by the publishing stream."""
     session = stream_session(spark)
@@ -184,11 +196,6 @@ def _weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _weekly_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily rows as a written table, for panels that read them more than once."""
-    return staged(spark, _weekly(spark, sf_dir), "weekly")
-
-
 def daily_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _daily(spark, sf_dir)
 
@@ -257,7 +264,7 @@ def language_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     weekly = staged(spark, daily.weekly_metrics(_daily(spark, sf_dir), repos), "weekly")
     source = sample.tiers(spark, sf_dir)[1]
     updates = enrichment.language_updates(weekly, repos, source)
-    return enrichment.with_languages(weekly, updates).select("row_key", "name", "day", "language")
+    return enrichment.with_languages(weekly, updates)
 
 
 def _two_runs(spark: SparkSession, sf_dir: str, label: str) -> Tables:
@@ -293,7 +300,74 @@ def backfill_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     _store_repos(spark, sf_dir, tables)
     daily.run_daily(spark, tables, sample.archive(spark, sf_dir))
     daily.run_backfill(spark, tables, sample.tiers(spark, sf_dir)[1])
-    return read_weekly(spark, tables).select("row_key", "name", "day", "language")
+    return read_weekly(spark, tables)
+
+
+def daily_job_doubled_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily rows where the dimension and every source hold each row twice."""
+    twice = lambda rows: rows.unionAll(rows)
+    return daily.weekly_metrics(
+        _daily(spark, sf_dir),
+        twice(sample.repos(spark, sf_dir)),
+        [twice(tier) for tier in sample.tiers(spark, sf_dir)],
+    )
+
+
+def daily_job_stray_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily table after a run over all events that was asked for all days but the last."""
+    tables = Tables(f"{run_dir(spark, 'stray-job')}/tables")
+    _store_repos(spark, sf_dir, tables)
+    days = sorted(row["day"] for row in _event_days(spark, sf_dir).collect())
+    tiers = sample.tiers(spark, sf_dir)
+    daily.run_daily(spark, tables, sample.archive(spark, sf_dir), tiers, days=days[:-1])
+    done = stored.processed_days(spark, tables)
+    return read_weekly(spark, tables).join(done, "day", "left_semi").select(
+        *schemas.column_names(schemas.WEEKLY_METRICS)
+    )
+
+
+def daily_job_mixed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily table of the first day, whose whole-day file and hourly files both exist."""
+    folder = run_dir(spark, "mixed-files")
+    tables = Tables(f"{folder}/tables")
+    lines = sample.archive_lines(spark, sf_dir)
+    day = _event_days(spark, sf_dir).agg(F.min("day")).first()[0]
+    of_day = lines.where(F.contains("value", F.lit(day)))
+    for name in (f"{day}.json.gz", f"{day}-9.json.gz", f"{day}-10.json.gz"):
+        of_day.write.option("compression", "gzip").text(f"{folder}/files/{name}")
+    daily.run_archive(spark, tables, f"{folder}/files", [day])
+    return read_weekly(spark, tables).select("name", "day", "stars", "forks", "velocity")
+
+
+def late_day_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily table after all days but one, and then that one."""
+    tables = Tables(f"{run_dir(spark, 'late-job')}/tables")
+    _store_repos(spark, sf_dir, tables)
+    archive = sample.archive(spark, sf_dir)
+    tiers = sample.tiers(spark, sf_dir)
+    days = sorted(row["day"] for row in _event_days(spark, sf_dir).collect())
+    late = days[len(days) // 2]
+    daily.run_daily(spark, tables, archive, tiers, days=[day for day in days if day != late])
+    daily.run_daily(spark, tables, archive, tiers, days=[late])
+    return read_weekly(spark, tables)
+
+
+def dashboard_rising_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboard.dashboard(spark, _two_runs(spark, sf_dir, "panels"))["rising_languages"]
+
+
+def dashboard_historical_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboard.dashboard(spark, _two_runs(spark, sf_dir, "panels"))["historical_trends"]
+
+
+def dashboard_trending_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dashboard.dashboard(spark, _two_runs(spark, sf_dir, "panels"))["trending_daily"]
+
+
+def dashboard_trending_now(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live panel over the tables of a stream, with its new-entrant flag."""
+    tables = _run_stream(spark, sf_dir, "stream-panel", copies=1)
+    return dashboard.dashboard(spark, tables)["trending_now"]
 
 
 def _store_repos(spark: SparkSession, sf_dir: str, tables: Tables) -> None:
@@ -304,8 +378,9 @@ def _archive_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole archive written as compressed JSON lines and read back by its year."""
     folder = run_dir(spark, "archive")
     lines = sample.archive_lines(spark, sf_dir)
-    lines.write.option("compression", "gzip").text(f"{folder}/2024-events.json.gz")
-    return archive_files.read_archive(spark, archive_files.archive_globs(folder, ["2024"]))
+    lines.write.option("compression", "gzip").text(f"{folder}/2024-01-01.json.gz")
+    paths, _ = archive_files.archive_paths(spark, folder, ["2024-01-01"])
+    return archive_files.read_archive(spark, paths)
 
 
 def archive_read(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -327,22 +402,30 @@ def trending_now(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trending_now_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return panels.trending_window(_live_table(spark, sf_dir))
+    return panels.trending_window(_live_rows(spark, sf_dir))
+
+
+def trending_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ranking with a flag for repositories that the window before did not rank."""
+    live_rows = _live_rows(spark, sf_dir)
+    return panels.with_new_flag(
+        panels.trending_now(live_rows), panels.trending_window(live_rows, nth=2)
+    )
 
 
 def new_entrants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    live_rows = _live_table(spark, sf_dir)
+    live_rows = _live_rows(spark, sf_dir)
     return panels.new_entrants(
         panels.trending_window(live_rows), panels.trending_window(live_rows, nth=2)
     )
 
 
 def rising_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return panels.rising_languages(_weekly_table(spark, sf_dir))
+    return panels.rising_languages(_weekly(spark, sf_dir))
 
 
 def language_days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    per_day = panels.language_days(_weekly_table(spark, sf_dir))
+    per_day = panels.language_days(_weekly(spark, sf_dir))
     return per_day.withColumn("day", F.col("day").cast("string"))
 
 
@@ -356,11 +439,11 @@ def activity_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def historical_trends_long(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return panels.historical_long(_weekly_table(spark, sf_dir))
+    return panels.historical_long(_weekly(spark, sf_dir))
 
 
 def historical_trends_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return panels.historical_slots(_weekly_table(spark, sf_dir))
+    return panels.historical_slots(_weekly(spark, sf_dir))
 
 
 def trending_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -368,7 +451,21 @@ def trending_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trending_latest_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return panels.trending_daily(_weekly_table(spark, sf_dir), candidate_limit=None)
+    return panels.trending_daily(_weekly(spark, sf_dir))
+
+
+def breakout_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return breakout.scored_days(_weekly(spark, sf_dir))
+
+
+def breakout_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per repository: whether its scores are what they must be."""
+    return breakout_scores(spark, sf_dir).select(
+        "name",
+        F.col("probability").between(0, 1).alias("is_probability"),
+        F.col("cluster").isin(*(f"cluster-{i}" for i in range(4))).alias("is_cluster"),
+        (~F.isnan("predicted_growth") & (F.abs("predicted_growth") < 1e9)).alias("is_growth"),
+    )
 
 
 def breakout_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -489,6 +586,7 @@ ALL = [
     stream_dedup_windowed,
     stream_repos,
     stream_live_feed,
+    stream_live_feed_restart,
     stream_canonical_events,
     daily_metrics,
     daily_velocity,
@@ -505,6 +603,10 @@ ALL = [
     snapshot_job,
     processed_days_job,
     backfill_job,
+    daily_job_doubled_metadata,
+    daily_job_stray_days,
+    daily_job_mixed_files,
+    late_day_job,
     archive_read,
     archive_quarantine,
     weekly_scan,
@@ -512,6 +614,11 @@ ALL = [
     trending_now,
     trending_now_window,
     new_entrants,
+    trending_flags,
+    dashboard_trending_now,
+    dashboard_rising_languages,
+    dashboard_historical_trends,
+    dashboard_trending_daily,
     rising_languages,
     language_days,
     language_totals,
@@ -521,6 +628,8 @@ ALL = [
     trending_daily,
     trending_latest_day,
     insight_panel,
+    breakout_features,
+    breakout_checks,
     breakout_scores,
     ai_insights,
     lenient_numbers,

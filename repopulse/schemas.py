@@ -31,6 +31,11 @@ WEEKLY_METRICS = (
     "forks bigint, velocity bigint, fork_velocity bigint, repo_count bigint, "
     "api_stars bigint, api_forks bigint, day string"
 )
+LANGUAGE_DAYS = "language string, stars bigint, repos bigint, day string"
+STRAY_DAYS = (
+    "day string, repo_name string, star_count bigint, fork_count bigint, repo_count bigint, "
+    "total_events bigint, run string"
+)
 SNAPSHOT = (
     "name string, last_stars bigint, last_forks bigint, last_api_stars bigint, "
     "last_api_forks bigint, last_day string"

@@ -39,6 +39,25 @@ def run_dir(spark: SparkSession, label: str) -> str:
     return f"{root}/{label}-{uuid.uuid4().hex}"
 
 
+def folder_names(spark: SparkSession, path: str, prefix: str) -> list[str]:
+    """What follows `prefix` in the names of the folders below `path`, in order; none if it is absent.
+
+    Only names are listed: one per partition, and no file is opened.
+    """
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    names = [status.getPath().getName() for status in files.listStatus(folder)]
+    return sorted(name.removeprefix(prefix) for name in names if name.startswith(prefix))
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Remove a folder that a newer one replaces."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def staged(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
     """Rows written to the shared folder and read back.
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from repopulse import schemas
 from repopulse.operators.enrichment import with_languages
 from repopulse.operators.metrics import as_snapshot, last_days, merged_snapshots
+from repopulse.session import folder_names, remove_folder, staged
 from repopulse.sinks.partitions import replace_partitions, rows_of_days
 from repopulse.sources.tables import Tables, processed_days, read_table
 
@@ -16,23 +17,46 @@ AS_OF = "as_of"
 
 def read_weekly(spark: SparkSession, tables: Tables) -> DataFrame:
     """All daily rows, `day` as text although it is the partition column."""
-    return read_table(spark, tables.weekly_metrics, schemas.WEEKLY_METRICS)
+    return read_table(spark, tables.weekly_metrics, schemas.WEEKLY_METRICS, first=True)
 
 
-def write_weekly(rows: DataFrame, tables: Tables) -> None:
-    """K4: replace the days that occur in `rows`; writing them twice changes nothing."""
+def write_weekly(spark: SparkSession, rows: DataFrame, tables: Tables, days: list[str]) -> None:
+    """K4: replace the given days, the only ones in `rows`; writing them twice changes nothing.
+
+    The stars and repositories per language of these days are replaced with them,
+    so panels over languages read a few hundred rows a day.
+    """
     replace_partitions(rows, tables.weekly_metrics, "day")
+    written = read_weekly(spark, tables).where(F.col("day").isin(days))
+    totals = written.groupBy("day", "language").agg(
+        F.sum("stars").alias("stars"), F.count("*").alias("repos")
+    )
+    replace_partitions(totals, tables.language_days, "day")
+
+
+def read_language_days(spark: SparkSession, tables: Tables) -> DataFrame:
+    """Stars and repositories per day and language."""
+    return read_table(spark, tables.language_days, schemas.LANGUAGE_DAYS, first=True)
+
+
+def write_strays(rows: DataFrame, tables: Tables, run: str) -> None:
+    """Daily counts of days that a run was not asked for, put aside under its name."""
+    replace_partitions(rows.withColumn("run", F.lit(run)), tables.strays, "run")
+
+
+def _snapshot(spark: SparkSession, tables: Tables, as_of: str) -> DataFrame:
+    schema = f"{schemas.SNAPSHOT}, {AS_OF} string"
+    return read_table(spark, tables.snapshots, schema, below=f"{AS_OF}={as_of}").drop(AS_OF)
 
 
-def _snapshots(spark: SparkSession, tables: Tables) -> DataFrame:
-    return read_table(spark, tables.snapshots, f"{schemas.SNAPSHOT}, {AS_OF} string")
+def _snapshot_days(spark: SparkSession, tables: Tables) -> list[str]:
+    return folder_names(spark, tables.snapshots, f"{AS_OF}=")
 
 
 def read_snapshot(spark: SparkSession, tables: Tables) -> DataFrame:
     """The newest snapshot. Each is a whole copy named by the last day it includes."""
-    stored = _snapshots(spark, tables)
-    newest = stored.agg(F.max(AS_OF)).scalar()
-    return stored.where(F.col(AS_OF) == newest).drop(AS_OF)
+    days = _snapshot_days(spark, tables)
+    return _snapshot(spark, tables, days[-1]) if days else schemas.empty(spark, schemas.SNAPSHOT)
 
 
 def last_days_before(spark: SparkSession, tables: Tables, first_day: str) -> DataFrame:
@@ -42,43 +66,44 @@ def last_days_before(spark: SparkSession, tables: Tables, first_day: str) -> Dat
     daily rows stored since. For the day that follows the last run there are
     none, so only the snapshot is read.
     """
-    stored = _snapshots(spark, tables).where(F.col(AS_OF) < first_day)
-    as_of = stored.agg(F.max(AS_OF)).first()[0]
+    earlier = [day for day in _snapshot_days(spark, tables) if day < first_day]
     since = read_weekly(spark, tables).where(F.col("day") < first_day)
-    if as_of is None:
+    if not earlier:
         return last_days(since)
-    snapshot = stored.where(F.col(AS_OF) == as_of).drop(AS_OF)
-    newer = as_snapshot(since.where(F.col("day") > as_of))
-    return merged_snapshots(snapshot.unionByName(newer))
+    newer = as_snapshot(since.where(F.col("day") > earlier[-1]))
+    return merged_snapshots(_snapshot(spark, tables, earlier[-1]).unionByName(newer))
 
 
 def write_snapshot(spark: SparkSession, tables: Tables, first_day: str, last_day: str) -> None:
-    """K5: snapshot after a run over these days.
+    """K5: snapshot after a run over these days, unless a later one covers them.
 
-    Snapshots of later days, which exist if a day was processed late or again,
-    are written anew as well. Each row counts for every snapshot that is not
-    older than it; as a rule that is just the one of the run.
+    After a late day the newest snapshot is written anew and those between are
+    removed: what they held follows from an older snapshot and the daily rows. So
+    a run writes one copy, however far back its days are.
     """
-    stored = _snapshots(spark, tables).where(F.col(AS_OF) > last_day)
-    later = [row[AS_OF] for row in stored.select(AS_OF).distinct().collect()]
-    ends = [last_day, *later]
-    days = read_weekly(spark, tables).where(F.col("day").between(first_day, max(ends)))
+    stored = _snapshot_days(spark, tables)
+    end = max([last_day, *stored[-1:]])
+    days = read_weekly(spark, tables).where(F.col("day").between(first_day, end))
     rows = last_days_before(spark, tables, first_day).unionByName(as_snapshot(days))
-    all_ends = F.array(*[F.lit(end) for end in ends])
-    not_older = F.filter(all_ends, lambda end: end >= F.col("last_day"))
-    merged = merged_snapshots(rows.withColumn(AS_OF, F.explode(not_older)), AS_OF)
-    replace_partitions(merged, tables.snapshots, AS_OF)
+    merged = staged(spark, merged_snapshots(rows), "snapshot")
+    replace_partitions(merged.withColumn(AS_OF, F.lit(end)), tables.snapshots, AS_OF)
+    for day in stored:
+        if first_day <= day < end:
+            remove_folder(spark, f"{tables.snapshots}/{AS_OF}={day}")
 
 
 def mark_processed(spark: SparkSession, days: DataFrame, tables: Tables) -> None:
     """K6: add days not listed yet; done last, so a failed run is not marked."""
     fresh = days.select("day").distinct().join(processed_days(spark, tables), "day", "left_anti")
-    fresh.coalesce(1).write.mode("append").parquet(tables.processed_days)
+    fresh.write.mode("append").parquet(tables.processed_days)
 
 
-def rewrite_languages(weekly: DataFrame, updates: DataFrame, tables: Tables) -> None:
+def rewrite_languages(
+    spark: SparkSession, weekly: DataFrame, updates: DataFrame, tables: Tables
+) -> None:
     """K8: rewrite only the days that have an update.
 
     `updates` should be a written table: it is read for the days and for the rows.
     """
-    write_weekly(with_languages(rows_of_days(weekly, updates), updates), tables)
+    days = [row["day"] for row in updates.select("day").distinct().collect()]
+    write_weekly(spark, with_languages(rows_of_days(weekly, updates), updates), tables, days)

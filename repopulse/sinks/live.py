@@ -1,26 +1,31 @@
 """Sinks of the live streams.
 
-Every micro-batch writes a folder named after its query and batch id and
-overwrites it, so a batch repeated after a failure leaves the same table, and a
+Every micro-batch writes folders named after its query and batch id and
+overwrites them, so a batch repeated after a failure leaves the same table, and a
 stream begun anew with an empty checkpoint never touches what an earlier one
-wrote. Errors are not caught: the stream stops and resumes from its checkpoint.
+wrote. Live rows and events are partitioned by day first, so readers of the newest
+ones skip the rest. Errors are not caught: the stream stops and resumes from its checkpoint.
 """
 
 from __future__ import annotations
 
-import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repopulse import schemas
-from repopulse.operators.enrichment import absent_repos, attach_metadata, first_seen_repos
+from repopulse.operators.enrichment import attach_metadata, first_seen_repos
 from repopulse.operators.metrics import latest_by_key
-from repopulse.session import adaptive
+from repopulse.session import adaptive, folder_names
 from repopulse.sinks.partitions import replace_partitions, rows_of_days
-from repopulse.sinks.rows import live_metrics_rows, message_values, with_live_keys
-from repopulse.sources.tables import Tables, read_table
+from repopulse.sinks.rows import (
+    live_event_rows,
+    live_metrics_rows,
+    message_values,
+    with_live_keys,
+)
+from repopulse.sources.tables import Tables, newest_days, read_table
 
 # Name under which Spark tells a micro-batch which query it belongs to.
 QUERY_ID = "sql.streaming.queryId"
@@ -28,12 +33,14 @@ BATCHES_PER_START = 1_000_000_000
 VERSION = "version"
 LIVE_KEYS = ["window", "name", "event_type", "language"]
 LIVE_VALUES = ["stars", "forks", "watchers", "count"]
-LIVE_LOG = f"{schemas.LIVE_METRICS}, {VERSION} bigint"
+LIVE_LOG = f"{schemas.LIVE_METRICS}, {VERSION} bigint, day string, query string, batch_id bigint"
 LIVE_HISTORY = (
     "window string, name string, event_type string, language string, stars bigint, "
     f"forks bigint, watchers bigint, count bigint, {VERSION} bigint, day string"
 )
-REPOS_LOG = f"{schemas.REPOS}, query string, batch_id bigint"
+REPOS_FOLDED = f"{schemas.REPOS}, {VERSION} bigint"
+REPOS_LOG = f"{REPOS_FOLDED}, query string, batch_id bigint"
+EVENTS_LOG = f"{schemas.LIVE_EVENTS}, day string, query string, batch_id bigint"
 
 
 def query_of(session: SparkSession) -> str:
@@ -45,25 +52,65 @@ def batch_path(table: str, query: str, batch_id: int) -> str:
     return f"{table}/query={query}/batch_id={batch_id}"
 
 
+def next_start(spark: SparkSession, tables: Tables) -> int:
+    """A number above that of every earlier start of the live stream, and stored as such.
+
+    Starts are told apart by what is stored, not by a clock, as the next one may
+    happen on another host.
+    """
+    number = max(map(int, folder_names(spark, tables.live_starts, "start=")), default=0) + 1
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{tables.live_starts}/start={number}")
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
+    return number
+
+
+def write_batch(rows: DataFrame, path: str, query: str, batch_id: int) -> None:
+    """Rows below `day=/query=/batch_id=`, replacing what the same batch wrote before."""
+    named = rows.withColumns({"query": F.lit(query), "batch_id": F.lit(batch_id).cast("bigint")})
+    (
+        named.hint("rebalance", "day")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("day", "query", "batch_id")
+        .parquet(path)
+    )
+
+
 def upsert_live_batch(tables: Tables) -> Callable[[DataFrame, int], None]:
-    """Micro-batch callback that logs changed windows and adds new repositories.
+    """Micro-batch callback that logs changed windows and the repositories in them.
 
     Versions grow with the start of the stream and then with its batches, so the
     last write of a row wins even across checkpoints. The batch is written first
-    and read back, so its state is computed once.
+    and its own days are read back, so its state is computed once and the work of a
+    batch does not grow with what is stored.
     """
-    started = int(time.time()) * BATCHES_PER_START
+    start: list[int] = []
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        path = batch_path(tables.live_metrics, query_of(session), batch_id)
-        version = F.lit(started + batch_id).cast("bigint").alias(VERSION)
+        query = query_of(session)
+        if not start:
+            start.append(next_start(session, tables))
+        version = F.lit(start[0] * BATCHES_PER_START + batch_id).cast("bigint").alias(VERSION)
         with adaptive(session):
-            rows = live_metrics_rows(batch).select("*", version)
-            rows.hint("rebalance").write.mode("overwrite").parquet(path)
-            written = session.read.schema(schemas.LIVE_METRICS).parquet(path)
-            if not written.isEmpty():
-                insert_repos(session, tables, written, batch_id)
+            rows = live_metrics_rows(batch).select("*", version, _day().alias("day"))
+            write_batch(rows, tables.live_metrics, query, batch_id)
+            own = f"day=*/query={query}/batch_id={batch_id}"
+            written = read_table(session, tables.live_metrics, LIVE_LOG, first=True, below=own)
+            log_repos(tables, written, version, query, batch_id)
+
+    return write
+
+
+def append_events(tables: Tables) -> Callable[[DataFrame, int], None]:
+    """Micro-batch callback that writes every valid event to the feed table."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        with adaptive(session):
+            compact_day = F.to_date(F.substring("row_key", 1, 8), "yyyyMMdd").cast("string")
+            rows = live_event_rows(batch).withColumn("day", compact_day)
+            write_batch(rows, tables.live_events, query_of(session), batch_id)
 
     return write
 
@@ -86,23 +133,36 @@ def publish_batch(
     return write
 
 
-def insert_repos(
-    spark: SparkSession, tables: Tables, live_rows: DataFrame, batch_id: int
+def log_repos(
+    tables: Tables, live_rows: DataFrame, version: Column, query: str, batch_id: int
 ) -> None:
-    """K2: add repositories that no other batch has stored.
+    """K2: the repositories of a batch with the language first seen in it.
 
-    The batch's own folder does not count as stored, so repeating a batch adds
-    its repositories again instead of losing them. The stored table is first cut
-    to the keys of this batch, which are few enough to broadcast as a rule; only
-    those few rows then take part in the anti join.
+    Nothing stored is read: which batch saw a repository first is settled by its
+    version when the table is read or folded.
     """
-    query = query_of(spark)
-    own = (F.col("query") == query) & (F.col("batch_id") == batch_id)
-    stored = read_table(spark, tables.repos, REPOS_LOG).where(~own)
-    known = stored.join(live_rows.select("repo_key"), "repo_key", "left_semi")
-    fresh = absent_repos(first_seen_repos(live_rows), known)
     path = batch_path(tables.repos, query, batch_id)
-    fresh.hint("rebalance").write.mode("overwrite").parquet(path)
+    seen = first_seen_repos(live_rows).select("*", version)
+    seen.hint("rebalance").write.mode("overwrite").parquet(path)
+
+
+def _first_repos(spark: SparkSession, tables: Tables) -> DataFrame:
+    log = read_table(spark, tables.repos, REPOS_LOG, first=True).drop("query", "batch_id")
+    folded = read_table(spark, tables.repos_folded, REPOS_FOLDED, first=True)
+    order = F.struct(VERSION, "full_name", "language")
+    first = log.unionByName(folded).groupBy("repo_key").agg(F.min(order).alias("first"))
+    return first.select("repo_key", "first.full_name", "first.language", f"first.{VERSION}")
+
+
+def compact_repos(spark: SparkSession, tables: Tables, run: str) -> None:
+    """K2: fold the log of repositories into one row each, below a folder named `run`.
+
+    The folded rows keep their version, so reading them beside the log is right
+    whether or not the folded batches have been removed, which is left to the
+    caller.
+    """
+    first = _first_repos(spark, tables)
+    first.hint("rebalance").write.mode("overwrite").parquet(f"{tables.repos_folded}/run={run}")
 
 
 def _newest_versions(versions: DataFrame) -> DataFrame:
@@ -115,12 +175,12 @@ def _day() -> Column:
 
 
 def _live_log(spark: SparkSession, tables: Tables) -> DataFrame:
-    log = read_table(spark, tables.live_metrics, LIVE_LOG)
-    return log.select(*LIVE_KEYS, *LIVE_VALUES, VERSION, _day().alias("day"))
+    log = read_table(spark, tables.live_metrics, LIVE_LOG, first=True)
+    return log.select(*LIVE_KEYS, *LIVE_VALUES, VERSION, "day")
 
 
 def _stored_versions(spark: SparkSession, tables: Tables) -> DataFrame:
-    history = read_table(spark, tables.live_history, LIVE_HISTORY)
+    history = read_table(spark, tables.live_history, LIVE_HISTORY, first=True)
     return history.unionByName(_live_log(spark, tables))
 
 
@@ -129,18 +189,18 @@ def read_live_metrics(spark: SparkSession, tables: Tables) -> DataFrame:
     return with_live_keys(_newest_versions(_stored_versions(spark, tables)))
 
 
-def recent_live_metrics(spark: SparkSession, tables: Tables, rows: int) -> DataFrame:
-    """K1 restricted to the newest window if that alone has `rows` rows, else all of it.
+def recent_live_metrics(spark: SparkSession, tables: Tables, days: int = 2) -> DataFrame:
+    """K1 restricted to the newest days, which hold the newest windows.
 
-    The restriction comes before versions are merged, so older windows are not
-    shuffled for a top few.
+    Days come from folder names, so nothing older is opened.
     """
-    versions = _stored_versions(spark, tables)
-    newest = versions.agg(F.max("window")).first()[0]
-    recent = versions.where(F.col("window") == newest)
-    if recent.select(*LIVE_KEYS).distinct().limit(rows).count() < rows:
-        recent = versions
-    return with_live_keys(_newest_versions(recent))
+    stored = {
+        day
+        for path in (tables.live_metrics, tables.live_history)
+        for day in newest_days(spark, path, days)
+    }
+    recent = F.col("day").isin(sorted(stored)[-days:]) if stored else F.lit(False)
+    return with_live_keys(_newest_versions(_stored_versions(spark, tables).where(recent)))
 
 
 def compact_live_metrics(spark: SparkSession, tables: Tables) -> None:
@@ -151,16 +211,18 @@ def compact_live_metrics(spark: SparkSession, tables: Tables) -> None:
     the caller.
     """
     log = _live_log(spark, tables)
-    history = rows_of_days(read_table(spark, tables.live_history, LIVE_HISTORY), log)
+    history = rows_of_days(
+        read_table(spark, tables.live_history, LIVE_HISTORY, first=True), log
+    )
     newest = _newest_versions(history.unionByName(log))
     replace_partitions(newest.withColumn("day", _day()), tables.live_history, "day")
 
 
 def read_repos(spark: SparkSession, tables: Tables) -> DataFrame:
-    """K2: the repository dimension."""
-    return read_table(spark, tables.repos, REPOS_LOG).drop("query", "batch_id")
+    """K2: the repository dimension, one row per key with the language first seen."""
+    return _first_repos(spark, tables).drop(VERSION)
 
 
 def read_live_events(spark: SparkSession, tables: Tables) -> DataFrame:
     """K3: the event feed, with the `day` it is partitioned by."""
-    return read_table(spark, tables.live_events, f"{schemas.LIVE_EVENTS}, day string")
+    return read_table(spark, tables.live_events, EVENTS_LOG, first=True).drop("query", "batch_id")

@@ -10,17 +10,34 @@ from pyspark.sql import functions as F
 
 from repopulse import schemas
 from repopulse.functions.text import path_day, path_hour
+from repopulse.session import folder_names
 
 
-def target_day(batch_day: str = "", debug_day: str = "", today: date | None = None) -> str:
-    """The requested day, else the older override, else yesterday in UTC."""
+def target_day(batch_day: str = "", today: date | None = None) -> str:
+    """The requested day, else yesterday in UTC."""
     yesterday = (today or datetime.now(timezone.utc).date()) - timedelta(days=1)
-    return batch_day.strip() or debug_day.strip() or yesterday.isoformat()
+    return batch_day.strip() or yesterday.isoformat()
 
 
-def archive_globs(folder: str, days: Iterable[str]) -> list[str]:
-    """One glob per day; it matches the whole-day file and the hourly files."""
-    return [f"{folder.rstrip('/')}/{day}*.json.gz" for day in days]
+def archive_paths(
+    spark: SparkSession, folder: str, days: Iterable[str]
+) -> tuple[list[str], list[str]]:
+    """Files of the wanted days, and those of the days that are incomplete.
+
+    The whole-day file if there is one, else the hourly files. Only names are
+    listed: a folder holds 25 files per day at most.
+    """
+    folder = folder.rstrip("/")
+    names = set(folder_names(spark, folder, ""))
+    paths, incomplete = [], []
+    for day in days:
+        hourly = [f"{day}-{hour}.json.gz" for hour in range(24)]
+        whole = [name for name in (f"{day}.json.gz",) if name in names]
+        taken = whole or [name for name in hourly if name in names]
+        paths += [f"{folder}/{name}" for name in taken]
+        if not whole and len(taken) < len(hourly):
+            incomplete.append(day)
+    return paths, incomplete
 
 
 def read_archive(

@@ -18,13 +18,16 @@ def raw_event_files(spark: SparkSession, path: str, stream: bool = False, **opti
 def topic_stream(
     spark: SparkSession, servers: str, topic: str, starting: str = "latest", **options
 ) -> DataFrame:
-    """Message topic as a stream; needs the Kafka connector on the classpath."""
+    """Message topic as a stream; needs the Kafka connector on the classpath.
+
+    Messages that expired before they were read fail the stream, unless the option
+    `failOnDataLoss` is given as false.
+    """
     return (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", starting)
-        .option("failOnDataLoss", "false")
         .options(**options)
         .load()
     )

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repopulse import schemas
+from repopulse.session import folder_names
 
 
 @dataclass(frozen=True)
@@ -41,6 +42,22 @@ class Tables:
     def live_history(self) -> str:
         return f"{self.root}/live_history"
 
+    @property
+    def live_starts(self) -> str:
+        return f"{self.root}/live_starts"
+
+    @property
+    def repos_folded(self) -> str:
+        return f"{self.root}/repos_folded"
+
+    @property
+    def language_days(self) -> str:
+        return f"{self.root}/language_days"
+
+    @property
+    def strays(self) -> str:
+        return f"{self.root}/stray_days"
+
     @property
     def live_events(self) -> str:
         return f"{self.root}/live_events"
@@ -58,12 +75,19 @@ class Tables:
         return f"{self.root}/quarantine"
 
 
-def read_table(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A table with its fixed schema; a table not written yet reads as empty."""
+def read_table(
+    spark: SparkSession, path: str, schema: str, first: bool = False, below: str = ""
+) -> DataFrame:
+    """A table with its fixed schema, or the folders of it that the pattern `below` names.
+
+    With `first`, a table that no run has written yet reads as empty; without, a
+    path that does not exist is an error.
+    """
+    reader = spark.read.schema(schema).option("basePath", path)
     try:
-        return spark.read.schema(schema).parquet(path)
+        return reader.parquet(f"{path}/{below}" if below else path)
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        if not first or error.getCondition() != "PATH_NOT_FOUND":
             raise
         return schemas.empty(spark, schema)
 
@@ -84,15 +108,27 @@ def scan(
     return ordered.limit(limit) if limit > 0 else ordered
 
 
-def recent_days(table: DataFrame, rows: int, day: str = "day") -> DataFrame:
-    """The newest day of a stored, day-partitioned table, or all of it if that day is short.
+def newest_days(spark: SparkSession, path: str, count: int, day: str = "day") -> list[str]:
+    """The newest days of a day-partitioned table, from the names of its folders."""
+    return folder_names(spark, path, f"{day}=")[-count:]
+
+
+def recent_days(
+    spark: SparkSession, path: str, table: DataFrame, rows: int, day: str = "day"
+) -> DataFrame:
+    """As many of the newest days of the table stored at `path` as hold `rows` rows.
 
-    Keeps a newest-first scan from reading every day for a few rows. The day is
-    found from partition names and its rows are counted up to `rows` only.
+    Days come from folder names, and the rows of each are counted up to `rows`
+    only, so a newest-first scan reads one day as a rule and never more days than
+    it needs.
     """
-    newest = table.agg(F.max(day)).first()[0]
-    recent = table.where(F.col(day) == newest)
-    return recent if recent.limit(rows).count() == rows else table
+    taken, found = [], 0
+    for name in reversed(folder_names(spark, path, f"{day}=")):
+        taken.append(name)
+        found += table.where(F.col(day) == name).limit(rows).count()
+        if found >= rows:
+            break
+    return table.where(F.col(day).isin(taken)) if taken else table.where(F.lit(False))
 
 
 def newest_live_metrics(live_metrics: DataFrame, limit: int = 20) -> DataFrame:
@@ -117,4 +153,4 @@ def first_predictions(predictions: DataFrame, limit: int = 20) -> DataFrame:
 
 def processed_days(spark: SparkSession, tables: Tables) -> DataFrame:
     """Days the batch has finished."""
-    return read_table(spark, tables.processed_days, schemas.PROCESSED_DAYS).distinct()
+    return read_table(spark, tables.processed_days, schemas.PROCESSED_DAYS, first=True).distinct()

@@ -19,8 +19,7 @@ from repopulse.operators.cleaning import (
     with_lateness,
 )
 from repopulse.operators.metrics import WINDOW_WIDTH, windowed_activity
-from repopulse.sinks.live import publish_batch, upsert_live_batch
-from repopulse.sinks.rows import live_event_rows
+from repopulse.sinks.live import append_events, publish_batch, upsert_live_batch
 from repopulse.sources.feed import parse_messages
 from repopulse.sources.tables import Tables
 
@@ -107,18 +106,15 @@ def stream_live_metrics(
 def stream_live_events(
     feed: DataFrame, tables: Tables, checkpoint: str, every: str | None = FEED_TRIGGER
 ) -> StreamingQuery:
-    """Every valid event to the feed table; the file sink writes each batch once.
+    """Every valid event to the feed table, each batch in folders of its own.
 
-    The table is partitioned by day, so readers of the newest rows skip the rest.
+    So a batch that is repeated replaces itself, and a stream begun anew with
+    another checkpoint adds to the table.
     """
-    rows = live_event_rows(valid_messages(parse_messages(feed)))
-    compact_day = F.to_date(F.substring("row_key", 1, 8), "yyyyMMdd")
     return (
-        rows.withColumn("day", compact_day.cast("string"))
+        valid_messages(parse_messages(feed))
         .writeStream.outputMode("append")
-        .format("parquet")
-        .partitionBy("day")
-        .option("path", tables.live_events)
+        .foreachBatch(append_events(tables))
         .option("checkpointLocation", checkpoint)
         .trigger(**_trigger(every))
         .start()

@@ -49,8 +49,7 @@ def test_all_panels_from_the_tables_of_both_paths(spark, tables, folder):
         ("11:00:00", "a/b"), ("11:01:00", "c/d"), ("11:02:00", "a/b"),
     ]
     assert [row.stars_1 for row in panels["historical_trends"].orderBy("day").collect()] == [3, 5, 1]
-    # The newest day has fewer rows than are judged, so earlier days take part too.
-    assert records(panels["trending_daily"], "rank", "repo", "score") == [
-        (1, "a/b", 4), (2, "c/d", 3), (3, "c/d", 2), (4, "new", 1), (5, "a/b", 1), (6, "a/b", -2),
-    ]
+    newest = {row.name: row.velocity + row.fork_velocity for row in weekly.collect() if row.day == "2026-04-13"}
+    assert {row.repo: row.score for row in panels["trending_daily"].collect()} == newest
+    assert records(panels["trending_now"], "repo", "is_new") == [("a/b", True), ("c/d", True)]
     assert records(panels["ai_insights"], "repo") == [("a/b",), ("c/d",), ("new",)]

@@ -109,7 +109,6 @@ def test_backfill_fills_only_what_is_unknown_and_found(spark):
     ]
 
 
-def test_backfill_limit_counts_rows_before_filtering(spark):
+def test_backfill_takes_every_row_without_a_language(spark):
     table = weekly(spark, [("2026-04-13", n, n, lang) for n, lang in (("a", "Go"), ("b", None), ("c", None))])
-    assert records(enrichment.backfill_candidates(table, limit=2), "name") == [("b",)]
-    assert enrichment.backfill_candidates(table).count() == 2
+    assert records(enrichment.backfill_candidates(table), "name") == [("b",), ("c",)]

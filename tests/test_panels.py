@@ -32,12 +32,12 @@ def language_rows(spark, rows):
     return weekly(spark, [(day, f"r{i}", lang, stars, 0, 0) for i, (day, lang, stars) in enumerate(rows)])
 
 
-def test_trending_limits_rows_before_merging_repositories(spark):
+def test_trending_ranks_all_rows_of_the_newest_window(spark):
     data = live(
         spark,
         [("10:00", "old/best", "C", 99), ("10:10", "a", "Go", 5), ("10:20", "a", "Rust", 3), ("10:20", "b", "Go", 5)],
     )
-    assert records(panels.trending_now(data, limit=3)) == [(1, "b", "Go", 5), (2, "a", "Rust", 5)]
+    assert records(panels.trending_now(data, limit=3)) == [(1, "b", "Go", 5), (2, "a", "Rust", 3)]
     assert records(panels.trending_window(data, limit=3)) == [(1, "b", "Go", 5), (2, "a", "Rust", 3)]
     assert records(panels.trending_window(data, nth=2)) == [(1, "a", "Go", 5)]
     assert records(panels.trending_window(data, nth=9)) == []
@@ -45,8 +45,17 @@ def test_trending_limits_rows_before_merging_repositories(spark):
 
 def test_new_entrants(spark):
     data = live(spark, [("10:00", "a", "C", 1), ("10:10", "a", "Go", 5), ("10:10", "b", "Go", 6)])
-    found = panels.new_entrants(panels.trending_window(data), panels.trending_window(data, nth=2))
-    assert records(found, "repo") == [("b",)]
+    now, before = panels.trending_window(data), panels.trending_window(data, nth=2)
+    assert records(panels.new_entrants(now, before), "repo") == [("b",)]
+    assert records(panels.with_new_flag(now, before), "repo", "is_new") == [("a", False), ("b", True)]
+
+
+def test_the_best_of_many_is_found_wherever_its_key_sorts(spark):
+    names = [f"org/r{i:04d}" for i in range(3000)]
+    days = [("2026-04-13", n, "Go", 1, 10_000 if n == names[0] else i % 50, 0) for i, n in enumerate(names)]
+    assert panels.trending_daily(weekly(spark, days), limit=1).first().repo == names[0]
+    rows = [("10:00", n, "Go", 10_000 if n == names[0] else i % 50) for i, n in enumerate(names)]
+    assert panels.trending_now(live(spark, rows), limit=1).first().repo == names[0]
 
 
 def test_unknown_language_is_kept_only_when_alone(spark):
@@ -130,7 +139,7 @@ def test_activity_feed(spark):
     assert found == [("00:59:29", "Event", "a/b"), ("none", "ForkEvent", "")]
 
 
-def test_trending_daily_candidates_and_ties(spark):
+def test_trending_daily_takes_the_newest_day_and_breaks_ties(spark):
     data = weekly(
         spark,
         [
@@ -141,24 +150,23 @@ def test_trending_daily_candidates_and_ties(spark):
         ],
     )
     shown = ("rank", "repo", "language", "score", "score_pct")
-    assert records(panels.trending_daily(data, candidate_limit=3), *shown) == [
+    assert records(panels.trending_daily(data), *shown) == [
         (1, "b", "Go", 4, 100.0),
         (2, "a", "Go", 4, 100.0),
         (3, "c", "Unknown", -4, 2.0),
     ]
-    assert records(panels.trending_daily(data, limit=1), "repo") == [("old",)]
-    assert records(panels.trending_daily(data, limit=1, candidate_limit=None), "repo") == [("b",)]
+    assert records(panels.trending_daily(data, limit=1), "repo") == [("b",)]
 
 
-def test_ai_insights_by_name_or_probability(spark):
+def test_ai_insights_by_probability_or_another_column(spark):
     data = spark.createDataFrame(
         [("a", 0.119, "x", 3.9), ("b", 0.9, None, -2.5), ("c", 0.5, "y", 0.0)], schemas.PREDICTIONS
     )
     assert records(panels.ai_insights(data, 2)) == [
-        ("a", 0.119, 11, "x", 3),
         ("b", 0.9, 90, "Unknown", -2),
+        ("c", 0.5, 50, "y", 0),
     ]
-    assert records(panels.ai_insights(data, 1, order_by="probability"), "repo") == [("b",)]
+    assert records(panels.ai_insights(data, 1, order_by="predicted_growth"), "repo") == [("a",)]
 
 
 def test_dashboard_over_tables_not_written_yet(spark, tables):

@@ -5,15 +5,18 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from repopulse.operators import cleaning, enrichment, metrics
 from repopulse.sample import tables as sample
+from repopulse.sample.queries import QUERIES
 
 # Queries that run jobs or streams of their own before they return.
 EAGER = {
     "stream_windowed_activity", "stream_dedup_windowed", "stream_repos", "stream_live_feed",
     "stream_canonical_events", "daily_job", "snapshot_job", "processed_days_job", "backfill_job",
-    "archive_read", "archive_quarantine", "breakout_scores", "ai_insights",
+    "archive_read", "archive_quarantine", "breakout_scores", "breakout_checks", "ai_insights",
+    "daily_job_stray_days", "daily_job_mixed_files", "late_day_job", "stream_live_feed_restart",
+    "dashboard_trending_now", "dashboard_rising_languages", "dashboard_historical_trends",
+    "dashboard_trending_daily",
 }
 TOP_K = {
     "live_metrics_scan", "top_velocity", "trending_now", "trending_now_window", "rising_languages",
@@ -28,9 +31,9 @@ def plan_of(rows):
     return rows._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - EAGER))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - EAGER))
 def test_no_python_no_all_pairs_no_global_sort(spark, sf_dir, name):
-    plan = plan_of(entry.queries()[name](spark, sf_dir))
+    plan = plan_of(QUERIES[name](spark, sf_dir))
     assert not [word for word in (*PYTHON, *ALL_PAIRS) if word in plan]
     assert "rangepartitioning" not in plan
     if name in TOP_K:
@@ -50,7 +53,7 @@ def exchanges(plan):
 
 
 def test_enrichment_reuses_the_partitioning_of_velocity(shuffled, sf_dir):
-    plan = plan_of(entry.queries()["weekly_metrics"](shuffled, sf_dir))
+    plan = plan_of(QUERIES["weekly_metrics"](shuffled, sf_dir))
     by_day = [keys for keys in exchanges(plan) if "day" in keys]
     by_repo = [keys for keys in exchanges(plan) if "day" not in keys]
     # Counting needs one shuffle, velocity one, and each of three metadata tables one.
@@ -59,7 +62,7 @@ def test_enrichment_reuses_the_partitioning_of_velocity(shuffled, sf_dir):
 
 def test_counting_is_partial_before_the_shuffle(spark, sf_dir):
     for name in ("daily_metrics", "windowed_activity", "repos_dimension", "last_day_snapshot"):
-        assert "partial_" in plan_of(entry.queries()[name](spark, sf_dir))
+        assert "partial_" in plan_of(QUERIES[name](spark, sf_dir))
 
 
 def test_relevant_types_and_columns_reach_the_scan(spark, sf_dir):

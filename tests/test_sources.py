@@ -7,6 +7,7 @@ from pathlib import Path
 
 import pytest
 from conftest import records
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from repopulse import schemas
@@ -25,16 +26,23 @@ def write_gz(path, lines):
 
 def test_target_day_precedence():
     today = date(2026, 4, 14)
-    assert archive.target_day("2026-04-01", "2026-03-01", today) == "2026-04-01"
-    assert archive.target_day(" ", "2026-03-01", today) == "2026-03-01"
+    assert archive.target_day("2026-04-01", today) == "2026-04-01"
+    assert archive.target_day(" ", today) == "2026-04-13"
     assert archive.target_day(today=today) == "2026-04-13"
 
 
-def test_globs_match_whole_day_and_hourly_files(spark, folder):
-    for name in ("2026-04-13.json.gz", "2026-04-13-7.json.gz", "2026-04-14.json.gz"):
+def test_whole_day_files_come_before_hourly_ones(spark, folder):
+    for name in ("2026-04-13.json.gz", "2026-04-13-7.json.gz", "2026-04-14-7.json.gz", "2026-04-1.json.gz"):
         write_gz(f"{folder}/{name}", [line()])
-    found = archive.read_archive(spark, archive.archive_globs(folder, ["2026-04-13"]))
-    assert found.count() == 2
+    for hour in range(24):
+        write_gz(f"{folder}/2026-04-15-{hour}.json.gz", [line()])
+    days = [f"2026-04-1{d}" for d in (3, 4, 5, 6)]
+    paths, incomplete = archive.archive_paths(spark, folder, days)
+    names = [p.removeprefix(f"{folder}/") for p in paths]
+    assert names[:2] == ["2026-04-13.json.gz", "2026-04-14-7.json.gz"] and len(names) == 26
+    assert incomplete == ["2026-04-14", "2026-04-16"]
+    assert archive.read_archive(spark, paths).count() == 26
+    assert archive.archive_paths(spark, f"{folder}/none", days) == ([], days)
 
 
 def test_unreadable_lines_are_set_aside(spark, folder):
@@ -119,12 +127,18 @@ def test_recent_days_widens_only_when_the_newest_day_is_short(spark, folder):
     data = spark.createDataFrame([("d1", 1), ("d2", 1), ("d2", 2)], "day string, v int")
     data.write.partitionBy("day").parquet(folder)
     stored = spark.read.schema("v int, day string").parquet(folder)
-    assert tables.recent_days(stored, 2).count() == 2
-    assert tables.recent_days(stored, 3).count() == 3
+    assert tables.recent_days(spark, folder, stored, 2).count() == 2
+    assert tables.recent_days(spark, folder, stored, 3).count() == 3
+    assert tables.recent_days(spark, folder, stored, 9).count() == 3
+    assert tables.recent_days(spark, f"{folder}/none", stored, 9).count() == 0
+    plan = tables.recent_days(spark, folder, stored, 2)._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan or "day#" in plan.split("PartitionFilters: [")[1][:40]
 
 
 def test_tables_not_written_yet_read_as_empty(spark, tables):
     from repopulse.sources.tables import processed_days, read_table
 
-    assert read_table(spark, tables.weekly_metrics, schemas.WEEKLY_METRICS).count() == 0
+    assert read_table(spark, tables.weekly_metrics, schemas.WEEKLY_METRICS, first=True).count() == 0
+    with pytest.raises(AnalysisException):
+        read_table(spark, tables.weekly_metrics, schemas.WEEKLY_METRICS)
     assert processed_days(spark, tables).count() == 0

@@ -114,7 +114,7 @@ def test_failing_sink_stops_the_stream_and_the_batch_is_repeated(
         raise OSError("no space")
 
     with monkeypatch.context() as patch:
-        patch.setattr(live, "insert_repos", broken)
+        patch.setattr(live, "log_repos", broken)
         with pytest.raises(Exception, match="no space"):
             run_metrics(session, feed, tables, folder)
     run_metrics(session, feed, tables, folder)
@@ -229,7 +229,7 @@ def test_live_run_surfaces_a_failure_of_either_stream(spark, session, feed, fold
     def broken(*_):
         raise OSError("sink is gone")
 
-    monkeypatch.setattr(live, "insert_repos", broken)
+    monkeypatch.setattr(live, "log_repos", broken)
     with pytest.raises(Exception, match="sink is gone"):
         queries.run_live(session, message_files(session, str(feed.path)), tables, f"{folder}/ck")
     assert session.streams.active == []

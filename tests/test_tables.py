@@ -115,6 +115,9 @@ def test_run_from_files_quarantines_and_then_backfills(spark, tables, folder):
     events = [{"type": "WatchEvent", "repo": {"name": "a/b"}, "created_at": "2026-04-10T01:00:00Z"}]
     lines = [json.dumps(e) for e in events] + ["{broken", json.dumps({"type": "PushEvent"})]
     Path(folder).mkdir(parents=True)
+    with gzip.open(f"{folder}/2026-04-10.json.gz", "wt") as out:
+        out.write("\n".join(lines))
+    # Hourly files beside the whole-day file are not counted again.
     with gzip.open(f"{folder}/2026-04-10-1.json.gz", "wt") as out:
         out.write("\n".join(lines))
     source = metadata(spark, [("a/b", "Zig")])
@@ -201,7 +204,58 @@ def test_writing_days_again_replaces_them(spark, tables):
     rows = spark.createDataFrame(
         [("2026-04-10#a", "a", "Go", "a", 1, 1, 1, 1, 1, 0, 0, "2026-04-10")], schemas.WEEKLY_METRICS
     )
-    daily_sinks.write_weekly(rows, tables)
-    daily_sinks.write_weekly(rows.withColumn("stars", F.lit(9).cast("bigint")), tables)
+    days = ["2026-04-10"]
+    daily_sinks.write_weekly(spark, rows, tables, days)
+    nine = rows.withColumn("stars", F.lit(9).cast("bigint"))
+    daily_sinks.write_weekly(spark, nine, tables, days)
+    assert records(daily_sinks.read_language_days(spark, tables), "stars", "repos") == [(9, 1)]
     stored = read_table(spark, tables.weekly_metrics, schemas.WEEKLY_METRICS)
     assert records(stored, "day", "stars") == [("2026-04-10", 9)]
+
+
+def one_event(name, time):
+    return ("WatchEvent", (name,), time)
+
+
+def raw_archive(spark, rows):
+    return spark.createDataFrame(rows, schemas.ARCHIVE_EVENT)
+
+
+def test_days_not_asked_for_are_put_aside(spark, tables):
+    full = [one_event("a/b", "2026-04-12T01:00:00Z")] * 3 + [one_event("c/d", "2026-04-12T02:00:00Z")]
+    daily.run_daily(spark, tables, raw_archive(spark, full), incomplete_days=spark.createDataFrame([("2026-04-12",)], "day string"))
+    stray = [one_event("a/b", f"2026-04-1{d}T23:59:59Z") for d in (2, 3, 4)]
+    for _ in range(2):
+        daily.run_daily(spark, tables, raw_archive(spark, stray), days=["2026-04-13"])
+    stored = daily_sinks.read_weekly(spark, tables)
+    assert records(stored, "day", "name", "stars") == [
+        ("2026-04-12", "a/b", 3), ("2026-04-12", "c/d", 1), ("2026-04-13", "a/b", 1),
+    ]
+    from repopulse.sources.tables import processed_days
+
+    assert records(processed_days(spark, tables), "day") == [("2026-04-13",)]
+    aside = read_table(spark, tables.strays, schemas.STRAY_DAYS)
+    assert records(aside, "day", "repo_name") == [("2026-04-12", "a/b"), ("2026-04-14", "a/b")]
+    # The day that came as a stray is still to be done.
+    assert daily.run_daily(spark, tables, raw_archive(spark, stray[2:] * 5), days=["2026-04-14"])
+
+
+def test_a_late_day_refreshes_the_velocity_of_the_next_one(spark, tables):
+    stars = lambda day, n: [one_event("a/b", f"2026-04-{day}T01:00:00Z")] * n
+    daily.run_daily(spark, tables, raw_archive(spark, stars(10, 5) + stars(12, 9)))
+    daily.run_daily(spark, tables, raw_archive(spark, stars(11, 8)))
+    stored = daily_sinks.read_weekly(spark, tables)
+    assert records(stored, "day", "velocity") == [("2026-04-10", 5), ("2026-04-11", 3), ("2026-04-12", 1)]
+    assert records(daily_sinks.read_snapshot(spark, tables), "last_stars", "last_day") == [(9, "2026-04-12")]
+
+
+def test_an_incomplete_day_is_written_but_not_marked(spark, tables, folder):
+    Path(folder).mkdir(parents=True)
+    line = json.dumps({"type": "WatchEvent", "repo": {"name": "a/b"}, "created_at": "2026-04-10T01:00:00Z"})
+    with gzip.open(f"{folder}/2026-04-10-1.json.gz", "wt") as out:
+        out.write(line + "\n{broken")
+    for _ in range(2):
+        assert daily.run_archive(spark, tables, folder, ["2026-04-10"], quarantine=True)
+    # The same bad line twice is one row.
+    assert records(spark.read.parquet(tables.quarantine), "record") == [("{broken",)]
+    assert daily_sinks.read_weekly(spark, tables).count() == 1
