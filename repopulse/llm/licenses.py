@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import regex
 from pyspark.sql import Column, DataFrame
@@ -55,6 +56,18 @@ def _bounds(size: int, least: float) -> tuple[int, int]:
     return math.ceil(size * least / (2 - least) - 1e-9), math.floor(size * (2 - least) / least + 1e-9)
 
 
+def telling_bigrams(pairs: list[str], least: float) -> list[str]:
+    """Bigrams of which a passage has at least one if it matches a template of these.
+
+    A match may lack only so many of the template's bigrams; the longest ones, one
+    more than that, are taken. None if it may lack all.
+    """
+    low, _ = _bounds(len(pairs), least)
+    lacking = len(pairs) - math.ceil(least * (low + len(pairs)) / 2 - 1e-9)
+    longest = sorted(pairs, key=lambda p: (-len(p), p))
+    return longest[: lacking + 1] if lacking < len(pairs) else []
+
+
 def _passages(text: Column) -> Column:
     """Lines, paragraphs of several lines, and the text if it has several paragraphs.
 
@@ -106,7 +119,8 @@ def scan(
     `shared` and `n_bigrams` count different word bigrams, `dice` is the
     coefficient, `least` or more. Words are runs of letters and digits in lower
     case. Templates whose number of bigrams rules that coefficient out are not
-    compared, and passages without any template left are dropped unsplit. Null
+    compared; documents without any of the bigrams of which a match must have one, by
+    the same bounds, are not split. Null
     and empty texts and passages of fewer than two words match nothing; repeated
     rows match alike. No row is shuffled.
     """
@@ -114,13 +128,21 @@ def scan(
     known = {name: pairs for name, pairs in known.items() if pairs}
     bounds = {name: _bounds(len(pairs), least) for name, pairs in known.items()}
     fewest = min((a for a, _ in bounds.values()), default=0)
+    telling = [telling_bigrams(pairs, least) for pairs in known.values()]
+    can_match = F.col("text").isNotNull()
+    if all(telling):
+        any_of = sorted({pair for some in telling for pair in some})
+        can_match = can_match & let(
+            F.regexp_replace(F.lower("text"), NO_WORD, " "),
+            lambda t: reduce(lambda a, b: a | b, (F.contains(t, F.lit(p)) for p in any_of), F.lit(False)),
+        )
 
     def long_enough(passage: Column) -> Column:
         """A set of n bigrams needs n + 1 words at least; repeats may add any number."""
         words = F.regexp_replace(F.trim(F.translate(passage["words"], "\n", " ")), " +", " ")
         return F.struct(passage["kind"].alias("kind"), passage["place"].alias("place"), words.alias("words"))
 
-    found = docs.select(
+    found = docs.where(can_match).select(
         F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"),
         F.explode(F.transform(_passages(F.col("text")), long_enough)).alias("p"),
     )

@@ -52,6 +52,7 @@ def test_wrapped_texts_match_as_paragraph_or_whole(spark):
     found = licenses.scan(docs_of(spark, ["intro\n\n" + wrapped + "\n \nend", apart])).collect()
     assert {(r["row"]["doc_id"], r["kind"], r["place"], r["license"]) for r in found} == {
         (0, "paragraph", 1, "MIT text"),
+        (0, "text", 0, "MIT text"),
         (1, "text", 0, "MIT text"),
     }
 
@@ -63,6 +64,16 @@ def test_size_bounds_exclude_nothing_that_could_match():
         assert (low, high) == (able[0], able[-1])
 
 
+def test_every_match_has_a_telling_bigram():
+    for template in licenses.TEMPLATES.values():
+        own = licenses.template_bigrams(template)
+        telling = licenses.telling_bigrams(own, 0.8)
+        low, _ = licenses._bounds(len(own), 0.8)
+        left = len(own) - len(telling)
+        # Without them even the smallest passage falls short.
+        assert telling and 2 * left / (max(left, low) + len(own)) < 0.8
+
+
 def test_odd_rows(spark, odd_docs, no_docs):
     assert licenses.scan(odd_docs).count() == 0
     assert licenses.scan(no_docs).count() == 0
