@@ -254,6 +254,11 @@ WHERE event_type IN ('WatchEvent', 'ForkEvent')""",
     ),
     "canonical_events": _with((BASE, META), CANONICAL),
     "fork_canonicalisation": _with((BASE,), "SELECT event_id, own_repo, repo_name FROM base"),
+    "raw_file_events": _with(
+        (BASE,),
+        """SELECT event_id, event_type, repo_name, actor, created_at FROM base
+WHERE event_type IN ('WatchEvent', 'ForkEvent')""",
+    ),
     "dedup_events": _with(
         (BASE,),
         """SELECT DISTINCT event_id, event_type, repo_name, actor, created_at FROM

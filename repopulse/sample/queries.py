@@ -17,7 +17,7 @@ from repopulse.sinks import live, rows
 from repopulse.sinks.daily import read_snapshot, read_weekly
 from repopulse.sources import archive as archive_files
 from repopulse.sources import tables as stored
-from repopulse.sources.feed import message_files, parse_messages
+from repopulse.sources.feed import message_files, parse_messages, raw_event_files
 from repopulse.sources.tables import Tables
 from repopulse.streaming import queries as streams
 
@@ -47,6 +47,13 @@ def fork_canonicalisation(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def raw_file_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw events landed as JSON lines and read back as files."""
+    path = f"{run_dir(spark, 'raw-events')}/landed"
+    sample.raw_events(spark, sf_dir).write.json(path)
+    return cleaning.resolve_raw_events(raw_event_files(spark, path)).drop("event_timestamp")
+
+
 def dedup_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     once = cleaning.resolve_raw_events(sample.raw_events(spark, sf_dir)).drop("event_timestamp")
     return cleaning.distinct_events(once.unionAll(once))
@@ -574,6 +581,7 @@ ALL = [
     relevant_events,
     canonical_events,
     fork_canonicalisation,
+    raw_file_events,
     dedup_events,
     validity_filter,
     message_values,

@@ -13,7 +13,7 @@ from repopulse.sample.queries import QUERIES
 EAGER = {
     "stream_windowed_activity", "stream_dedup_windowed", "stream_repos", "stream_live_feed",
     "stream_canonical_events", "daily_job", "snapshot_job", "processed_days_job", "backfill_job",
-    "archive_read", "archive_quarantine", "breakout_scores", "breakout_checks", "ai_insights",
+    "raw_file_events", "archive_read", "archive_quarantine", "breakout_scores", "breakout_checks", "ai_insights",
     "daily_job_stray_days", "daily_job_mixed_files", "late_day_job", "stream_live_feed_restart",
     "dashboard_trending_now", "dashboard_rising_languages", "dashboard_historical_trends",
     "dashboard_trending_daily",
