@@ -29,9 +29,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cotraining.classify(
+    found = cotraining.classify(
         spark, _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     )
+    return found.withColumnRenamed("good", "kept")
 
 
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
