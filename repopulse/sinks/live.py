@@ -115,6 +115,16 @@ def append_events(tables: Tables) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def append_unreadable(tables: Tables) -> Callable[[DataFrame, int], None]:
+    """Micro-batch callback that keeps events whose time cannot be read."""
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        path = batch_path(tables.unreadable, query_of(batch.sparkSession), batch_id)
+        batch.drop("event_timestamp").write.mode("overwrite").parquet(path)
+
+    return write
+
+
 def publish_batch(
     tables: Tables, metadata: DataFrame, topic: dict[str, str] | None = None
 ) -> Callable[[DataFrame, int], None]:

@@ -54,6 +54,10 @@ class Tables:
     def language_days(self) -> str:
         return f"{self.root}/language_days"
 
+    @property
+    def unreadable(self) -> str:
+        return f"{self.root}/unreadable_events"
+
     @property
     def strays(self) -> str:
         return f"{self.root}/stray_days"

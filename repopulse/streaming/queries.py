@@ -19,7 +19,12 @@ from repopulse.operators.cleaning import (
     with_lateness,
 )
 from repopulse.operators.metrics import WINDOW_WIDTH, windowed_activity
-from repopulse.sinks.live import append_events, publish_batch, upsert_live_batch
+from repopulse.sinks.live import (
+    append_events,
+    append_unreadable,
+    publish_batch,
+    upsert_live_batch,
+)
 from repopulse.sources.feed import parse_messages
 from repopulse.sources.tables import Tables
 
@@ -39,13 +44,28 @@ def clean_events(
 ) -> DataFrame:
     """Q1 up to the metadata: F1, F5, R7.
 
-    Events without a readable time are dropped here, as the metrics would drop
-    them anyway and they cannot expire from the duplicate memory.
+    Events without a readable time are left out, as they cannot expire from the
+    duplicate memory; `keep_unreadable` stores them.
     """
     events = resolve_raw_events(raw).where(F.col("event_timestamp").isNotNull())
     return distinct_event_stream(with_lateness(events, delay), spread_copies)
 
 
+def keep_unreadable(
+    raw: DataFrame, tables: Tables, checkpoint: str, every: str | None = PUBLISH_TRIGGER
+) -> StreamingQuery:
+    """The events that Q1 leaves out for their time, to a table of their own."""
+    return (
+        resolve_raw_events(raw)
+        .where(F.col("event_timestamp").isNull())
+        .writeStream.outputMode("append")
+        .foreachBatch(append_unreadable(tables))
+        .option("checkpointLocation", checkpoint)
+        .trigger(**_trigger(every))
+        .start()
+    )
+
+
 def publish_messages(
     raw: DataFrame,
     metadata: DataFrame,

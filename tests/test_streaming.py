@@ -197,6 +197,8 @@ def test_publishing_cleans_resolves_and_enriches(spark, session, feed, tables, f
         ("1", "me/copy", "Unknown", 0, 0),
         ("2", "up/stream", "Go", 7, 9),
     ]
+    queries.keep_unreadable(raw, tables, f"{folder}/unreadable", every=None).awaitTermination()
+    assert records(spark.read.parquet(tables.unreadable), "event_id", "created_at") == [("4", "never")]
 
 
 def test_late_events_are_published_while_ids_are_remembered(spark, session, feed, tables, folder):
@@ -241,3 +243,35 @@ def test_windows_of_another_width(spark, session, feed, tables, folder):
     run_metrics(session, feed, tables, folder, width="5 minutes", delay="1 minute")
     assert [w[11:16] for w, *_ in counts(spark, tables)] == ["10:30", "10:35"]
     assert live.read_live_metrics(spark, tables).where(F.col("week") == "2026-04-13 00:00:00").count() == 2
+
+
+def test_a_new_checkpoint_adds_to_the_feed_and_a_repeated_batch_replaces_itself(
+    spark, session, feed, tables, folder
+):
+    feed.add(message(1, "10:31:00"))
+    source = lambda: message_files(session, str(feed.path))
+    queries.stream_live_events(source(), tables, f"{folder}/one", every=None).awaitTermination()
+    feed.add(message(2, "10:32:00"), message(3, "10:33:00"))
+    queries.stream_live_events(source(), tables, f"{folder}/two", every=None).awaitTermination()
+    ids = lambda: sorted(row.row_key.split("#")[1] for row in live.read_live_events(spark, tables).collect())
+    assert ids() == ["1", "1", "2", "3"]
+    batch = parse_messages(message_files(session, str(feed.path), stream=False))
+    for _ in range(2):
+        live.append_events(tables)(batch, 7)
+    assert ids() == ["1", "1", "1", "2", "2", "3", "3"]
+
+
+def test_starts_are_numbered_by_what_is_stored(spark, tables):
+    assert [live.next_start(spark, tables) for _ in range(3)] == [1, 2, 3]
+
+
+def test_the_first_batch_decides_a_language_and_folding_keeps_it(spark, tables):
+    for batch_id, language in ((5, "Go"), (6, "Rust")):
+        rows = spark.createDataFrame(
+            [("2026-04-13 10:00:00", "a/b", "WatchEvent", language)],
+            "window string, name string, event_type string, language string",
+        )
+        live.log_repos(tables, rows, F.lit(batch_id).cast("bigint").alias("version"), "q", batch_id)
+    assert records(live.read_repos(spark, tables), "full_name", "language") == [("a/b", "Go")]
+    live.compact_repos(spark, tables, "one")
+    assert records(live.read_repos(spark, tables), "full_name", "language") == [("a/b", "Go")]
