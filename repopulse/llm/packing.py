@@ -85,17 +85,28 @@ class Mixture:
         Token t of a queue of weight w is due at (2t + 1) / 2w; the queue with the
         lower number goes first among equals.
         """
-        own = self.weights[queue]
+        twice = 2 * self.weights[queue]
         total = np.zeros(len(place), np.int64)
         for other, (tokens, weight) in enumerate(zip(self.tokens, self.weights)):
-            scaled = (2 * place + 1) * weight - own
-            before = np.where(other < queue, scaled // (2 * own) + 1, -(-scaled // (2 * own)))
-            total += np.clip(before, 0, tokens)
+            # Places u of the other queue with (2u + 1) / 2w before the token's own.
+            scaled = (2 * place + 1) * weight + twice // 2 - (other >= queue)
+            total += np.clip(scaled // twice, 0, tokens)
         return total
 
     def first_from(self, queue, low, high, rank) -> np.ndarray:
-        """The first place from `low` on, at most `high`, whose rank is `rank` or more."""
-        low, high = low.copy(), high.copy()
+        """The first place from `low` on, at most `high`, whose rank is `rank` or more.
+
+        As long as no queue is empty, it is near the queue's share of `rank`; where
+        that proves wrong, all places are searched.
+        """
+        share = self.weights[queue] / self.weights.sum()
+        near = (rank * share).astype(np.int64)
+        reach = (len(self.weights) * share).astype(np.int64) + 2
+        a, b = (np.clip(x, low, high) for x in (near - reach, near + reach))
+        missed = ((a > low) & (self.rank(queue, np.maximum(a - 1, 0)) >= rank)) | (
+            (b < high) & (self.rank(queue, b) < rank)
+        )
+        low, high = np.where(missed, low, a), np.where(missed, high, b)
         while (open_ := low < high).any():
             middle = (low + high) >> 1
             below = open_ & (self.rank(queue, middle) < rank)

@@ -11,9 +11,9 @@ import sys
 import numpy as np
 
 #: Pieces whose ids a worker remembers before it starts anew.
-REMEMBERED = 600_000
+REMEMBERED = 1_000_000
 #: Words that are encoded together.
-TOGETHER = 2_000
+TOGETHER = 200
 #: Marks at the end of a piece, after an ASCII or Latin-1 letter or a digit: always a
 #: pre-token of their own, and so as good as a piece.
 _MARKS = re.compile(
