@@ -179,12 +179,15 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, window: int = 50) ->
     )
     status = whole.join(owners, "digest", "left")
     # First level: windows found in two different texts.
+    # Rows of one id share their places, which can only add candidates.
     found = first.where("doc_id is not null").select(
-        *KEY,
+        "doc_id",
         F.xxhash64("digest").alias("of_text"),
         F.explode(F.arrays_zip("hashes", "places")).alias("w"),
     )
-    found = found.select(*KEY, "of_text", F.col("w.hashes").alias("hash"), F.col("w.places").alias("place"))
+    found = found.select(
+        "doc_id", "of_text", F.col("w.hashes").alias("hash"), F.col("w.places").alias("place")
+    )
     shared = staged(
         spark,
         found.groupBy("hash")
@@ -195,11 +198,11 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, window: int = 50) ->
     )
     places = (
         found.join(shared, "hash", "left_semi")
-        .groupBy(*KEY)
+        .groupBy("doc_id")
         .agg(F.collect_set("place").alias("places"))
     )
-    firsts = status.where("doc_id = owner").select(*KEY)
-    places = places.join(firsts, KEY, "left_semi")
+    firsts = status.where("doc_id = owner").select(*KEY).distinct()
+    places = places.join(firsts, "doc_id").select(*KEY, "places")
     texts = staged(spark, keyed.join(places, KEY), "texts")
     # Second level: full windows, each with the least id that has it.
     rows = texts.mapInArrow(
