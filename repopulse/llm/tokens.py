@@ -22,6 +22,12 @@ _MARKS = re.compile(
 )
 
 
+#: Runs of ASCII and other Latin letters, up to U+024F.
+_LATIN = re.compile(
+    rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|[\xc4-\xc8][\x80-\xbf]|\xc9[\x80-\x8f])+"
+)
+
+
 class Encoder:
     """Ids of texts as octets.
 
@@ -72,7 +78,7 @@ class Encoder:
             new = list(pieces)
         words, others = [], []
         for p in new:
-            plain = self.last is not None and (p.isalpha() or _latin(p))
+            plain = self.last is not None and (p.isalpha() or _LATIN.fullmatch(p))
             (words if plain else others).append(p)
         for i in range(0, len(words), TOGETHER):
             self._line(words[i : i + TOGETHER])
@@ -91,11 +97,6 @@ def id_kind(tokenizer) -> str:
     return "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
 
 
-def _latin(piece: bytes) -> bool:
-    text = piece.decode()
-    return max(text) < "ɐ" and text.isalpha()
-
-
 def worker_encoder(path: str, lower: bool) -> Encoder:
     """The encoder of this Python worker, which outlives its tasks.
 
