@@ -38,8 +38,8 @@ LIVE_HISTORY = (
     "window string, name string, event_type string, language string, stars bigint, "
     f"forks bigint, watchers bigint, count bigint, {VERSION} bigint, day string"
 )
-REPOS_FOLDED = f"{schemas.REPOS}, {VERSION} bigint"
-REPOS_LOG = f"{REPOS_FOLDED}, query string, batch_id bigint"
+REPOS_FOLDED = f"{schemas.REPOS}, {VERSION} bigint, run string"
+REPOS_LOG = f"{schemas.REPOS}, {VERSION} bigint, query string, batch_id bigint"
 EVENTS_LOG = f"{schemas.LIVE_EVENTS}, day string, query string, batch_id bigint"
 
 
@@ -158,7 +158,7 @@ def log_repos(
 
 def _first_repos(spark: SparkSession, tables: Tables) -> DataFrame:
     log = read_table(spark, tables.repos, REPOS_LOG, first=True).drop("query", "batch_id")
-    folded = read_table(spark, tables.repos_folded, REPOS_FOLDED, first=True)
+    folded = read_table(spark, tables.repos_folded, REPOS_FOLDED, first=True).drop("run")
     order = F.struct(VERSION, "full_name", "language")
     first = log.unionByName(folded).groupBy("repo_key").agg(F.min(order).alias("first"))
     return first.select("repo_key", "first.full_name", "first.language", f"first.{VERSION}")
