@@ -78,3 +78,34 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert licenses.scan(odd_docs).count() == 0
     assert licenses.scan(no_docs).count() == 0
     assert licenses.scan(odd_docs, {}).count() == 0
+
+
+def test_other_licences_and_wordings_are_told_apart(spark):
+    wanted = {
+        "This work is licensed under the GNU General Public License, version 2.": "GPL-2.0",
+        "This work is licensed under the GNU Lesser General Public License, version 3.": "LGPL-3.0",
+        "This work is licensed under the GNU Affero General Public License, version 3.": "AGPL-3.0",
+        "This work is licensed under the GNU General Public License, version 3.": "GPL-3.0",
+        "Licensed under the MIT License.": "MIT",
+        "Licensed under the Mozilla Public License, version 2.0.": "MPL-2.0",
+        "Released under the BSD 3-Clause License.": "BSD-3-Clause",
+        "Licensed under CC BY-ND 4.0.": "CC-BY-ND-4.0",
+        licenses.GENERAL["GPL-2.0 whole"].replace("\n", " "): "GPL-2.0",
+    }
+    found = licenses.scan(docs_of(spark, list(wanted))).where("kind = 'line'").collect()
+    got = {r["row"]["doc_id"]: r["license"].split()[0] for r in found}
+    assert got == dict(enumerate(wanted.values()))
+
+
+def test_notices_inside_longer_passages_are_found(spark):
+    notice = "Licensed under the Apache License, Version 2.0."
+    texts = [
+        f"Copyright 2020 The Authors. {notice} All other words of this line say nothing about it at all.",
+        "one two three four\nfive six seven. Licensed under the Apache\nLicense, Version 2.0. eight nine ten\neleven twelve",
+        f"a line before\n{notice}\na line after",
+        "none of it, under the terms of nobody, is licensed",
+    ]
+    found = licenses.scan(docs_of(spark, texts)).collect()
+    assert [(r["row"]["doc_id"], r["kind"], r["place"], r["license"], r["dice"]) for r in found] == [
+        (0, "window", 4, "Apache-2.0", 1.0), (1, "window", 7, "Apache-2.0", 1.0), (2, "line", 1, "Apache-2.0", 1.0)
+    ]
