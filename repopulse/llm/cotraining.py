@@ -26,12 +26,11 @@ VIEWS = ("text", "meta")
 class Settings:
     """Bounds of what the classifiers are fitted on, and how the rounds go.
 
-    About `labelled` rows with a label and `pool` without one are drawn by a hash
-    of their id. `sure` is the probability from which a label is passed on.
+    About `labelled` rows with a label are drawn by a hash of their id; rows without
+    one all take part. `sure` is the probability from which a label is passed on.
     """
 
     labelled: int = 10_000
-    pool: int = 10_000
     rounds: int = 2
     sure: float = 0.97
     text_features: int = 1 << 12
@@ -151,7 +150,7 @@ class CoTrained:
 def fit(
     spark: SparkSession, docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
 ) -> CoTrained:
-    """Classifiers fitted on a bounded sample of labelled rows and an unlabelled pool.
+    """Classifiers fitted on a bounded sample of labelled rows and all unlabelled ones.
 
     `labels` has doc_id and quality (0 or 1); null fields are passed over, and
     several labels of an id count by majority. Unless the sample has both labels
@@ -163,12 +162,10 @@ def fit(
         .groupBy("doc_id")
         .agg((F.avg("quality") >= 0.5).cast("double").alias("label"))
     )
-    n_labels, n_docs = known.count(), docs.count()
-    in_labels = _share(F.col("doc_id"), settings.labelled, n_labels, 1)
-    in_pool = _share(F.col("doc_id"), settings.pool, n_docs, 2)
+    in_labels = _share(F.col("doc_id"), settings.labelled, known.count(), 1)
     columns = docs.select("doc_id", "text", "source", "lang").where("doc_id is not null")
     taught = columns.where(in_labels).join(known.where(in_labels), "doc_id")
-    untaught = columns.where(in_pool).join(known, "doc_id", "left_anti")
+    untaught = columns.join(known, "doc_id", "left_anti")
     none = F.lit(None).cast("double").alias("label")
     drawn = taught.unionByName(untaught.select("*", none))
     held = staged(spark, views(drawn, settings, "doc_id", "label"), "views")

@@ -41,3 +41,13 @@ def test_odd_rows_are_scored(spark, odd_docs):
 def test_views_do_not_share_columns(spark, odd_docs):
     rows = cotraining.views(odd_docs, cotraining.Settings(), "doc_id")
     assert rows.columns == ["doc_id", "text_view", "meta_view"] and rows.count() == 9
+
+
+def test_every_unlabelled_row_takes_part(spark, monkeypatch):
+    texts = [f"the {i} words of a page" if i % 2 else f"### {i} $$$ %%%{i}" for i in range(12_000)]
+    docs = docs_of(spark, texts)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, quality int")
+    seen, stage = [], cotraining.staged
+    monkeypatch.setattr(cotraining, "staged", lambda s, df, name: seen.append(stage(s, df, name)) or seen[-1])
+    cotraining.fit(spark, docs, labels, cotraining.Settings(rounds=1, iterations=2))
+    assert seen[0].where("label is null").count() == 11_800
