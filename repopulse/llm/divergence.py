@@ -7,10 +7,11 @@ distance. Both stand next to base rules on length and repetition.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from itertools import zip_longest
+from math import log2, sqrt
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from repopulse.llm.expressions import count_of, let, words
@@ -24,6 +25,9 @@ COMMON_WORDS = {
     "fr": "de la le et les des en un du une que pour est par dans qui avec pas sur au",
 }
 
+#: Common words that are derived for each other language.
+DERIVED = 20
+
 # Character classes, each as a pattern of all other characters.
 # The classes `space` and `letter` (all that is left: letters that are not upper
 # case) complete them.
@@ -45,7 +49,8 @@ class Rules:
 
     The distances are between 0 and 1. A histogram of fewer than `least_chars`
     characters or `least_words` words is not judged, as its noise alone may
-    exceed the limit.
+    exceed the limit. `derived_words` are those of languages that `common_words`
+    lacks, as `derived_words` finds them.
     """
 
     least_words_base: int = 50
@@ -55,6 +60,11 @@ class Rules:
     least_chars: int = 200
     least_words: int = 100
     common_words: dict[str, str] = field(default_factory=lambda: dict(COMMON_WORDS))
+    derived_words: dict[str, str] = field(default_factory=dict)
+
+    @property
+    def all_words(self) -> dict[str, str]:
+        return self.derived_words | self.common_words
 
 
 def _repeated_words(w: Column) -> Column:
@@ -143,10 +153,34 @@ def _word_counts(w: Column, terms: list[str]) -> Column:
 
 def vocabulary(rules: Rules) -> list[str]:
     """All common words, the most common ones of every language first."""
-    ranks = zip_longest(*(text.split() for text in rules.common_words.values()))
+    ranks = zip_longest(*(text.split() for text in rules.all_words.values()))
     return list(dict.fromkeys(w for rank in ranks for w in rank if w))
 
 
+def derived_words(docs: DataFrame, rules: Rules = Rules()) -> dict[str, str]:
+    """The DERIVED most common words of each language that has no common words yet.
+
+    A word's share is averaged over the sources of a language, so that none
+    outweighs the others. The driver receives DERIVED words per such language.
+    """
+    other = docs.where(F.col("lang").isNotNull() & ~F.col("lang").isin(sorted(rules.common_words)))
+    source = F.coalesce("source", F.lit("")) if "source" in docs.columns else F.lit("")
+    each = other.select("lang", source.alias("source"), F.explode(words(F.lower("text"))).alias("term"))
+    counted = each.groupBy("lang", "source", "term").agg(F.count(F.lit(1)).alias("n"))
+    totals = counted.groupBy("lang", "source").agg(F.sum("n").alias("total"))
+    shares = (
+        counted.join(totals, ["lang", "source"])
+        .groupBy("lang", "term")
+        .agg(F.sum(F.col("n") / F.col("total")).alias("share"))
+    )
+    order = Window.partitionBy("lang").orderBy(F.desc("share"), "term")
+    best = shares.withColumn("k", F.row_number().over(order)).where(F.col("k") <= DERIVED)
+    found: dict[str, list[str]] = {}
+    for row in best.orderBy("lang", "k").collect():
+        found.setdefault(row["lang"], []).append(row["term"])
+    return {lang: " ".join(terms) for lang, terms in found.items()}
+
+
 def measures(docs: DataFrame, carry: list[str], rules: Rules = Rules()) -> DataFrame:
     """The columns named by `carry` in the struct `row`, with counts of each document."""
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -177,20 +211,20 @@ def measures(docs: DataFrame, carry: list[str], rules: Rules = Rules()) -> DataF
 def language_references(measured: DataFrame, rules: Rules = Rules()) -> dict[str, dict]:
     """Share of each character class and common word over all texts of a language.
 
-    One entry per language of `rules.common_words` that the column `lang` names;
+    One entry per language with common words, given or derived, that the column `lang` names;
     all documents of it count. `words` ends with the share of all other words.
     The driver receives one row per such language.
     """
     terms = vocabulary(rules)
     sums = [F.sum(F.col("classes")[i]).alias(f"class_{i}") for i in range(len(CLASS_NAMES))]
     sums += [F.sum(F.col("commons")[i]).alias(f"word_{i}") for i in range(len(terms))]
-    known = measured.where(F.col("lang").isin(sorted(rules.common_words)))
+    known = measured.where(F.col("lang").isin(sorted(rules.all_words)))
     found = {}
     for row in known.groupBy("lang").agg(F.sum("n_words").alias("n_words"), *sums).collect():
         if not row["n_words"]:
             continue
         classes = [row[f"class_{i}"] for i in range(len(CLASS_NAMES))]
-        own = [row[f"word_{terms.index(w)}"] for w in rules.common_words[row["lang"]].split()]
+        own = [row[f"word_{terms.index(w)}"] for w in rules.all_words[row["lang"]].split()]
         found[row["lang"]] = {
             "classes": [x / sum(classes) for x in classes],
             "words": [x / row["n_words"] for x in [*own, row["n_words"] - sum(own)]],
@@ -211,42 +245,65 @@ def _distance(shares: Column, reference: list[float]) -> Column:
     return F.sqrt(F.greatest(total / 2, F.lit(0.0)))
 
 
+def _bare(shares: list[float]) -> float:
+    """Distance of a text without any common word from a reference by words."""
+    *own, rest = shares
+    part = lambda p, q: p * log2(2 * p / (p + q)) if p else 0.0
+    return sqrt((sum(own) + part(1.0, rest) + part(rest, 1.0)) / 2)
+
+
 def verdicts(found: DataFrame, references: dict, rules: Rules = Rules()) -> DataFrame:
     """Distances, failed rule and verdict of measured documents.
 
-    `reference` is the language whose reference is nearest by common words, and
-    the distances are those to it; the language column plays no part, so a wrong
-    or missing language costs nothing. `reason` is the first failed rule: `base`,
+    `reference` is, of the languages with given common words, the one whose
+    reference is nearest by common words, and the distances are those to it; which
+    of these the language column names plays no part, and neither does a null. A
+    document of a language with derived words has that one's reference, and of a
+    language without any it has none, and only the base rule holds. Junk that lowers
+    a reference's shares cannot hide a text with few of the common words: it
+    fails from 0.9 of the distance that a text without any has. `reason` is the first failed rule: `base`,
     `classes`, `words`, or null for a document that is kept. Without references
     only the base rule holds.
     """
     terms = vocabulary(rules)
 
     def word_shares(lang: str) -> Column:
-        places = F.array(*(F.lit(terms.index(w)) for w in rules.common_words[lang].split()))
+        places = F.array(*(F.lit(terms.index(w)) for w in rules.all_words[lang].split()))
         own = F.transform(places, lambda i: F.col("commons")[i])
         rest = F.col("n_words") - F.aggregate(own, F.lit(0), lambda a, x: a + x)
         return F.transform(F.concat(own, F.array(rest.cast("int"))), lambda x: x / F.col("n_words"))
 
     class_shares = F.transform("classes", lambda x: x / F.col("n_all_chars"))
-    near = [
-        F.struct(
+    near = {
+        lang: F.struct(
             _distance(word_shares(lang), ref["words"]).alias("word_distance"),
             F.lit(lang).alias("reference"),
             _distance(class_shares, ref["classes"]).alias("class_distance"),
         )
         for lang, ref in sorted(references.items())
-    ]
+    }
     nothing = F.lit(None).cast("struct<word_distance:double,reference:string,class_distance:double>")
-    nearest = F.when(F.col("n_words") > 0, F.least(*near, *near[:1]) if near else nothing)
+    given = [x for lang, x in near.items() if lang in rules.common_words]
+    nearest = F.when(
+        F.col("lang").isNull() | F.col("lang").isin(sorted(rules.common_words)),
+        F.least(*given, *given[:1]) if given else nothing,
+    )
+    for lang in near.keys() - rules.common_words.keys():
+        nearest = nearest.when(F.col("lang") == lang, near[lang])
+    nearest = F.when(F.col("n_words") > 0, nearest)
     base_failed = (F.col("n_words") < rules.least_words_base) | (
         100 * F.col("n_repeat_words") > rules.repeat_percent * F.col("n_words")
     )
     odd_classes = (F.col("n_all_chars") >= rules.least_chars) & (
         F.col("class_distance") > rules.class_distance
     )
+    diluted = F.lit(False)
+    for lang in sorted(references.keys() & rules.common_words.keys()):
+        few = 1 - F.element_at(word_shares(lang), -1) < 1 - references[lang]["words"][-1]
+        near_bare = F.col("word_distance") > 0.9 * _bare(references[lang]["words"])
+        diluted = diluted | ((F.col("reference") == lang) & few & near_bare)
     odd_words = (F.col("n_words") >= rules.least_words) & (
-        F.col("word_distance") > rules.word_distance
+        (F.col("word_distance") > rules.word_distance) | diluted
     )
     measured = found.withColumn("near", nearest).select("*", "near.*")
     reason = (
@@ -282,6 +339,7 @@ def judge(
     repeated rows are judged like any other; an empty table has no verdicts.
     """
     kept = docs.columns if carry is None else carry
+    rules = replace(rules, derived_words=derived_words(docs, rules))
     measured = staged(spark, measures(docs, kept, rules), "measures")
     return verdicts(measured, language_references(measured, rules), rules)
 

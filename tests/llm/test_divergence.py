@@ -101,3 +101,24 @@ def test_short_texts_are_not_judged_by_histograms(spark, prose):
 
 def test_an_empty_table_has_no_verdicts(spark, no_docs):
     assert divergence.judge(spark, no_docs).count() == 0
+
+
+def test_other_languages_are_judged_by_their_own_words(spark):
+    russian = "и в не на я быть он с что а по это она этот к но они мы весь который".split()
+    text = lambda i: " ".join(f"{w} слово{i}у{k} дело{k * i + k}" for k, w in enumerate(russian * 3))
+    rows = [(i, text(i), "ru", f"s{i % 2}") for i in range(1, 11)]
+    rows += [(20 + i, made_prose(3, 100 * i), "en", "s0") for i in range(10)]
+    rows += [(40, " ".join(f"zork{i} blip{i}" for i in range(80)), "en", "s0")]
+    rows += [(41, " ".join(f"зорк{i} блип{i}" for i in range(80)), "ru", "s0")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    found = {r["row"]["doc_id"]: r for r in divergence.judge(spark, docs).collect()}
+    assert {i for i, r in found.items() if not r["kept"]} == {40, 41}
+    assert {found[i]["reference"] for i in range(1, 11)} == {"ru"}
+
+
+def test_junk_rows_do_not_loosen_the_word_rule(spark):
+    rows = [(i, made_prose(3, 100 * i), "en") for i in range(10)]
+    rows += [(20 + i, " ".join(f"zork{i}x{k} blip{k}" for k in range(90)), "en") for i in range(20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = {r["row"]["doc_id"]: r["reason"] for r in divergence.judge(spark, docs).collect()}
+    assert found == {i: None for i in range(10)} | {20 + i: "words" for i in range(20)}
