@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The white space that separates words, as a pattern.
+# The white space that separates words, as a pattern; the letters that are lower-cased.
 SPACE = r"[\x20\x09-\x0D]+"
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:

@@ -259,6 +259,103 @@ FROM words w LEFT JOIN hit_words USING (id) LEFT JOIN hit_items USING (id)
 WHERE w.kind = 'doc'
 """
 
+# Nodes are numbered per tree; every level is made from the one before it. Paths go the same way up.
+MERKLE_MANIFEST = r"""
+WITH RECURSIVE steps AS (
+    SELECT list(list_reduce(list_prepend(i, range(8)),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS n
+    FROM range(256) t(i)
+), fields AS (
+    SELECT doc_id, lang, n_chars,
+           coalesce(octet_length(encode(CAST(doc_id AS VARCHAR))) || ':' || doc_id, '-')
+           || coalesce(octet_length(encode(source)) || ':' || source, '-')
+           || coalesce(octet_length(encode(lang)) || ':' || lang, '-') AS before,
+           coalesce(octet_length(encode(text)) || ':' || text, '-') AS after,
+           hex(encode(CAST(doc_id AS VARCHAR))) AS h
+    FROM documents
+), marked AS (
+    SELECT *, coalesce(xor(4294967295, list_reduce(
+               list_prepend(4294967295, list_transform(range(1, length(h), 2),
+                   lambda i: CAST('0x' || substr(h, i, 2) AS BIGINT))),
+               lambda c, b: xor(c >> 8, n[(xor(c, b) & 255) + 1]))) % 7 = 0, false) AS chosen
+    FROM fields, steps
+), leaves AS (
+    SELECT doc_id, coalesce('=' || lang, '') AS tree,
+           sha256(before || coalesce(length(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') || after) AS leaf,
+           CASE WHEN chosen THEN sha256(
+               before || coalesce(length(CAST(n_chars + 1 AS VARCHAR)) || ':' || (n_chars + 1), '-') || after)
+           END AS tampered
+    FROM marked
+), numbered AS (
+    SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place
+    FROM leaves
+), nodes AS (
+    SELECT tree, 0 AS level, place, leaf AS hash FROM numbered
+    UNION ALL
+    SELECT tree, level + 1, place // 2, sha256(string_agg(hash, '' ORDER BY place))
+    FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM nodes) WHERE n > 1
+    GROUP BY tree, level, place // 2
+), depths AS (
+    SELECT tree, max(level) AS depth FROM nodes GROUP BY tree
+), subroots AS (
+    SELECT tree, hash, row_number() OVER (ORDER BY encode(tree)) - 1 AS place
+    FROM nodes JOIN depths USING (tree) WHERE level = depth
+), tops AS (
+    SELECT 0 AS level, place, hash FROM subroots
+    UNION ALL
+    SELECT level + 1, place // 2, sha256(string_agg(hash, '' ORDER BY place))
+    FROM (SELECT *, count(*) OVER () AS n FROM tops) WHERE n > 1 GROUP BY level, place // 2
+), root AS (
+    SELECT hash AS root FROM tops ORDER BY level DESC LIMIT 1
+), levels AS (
+    SELECT tree, level, place, hash FROM nodes JOIN depths USING (tree) WHERE level < depth
+    UNION ALL
+    SELECT s.tree, d.depth + t.level, t.place, t.hash
+    FROM tops t, subroots s JOIN depths d USING (tree) WHERE t.level > 0
+    UNION ALL
+    SELECT s.tree, d.depth, o.place, o.hash
+    FROM subroots s JOIN depths d USING (tree), subroots o WHERE o.tree <> s.tree
+), walk AS (
+    SELECT n.tree, n.doc_id, 0 AS level, n.place AS place, '' AS proof,
+           coalesce(n.tampered, n.leaf) AS folded, n.place AS leaf_place
+    FROM numbered n
+    UNION ALL
+    SELECT w.tree, w.doc_id, w.level + 1, w.at // 2, proof || coalesce(o.hash, ''),
+           sha256(CASE WHEN w.at % 2 = 0 THEN folded || coalesce(o.hash, '') ELSE o.hash || folded END),
+           leaf_place
+    FROM (
+        SELECT w.*, CASE WHEN w.level = d.depth THEN s.place ELSE w.place END AS at
+        FROM walk w JOIN depths d USING (tree) JOIN subroots s USING (tree)
+        WHERE w.level < d.depth + (SELECT max(level) FROM tops)
+    ) w LEFT JOIN levels o ON o.tree = w.tree AND o.level = w.level AND o.place = xor(w.at, 1)
+)
+SELECT n.doc_id, leaf, s.hash AS subroot, root, sha256(proof) AS proof_sha256,
+       folded AS folded_root, folded = root AS verified
+FROM numbered n JOIN depths d USING (tree) JOIN subroots s USING (tree)
+JOIN walk w ON w.tree = n.tree AND w.leaf_place = n.place
+ AND w.level = d.depth + (SELECT max(level) FROM tops), root
+"""
+
+LINE_DEDUP = r"""
+WITH split AS (
+    SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents
+), lines AS (
+    SELECT doc_id, unnest(range(len(l))) AS place, unnest(l) AS line FROM split
+), keyed AS (
+    SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+    FROM lines
+), frequent AS (
+    SELECT key, max(doc_id) AS last FROM keyed WHERE length(key) >= 40
+    GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), judged AS (
+    SELECT k.*, coalesce(doc_id < last, false) AS gone FROM keyed k LEFT JOIN frequent USING (key)
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY place) FILTER (NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
 SQL: dict[str, str] = {
     "op2_license_scan": LICENSE_SCAN,
     "op3_quality_rules": QUALITY_RULES,
@@ -266,4 +363,6 @@ SQL: dict[str, str] = {
     "op5_sharding": SHARDING,
     "op7_decontamination": DECONTAMINATION,
     "op8_substring_dedup": SUBSTRING_DEDUP,
+    "op11_merkle_manifest": MERKLE_MANIFEST,
+    "op13_line_dedup": LINE_DEDUP,
 }

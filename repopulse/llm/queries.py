@@ -14,6 +14,8 @@ from repopulse.llm import (
     divergence,
     langid,
     licenses,
+    lines,
+    merkle,
     packing,
     sharding,
     simhash,
@@ -141,6 +143,36 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# The fields that a document's leaf is made of, and how often a row is tampered with.
+LEAF_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+TAMPERED = 7
+
+
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select(*LEAF_FIELDS)
+    fields = [F.col(c) for c in LEAF_FIELDS]
+    leaf = merkle.leaf_hash(*fields)
+    tampered = merkle.leaf_hash(*(f + 1 if c == "n_chars" else f for c, f in zip(LEAF_FIELDS, fields)))
+    chosen = F.crc32(F.col("doc_id").cast("string")) % TAMPERED == 0
+    # Read once for both hashes; of the rest only the id goes on.
+    given = docs.select("doc_id", "lang", leaf.alias("leaf"), F.when(chosen, tampered).alias("tampered"))
+    found = merkle.manifest(spark, given, F.col("leaf"), carry=["doc_id", "tampered"])
+    shown = F.coalesce("row.tampered", "leaf")
+    return found.select(
+        "row.doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        merkle.folded(shown, F.col("path")).alias("folded_root"),
+    ).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lines.repeated_lines(spark, _table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.col("kept_digest").alias("kept_sha256"))
+
+
 QUERIES: dict[str, Query] = {
     name: query for name, query in globals().items() if name.startswith("op")
 }

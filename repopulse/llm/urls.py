@@ -11,11 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from repopulse.llm.expressions import LOWER, UPPER
 from repopulse.llm.sweep import in_order
 from repopulse.session import staged
 
-# Fixed values.
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 STACK = "array<struct<path:string,verdict:string>>"
 
 
