@@ -336,6 +336,98 @@ JOIN walk w ON w.tree = n.tree AND w.leaf_place = n.place
  AND w.level = d.depth + (SELECT max(level) FROM tops), root
 """
 
+# Costs of what follows, row by row from the last; then the edits, row by row from the first.
+CONVERSATION_REPAIR = r"""
+WITH RECURSIVE steps AS (
+    SELECT list(list_reduce(list_prepend(i, range(8)),
+        lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS n
+    FROM range(256) t(i)
+), named AS (
+    SELECT conv_id, coalesce('=' || conv_id, '') AS k, turn, coalesce(role, ' ') AS role,
+           coalesce(text, ' ') AS text,
+           hex(encode(coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '))) AS h
+    FROM conversations
+), faulty AS (
+    SELECT *, xor(4294967295, list_reduce(
+               list_prepend(4294967295, list_transform(range(1, length(h), 2),
+                   lambda i: CAST('0x' || substr(h, i, 2) AS BIGINT))),
+               lambda c, b: xor(c >> 8, n[(xor(c, b) & 255) + 1]))) % 20 AS fault
+    FROM named, steps
+), damaged AS (
+    SELECT k, turn, unnest(range(CASE WHEN fault = 3 THEN 2 ELSE 1 END)) AS copy,
+           CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+           CASE fault WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+    FROM faulty WHERE fault <> 0
+), ordered AS (
+    SELECT *, row_number() OVER (PARTITION BY k ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+           regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g') AS said, left(role, 1) AS kind
+    FROM damaged
+), judged AS (
+    SELECT *, said = '' AS blank,
+           said <> '' AND row_number() OVER (PARTITION BY k, role, text ORDER BY i) > 1 AS copied,
+           lag(kind) OVER (PARTITION BY k ORDER BY i) AS before
+    FROM ordered
+), coded AS (
+    SELECT *, NOT blank AND NOT copied AND right(said, 1) NOT IN ('.', '!', '?') AS cut_off,
+           CASE WHEN blank OR copied THEN 1000000 WHEN right(said, 1) IN ('.', '!', '?') THEN 0 ELSE 3 END AS stay
+    FROM judged
+), ends AS (
+    SELECT k, max(i) AS n FROM coded GROUP BY k
+), back AS (
+    SELECT k, n + 1 AS i, 0 AS v0, 6 AS v1, 3 AS v2, 0 AS v3 FROM ends
+    UNION ALL
+    SELECT k, i, least(b0, 3 + b2, 6 + b3), least(b1, 3 + b2, 6 + b3), least(b2, 3 + b3), least(b3, 3 + b2)
+    FROM (
+        SELECT c.k, c.i,
+               least(4 + v0, stay + 3 + v2, CASE kind WHEN 's' THEN stay + v1 WHEN 'u' THEN stay + v2 ELSE 1000000 END) AS b0,
+               least(4 + v1, stay + 3 + v2, CASE WHEN kind = 'u' THEN stay + v2 ELSE 1000000 END) AS b1,
+               least(4 + v2, stay + 3 + v3, CASE WHEN kind = 'a' THEN stay + v3 ELSE 1000000 END) AS b2,
+               least(4 + v3, stay + 3 + v2, CASE WHEN kind = 'u' THEN stay + v2 ELSE 1000000 END) AS b3
+        FROM back b JOIN coded c ON c.k = b.k AND c.i = b.i - 1
+    )
+), walk AS (
+    SELECT k, 1 AS i, 0 AS q, '' AS audit, CAST([] AS VARCHAR[]) AS lines FROM ends
+    UNION ALL
+    SELECT k, CASE WHEN edit = 'I' THEN i ELSE i + 1 END,
+           CASE WHEN edit = 'D' THEN q WHEN edit = 'K' AND kind = 's' THEN 1 WHEN q = 2 THEN 3 ELSE 2 END,
+           audit || edit,
+           CASE edit WHEN 'D' THEN lines WHEN 'K' THEN list_append(lines, role || ':' || text)
+                WHEN 'R' THEN list_append(lines, wanted || ':' || text) ELSE list_append(lines, wanted || ':') END
+    FROM (
+        SELECT w.*, c.kind, c.role, c.text, CASE WHEN q = 2 THEN 'assistant' ELSE 'user' END AS wanted,
+               CASE WHEN c.i IS NULL THEN 'I'
+                    WHEN 4 + CASE q WHEN 0 THEN d.v0 WHEN 1 THEN d.v1 WHEN 2 THEN d.v2 ELSE d.v3 END = here THEN 'D'
+                    WHEN 3 + CASE WHEN q = 2 THEN w.v3 ELSE w.v2 END = here THEN 'I'
+                    WHEN stay + CASE WHEN kind = 's' AND q = 0 THEN d.v1 WHEN kind = 'u' AND q <> 2 THEN d.v2
+                                     WHEN kind = 'a' AND q = 2 THEN d.v3 ELSE 1000000 END = here THEN 'K'
+                    ELSE 'R' END AS edit
+        FROM (
+            SELECT w.*, b.v2, b.v3, CASE q WHEN 0 THEN b.v0 WHEN 1 THEN b.v1 WHEN 2 THEN b.v2 ELSE b.v3 END AS here
+            FROM walk w JOIN back b USING (k, i)
+        ) w
+        LEFT JOIN coded c ON c.k = w.k AND c.i = w.i
+        LEFT JOIN back d ON d.k = w.k AND d.i = w.i + 1
+        WHERE c.i IS NOT NULL OR here > 0
+    )
+), repaired AS (
+    SELECT w.k, audit, sha256(array_to_string(lines, chr(10))) AS digest
+    FROM walk w JOIN ends e ON e.k = w.k AND w.i = e.n + 1
+    WHERE q IN (0, 3)
+), faults AS (
+    SELECT k, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+           count(*) FILTER (blank) AS blank, count(*) FILTER (copied) AS duplicate,
+           count(*) FILTER (cut_off) AS truncated,
+           count(*) FILTER (before || kind NOT IN ('su', 'ua', 'au')) AS illegal
+    FROM coded GROUP BY k
+)
+SELECT n.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+       coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal,
+       CAST(coalesce(b.v0, 0) AS BIGINT) AS cost, coalesce(audit, '') AS audit,
+       coalesce(digest, sha256('')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, k FROM named) n
+LEFT JOIN faults USING (k) LEFT JOIN repaired USING (k) LEFT JOIN back b ON b.k = n.k AND b.i = 1
+"""
+
 LINE_DEDUP = r"""
 WITH split AS (
     SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents
@@ -364,5 +456,6 @@ SQL: dict[str, str] = {
     "op7_decontamination": DECONTAMINATION,
     "op8_substring_dedup": SUBSTRING_DEDUP,
     "op11_merkle_manifest": MERKLE_MANIFEST,
+    "op12_conversation_repair": CONVERSATION_REPAIR,
     "op13_line_dedup": LINE_DEDUP,
 }

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repopulse.llm import (
+    conversations,
     cotraining,
     decontamination,
     divergence,
@@ -168,6 +169,37 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with faults that follow from a checksum of conversation and turn."""
+    text = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fault = F.crc32(F.concat(text("conv_id"), F.lit(":"), text("turn"))) % 20
+    marked = rows.select("conv_id", "turn", "role", text("text").alias("text"), fault.alias("fault"))
+    copies = F.explode(F.when(F.col("fault") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    return marked.where("fault != 0").withColumn("copy", copies).select(
+        "conv_id",
+        "turn",
+        F.when(F.col("fault") == 4, "user").otherwise(F.col("role")).alias("role"),
+        F.when(F.col("fault") == 1, "")
+        .when(F.col("fault") == 2, F.regexp_replace("text", "[.!?]", ""))
+        .otherwise(F.col("text"))
+        .alias("text"),
+    )
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    given = _table(spark, sf_dir, "conversations")
+    found = conversations.repaired_digests(spark, damaged(given))
+    # Conversations that lost all their rows have neither faults nor edits.
+    ids = given.select("conv_id").distinct().withColumnRenamed("conv_id", "id")
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return ids.join(found, F.col("id").eqNullSafe(F.col("conv_id")), "left").select(
+        F.col("id").alias("conv_id"),
+        *(F.coalesce(c, F.lit(0)).alias(c) for c in numbers),
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("digest", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = lines.repeated_lines(spark, _table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_lines", "n_dropped", F.col("kept_digest").alias("kept_sha256"))
