@@ -1,0 +1,91 @@
+from __future__ import annotations
+
+import hashlib
+
+import pytest
+from conftest import SF_DIR
+from llm.conftest import docs_of
+
+from repopulse.llm import lines
+
+BLANK = " \t\n\x0b\x0c\r"
+LONG = "A line that is long enough to be looked at {}"
+
+
+def key_of(line):
+    return "".join(c.lower() if "A" <= c <= "Z" else c for c in line.strip(BLANK))
+
+
+def plainly(rows, least_chars=40, least_docs=5):
+    """(doc_id, lines, dropped, digest) per row (doc_id, text), sorted."""
+    holders = {}
+    for doc_id, text in rows:
+        for line in (text or "").split("\n"):
+            if doc_id is not None and len(key_of(line)) >= least_chars:
+                holders.setdefault(key_of(line), set()).add(doc_id)
+    last = {k: max(ids) for k, ids in holders.items() if len(ids) >= least_docs}
+    found = []
+    for doc_id, text in rows:
+        split = (text or "").split("\n")
+        left = [x for x in split if doc_id is None or last.get(key_of(x), doc_id) == doc_id]
+        digest = hashlib.sha256("\n".join(left).encode()).hexdigest()
+        found.append((doc_id, len(split), len(split) - len(left), digest))
+    return sorted(found, key=repr)
+
+
+def found_in(spark, docs, **options):
+    rows = lines.repeated_lines(spark, docs, **options).collect()
+    return sorted(((r["doc_id"], r["n_lines"], r["n_dropped"], r["kept_digest"]) for r in rows), key=repr)
+
+
+@pytest.mark.parametrize("least_chars, least_docs", [(40, 5), (10, 2), (0, 3)])
+def test_equals_a_plain_count(spark, least_chars, least_docs):
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").repartition(3)
+    rows = [(r["doc_id"], r["text"]) for r in docs.collect()]
+    wanted = plainly(rows, least_chars, least_docs)
+    assert sum(r[2] for r in wanted) > 0
+    assert found_in(spark, docs, least_chars=least_chars, least_docs=least_docs) == wanted
+
+
+def test_the_last_document_keeps_all_its_lines(spark):
+    line = LONG.format(1)
+    texts = [f"own {i}\n{line}\n\t {line.upper()}\r" for i in range(5)]
+    docs = docs_of(spark, [*texts, LONG.format(2)])
+    rows = {r["doc_id"]: r for r in lines.repeated_lines(spark, docs).collect()}
+    assert [rows[i]["n_dropped"] for i in range(6)] == [2, 2, 2, 2, 0, 0]
+    assert rows[0]["kept_text"] == "own 0" and rows[4]["kept_text"] is None
+    kept = {r["doc_id"]: r for r in lines.without_repeated_lines(spark, docs).collect()}
+    assert kept[3]["text"] == "own 3" and kept[4]["text"] == texts[4] and kept[4].asDict().keys() == set(docs.columns)
+
+
+def test_limits_of_length_and_documents(spark):
+    exact, short = "é" * 40, "é" * 39
+    docs = docs_of(spark, [f"{exact}\n{short}"] * 5)
+    assert [r[2] for r in found_in(spark, docs)] == [1, 1, 1, 1, 0]
+    assert [r[2] for r in found_in(spark, docs.where("doc_id > 0"))] == [0] * 4
+
+
+def test_copies_of_one_row_are_one_document(spark):
+    docs = docs_of(spark, [LONG]).crossJoin(spark.range(9).drop("id"))
+    assert {r[2] for r in found_in(spark, docs)} == {0}
+
+
+def test_a_line_in_all_of_very_many_documents(spark):
+    docs = docs_of(spark, [f"{LONG}\n{i}" for i in range(3000)]).repartition(7)
+    assert [r[2] for r in found_in(spark, docs)].count(1) == 2999
+
+
+def test_odd_rows(spark, odd_docs, no_docs):
+    rows = [(r["doc_id"], r["text"]) for r in odd_docs.collect()]
+    assert found_in(spark, odd_docs, least_docs=1) == plainly(rows, least_docs=1)
+    assert found_in(spark, odd_docs) == plainly(rows)
+    assert found_in(spark, no_docs) == []
+    left = lines.without_repeated_lines(spark, odd_docs, least_chars=0, least_docs=2)
+    assert left.count() == 9 and left.columns == odd_docs.columns
+
+
+def test_separators_of_other_kinds_do_not_split(spark):
+    text = f"a\r\nb\x0bc d\x85e\n\n{LONG} "
+    rows = [(i, text) for i in range(6)]
+    docs = docs_of(spark, [text] * 6)
+    assert found_in(spark, docs) == plainly(rows)

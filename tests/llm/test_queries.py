@@ -16,7 +16,7 @@ def con(sf_dir):
 
 
 def test_all_operators_and_the_pipeline_are_registered():
-    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 11))
+    assert sorted(int(name[2:].split("_")[0]) for name in QUERIES) == list(range(1, 14))
     assert {*QUERIES, "pipeline"} <= set(entry.queries())
     assert set(SQL) <= set(entry.oracle_sql()) and set(SQL) <= set(QUERIES)
 
