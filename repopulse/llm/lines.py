@@ -63,20 +63,11 @@ def repeated_lines(
     lines are staged before they are joined, so one that many documents hold can
     be split among tasks. Only lines' hashes and, once, the texts are shuffled.
     """
-    text_key = F.xxhash64("text").alias("text_key")
-    text = F.coalesce("text", F.lit(""))
-    first = staged(
-        spark,
-        docs.select(
-            "doc_id",
-            text_key,
-            F.size(lines_of(F.col("text"))).cast("long").alias("n_lines"),
-            F.sha2(text, 256).alias("digest"),
-            _keyed_lines(F.col("text"), least_chars).alias("lines"),
-        ),
-        "lines",
+    keyed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
+    long = _keyed_lines(F.col("text"), least_chars)
+    found = staged(
+        spark, keyed.dropna(subset=["doc_id", "text"]).select(*KEY, F.inline(long)), "lines"
     )
-    found = first.where("doc_id is not null").select(*KEY, F.inline("lines"))
     frequent = staged(
         spark,
         found.groupBy("h1", "h2")
@@ -93,23 +84,21 @@ def repeated_lines(
         .agg(F.collect_set("place").alias("places")),
         "dropped",
     )
-    lines = lines_of(F.col("text"))
-    left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col("places"))
-    changed = (
-        docs.select("doc_id", text_key, "text")
-        .dropna(subset=["doc_id", "text"])
-        .join(dropped, KEY)
-        .select(*KEY, F.size("places").cast("long").alias("n_dropped"), lines.alias("all"), left.alias("left"))
-        .select(*KEY, "n_dropped", F.array_join(F.transform("left", lambda i: F.get("all", i)), "\n").alias("kept_text"))
-        .dropDuplicates(KEY)
-    )
-    return first.join(changed, KEY, "left").select(
+    # Nothing bounds the lines dropped, so they are never broadcast.
+    joined = keyed.join(dropped.hint("merge"), KEY, "left").withColumn("lines", lines_of(F.col("text")))
+    left = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.col("places"))
+    kept = F.array_join(F.transform(left, lambda i: F.get("lines", i)), "\n")
+    return joined.select(
+        *KEY,
+        F.size("lines").cast("long").alias("n_lines"),
+        F.when(F.col("places").isNull(), 0).otherwise(F.size("places")).cast("long").alias("n_dropped"),
+        F.when(F.col("places").isNotNull(), kept).alias("kept_text"),
+        "text",
+    ).select(
         *KEY,
         "n_lines",
-        F.coalesce("n_dropped", F.lit(0)).alias("n_dropped"),
-        F.when(F.col("kept_text").isNull(), F.col("digest"))
-        .otherwise(F.sha2("kept_text", 256))
-        .alias("kept_digest"),
+        "n_dropped",
+        F.sha2(F.coalesce("kept_text", "text", F.lit("")), 256).alias("kept_digest"),
         "kept_text",
     )
 
