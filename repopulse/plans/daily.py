@@ -17,18 +17,25 @@ from repopulse.operators.metrics import (
     incremental_velocity,
     unprocessed,
 )
+from repopulse.session import remove_folder
 from repopulse.session import staged as staged_rows
 from repopulse.sinks.daily import (
+    OWN,
+    finish_fold,
     last_days_before,
     mark_processed,
+    read_counts,
     read_weekly,
+    read_weekly_days,
     rewrite_languages,
-    write_snapshot,
-    write_strays,
+    total_counts,
+    update_snapshot,
+    weekly_days,
+    write_counts,
     write_weekly,
 )
 from repopulse.sinks.live import read_repos
-from repopulse.sinks.partitions import replace_partitions
+from repopulse.sinks.partitions import replace_exactly
 from repopulse.sinks.rows import weekly_rows
 from repopulse.sources.archive import (
     archive_paths,
@@ -37,7 +44,7 @@ from repopulse.sources.archive import (
     readable,
     target_day,
 )
-from repopulse.sources.tables import Tables, newest_days, processed_days
+from repopulse.sources.tables import Tables, processed_days
 
 
 def weekly_metrics(
@@ -68,78 +75,119 @@ def run_daily(
     reprocess: bool = False,
     incomplete_days: DataFrame | None = None,
     days: Sequence[str] | None = None,
+    strays: bool = False,
 ) -> bool:
     """Q4: process new days into the daily tables; True if there were any.
 
-    `days` are the days the run is asked for, by default all that occur. Counts of
-    other days are put aside: they neither replace stored rows nor mark a day done.
-    Finished days are skipped unless `reprocess`. With `carry_in`, velocity of the
-    first new day follows the stored last day; without it, every run starts from
-    zero. Days in `incomplete_days` are written but not marked, so a later run
-    picks them up again.
+    `days` are the days the run is asked for, by default all that occur. Finished
+    days are skipped unless `reprocess`, and so are events of other days, unless
+    `strays` says that `archive` holds the files of `days` and nothing else. Then
+    counts of other days are kept under the run's name, are added to their day's
+    rows if that is stored or once it is, and never mark a day done. Repeating a
+    run replaces its strays, so none counts twice.
 
-    Velocities of the next active day after one that comes late or again are
-    computed anew in the same run. The archive is read once: its daily counts are
-    written to the shared folder and every later step starts from them.
+    With `carry_in`, velocity of the first new day follows the stored last day;
+    without it, every run starts from zero. Days in `incomplete_days` are written
+    but not marked, so a later run picks them up again. Velocities of the next
+    active day after one that comes late or again are computed anew in the same
+    run. The archive is read once: its daily counts are written and every later step
+    starts from them.
     """
-    counts = daily_metrics(archive_events(archive))
-    if not reprocess:
-        counts = unprocessed(counts, processed_days(spark, tables))
-    found = staged_rows(spark, counts, "daily")
-    present = sorted(row["day"] for row in found.select("day").distinct().collect())
-    asked = present if days is None else [day for day in present if day in set(days)]
-    if days is not None and len(asked) < len(present):
-        strays = found.where(~F.col("day").isin(asked)) if asked else found
-        write_strays(strays, tables, f"{min(days, default='none')}..{max(days, default='none')}")
-    if not asked:
+    counts = daily_metrics(archive_events(archive)).drop("repo_count")
+    source, run = F.lit(OWN), None
+    if days is None:
+        if not reprocess:
+            counts = unprocessed(counts, processed_days(spark, tables))
+    else:
+        finished = [] if reprocess else _finished(spark, tables, days)
+        counts = counts.where(~F.col("day").isin(finished))
+        if strays:
+            run = f"{min(days, default='none')}..{max(days, default='none')}"
+            source = F.when(F.col("day").isin(list(days)), OWN).otherwise(run)
+        else:
+            counts = counts.where(F.col("day").isin(list(days)))
+    counts = staged_rows(spark, counts.withColumn("source", source), "daily")
+    found = write_counts(spark, counts, tables, run)
+    asked = sorted(day for day, its_source in found if its_source == OWN)
+    stored = weekly_days(spark, tables)
+    emptied = set(days or []).intersection(stored).difference(asked) if reprocess else set()
+    for day in emptied:
+        remove_folder(spark, f"{tables.daily_counts}/day={day}/source={OWN}")
+    elsewhere = {day for day, its_source in found if its_source != OWN}
+    touched = sorted({*asked, *elsewhere.intersection(stored), *emptied})
+    if not touched:
         return False
-    staged = found.where(F.col("day").isin(asked))
-    first_day, last_day = asked[0], asked[-1]
 
-    snapshot = last_days_before(spark, tables, first_day) if carry_in else None
-    rows = weekly_metrics(staged, read_repos(spark, tables), tiers, snapshot)
+    finish_fold(spark, tables)
+    totals = total_counts(read_counts(spark, tables, touched))
+    names = totals.select(F.col("repo_name").alias("name"))
+    again = set(touched).intersection(stored)
+    if again:
+        # Repositories that lose their row of a day matter to the days after it.
+        names = names.unionByName(read_weekly_days(spark, tables, again).select("name"))
+        names = staged_rows(spark, names.distinct(), "names")
+    snapshot = last_days_before(spark, tables, touched[0], names) if carry_in else None
+    rows = weekly_metrics(totals, read_repos(spark, tables), tiers, snapshot)
     written = staged_rows(spark, rows, "weekly")
-    write_weekly(spark, written, tables, asked)
-    if carry_in:
-        refresh_later_velocity(spark, tables, first_day)
-    write_snapshot(spark, tables, first_day, last_day)
-    finished = staged.select("day").distinct()
+    write_weekly(spark, written, tables, touched)
+    if carry_in and [day for day in stored if day > touched[0] and day not in touched]:
+        refresh_later_velocity(spark, tables, touched[0], names)
+    update_snapshot(spark, tables, written, touched)
+    finished = spark.createDataFrame([(day,) for day in asked], "day string")
     if incomplete_days is not None:
         finished = finished.join(incomplete_days, "day", "left_anti")
     mark_processed(spark, finished, tables)
-    return True
+    return bool(asked)
+
 
+def _finished(spark: SparkSession, tables: Tables, days: Sequence[str]) -> list[str]:
+    done = processed_days(spark, tables).where(F.col("day").isin(list(days)))
+    return [row["day"] for row in done.collect()]
 
-def refresh_later_velocity(spark: SparkSession, tables: Tables, first_day: str) -> None:
-    """Velocities of stored days after `first_day`, where they no longer follow.
 
-    Usually there is no later day and nothing is read. Otherwise the rows from
-    that day on are compared with velocities computed anew, and only days on which
-    some differ are rewritten.
+def refresh_later_velocity(
+    spark: SparkSession, tables: Tables, first_day: str, names: DataFrame
+) -> None:
+    """Velocities of the named repositories from `first_day` on, where they no longer follow.
+
+    Only rows of these repositories are read for it, of the days since, and only
+    days on which some differ are rewritten.
     """
-    if not [day for day in newest_days(spark, tables.weekly_metrics, 1) if day > first_day]:
-        return
-    since = read_weekly(spark, tables).where(F.col("day") >= first_day)
-    counts = since.select(
-        F.col("name").alias("repo_name"), "day", F.col("stars").alias("star_count"),
-        F.col("forks").alias("fork_count"),
+    since = [day for day in weekly_days(spark, tables) if day >= first_day]
+    counts = (
+        read_weekly_days(spark, tables, since)
+        .join(names, "name", "left_semi")
+        .select(
+            F.col("name").alias("repo_name"), "day", F.col("stars").alias("star_count"),
+            F.col("forks").alias("fork_count"), F.col("velocity").alias("old_velocity"),
+            F.col("fork_velocity").alias("old_fork_velocity"),
+        )
     )
-    again = incremental_velocity(counts, last_days_before(spark, tables, first_day)).select(
-        F.col("repo_name").alias("name"),
-        "day",
-        F.col("velocity").alias("new_velocity"),
-        F.col("fork_velocity").alias("new_fork_velocity"),
+    again = incremental_velocity(counts, last_days_before(spark, tables, first_day, names))
+    differs = (F.col("velocity") != F.col("old_velocity")) | (
+        F.col("fork_velocity") != F.col("old_fork_velocity")
     )
-    compared = staged_rows(spark, since.join(again, ["name", "day"]), "velocity")
-    same = (F.col("velocity") == F.col("new_velocity")) & (
-        F.col("fork_velocity") == F.col("new_fork_velocity")
+    changed = staged_rows(
+        spark,
+        again.where(differs).select(
+            F.col("repo_name").alias("name"),
+            "day",
+            F.col("velocity").alias("new_velocity"),
+            F.col("fork_velocity").alias("new_fork_velocity"),
+        ),
+        "velocity",
     )
-    stale = [row["day"] for row in compared.where(~same).select("day").distinct().collect()]
+    stale = [row["day"] for row in changed.select("day").distinct().collect()]
     if stale:
-        fresh = compared.where(F.col("day").isin(stale)).withColumns(
-            {"velocity": F.col("new_velocity"), "fork_velocity": F.col("new_fork_velocity")}
+        rows = read_weekly_days(spark, tables, stale)
+        fresh = rows.join(changed, ["name", "day"], "left").withColumns(
+            {
+                "velocity": F.coalesce("new_velocity", "velocity"),
+                "fork_velocity": F.coalesce("new_fork_velocity", "fork_velocity"),
+            }
         )
-        write_weekly(spark, fresh.select(*since.columns), tables, stale)
+        fresh = staged_rows(spark, fresh.select(*rows.columns), "fresh")
+        write_weekly(spark, fresh, tables, stale)
 
 
 def run_archive(
@@ -156,7 +204,7 @@ def run_archive(
 ) -> bool:
     """Q4 from archive files; when nothing is new, backfill languages instead (Q5).
 
-    `days` defaults to yesterday. Files of finished days are not read at all. Of a
+    A folder that does not exist is an error, as nothing can be new in it. `days` defaults to yesterday. Files of finished days are not read at all. Of a
     day with a whole-day file only that is read, else its hourly files; a day with
     hours missing is written but not marked. With `quarantine`, star and fork
     events and unreadable lines are taken out of the files in one pass, and the
@@ -164,8 +212,7 @@ def run_archive(
     """
     wanted = [target_day()] if days is None else list(days)
     if not reprocess:
-        done = processed_days(spark, tables).where(F.col("day").isin(wanted)).collect()
-        wanted = sorted(set(wanted) - {row["day"] for row in done})
+        wanted = sorted(set(wanted).difference(_finished(spark, tables, wanted)))
     paths, incomplete = archive_paths(spark, folder, wanted)
     if not paths:
         if metadata is not None:
@@ -181,11 +228,19 @@ def run_archive(
         )
         archive = staged_rows(spark, kept, "archive")
         lines = quarantined(archive).withColumn("day", path_day(F.col("path")))
-        replace_partitions(lines, tables.quarantine, "day")
+        lines = staged_rows(spark, lines, "quarantine")
+        replace_exactly(spark, lines, tables.quarantine, "day", wanted)
     if incomplete:
         options["incomplete_days"] = spark.createDataFrame([(d,) for d in incomplete], "day string")
     ran = run_daily(
-        spark, tables, readable(archive), tiers, reprocess=reprocess, days=wanted, **options
+        spark,
+        tables,
+        readable(archive),
+        tiers,
+        reprocess=reprocess,
+        days=wanted,
+        strays=True,
+        **options,
     )
     if not ran and metadata is not None:
         run_backfill(spark, tables, metadata)

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from repopulse import schemas
 from repopulse.plans import panels
-from repopulse.sinks.daily import read_language_days, read_weekly
-from repopulse.sinks.live import read_live_events, recent_live_metrics
-from repopulse.sources.tables import Tables, newest_days, read_table, recent_days
+from repopulse.sinks.daily import read_language_days
+from repopulse.sinks.live import recent_live_events, recent_live_metrics
+from repopulse.sources.tables import Tables, newest_days, read_days, read_table
 
 # Rows each panel shows.
 TRENDING_ROWS = 8
@@ -21,14 +20,14 @@ INSIGHT_ROWS = 5
 def dashboard(spark: SparkSession, tables: Tables) -> dict[str, DataFrame]:
     """Q6-Q11: one table per panel. Tables not written yet give empty panels.
 
-    The newest days are found from folder names, so the live and daily panels open
-    no older files, and the language panels read a few hundred rows a day.
+    The newest days are found from folder names, so the live and daily panels list and
+    open no older files, and the language panels read a few hundred rows a day.
     """
     live = recent_live_metrics(spark, tables)
-    events = recent_days(spark, tables.live_events, read_live_events(spark, tables), FEED_ROWS)
+    events = recent_live_events(spark, tables, FEED_ROWS)
     languages = read_language_days(spark, tables)
     day = newest_days(spark, tables.weekly_metrics, 1)
-    newest = read_weekly(spark, tables).where(F.col("day").isin(day) if day else F.lit(False))
+    newest = read_days(spark, tables.weekly_metrics, schemas.WEEKLY_METRICS, day)
     predictions = read_table(spark, tables.predictions, schemas.PREDICTIONS, first=True)
     now = panels.trending_now(live, TRENDING_ROWS)
     before = panels.trending_window(live, TRENDING_ROWS, nth=2)

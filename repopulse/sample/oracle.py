@@ -43,12 +43,12 @@ MESSAGES = """messages AS (
 )"""
 
 
-def _windows(source: str) -> str:
+def _windows(source: str, width: str = "10 MINUTE") -> str:
     return f"""windows AS (
-  SELECT strftime(time_bucket(INTERVAL 10 MINUTE, event_ts), '%Y-%m-%d %H:%M:%S') AS window_start,
-         strftime(time_bucket(INTERVAL 10 MINUTE, event_ts) + INTERVAL 10 MINUTE,
+  SELECT strftime(time_bucket(INTERVAL {width}, event_ts), '%Y-%m-%d %H:%M:%S') AS window_start,
+         strftime(time_bucket(INTERVAL {width}, event_ts) + INTERVAL {width},
                   '%Y-%m-%d %H:%M:%S') AS window_end,
-         date_trunc('week', time_bucket(INTERVAL 10 MINUTE, event_ts)) AS monday,
+         date_trunc('week', time_bucket(INTERVAL {width}, event_ts)) AS monday,
          repo_name, event_type, language,
          max(stars_count) AS stars_count, max(forks_count) AS forks_count,
          max(stars_count) AS watchers_count, count(*) AS event_count
@@ -133,12 +133,30 @@ LANGUAGE_SLOTS = """language_slots AS (
 WEEKLY_PARTS = (BASE, META, DAILY, VELOCITY, ENRICHED, WEEKLY)
 LIVE_PARTS = (BASE, META, MESSAGES, _windows("messages"), LIVE)
 # The stream's own input: messages that were not broken on the way.
-STREAM_PARTS = (
+INTACT = "intact AS (SELECT * FROM messages WHERE forks_count <> 13)"
+STREAM_PARTS = (BASE, META, MESSAGES, INTACT, _windows("intact"), LIVE)
+# Windows of a day, for the panels that rank one window.
+DAY_PARTS = (BASE, META, MESSAGES, _windows("messages", "1 DAY"), LIVE)
+DAY_STREAM_PARTS = (BASE, META, MESSAGES, INTACT, _windows("intact", "1 DAY"), LIVE)
+# A batch's watermark is the newest time of the batches before it, less two days. Late rows
+# are dropped by the watermark of the batch before.
+LATE_PARTS = (
     BASE,
     META,
     MESSAGES,
-    "intact AS (SELECT * FROM messages WHERE forks_count <> 13)",
-    _windows("intact"),
+    INTACT,
+    """batched AS (
+  SELECT *, least((day(event_ts) - 1) // 10, 2) + CASE WHEN CAST(event_id AS BIGINT) % 20 = 0 THEN 1 ELSE 0 END AS batch
+  FROM intact
+), marks AS (
+  SELECT batch, max(max(event_ts)) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 2 PRECEDING)
+         - INTERVAL 2 DAY AS mark
+  FROM batched GROUP BY batch
+), in_time AS (
+  SELECT b.* FROM batched b JOIN marks USING (batch)
+  WHERE mark IS NULL OR time_bucket(INTERVAL 10 MINUTE, event_ts) + INTERVAL 10 MINUTE > mark
+)""",
+    _windows("in_time"),
     LIVE,
 )
 
@@ -283,6 +301,12 @@ FROM live GROUP BY name""",
     "stream_windowed_activity": _with(STREAM_PARTS, "SELECT * FROM live"),
     "stream_dedup_windowed": _with(STREAM_PARTS, "SELECT * FROM live"),
     "stream_repos": _with(STREAM_PARTS, FIRST_SEEN.format(where="")),
+    "stream_repos_log": _with(
+        STREAM_PARTS,
+        "SELECT DISTINCT name AS full_name, CAST(1 AS BIGINT) AS logged FROM live",
+    ),
+    "stream_late_rows": _with(LATE_PARTS, "SELECT * FROM live"),
+    "stream_recovered": _with(STREAM_PARTS, "SELECT * FROM live"),
     "stream_live_feed": _with(STREAM_PARTS, LIVE_FEED),
     "stream_live_feed_restart": _with(STREAM_PARTS, LIVE_FEED),
     "stream_canonical_events": _with((BASE, META), CANONICAL),
@@ -320,6 +344,7 @@ ORDER BY velocity DESC, name, day LIMIT 10""",
         WEEKLY_PARTS,
         "SELECT * FROM weekly WHERE day < (SELECT max(strftime(ts, '%Y-%m-%d')) FROM events)",
     ),
+    "stray_events_job": _with(WEEKLY_PARTS, "SELECT * FROM weekly"),
     "daily_job_mixed_files": "WITH "
     + BASE
     + """, kept AS (
@@ -351,12 +376,11 @@ ORDER BY row_key DESC LIMIT 100""",
        p_size / 50 AS probability, CAST(trunc(p_size / 50 * 100) AS INTEGER) AS probability_pct,
        p_type AS cluster, CAST(trunc(p_retailprice - 1000) AS BIGINT) AS predicted_stars
 FROM part ORDER BY probability DESC, repo LIMIT 5""",
-    "trending_now": _with(LIVE_PARTS, _trending(NEWEST_WINDOW)),
-    "trending_flags": _with(LIVE_PARTS, FLAGGED),
-    "dashboard_trending_now": _with(STREAM_PARTS, FLAGGED),
-    "trending_now_window": _with(LIVE_PARTS, _trending(NEWEST_WINDOW)),
+    "trending_now": _with(DAY_PARTS, _trending(NEWEST_WINDOW)),
+    "trending_flags": _with(DAY_PARTS, FLAGGED),
+    "dashboard_trending_now": _with(DAY_STREAM_PARTS, FLAGGED),
     "new_entrants": _with(
-        LIVE_PARTS,
+        DAY_PARTS,
         f"""SELECT * FROM ({_trending(NEWEST_WINDOW)})
 WHERE repo NOT IN (SELECT repo FROM ({_trending(SECOND_WINDOW)}))""",
     ),
@@ -381,7 +405,6 @@ FROM messages ORDER BY row_key DESC LIMIT 20""",
     "historical_trends_slots": _with(LANGUAGE_PARTS, HISTORICAL_SLOTS),
     "dashboard_historical_trends": _with(LANGUAGE_PARTS, HISTORICAL_SLOTS),
     "trending_daily": _with(WEEKLY_PARTS, _daily_top(NEWEST_DAY)),
-    "trending_latest_day": _with(WEEKLY_PARTS, _daily_top(NEWEST_DAY)),
     "dashboard_trending_daily": _with(WEEKLY_PARTS, _daily_top(NEWEST_DAY)),
     "breakout_features": _with(
         WEEKLY_PARTS,

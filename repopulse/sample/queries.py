@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -75,12 +76,20 @@ def message_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---- live windows --------------------------------------------------------------------------
 
 
-def _batch_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metrics.windowed_activity(sample.timed_messages(spark, sf_dir))
+# Windows in which enough repositories are active for a full ranking.
+PANEL_WIDTH = "1 day"
 
 
-def _live_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rows.live_metrics_rows(_batch_windows(spark, sf_dir))
+def _batch_windows(
+    spark: SparkSession, sf_dir: str, width: str = metrics.WINDOW_WIDTH
+) -> DataFrame:
+    return metrics.windowed_activity(sample.timed_messages(spark, sf_dir), width)
+
+
+def _live_rows(
+    spark: SparkSession, sf_dir: str, width: str = metrics.WINDOW_WIDTH
+) -> DataFrame:
+    return rows.live_metrics_rows(_batch_windows(spark, sf_dir, width))
 
 
 def windowed_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -139,10 +148,87 @@ def stream_dedup_windowed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return live.read_live_metrics(spark, tables)
 
 
+def _land(spark: SparkSession, sf_dir: str, path: str, batch: int) -> None:
+    """One batch of messages: ten days each, one event in twenty a batch later."""
+    lines = sample.dated_lines(spark, sf_dir)
+    late = F.pmod(F.col("event_id").cast("bigint"), F.lit(20)) == 0
+    number = F.least(F.floor((F.dayofmonth("event_timestamp") - 1) / 10), F.lit(2))
+    number = number + F.when(late, 1).otherwise(0)
+    lines.where(number == batch).select("value").write.mode("append").text(path)
+
+
+def _repos_tables(spark: SparkSession, sf_dir: str, label: str) -> Tables:
+    """The repository log after four starts of its stream, each on what has come since."""
+    folder = run_dir(spark, label)
+    tables = Tables(f"{folder}/tables")
+    for batch in range(4):
+        _land(spark, sf_dir, f"{folder}/landed", batch)
+        streams.stream_repos(
+            message_files(stream_session(spark), f"{folder}/landed"),
+            tables,
+            f"{folder}/checkpoints/repos",
+            every=None,
+        ).awaitTermination()
+    return tables
+
+
 def stream_repos(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The repository dimension that the stream fills."""
-    tables = _run_stream(spark, sf_dir, "stream-repos", copies=1)
-    return live.read_repos(spark, tables)
+    """The repository dimension that the stream fills over several starts."""
+    return live.read_repos(spark, _repos_tables(spark, sf_dir, "stream-repos"))
+
+
+def stream_repos_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How often the same log names each repository, before and after folding."""
+    tables = _repos_tables(spark, sf_dir, "stream-repos-log")
+    logged = staged(spark, spark.read.parquet(tables.repos), "log")
+    live.remove_folded(spark, tables, live.compact_repos(spark, tables, "1"))
+    times = logged.groupBy("full_name").agg(F.count("*").alias("logged"))
+    return live.read_repos(spark, tables).join(times, "full_name").select("full_name", "logged")
+
+
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live table after four micro-batches whose late rows are dropped once their window has closed."""
+    folder = run_dir(spark, "stream-late")
+    tables = Tables(f"{folder}/tables")
+    for batch in range(4):
+        _land(spark, sf_dir, f"{folder}/landed", batch)
+        streams.stream_live_metrics(
+            message_files(stream_session(spark), f"{folder}/landed"),
+            tables,
+            f"{folder}/checkpoints/late",
+            every=None,
+            delay="2 days",
+        ).awaitTermination()
+    return live.read_live_metrics(spark, tables)
+
+
+def stream_recovered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The live table of a stream each of whose batches failed once, after it was written."""
+    folder = run_dir(spark, "stream-recovered")
+    tables = Tables(f"{folder}/tables")
+    failed = set()
+
+    def attempt(feed: DataFrame) -> None:
+        store = live.upsert_live_batch(tables)
+
+        def write(batch: DataFrame, batch_id: int) -> None:
+            store(batch, batch_id)
+            if batch_id not in failed:
+                failed.add(batch_id)
+                raise OSError("the connection was lost after the write")
+
+        windows = streams.live_windows(feed, delay="60 days")
+        checkpoint = f"{folder}/checkpoints/recovered"
+        streams.start(windows, write, checkpoint, every=None, mode="update").awaitTermination()
+
+    for batch in range(4):
+        _land(spark, sf_dir, f"{folder}/landed", batch)
+        feed = message_files(stream_session(spark), f"{folder}/landed")
+        try:
+            attempt(feed)
+        except StreamingQueryException:
+            attempt(feed)
+    return live.read_live_metrics(spark, tables)
 
 
 def stream_live_feed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -333,6 +419,25 @@ def daily_job_stray_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def stray_events_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily table where a tenth of each ten days' events came with later days' files.
+
+    The days are finished by then, and the last run is repeated.
+    """
+    tables = Tables(f"{run_dir(spark, 'stray-events')}/tables")
+    _store_repos(spark, sf_dir, tables)
+    tiers = sample.tiers(spark, sf_dir)
+    days = sorted(row["day"] for row in _event_days(spark, sf_dir).collect())
+    events = sample.archive(spark, sf_dir, keep=["event_id", "ts"])
+    own = F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2))
+    came = F.least(own + F.when(F.col("event_id") % 10 == 0, 1).otherwise(0), F.lit(2))
+    for number in (0, 1, 2, 2):
+        asked = [d for d in days if min((int(d[8:]) - 1) // 10, 2) == number]
+        files = events.where(came == number).drop("event_id", "ts")
+        daily.run_daily(spark, tables, files, tiers, days=asked, reprocess=True, strays=True)
+    return read_weekly(spark, tables)
+
+
 def daily_job_mixed_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily table of the first day, whose whole-day file and hourly files both exist."""
     folder = run_dir(spark, "mixed-files")
@@ -373,7 +478,7 @@ def dashboard_trending_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dashboard_trending_now(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The live panel over the tables of a stream, with its new-entrant flag."""
-    tables = _run_stream(spark, sf_dir, "stream-panel", copies=1)
+    tables = _run_stream(spark, sf_dir, "stream-panel", copies=1, width=PANEL_WIDTH)
     return dashboard.dashboard(spark, tables)["trending_now"]
 
 
@@ -405,23 +510,19 @@ def archive_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def trending_now(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return panels.trending_now(_live_rows(spark, sf_dir))
-
-
-def trending_now_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return panels.trending_window(_live_rows(spark, sf_dir))
+    return panels.trending_now(_live_rows(spark, sf_dir, PANEL_WIDTH))
 
 
 def trending_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ranking with a flag for repositories that the window before did not rank."""
-    live_rows = _live_rows(spark, sf_dir)
+    live_rows = _live_rows(spark, sf_dir, PANEL_WIDTH)
     return panels.with_new_flag(
         panels.trending_now(live_rows), panels.trending_window(live_rows, nth=2)
     )
 
 
 def new_entrants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    live_rows = _live_rows(spark, sf_dir)
+    live_rows = _live_rows(spark, sf_dir, PANEL_WIDTH)
     return panels.new_entrants(
         panels.trending_window(live_rows), panels.trending_window(live_rows, nth=2)
     )
@@ -457,10 +558,6 @@ def trending_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return panels.trending_daily(_weekly(spark, sf_dir))
 
 
-def trending_latest_day(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return panels.trending_daily(_weekly(spark, sf_dir))
-
-
 def breakout_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return breakout.scored_days(_weekly(spark, sf_dir))
 
@@ -593,6 +690,9 @@ ALL = [
     stream_windowed_activity,
     stream_dedup_windowed,
     stream_repos,
+    stream_repos_log,
+    stream_late_rows,
+    stream_recovered,
     stream_live_feed,
     stream_live_feed_restart,
     stream_canonical_events,
@@ -613,6 +713,7 @@ ALL = [
     backfill_job,
     daily_job_doubled_metadata,
     daily_job_stray_days,
+    stray_events_job,
     daily_job_mixed_files,
     late_day_job,
     archive_read,
@@ -620,7 +721,6 @@ ALL = [
     weekly_scan,
     prefix_scan,
     trending_now,
-    trending_now_window,
     new_entrants,
     trending_flags,
     dashboard_trending_now,
@@ -634,7 +734,6 @@ ALL = [
     historical_trends_long,
     historical_trends_slots,
     trending_daily,
-    trending_latest_day,
     insight_panel,
     breakout_features,
     breakout_checks,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -72,12 +74,13 @@ def raw_events(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFr
     )
 
 
-def archive(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Archive events."""
+def archive(spark: SparkSession, sf_dir: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Archive events, with the columns of the table named by `keep`."""
     return events(spark, sf_dir).select(
         _kind().alias("type"),
         F.struct(repo_of(F.col("user_id")).alias("name")).alias("repo"),
         _created_at().alias("created_at"),
+        *keep,
     )
 
 
@@ -185,6 +188,13 @@ def message_lines(spark: SparkSession, sf_dir: str, copies: int = 1) -> DataFram
     return rows.select("value")
 
 
+def dated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The topic's text values as in `message_lines`, with the id and time of their event."""
+    text = F.to_json(F.struct(*schemas.column_names(schemas.MESSAGE)))
+    value = F.when(F.col("forks_count") == 13, F.lit("{bad")).otherwise(text)
+    return timed_messages(spark, sf_dir).select("event_id", "event_timestamp", value.alias("value"))
+
+
 def archive_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hourly archive names, one for every hour in which someone signed up."""
     signups = events(spark, sf_dir).where(F.col("event_type") == "signup")

@@ -32,9 +32,9 @@ WEEKLY_METRICS = (
     "api_stars bigint, api_forks bigint, day string"
 )
 LANGUAGE_DAYS = "language string, stars bigint, repos bigint, day string"
-STRAY_DAYS = (
-    "day string, repo_name string, star_count bigint, fork_count bigint, repo_count bigint, "
-    "total_events bigint, run string"
+DAILY_COUNTS = (
+    "repo_name string, star_count bigint, fork_count bigint, total_events bigint, "
+    "day string, source string"
 )
 SNAPSHOT = (
     "name string, last_stars bigint, last_forks bigint, last_api_stars bigint, "

@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -39,19 +40,57 @@ def run_dir(spark: SparkSession, label: str) -> str:
     return f"{root}/{label}-{uuid.uuid4().hex}"
 
 
-def folder_names(spark: SparkSession, path: str, prefix: str) -> list[str]:
-    """What follows `prefix` in the names of the folders below `path`, in order; none if it is absent.
+def folder_names(
+    spark: SparkSession, path: str, prefix: str, required: bool = False
+) -> list[str]:
+    """What follows `prefix` in the names of the folders below `path`, in order.
 
-    Only names are listed: one per partition, and no file is opened.
+    Only names are listed: one per partition, and no file is opened. A path that is
+    absent has none, or is an error if `required`.
     """
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     if not files.exists(folder):
+        if required:
+            raise FileNotFoundError(path)
         return []
     names = [status.getPath().getName() for status in files.listStatus(folder)]
     return sorted(name.removeprefix(prefix) for name in names if name.startswith(prefix))
 
 
+def claim_number(spark: SparkSession, path: str, prefix: str) -> int:
+    """A number above those of the files `<prefix><number>` in a folder, claimed by creating its file.
+
+    Creation fails if another host was faster; then the next number is tried.
+    """
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    number = max(map(int, folder_names(spark, path, prefix)), default=0) + 1
+    while True:
+        try:
+            files.create(jvm.org.apache.hadoop.fs.Path(f"{path}/{prefix}{number}"), False).close()
+            return number
+        except Py4JJavaError as error:
+            if "FileAlreadyExistsException" not in error.java_exception.getClass().getName():
+                raise
+            number += 1
+
+
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """Paths that match a pattern of Hadoop's file systems."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(status.getPath().toString() for status in files.globStatus(path) or [])
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    """An empty folder, whose name is all it tells."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Remove a folder that a newer one replaces."""
     folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

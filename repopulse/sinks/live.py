@@ -9,23 +9,25 @@ ones skip the rest. Errors are not caught: the stream stops and resumes from its
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from repopulse import schemas
-from repopulse.operators.enrichment import attach_metadata, first_seen_repos
+from repopulse.operators.enrichment import attach_metadata
 from repopulse.operators.metrics import latest_by_key
-from repopulse.session import adaptive, folder_names
-from repopulse.sinks.partitions import replace_partitions, rows_of_days
+from repopulse.session import adaptive, claim_number, folder_names, remove_folder, staged
+from repopulse.sinks.partitions import replace_partitions
 from repopulse.sinks.rows import (
     live_event_rows,
     live_metrics_rows,
     message_values,
+    repo_rows,
     with_live_keys,
 )
-from repopulse.sources.tables import Tables, newest_days, read_table
+from repopulse.sources.tables import Tables, read_days, read_table, recent_days
 
 # Name under which Spark tells a micro-batch which query it belongs to.
 QUERY_ID = "sql.streaming.queryId"
@@ -38,7 +40,7 @@ LIVE_HISTORY = (
     "window string, name string, event_type string, language string, stars bigint, "
     f"forks bigint, watchers bigint, count bigint, {VERSION} bigint, day string"
 )
-REPOS_FOLDED = f"{schemas.REPOS}, {VERSION} bigint, run string"
+REPOS_FOLDED = f"{schemas.REPOS}, {VERSION} bigint"
 REPOS_LOG = f"{schemas.REPOS}, {VERSION} bigint, query string, batch_id bigint"
 EVENTS_LOG = f"{schemas.LIVE_EVENTS}, day string, query string, batch_id bigint"
 
@@ -53,15 +55,24 @@ def batch_path(table: str, query: str, batch_id: int) -> str:
 
 
 def next_start(spark: SparkSession, tables: Tables) -> int:
-    """A number above that of every earlier start of the live stream, and stored as such.
+    """A number above that of every earlier start of a live stream, and stored as such.
 
     Starts are told apart by what is stored, not by a clock, as the next one may
-    happen on another host.
+    happen on another host; two that happen at once get different numbers.
     """
-    number = max(map(int, folder_names(spark, tables.live_starts, "start=")), default=0) + 1
-    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{tables.live_starts}/start={number}")
-    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(folder)
-    return number
+    return claim_number(spark, tables.live_starts, "start=")
+
+
+def versions(tables: Tables) -> Callable[[SparkSession, int], Column]:
+    """Version of a stream's batches: they grow with its start and then with the batch."""
+    start: list[int] = []
+
+    def of(session: SparkSession, batch_id: int) -> Column:
+        if not start:
+            start.append(next_start(session, tables))
+        return F.lit(start[0] * BATCHES_PER_START + batch_id).cast("bigint").alias(VERSION)
+
+    return of
 
 
 def write_batch(rows: DataFrame, path: str, query: str, batch_id: int) -> None:
@@ -77,27 +88,20 @@ def write_batch(rows: DataFrame, path: str, query: str, batch_id: int) -> None:
 
 
 def upsert_live_batch(tables: Tables) -> Callable[[DataFrame, int], None]:
-    """Micro-batch callback that logs changed windows and the repositories in them.
+    """Micro-batch callback that logs changed windows.
 
     Versions grow with the start of the stream and then with its batches, so the
-    last write of a row wins even across checkpoints. The batch is written first
-    and its own days are read back, so its state is computed once and the work of a
-    batch does not grow with what is stored.
+    last write of a row wins even across checkpoints. Nothing stored is listed or
+    read, so the work of a batch does not grow with what is stored.
     """
-    start: list[int] = []
+    version_of = versions(tables)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        query = query_of(session)
-        if not start:
-            start.append(next_start(session, tables))
-        version = F.lit(start[0] * BATCHES_PER_START + batch_id).cast("bigint").alias(VERSION)
         with adaptive(session):
+            version = version_of(session, batch_id)
             rows = live_metrics_rows(batch).select("*", version, _day().alias("day"))
-            write_batch(rows, tables.live_metrics, query, batch_id)
-            own = f"day=*/query={query}/batch_id={batch_id}"
-            written = read_table(session, tables.live_metrics, LIVE_LOG, first=True, below=own)
-            log_repos(tables, written, version, query, batch_id)
+            write_batch(rows, tables.live_metrics, query_of(session), batch_id)
 
     return write
 
@@ -143,36 +147,72 @@ def publish_batch(
     return write
 
 
-def log_repos(
-    tables: Tables, live_rows: DataFrame, version: Column, query: str, batch_id: int
-) -> None:
-    """K2: the repositories of a batch with the language first seen in it.
+def log_repos(tables: Tables) -> Callable[[DataFrame, int], None]:
+    """K2: micro-batch callback that logs the repositories the stream has not met before.
 
-    Nothing stored is read: which batch saw a repository first is settled by its
-    version when the table is read or folded.
+    Which of them are new is known to the state of the stream, so nothing stored is
+    read, and a repository is logged once however long the stream runs.
     """
-    path = batch_path(tables.repos, query, batch_id)
-    seen = first_seen_repos(live_rows).select("*", version)
-    seen.hint("rebalance").write.mode("overwrite").parquet(path)
+    version_of = versions(tables)
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        session = batch.sparkSession
+        with adaptive(session):
+            rows = repo_rows(batch).select("*", version_of(session, batch_id))
+            path = batch_path(tables.repos, query_of(session), batch_id)
+            rows.hint("rebalance").write.mode("overwrite").parquet(path)
 
-def _first_repos(spark: SparkSession, tables: Tables) -> DataFrame:
-    log = read_table(spark, tables.repos, REPOS_LOG, first=True).drop("query", "batch_id")
-    folded = read_table(spark, tables.repos_folded, REPOS_FOLDED, first=True).drop("run")
+    return write
+
+
+def _first_repos(log: DataFrame) -> DataFrame:
     order = F.struct(VERSION, "full_name", "language")
-    first = log.unionByName(folded).groupBy("repo_key").agg(F.min(order).alias("first"))
+    first = log.groupBy("repo_key").agg(F.min(order).alias("first"))
     return first.select("repo_key", "first.full_name", "first.language", f"first.{VERSION}")
 
 
-def compact_repos(spark: SparkSession, tables: Tables, run: str) -> None:
+def _stored_repos(spark: SparkSession, tables: Tables) -> DataFrame:
+    """The log and the newest folded run; older runs say nothing more."""
+    log = read_table(spark, tables.repos, REPOS_LOG, first=True).drop("query", "batch_id")
+    run = folder_names(spark, tables.repos_folded, "run=")[-1:]
+    folded = [read_table(spark, f"{tables.repos_folded}/run={r}", REPOS_FOLDED) for r in run]
+    for rows in folded:
+        log = log.unionByName(rows)
+    return log
+
+
+def compact_repos(spark: SparkSession, tables: Tables, run: str) -> list[str]:
     """K2: fold the log of repositories into one row each, below a folder named `run`.
 
-    The folded rows keep their version, so reading them beside the log is right
-    whether or not the folded batches have been removed, which is left to the
-    caller.
+    Names of runs must ascend, as times or numbers of one width do. The folded rows
+    keep their version, so reading them beside the log is right whether or not the
+    folded batches have been removed. Returned are those batches' folders, for
+    `remove_folded`.
     """
-    first = _first_repos(spark, tables)
+    batches = batch_folders(spark, tables.repos, ["query=", "batch_id="])
+    first = _first_repos(_stored_repos(spark, tables))
     first.hint("rebalance").write.mode("overwrite").parquet(f"{tables.repos_folded}/run={run}")
+    return batches
+
+
+def batch_folders(spark: SparkSession, path: str, levels: list[str]) -> list[str]:
+    """Folders below `path`, one level per prefix."""
+    found = [path]
+    for prefix in levels:
+        found = [f"{p}/{prefix}{name}" for p in found for name in folder_names(spark, p, prefix)]
+    return found
+
+
+def remove_folded(spark: SparkSession, tables: Tables, folders: Iterable[str]) -> None:
+    """Remove batches and older runs that a newer run holds.
+
+    Readers that were planned before may still need them, so some time should pass
+    between folding and this. A batch that the stream repeats is written again.
+    """
+    for folder in folders:
+        remove_folder(spark, folder)
+    for run in folder_names(spark, tables.repos_folded, "run=")[:-1]:
+        remove_folder(spark, f"{tables.repos_folded}/run={run}")
 
 
 def _newest_versions(versions: DataFrame) -> DataFrame:
@@ -184,55 +224,92 @@ def _day() -> Column:
     return F.substring("window", 1, 10)
 
 
-def _live_log(spark: SparkSession, tables: Tables) -> DataFrame:
-    log = read_table(spark, tables.live_metrics, LIVE_LOG, first=True)
+def _log_values(log: DataFrame) -> DataFrame:
     return log.select(*LIVE_KEYS, *LIVE_VALUES, VERSION, "day")
 
 
-def _stored_versions(spark: SparkSession, tables: Tables) -> DataFrame:
-    history = read_table(spark, tables.live_history, LIVE_HISTORY, first=True)
-    return history.unionByName(_live_log(spark, tables))
+def live_days(spark: SparkSession, tables: Tables) -> list[str]:
+    """Days that have live rows, from folder names."""
+    paths = (tables.live_metrics, tables.live_history)
+    return sorted({day for path in paths for day in folder_names(spark, path, "day=")})
+
+
+def _stored_versions(spark: SparkSession, tables: Tables, days: list[str]) -> DataFrame:
+    history = read_days(spark, tables.live_history, LIVE_HISTORY, days)
+    log = read_days(spark, tables.live_metrics, LIVE_LOG, days)
+    return history.unionByName(_log_values(log))
 
 
 def read_live_metrics(spark: SparkSession, tables: Tables) -> DataFrame:
     """K1: the newest version of every live row, from compacted days and the log."""
-    return with_live_keys(_newest_versions(_stored_versions(spark, tables)))
+    days = live_days(spark, tables)
+    return with_live_keys(_newest_versions(_stored_versions(spark, tables, days)))
 
 
 def recent_live_metrics(spark: SparkSession, tables: Tables, days: int = 2) -> DataFrame:
     """K1 restricted to the newest days, which hold the newest windows.
 
-    Days come from folder names, so nothing older is opened.
+    Days come from folder names, and nothing older is listed or opened.
     """
-    stored = {
-        day
-        for path in (tables.live_metrics, tables.live_history)
-        for day in newest_days(spark, path, days)
-    }
-    recent = F.col("day").isin(sorted(stored)[-days:]) if stored else F.lit(False)
-    return with_live_keys(_newest_versions(_stored_versions(spark, tables).where(recent)))
+    recent = live_days(spark, tables)[-days:]
+    return with_live_keys(_newest_versions(_stored_versions(spark, tables, recent)))
 
 
-def compact_live_metrics(spark: SparkSession, tables: Tables) -> None:
-    """K1: fold the log into day partitions of newest versions.
+def compact_live_metrics(
+    spark: SparkSession, tables: Tables, days: Iterable[str] | None = None
+) -> list[str]:
+    """K1: fold the log of the given days, by default all, into partitions of newest versions.
 
-    Rows keep their version, so reading history and log together is right
-    whether or not the folded batches have been removed yet, which is left to
-    the caller.
+    The folders to fold are listed first and only they are read, so batches that
+    arrive meanwhile wait for the next time. Rows keep their version, so reading
+    history and log together is right whether or not the folded batches have been
+    removed. Returned are their folders, for `remove_folded`.
     """
-    log = _live_log(spark, tables)
-    history = rows_of_days(
-        read_table(spark, tables.live_history, LIVE_HISTORY, first=True), log
-    )
-    newest = _newest_versions(history.unionByName(log))
+    logged = folder_names(spark, tables.live_metrics, "day=")
+    wanted = logged if days is None else sorted(set(days) & set(logged))
+    batches = [
+        folder
+        for day in wanted
+        for folder in batch_folders(
+            spark, f"{tables.live_metrics}/day={day}", ["query=", "batch_id="]
+        )
+    ]
+    if not batches:
+        return []
+    reader = spark.read.schema(LIVE_LOG).option("basePath", tables.live_metrics)
+    log = _log_values(reader.parquet(*batches))
+    history = read_days(spark, tables.live_history, LIVE_HISTORY, wanted)
+    newest = staged(spark, _newest_versions(history.unionByName(log)), "live-history")
     replace_partitions(newest.withColumn("day", _day()), tables.live_history, "day")
+    return batches
+
+
+def expire_live_days(
+    spark: SparkSession, tables: Tables, today: str, keep_live: int = 7, keep_events: int = 7
+) -> None:
+    """K1, K3: remove live rows and feed events of days before the ones to keep."""
+    for path, days in (
+        (tables.live_metrics, keep_live),
+        (tables.live_history, keep_live),
+        (tables.live_events, keep_events),
+    ):
+        oldest = (date.fromisoformat(today) - timedelta(days=days)).isoformat()
+        for day in folder_names(spark, path, "day="):
+            if day <= oldest:
+                remove_folder(spark, f"{path}/day={day}")
 
 
 def read_repos(spark: SparkSession, tables: Tables) -> DataFrame:
     """K2: the repository dimension, one row per key with the language first seen."""
-    return _first_repos(spark, tables).drop(VERSION)
+    return _first_repos(_stored_repos(spark, tables)).drop(VERSION)
 
 
 def read_live_events(spark: SparkSession, tables: Tables) -> DataFrame:
     """K3: the event feed, with the `day` it is partitioned by."""
     return read_table(spark, tables.live_events, EVENTS_LOG, first=True).drop("query", "batch_id")
+
+
+def recent_live_events(spark: SparkSession, tables: Tables, rows: int) -> DataFrame:
+    """K3 restricted to as many of the newest days as hold that many events."""
+    found = recent_days(spark, tables.live_events, EVENTS_LOG, rows)
+    return found.drop("query", "batch_id")

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from repopulse.session import remove_folder
+
 
 def replace_partitions(rows: DataFrame, path: str, column: str) -> None:
     """Replace just the partitions that occur in `rows`.
@@ -21,6 +25,19 @@ def replace_partitions(rows: DataFrame, path: str, column: str) -> None:
     )
 
 
+def replace_exactly(
+    spark: SparkSession, rows: DataFrame, path: str, column: str, values: Iterable[str | int]
+) -> None:
+    """Replace the named partitions, also those that `rows` has nothing of any more.
+
+    `rows` should be a written table: it is read for its partitions and for its rows.
+    """
+    replace_partitions(rows, path, column)
+    left = {row[0] for row in rows.select(column).distinct().collect()}
+    for value in set(values) - left:
+        remove_folder(spark, f"{path}/{column}={value}")
+
+
 def rows_of_days(table: DataFrame, days: DataFrame) -> DataFrame:
     """Rows of a day-partitioned table whose day occurs in `days`.
 

@@ -55,6 +55,13 @@ def with_live_keys(live: DataFrame) -> DataFrame:
     )
 
 
+def repo_rows(seen: DataFrame) -> DataFrame:
+    """K2: rows of the repository dimension."""
+    return seen.select(
+        percent_encoded(F.col("full_name")).alias("repo_key"), "full_name", "language"
+    )
+
+
 def live_event_rows(messages: DataFrame) -> DataFrame:
     """K3: one row per event. The key holds the event id, so a replay writes the same key."""
     defaults = messages.select(

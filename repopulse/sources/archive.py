@@ -25,10 +25,11 @@ def archive_paths(
     """Files of the wanted days, and those of the days that are incomplete.
 
     The whole-day file if there is one, else the hourly files. Only names are
-    listed: a folder holds 25 files per day at most.
+    listed: a folder holds 25 files per day at most. A folder that does not exist
+    is an error, unlike one without new files.
     """
     folder = folder.rstrip("/")
-    names = set(folder_names(spark, folder, ""))
+    names = set(folder_names(spark, folder, "", required=True))
     paths, incomplete = [], []
     for day in days:
         hourly = [f"{day}-{hour}.json.gz" for hour in range(24)]

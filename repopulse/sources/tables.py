@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -14,9 +15,13 @@ from repopulse.session import folder_names
 
 @dataclass(frozen=True)
 class Tables:
-    """Paths of the serving tables below one root folder."""
+    """Paths of the serving tables below one root folder.
+
+    The snapshot's number of buckets is fixed for the life of the tables.
+    """
 
     root: str
+    snapshot_buckets: int = 16
 
     @property
     def weekly_metrics(self) -> str:
@@ -26,6 +31,14 @@ class Tables:
     def snapshots(self) -> str:
         return f"{self.root}/last_day_snapshots"
 
+    @property
+    def snapshot_folds(self) -> str:
+        return f"{self.root}/snapshot_folds"
+
+    @property
+    def daily_counts(self) -> str:
+        return f"{self.root}/daily_counts"
+
     @property
     def processed_days(self) -> str:
         return f"{self.root}/processed_days"
@@ -58,10 +71,6 @@ class Tables:
     def unreadable(self) -> str:
         return f"{self.root}/unreadable_events"
 
-    @property
-    def strays(self) -> str:
-        return f"{self.root}/stray_days"
-
     @property
     def live_events(self) -> str:
         return f"{self.root}/live_events"
@@ -96,6 +105,20 @@ def read_table(
         return schemas.empty(spark, schema)
 
 
+def read_days(
+    spark: SparkSession, path: str, schema: str, days: Iterable[str], day: str = "day"
+) -> DataFrame:
+    """Rows of the named days of a day-partitioned table; no other day's folder is listed.
+
+    Days that are not stored have no rows.
+    """
+    stored = set(folder_names(spark, path, f"{day}="))
+    folders = [f"{path}/{day}={name}" for name in sorted(set(days)) if name in stored]
+    if not folders:
+        return schemas.empty(spark, schema)
+    return spark.read.schema(schema).option("basePath", path).parquet(*folders)
+
+
 def scan(
     table: DataFrame,
     limit: int = 0,
@@ -118,21 +141,21 @@ def newest_days(spark: SparkSession, path: str, count: int, day: str = "day") ->
 
 
 def recent_days(
-    spark: SparkSession, path: str, table: DataFrame, rows: int, day: str = "day"
+    spark: SparkSession, path: str, schema: str, rows: int, day: str = "day"
 ) -> DataFrame:
     """As many of the newest days of the table stored at `path` as hold `rows` rows.
 
     Days come from folder names, and the rows of each are counted up to `rows`
-    only, so a newest-first scan reads one day as a rule and never more days than
-    it needs.
+    only, so a newest-first scan lists and reads one day as a rule and never more
+    days than it needs.
     """
     taken, found = [], 0
     for name in reversed(folder_names(spark, path, f"{day}=")):
         taken.append(name)
-        found += table.where(F.col(day) == name).limit(rows).count()
+        found += read_days(spark, path, schema, [name], day).limit(rows).count()
         if found >= rows:
             break
-    return table.where(F.col(day).isin(taken)) if taken else table.where(F.lit(False))
+    return read_days(spark, path, schema, taken, day)
 
 
 def newest_live_metrics(live_metrics: DataFrame, limit: int = 20) -> DataFrame:

@@ -1,4 +1,4 @@
-"""The three streams: publish clean messages, live windows, live feed (Q1-Q3).
+"""The streams: publish clean messages, live windows, repositories, live feed (Q1-Q3, K2).
 
 Each returns a started query. Every query has a checkpoint folder of its own
 beside, not inside, the others'.
@@ -6,10 +6,13 @@ beside, not inside, the others'.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from repopulse.functions.text import UNKNOWN_LANGUAGE, UNKNOWN_NAME, or_default
 from repopulse.operators.cleaning import (
     DUPLICATE_MEMORY,
     LATENESS,
@@ -22,6 +25,7 @@ from repopulse.operators.metrics import WINDOW_WIDTH, windowed_activity
 from repopulse.sinks.live import (
     append_events,
     append_unreadable,
+    log_repos,
     publish_batch,
     upsert_live_batch,
 )
@@ -39,6 +43,22 @@ def _trigger(every: str | None) -> dict:
     return {"availableNow": True} if every is None else {"processingTime": every}
 
 
+def start(
+    rows: DataFrame,
+    write: Callable[[DataFrame, int], None],
+    checkpoint: str,
+    every: str | None,
+    mode: str = "append",
+) -> StreamingQuery:
+    """A started query whose micro-batches go to `write`.
+
+    `write` must leave the same result when a batch is repeated: a batch that fails,
+    even after its rows are stored, is run again from the checkpoint.
+    """
+    stream = rows.writeStream.outputMode(mode).foreachBatch(write)
+    return stream.option("checkpointLocation", checkpoint).trigger(**_trigger(every)).start()
+
+
 def clean_events(
     raw: DataFrame, delay: str = DUPLICATE_MEMORY, spread_copies: bool = True
 ) -> DataFrame:
@@ -55,15 +75,8 @@ def keep_unreadable(
     raw: DataFrame, tables: Tables, checkpoint: str, every: str | None = PUBLISH_TRIGGER
 ) -> StreamingQuery:
     """The events that Q1 leaves out for their time, to a table of their own."""
-    return (
-        resolve_raw_events(raw)
-        .where(F.col("event_timestamp").isNull())
-        .writeStream.outputMode("append")
-        .foreachBatch(append_unreadable(tables))
-        .option("checkpointLocation", checkpoint)
-        .trigger(**_trigger(every))
-        .start()
-    )
+    unreadable = resolve_raw_events(raw).where(F.col("event_timestamp").isNull())
+    return start(unreadable, append_unreadable(tables), checkpoint, every)
 
 
 def publish_messages(
@@ -76,14 +89,8 @@ def publish_messages(
     **cleaning,
 ) -> StreamingQuery:
     """Q1, K7: clean messages to the topic given by its sink options, else to text files."""
-    return (
-        clean_events(raw, **cleaning)
-        .writeStream.outputMode("append")
-        .foreachBatch(publish_batch(tables, metadata, topic))
-        .option("checkpointLocation", checkpoint)
-        .trigger(**_trigger(every))
-        .start()
-    )
+    write = publish_batch(tables, metadata, topic)
+    return start(clean_events(raw, **cleaning), write, checkpoint, every)
 
 
 def live_windows(
@@ -113,14 +120,44 @@ def stream_live_metrics(
     **windows,
 ) -> StreamingQuery:
     """Changed windows of every micro-batch to the live tables."""
-    return (
-        live_windows(feed, **windows)
-        .writeStream.outputMode("update")
-        .foreachBatch(upsert_live_batch(tables))
-        .option("checkpointLocation", checkpoint)
-        .trigger(**_trigger(every))
-        .start()
+    rows = live_windows(feed, **windows)
+    return start(rows, upsert_live_batch(tables), checkpoint, every, mode="update")
+
+
+def seen_repos(feed: DataFrame, spread_copies: bool = False) -> DataFrame:
+    """K2: each repository with a language, once, for as long as the stream's checkpoint lasts.
+
+    Names and languages that were met are the stream's state, which grows like the
+    dimension. A hot repository's events meet in one task, though only as two short
+    texts; `spread_copies` lets each input partition drop its own first, for a
+    state of up to one entry per partition.
+    """
+    named = valid_messages(parse_messages(feed)).select(
+        or_default(F.col("repo_name"), UNKNOWN_NAME).alias("full_name"),
+        or_default(F.col("language"), UNKNOWN_LANGUAGE).alias("language"),
     )
+    keys = ["full_name", "language"]
+    if spread_copies:
+        named = (
+            named.withColumn("source_partition", F.spark_partition_id())
+            .dropDuplicates([*keys, "source_partition"])
+            .select(*keys)
+        )
+    return named.dropDuplicates(keys)
+
+
+def stream_repos(
+    feed: DataFrame,
+    tables: Tables,
+    checkpoint: str,
+    every: str | None = METRICS_TRIGGER,
+    spread_copies: bool = False,
+) -> StreamingQuery:
+    """K2: repositories not met before to the log of the dimension.
+
+    Of several languages that of the earliest batch sticks, then the first by text.
+    """
+    return start(seen_repos(feed, spread_copies), log_repos(tables), checkpoint, every)
 
 
 def stream_live_events(
@@ -131,14 +168,24 @@ def stream_live_events(
     So a batch that is repeated replaces itself, and a stream begun anew with
     another checkpoint adds to the table.
     """
-    return (
-        valid_messages(parse_messages(feed))
-        .writeStream.outputMode("append")
-        .foreachBatch(append_events(tables))
-        .option("checkpointLocation", checkpoint)
-        .trigger(**_trigger(every))
-        .start()
-    )
+    events = valid_messages(parse_messages(feed))
+    return start(events, append_events(tables), checkpoint, every)
+
+
+def lateness_report(query: StreamingQuery) -> list[dict]:
+    """Per micro-batch of a query its watermark, its rows, and the rows dropped as too late.
+
+    Rows that one input partition would have added to one window and group count once.
+    """
+    return [
+        {
+            "batch_id": progress.batchId,
+            "watermark": progress.eventTime.get("watermark"),
+            "rows": progress.numInputRows,
+            "dropped": sum(s.numRowsDroppedByWatermark for s in progress.stateOperators),
+        }
+        for progress in query.recentProgress
+    ]
 
 
 def run_live(
@@ -146,14 +193,26 @@ def run_live(
     feed: DataFrame,
     tables: Tables,
     checkpoints: str,
+    raw: DataFrame | None = None,
+    metadata: DataFrame | None = None,
+    topic: dict[str, str] | None = None,
     **windows,
 ) -> None:
-    """Run metrics and feed until either stops, then stop both; a failure surfaces."""
-    started = [
-        stream_live_metrics(feed, tables, f"{checkpoints}/live-metrics", **windows),
-        stream_live_events(feed, tables, f"{checkpoints}/live-events"),
-    ]
+    """Run metrics, repositories and feed until one of them stops, then stop all.
+
+    With `raw` events and their `metadata`, the publishing stream and the one that
+    keeps unreadable events run beside them. The failure of any surfaces here.
+    """
+    started: list[StreamingQuery] = []
     try:
+        started.append(stream_live_metrics(feed, tables, f"{checkpoints}/live-metrics", **windows))
+        started.append(stream_repos(feed, tables, f"{checkpoints}/live-repos"))
+        started.append(stream_live_events(feed, tables, f"{checkpoints}/live-events"))
+        if raw is not None:
+            started.append(
+                publish_messages(raw, metadata, tables, f"{checkpoints}/publish", topic=topic)
+            )
+            started.append(keep_unreadable(raw, tables, f"{checkpoints}/unreadable"))
         spark.streams.awaitAnyTermination()
     finally:
         for query in started:

@@ -32,6 +32,7 @@ def test_all_panels_from_the_tables_of_both_paths(spark, tables, folder):
     Path(f"{folder}/feed/1.txt").write_text("\n".join(lines))
     feed = message_files(stream_session(spark, 2), f"{folder}/feed")
     queries.stream_live_metrics(feed, tables, f"{folder}/ck/m", every=None).awaitTermination()
+    queries.stream_repos(feed, tables, f"{folder}/ck/r", every=None).awaitTermination()
     queries.stream_live_events(feed, tables, f"{folder}/ck/e", every=None).awaitTermination()
     daily.run_daily(spark, tables, archive(spark, FIRST))
     # The first source is asked by owner and name, so a bare name needs the second.

@@ -14,13 +14,14 @@ EAGER = {
     "stream_windowed_activity", "stream_dedup_windowed", "stream_repos", "stream_live_feed",
     "stream_canonical_events", "daily_job", "snapshot_job", "processed_days_job", "backfill_job",
     "raw_file_events", "archive_read", "archive_quarantine", "breakout_scores", "breakout_checks", "ai_insights",
+    "stream_repos_log", "stream_late_rows", "stream_recovered", "stray_events_job",
     "daily_job_stray_days", "daily_job_mixed_files", "late_day_job", "stream_live_feed_restart",
     "dashboard_trending_now", "dashboard_rising_languages", "dashboard_historical_trends",
     "dashboard_trending_daily",
 }
 TOP_K = {
-    "live_metrics_scan", "top_velocity", "trending_now", "trending_now_window", "rising_languages",
-    "language_totals", "activity_feed", "trending_daily", "trending_latest_day", "weekly_scan",
+    "live_metrics_scan", "top_velocity", "trending_now", "rising_languages",
+    "language_totals", "activity_feed", "trending_daily", "weekly_scan",
     "prefix_scan", "insight_panel",
 }
 PYTHON = ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas")

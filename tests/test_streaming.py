@@ -102,7 +102,6 @@ def test_a_new_checkpoint_never_touches_earlier_batches(spark, session, feed, ta
     time.sleep(1.1)
     queries.stream_live_metrics(source, tables, f"{folder}/anew", every=None).awaitTermination()
     assert [(name, n) for _, name, _, n in counts(spark, tables)] == [("a/b", 1), ("c/d", 1), ("e/f", 1)]
-    assert records(live.read_repos(spark, tables), "full_name") == [("a/b",), ("c/d",), ("e/f",)]
 
 
 def test_failing_sink_stops_the_stream_and_the_batch_is_repeated(
@@ -110,16 +109,23 @@ def test_failing_sink_stops_the_stream_and_the_batch_is_repeated(
 ):
     feed.add(message(1, "10:31:00"))
 
-    def broken(*_):
+    write_batch = live.write_batch
+
+    def broken(*given):
+        write_batch(*given)
         raise OSError("no space")
 
     with monkeypatch.context() as patch:
-        patch.setattr(live, "log_repos", broken)
+        patch.setattr(live, "write_batch", broken)
         with pytest.raises(Exception, match="no space"):
             run_metrics(session, feed, tables, folder)
-    run_metrics(session, feed, tables, folder)
     assert [n for *_, n in counts(spark, tables)] == [1]
-    assert records(live.read_repos(spark, tables), "full_name") == [("a/b",)]
+    feed.add(message(2, "10:32:00"))
+    run_metrics(session, feed, tables, folder)
+    assert [n for *_, n in counts(spark, tables)] == [2]
+    # The repeated batch has replaced what its first try wrote.
+    logged = spark.read.parquet(tables.live_metrics)
+    assert records(logged, "batch_id", "count") == [(0, 1), (1, 2)]
 
 
 @pytest.mark.parametrize("spread", [True, False])
@@ -231,11 +237,31 @@ def test_live_run_surfaces_a_failure_of_either_stream(spark, session, feed, fold
     def broken(*_):
         raise OSError("sink is gone")
 
-    monkeypatch.setattr(live, "log_repos", broken)
+    names = {"live-metrics", "live-repos", "live-events"}
+    monkeypatch.setattr(live, "write_batch", broken)
     with pytest.raises(Exception, match="sink is gone"):
         queries.run_live(session, message_files(session, str(feed.path)), tables, f"{folder}/ck")
     assert session.streams.active == []
-    assert {p.name for p in Path(f"{folder}/ck").iterdir()} == {"live-metrics", "live-events"}
+    assert {p.name for p in Path(f"{folder}/ck").iterdir()} == names
+
+
+def test_live_run_stops_with_its_publishing_stream(spark, session, feed, folder, monkeypatch):
+    tables = Tables(f"{folder}/tables")
+    Path(f"{folder}/raw").mkdir(parents=True)
+    Path(f"{folder}/raw/1.json").write_text(raw_event(1) + "\n")
+
+    def broken(*_):
+        raise OSError("topic is gone")
+
+    monkeypatch.setattr("repopulse.sinks.live.message_values", broken)
+    raw = raw_event_files(session, f"{folder}/raw", stream=True)
+    known = spark.createDataFrame([], schemas.METADATA)
+    with pytest.raises(Exception, match="topic is gone"):
+        queries.run_live(
+            session, message_files(session, str(feed.path)), tables, f"{folder}/ck", raw, known
+        )
+    assert session.streams.active == []
+    assert "unreadable" in {p.name for p in Path(f"{folder}/ck").iterdir()}
 
 
 def test_windows_of_another_width(spark, session, feed, tables, folder):
@@ -265,13 +291,57 @@ def test_starts_are_numbered_by_what_is_stored(spark, tables):
     assert [live.next_start(spark, tables) for _ in range(3)] == [1, 2, 3]
 
 
-def test_the_first_batch_decides_a_language_and_folding_keeps_it(spark, tables):
-    for batch_id, language in ((5, "Go"), (6, "Rust")):
-        rows = spark.createDataFrame(
-            [("2026-04-13 10:00:00", "a/b", "WatchEvent", language)],
-            "window string, name string, event_type string, language string",
-        )
-        live.log_repos(tables, rows, F.lit(batch_id).cast("bigint").alias("version"), "q", batch_id)
-    assert records(live.read_repos(spark, tables), "full_name", "language") == [("a/b", "Go")]
-    live.compact_repos(spark, tables, "one")
-    assert records(live.read_repos(spark, tables), "full_name", "language") == [("a/b", "Go")]
+def run_repos(session, feed, tables, checkpoint, **options):
+    source = message_files(session, str(feed.path), maxFilesPerTrigger=1)
+    queries.stream_repos(source, tables, checkpoint, every=None, **options).awaitTermination()
+
+
+def test_two_starts_at_once_get_different_numbers(spark, tables, monkeypatch):
+    """The other host creates its file after this one has listed the names."""
+    assert live.next_start(spark, tables) == 1
+    monkeypatch.setattr("repopulse.session.folder_names", lambda *_: [])
+    assert live.next_start(spark, tables) == 2
+
+
+@pytest.mark.parametrize("spread", [False, True])
+def test_a_repository_is_logged_once_over_batches_and_restarts(spark, session, feed, tables, folder, spread):
+    known = lambda: records(live.read_repos(spark, tables), "full_name", "language")
+    feed.add(message(1, "10:31:00"), message(2, "10:32:00"), message(3, "10:33:00", repo="c/d", language="C"))
+    feed.add(message(4, "10:34:00"), message(5, "10:35:00", repo="e/f", language="Zig"))
+    run_repos(session, feed, tables, f"{folder}/repos", spread_copies=spread)
+    feed.add(message(6, "10:36:00", language="Rust"), message(7, "10:37:00", repo="g/h"))
+    run_repos(session, feed, tables, f"{folder}/repos", spread_copies=spread)
+    logged = spark.read.parquet(tables.repos)
+    wanted = [("a/b", "Go"), ("a/b", "Rust"), ("c/d", "C"), ("e/f", "Zig"), ("g/h", "Go")]
+    assert records(logged, "full_name", "language") == wanted
+    first = [pair for pair in wanted if pair != ("a/b", "Rust")]
+    assert known() == first
+
+    folded = live.compact_repos(spark, tables, "1")
+    assert known() == first
+    feed.add(message(8, "10:38:00", repo="i/j"))
+    run_repos(session, feed, tables, f"{folder}/repos", spread_copies=spread)
+    live.remove_folded(spark, tables, folded)
+    first.append(("i/j", "Go"))
+    assert known() == first
+    assert spark.read.parquet(tables.repos).count() == 1
+    live.remove_folded(spark, tables, live.compact_repos(spark, tables, "2"))
+    assert known() == first
+    assert [p.name for p in Path(tables.repos_folded).iterdir() if p.is_dir()] == ["run=2"]
+
+
+def test_folded_live_batches_can_be_removed(spark, session, feed, tables, folder):
+    feed.add(message(1, "10:31:00"))
+    feed.add(message(2, "10:32:00"), message(3, "11:32:00", repo="c/d"))
+    run_metrics(session, feed, tables, folder)
+    before = counts(spark, tables)
+    folded = live.compact_live_metrics(spark, tables, ["2026-04-13"])
+    assert len(folded) == 2 and counts(spark, tables) == before
+    feed.add(message(4, "11:33:00", repo="c/d"))
+    run_metrics(session, feed, tables, folder)
+    live.remove_folded(spark, tables, folded)
+    assert [(name, n) for _, name, _, n in counts(spark, tables)] == [("a/b", 2), ("c/d", 2)]
+    assert spark.read.parquet(tables.live_metrics).count() == 1
+    assert live.compact_live_metrics(spark, tables, ["2026-04-12"]) == []
+    live.expire_live_days(spark, tables, "2026-04-14", keep_live=1)
+    assert counts(spark, tables) == []

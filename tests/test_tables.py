@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import gzip
 import json
+from functools import partial
 from pathlib import Path
 
+import pytest
 from conftest import records
 from pyspark.sql import functions as F
 
@@ -168,17 +170,13 @@ def live_rows(spark, tables):
 def test_live_rows_show_the_newest_version(spark, tables):
     write_batches(spark, tables)
     assert live_rows(spark, tables) == LATEST
-    repos = [("a/b", "Go"), ("c/d", "Unknown")]
-    assert records(live.read_repos(spark, tables), "full_name", "language") == repos
 
 
 def test_repeating_a_batch_changes_nothing(spark, tables):
     write = write_batches(spark, tables)
-    repos = records(live.read_repos(spark, tables))
     write(windows(spark, BATCHES[1]), 1)
     write(windows(spark, BATCHES[0]), 0)
     assert live_rows(spark, tables) == LATEST
-    assert records(live.read_repos(spark, tables)) == repos
 
 
 def test_compaction_keeps_what_readers_see(spark, tables):
@@ -226,18 +224,118 @@ def test_days_not_asked_for_are_put_aside(spark, tables):
     daily.run_daily(spark, tables, raw_archive(spark, full), incomplete_days=spark.createDataFrame([("2026-04-12",)], "day string"))
     stray = [one_event("a/b", f"2026-04-1{d}T23:59:59Z") for d in (2, 3, 4)]
     for _ in range(2):
-        daily.run_daily(spark, tables, raw_archive(spark, stray), days=["2026-04-13"])
+        daily.run_daily(spark, tables, raw_archive(spark, stray), days=["2026-04-13"], strays=True)
     stored = daily_sinks.read_weekly(spark, tables)
-    assert records(stored, "day", "name", "stars") == [
-        ("2026-04-12", "a/b", 3), ("2026-04-12", "c/d", 1), ("2026-04-13", "a/b", 1),
+    # The stray of the stored day counts there, once; that of another day waits.
+    assert records(stored, "day", "name", "stars", "velocity") == [
+        ("2026-04-12", "a/b", 4, 4), ("2026-04-12", "c/d", 1, 1), ("2026-04-13", "a/b", 1, -3),
     ]
-    from repopulse.sources.tables import processed_days
-
     assert records(processed_days(spark, tables), "day") == [("2026-04-13",)]
-    aside = read_table(spark, tables.strays, schemas.STRAY_DAYS)
-    assert records(aside, "day", "repo_name") == [("2026-04-12", "a/b"), ("2026-04-14", "a/b")]
-    # The day that came as a stray is still to be done.
-    assert daily.run_daily(spark, tables, raw_archive(spark, stray[2:] * 5), days=["2026-04-14"])
+    aside = daily_sinks.read_strays(spark, tables)
+    assert records(aside, "day", "repo_name", "source") == [
+        ("2026-04-12", "a/b", "2026-04-13..2026-04-13"), ("2026-04-14", "a/b", "2026-04-13..2026-04-13"),
+    ]
+    # The day that came as a stray is still to be done, and has its stray then.
+    assert daily.run_daily(spark, tables, raw_archive(spark, stray[2:] * 5), days=["2026-04-14"], strays=True)
+    stored = daily_sinks.read_weekly(spark, tables).where("day = '2026-04-14'")
+    assert records(stored, "name", "stars") == [("a/b", 6)]
+
+
+def test_strays_of_finished_days_reach_them(spark, tables):
+    daily.run_daily(spark, tables, raw_archive(spark, [one_event("a/b", "2026-04-12T01:00:00Z")] * 3))
+    daily.run_daily(spark, tables, raw_archive(spark, [one_event("a/b", "2026-04-13T01:00:00Z")] * 2))
+    mixed = [one_event("a/b", "2026-04-14T01:00:00Z")] * 9 + [
+        one_event("a/b", "2026-04-12T02:00:00Z"), one_event("new", "2026-04-12T02:00:00Z"),
+    ]
+    for _ in range(2):
+        daily.run_daily(spark, tables, raw_archive(spark, mixed), days=["2026-04-14"], reprocess=True, strays=True)
+        assert velocities(spark, tables) == [
+            ("2026-04-12", "a/b", 4, 4, 0), ("2026-04-12", "new", 1, 1, 0),
+            ("2026-04-13", "a/b", 2, -2, 0), ("2026-04-14", "a/b", 9, 7, 0),
+        ]
+    # A repeated run without strays takes them back.
+    daily.run_daily(spark, tables, raw_archive(spark, mixed[:9]), days=["2026-04-14"], reprocess=True, strays=True)
+    assert daily_sinks.read_strays(spark, tables).count() == 0
+
+
+def test_a_reprocessed_day_without_events_is_emptied(spark, tables):
+    for day, n in (("2026-04-12", 3), ("2026-04-13", 5), ("2026-04-14", 4)):
+        daily.run_daily(spark, tables, raw_archive(spark, [one_event("a/b", f"{day}T01:00:00Z")] * n))
+    other = raw_archive(spark, [one_event("a/b", "2026-04-12T01:00:00Z")] * 2)
+    daily.run_daily(spark, tables, other, days=["2026-04-12", "2026-04-13"], reprocess=True)
+    assert velocities(spark, tables) == [("2026-04-12", "a/b", 2, 2, 0), ("2026-04-14", "a/b", 4, 2, 0)]
+    assert records(daily_sinks.read_language_days(spark, tables), "day") == [("2026-04-12",), ("2026-04-14",)]
+
+
+@pytest.mark.parametrize("fold_after", [0, 1, 99])
+def test_snapshots_agree_however_often_they_are_folded(spark, tables, folder, monkeypatch, fold_after):
+    """Days in and out of order, a day again, and a repository that is gone from its last day."""
+    monkeypatch.setattr(daily, "update_snapshot", partial(daily_sinks.update_snapshot, fold_after=fold_after))
+    days = [
+        [("2026-04-10", "a/b", 3, 1), ("2026-04-10", "c/d", 2, 0)],
+        [("2026-04-12", "a/b", 5, 0), ("2026-04-12", "e/f", 1, 0)],
+        [("2026-04-11", "c/d", 7, 0), ("2026-04-11", "late", 6, 0)],
+        [("2026-04-13", "late", 8, 0)],
+        [("2026-04-12", "e/f", 2, 0)],
+    ]
+    for rows in days:
+        daily.run_daily(spark, tables, archive(spark, rows), days=[rows[0][0]], reprocess=True)
+    assert velocities(spark, tables) == [
+        ("2026-04-10", "a/b", 3, 3, 1), ("2026-04-10", "c/d", 2, 2, 0),
+        ("2026-04-11", "c/d", 7, 5, 0), ("2026-04-11", "late", 6, 6, 0),
+        ("2026-04-12", "e/f", 2, 2, 0), ("2026-04-13", "late", 8, 2, 0),
+    ]
+    assert records(daily_sinks.read_snapshot(spark, tables), "name", "last_stars", "last_day") == [
+        ("a/b", 3, "2026-04-10"), ("c/d", 7, "2026-04-11"), ("e/f", 2, "2026-04-12"), ("late", 8, "2026-04-13"),
+    ]
+
+
+def test_a_fold_writes_only_buckets_with_active_repositories(spark, tables):
+    rows = [("2026-04-10", f"o/r{i}", 1, 0) for i in range(60)]
+    daily.run_daily(spark, tables, archive(spark, rows))
+    daily_sinks.fold_snapshot(spark, tables)
+    files = lambda: {p: p.stat().st_mtime_ns for p in Path(tables.snapshots).glob("bucket=*/*.parquet")}
+    before = files()
+    daily.run_daily(spark, tables, archive(spark, [("2026-04-11", "o/r7", 2, 0)]))
+    # One more day is left to the daily rows, so nothing at all is written for it.
+    assert files() == before
+    daily_sinks.fold_snapshot(spark, tables)
+    assert len({p.parent for p in before}) > 10
+    assert len({p.parent for p in files() if p not in before}) == 1
+    assert ("o/r7", 2) in records(daily_sinks.read_snapshot(spark, tables), "name", "last_stars")
+
+
+def test_a_fold_that_was_cut_off_is_done_again(spark, tables, monkeypatch):
+    daily.run_daily(spark, tables, archive(spark, FIRST))
+
+    def broken(*_):
+        raise OSError("no space")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(daily_sinks, "replace_partitions", broken)
+        with pytest.raises(OSError):
+            daily_sinks.fold_snapshot(spark, tables)
+    daily.run_daily(spark, tables, archive(spark, SECOND))
+    assert ("2026-04-13", "a/b", 1, -4, 2) in velocities(spark, tables)
+    assert records(daily_sinks.read_snapshot(spark, tables), "name", "last_stars") == [("a/b", 1), ("c/d", 4), ("new", 1)]
+
+
+def test_late_days_read_only_their_repositories(spark, tables):
+    """The plan of a late day's refresh joins the days since with its names alone."""
+    daily.run_daily(spark, tables, archive(spark, FIRST + SECOND))
+    daily_sinks.fold_snapshot(spark, tables)
+    names = spark.createDataFrame([("c/d",)], "name string")
+    before = daily_sinks.last_days_before(spark, tables, "2026-04-12", names)
+    assert records(before, "name", "last_stars", "last_day") == [("c/d", 2, "2026-04-10")]
+    assert before._jdf.queryExecution().executedPlan().toString().count("LeftSemi") >= 2
+    assert not [f for f in before.inputFiles() if "2026-04-13" in f]
+
+
+def test_a_missing_archive_folder_is_an_error(spark, tables, folder):
+    with pytest.raises(FileNotFoundError):
+        daily.run_archive(spark, tables, f"{folder}/mistyped", ["2026-04-10"])
+    Path(folder).mkdir(parents=True)
+    assert not daily.run_archive(spark, tables, folder, ["2026-04-10"])
 
 
 def test_a_late_day_refreshes_the_velocity_of_the_next_one(spark, tables):
