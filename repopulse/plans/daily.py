@@ -39,6 +39,7 @@ from repopulse.sinks.partitions import replace_exactly
 from repopulse.sinks.rows import weekly_rows
 from repopulse.sources.archive import (
     archive_paths,
+    damage,
     quarantined,
     read_archive,
     readable,
@@ -206,7 +207,9 @@ def run_archive(
 
     A folder that does not exist is an error, as nothing can be new in it. `days` defaults to yesterday. Files of finished days are not read at all. Of a
     day with a whole-day file only that is read, else its hourly files; a day with
-    hours missing is written but not marked. With `quarantine`, star and fork
+    hours missing is written but not marked. With `skip_corrupt_files`, what can be
+    read of a damaged file counts, the file is listed in `damaged_files`, and its
+    day is not marked. With `quarantine`, star and fork
     events and unreadable lines are taken out of the files in one pass, and the
     latter replace what the quarantine holds of their files' days.
     """
@@ -219,6 +222,10 @@ def run_archive(
             run_backfill(spark, tables, metadata)
         return False
     archive = read_archive(spark, paths, skip_corrupt_files)
+    if skip_corrupt_files:
+        broken = staged_rows(spark, damage(spark, paths).where(~F.col("is_whole")), "damage")
+        replace_exactly(spark, broken, tables.damaged_files, "day", wanted)
+        incomplete += [row["day"] for row in broken.select("day").distinct().collect()]
     if quarantine:
         kind = F.col("type")
         kept = archive.withColumn("path", F.input_file_name()).where(

@@ -331,6 +331,11 @@ ORDER BY velocity DESC, name, day LIMIT 10""",
         WEEKLY_PARTS,
         "SELECT day, language, count(DISTINCT name) AS repos FROM weekly GROUP BY day, language",
     ),
+    "distinct_repos_range": _with(
+        WEEKLY_PARTS,
+        """SELECT language, count(DISTINCT name) AS repos, true AS is_close FROM weekly
+WHERE day > (SELECT min(day) FROM weekly) GROUP BY language""",
+    ),
     "language_lookup": _with(
         (META,), "SELECT repo_name, language FROM meta WHERE language <> 'Unknown'"
     ),
@@ -366,6 +371,9 @@ WHERE event_type IN ('click', 'signup')""",
     + " SELECT * FROM daily",
     "archive_quarantine": """SELECT CAST(NULL AS VARCHAR) AS type, '{bad ' || event_id AS record
 FROM events WHERE CAST(json_extract_string(props, '$.k') AS BIGINT) = 13""",
+    "archive_damage": """SELECT '2024-01-' || ['01', '11', '21'][part + 1] AS day, part <> 1 AS is_whole,
+       CASE WHEN part <> 1 THEN lines END AS lines
+FROM (SELECT least((day(ts) - 1) // 10, 2) AS part, count(*) AS lines FROM events GROUP BY part)""",
     "weekly_scan": _with(WEEKLY_PARTS, "SELECT * FROM weekly ORDER BY row_key DESC LIMIT 200"),
     "prefix_scan": _with(
         WEEKLY_PARTS,
@@ -412,6 +420,14 @@ FROM messages ORDER BY row_key DESC LIMIT 20""",
        CAST(row_number() OVER by_day AS INTEGER) AS active_days,
        lead(velocity) OVER by_day AS next_velocity
 FROM weekly WINDOW by_day AS (PARTITION BY name ORDER BY day)""",
+    ),
+    "breakout_backtest": _with(
+        WEEKLY_PARTS,
+        """SELECT day, count(*) AS repos, count(*) FILTER (next > 0) AS grew, true AS hits_fit, true AS errors_fit
+FROM (SELECT day, lead(velocity) OVER (PARTITION BY name ORDER BY day) AS next FROM weekly)
+WHERE next IS NOT NULL AND day IN (
+  SELECT DISTINCT day FROM weekly WHERE day < (SELECT max(day) FROM weekly) ORDER BY day DESC LIMIT 3)
+GROUP BY day""",
     ),
     "breakout_checks": _with(
         WEEKLY_PARTS,

@@ -13,7 +13,7 @@ from repopulse.functions import numbers, text, times
 from repopulse.operators import cleaning, enrichment, metrics
 from repopulse.plans import breakout, daily, dashboard, panels
 from repopulse.sample import tables as sample
-from repopulse.session import configure, run_dir, staged, stream_session
+from repopulse.session import configure, matching_paths, run_dir, staged, stream_session
 from repopulse.sinks import live, rows
 from repopulse.sinks.daily import read_snapshot, read_weekly
 from repopulse.sources import archive as archive_files
@@ -591,7 +591,54 @@ def insight_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ai_insights(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return panels.ai_insights(breakout_scores(spark, sf_dir))
+    """The panel over stored predictions, made by models that were stored before."""
+    tables = Tables(f"{run_dir(spark, 'insights')}/tables")
+    weekly = staged(spark, _weekly(spark, sf_dir), "weekly")
+    last = weekly.agg(F.max("day")).scalar()
+    breakout.refresh_predictions(spark, tables, weekly.where(F.col("day") < last))
+    breakout.refresh_predictions(spark, tables, weekly, refit=False)
+    return dashboard.dashboard(spark, tables)["ai_insights"]
+
+
+def breakout_backtest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Backtest over the last days: what was rated, and whether the figures are what they must be."""
+    weekly = staged(spark, _weekly(spark, sf_dir), "weekly")
+    return breakout.backtest(spark, weekly).select(
+        "day",
+        "repos",
+        "grew",
+        (F.col("hits").between(0, F.col("repos"))).alias("hits_fit"),
+        ((F.col("log_loss") >= 0) & (F.col("growth_error") >= 0)).alias("errors_fit"),
+    )
+
+
+def distinct_repos_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct repositories per language over all stored days but the first, and the sketches' error."""
+    tables = _two_runs(spark, sf_dir, "distinct-repos")
+    days = stored.newest_days(spark, tables.language_days, 1 << 30)[1:]
+    rollup = stored.read_days(spark, tables.language_days, schemas.LANGUAGE_DAYS, days)
+    about = metrics.merged_distinct_repos(rollup).withColumnRenamed("repos", "about")
+    exact = read_weekly(spark, tables).where(F.col("day").isin(days)).groupBy("language")
+    counted = exact.agg(F.count_distinct("name").alias("repos"))
+    # Three standard errors.
+    is_close = F.abs(F.col("about") - F.col("repos")) <= F.greatest(0.05 * F.col("repos"), F.lit(1))
+    return counted.join(about, "language").select("language", "repos", is_close.alias("is_close"))
+
+
+def archive_damage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three archive files of ten days each, of which the second is cut off in the middle."""
+    folder = run_dir(spark, "damage")
+    lines = sample.archive_lines(spark, sf_dir, keep=["ts"])
+    number = F.least(F.floor((F.dayofmonth("ts") - 1) / 10), F.lit(2))
+    names = [f"{folder}/2024-01-{day}.json.gz" for day in ("01", "11", "21")]
+    for place, name in enumerate(names):
+        part = lines.where(number == place).select("value")
+        part.write.option("compression", "gzip").text(name)
+    for file in matching_paths(spark, f"{names[1]}/*.gz"):
+        sample.cut_file(spark, file)
+    found = archive_files.damage(spark, names)
+    per_file = found.groupBy("day").agg(F.every("is_whole").alias("is_whole"), F.sum("lines").alias("lines"))
+    return per_file.select("day", "is_whole", F.when(F.col("is_whole"), F.col("lines")).alias("lines"))
 
 
 # ---- scalar functions and files ------------------------------------------------------------
@@ -703,6 +750,7 @@ ALL = [
     unprocessed_days,
     top_velocity,
     distinct_repos_by_language,
+    distinct_repos_range,
     language_lookup,
     precedence_enrichment,
     weekly_metrics,
@@ -718,6 +766,7 @@ ALL = [
     late_day_job,
     archive_read,
     archive_quarantine,
+    archive_damage,
     weekly_scan,
     prefix_scan,
     trending_now,
@@ -739,6 +788,7 @@ ALL = [
     breakout_checks,
     breakout_scores,
     ai_insights,
+    breakout_backtest,
     lenient_numbers,
     repo_keys,
     time_labels,

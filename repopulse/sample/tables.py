@@ -84,9 +84,24 @@ def archive(spark: SparkSession, sf_dir: str, keep: Sequence[str] = ()) -> DataF
     )
 
 
-def archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Archive events as JSON lines, broken where `k` is 13."""
+def cut_file(spark: SparkSession, path: str) -> None:
+    """Replace a file by its first half, as a transfer that broke off leaves it."""
+    apache = spark.sparkContext._jvm.org.apache
+    hadoop = apache.hadoop
+    configuration = spark.sparkContext._jsc.hadoopConfiguration()
+    whole, half = (hadoop.fs.Path(f"{path}{end}") for end in ("", ".half"))
+    files = whole.getFileSystem(configuration)
+    octets = files.getFileStatus(whole).getLen() // 2
+    first = apache.commons.io.input.BoundedInputStream(files.open(whole), octets)
+    hadoop.io.IOUtils.copyBytes(first, files.create(half, True), 4096, True)
+    files.delete(whole, False)
+    files.rename(half, whole)
+
+
+def archive_lines(spark: SparkSession, sf_dir: str, keep: Sequence[str] = ()) -> DataFrame:
+    """Archive events as JSON lines, broken where `k` is 13, with the columns named by `keep`."""
     kept = events(spark, sf_dir).select(
+        *keep,
         _k().alias("k"),
         F.concat(F.lit("{bad "), F.col("event_id").cast("string")).alias("broken"),
         _kind().alias("type"),
@@ -94,7 +109,8 @@ def archive_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         _created_at().alias("created_at"),
     )
     line = F.to_json(F.struct("type", "repo", "created_at"))
-    return kept.select(F.when(F.col("k") == 13, F.col("broken")).otherwise(line).alias("value"))
+    value = F.when(F.col("k") == 13, F.col("broken")).otherwise(line).alias("value")
+    return kept.select(value, *keep)
 
 
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -31,7 +31,9 @@ WEEKLY_METRICS = (
     "forks bigint, velocity bigint, fork_velocity bigint, repo_count bigint, "
     "api_stars bigint, api_forks bigint, day string"
 )
-LANGUAGE_DAYS = "language string, stars bigint, repos bigint, day string"
+LANGUAGE_DAYS = (
+    "language string, stars bigint, repos bigint, repo_sketch binary, day string"
+)
 DAILY_COUNTS = (
     "repo_name string, star_count bigint, fork_count bigint, total_events bigint, "
     "day string, source string"

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import struct
 from collections.abc import Iterable
 from datetime import date, datetime, timedelta, timezone
 
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from repopulse import schemas
 from repopulse.functions.text import path_day, path_hour
-from repopulse.session import folder_names
+from repopulse.session import folder_names, matching_paths
 
 
 def target_day(batch_day: str = "", today: date | None = None) -> str:
@@ -47,7 +49,7 @@ def read_archive(
     """Archive events; unreadable lines keep their text in `_corrupt_record`.
 
     A truncated file fails the read. `skip_corrupt_files` keeps the rows before
-    the damage instead, which undercounts that day without a sign of it.
+    the damage instead; `damage` tells which files that concerns.
     """
     return (
         spark.read.schema(f"{schemas.ARCHIVE_EVENT}, {schemas.CORRUPT_COLUMN} string")
@@ -58,6 +60,58 @@ def read_archive(
     )
 
 
+def gzip_octets(spark: SparkSession, path: str) -> int:
+    """Octets of a compressed file's content modulo 2 ** 32, as its end states them; -1 without an end."""
+    name = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = name.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    length = files.getFileStatus(name).getLen()
+    if length < 4:
+        return -1
+    content = files.open(name)
+    try:
+        content.seek(length - 4)
+        return int.from_bytes(struct.pack(">i", content.readInt()), "little")
+    finally:
+        content.close()
+
+
+def damage(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Per file its day, the lines and octets that can be read, those it should have, and is_whole.
+
+    A file is whole if what was read is as long as its end states; a cut-off file
+    ends in something else. Lines end in a line feed and files have one compressed
+    member. The driver reads four octets a file, of 25 files a day at most.
+    """
+    names = [n for p in paths for n in matching_paths(spark, f"{p}/*.gz") or [p]]
+    stated = [(n, path_day_of(n), gzip_octets(spark, n)) for n in names]
+    files = spark.createDataFrame(stated, "path string, day string, octets long")
+    lines = spark.read.option("ignoreCorruptFiles", "true").text(paths)
+    read = lines.groupBy(F.col("_metadata.file_path").alias("found")).agg(
+        F.count("*").alias("lines"), F.sum(F.octet_length("value") + 1).alias("octets_read")
+    )
+    # Both name the same file, with and without the scheme's empty host.
+    plain = lambda c: F.regexp_replace(c, "^[a-z]+:/+", "/")
+    joined = files.join(read, plain(F.col("path")) == plain(F.col("found")), "left")
+    octets_read = F.coalesce("octets_read", F.lit(0))
+    # The last line may lack its line feed.
+    has_end = F.col("octets") >= 0
+    is_whole = has_end & F.pmod(octets_read, F.lit(1 << 32)).isin(F.col("octets"), F.col("octets") + 1)
+    return joined.select(
+        "path",
+        "day",
+        F.coalesce("lines", F.lit(0)).alias("lines"),
+        octets_read.alias("octets_read"),
+        "octets",
+        is_whole.alias("is_whole"),
+    )
+
+
+def path_day_of(path: str) -> str | None:
+    """The first date in a path."""
+    found = re.search(r"\d{4}-\d{2}-\d{2}", path)
+    return found and found.group()
+
+
 def readable(archive: DataFrame) -> DataFrame:
     """Rows that were valid JSON."""
     return archive.where(F.col(schemas.CORRUPT_COLUMN).isNull()).drop(schemas.CORRUPT_COLUMN)

@@ -79,6 +79,14 @@ class Tables:
     def messages(self) -> str:
         return f"{self.root}/messages"
 
+    @property
+    def damaged_files(self) -> str:
+        return f"{self.root}/damaged_files"
+
+    @property
+    def models(self) -> str:
+        return f"{self.root}/breakout_models"
+
     @property
     def predictions(self) -> str:
         return f"{self.root}/ml_predictions"

@@ -47,3 +47,25 @@ def test_each_day_is_labelled_by_the_next_active_one(spark):
 def test_a_single_day_cannot_train(spark):
     data = weekly(spark, [("2026-04-01", "a", "Go", 1, 1, 0)])
     assert breakout.breakout_scores(spark, data).count() == 0
+
+
+def test_kept_models_predict_as_when_they_were_fitted(spark, tables):
+    rows = history(spark)
+    assert not breakout.refresh_predictions(spark, tables, rows, refit=False)
+    assert breakout.refresh_predictions(spark, tables, rows)
+    fitted = records(read_table(spark, tables.predictions, schemas.PREDICTIONS))
+    assert breakout.refresh_predictions(spark, tables, rows, refit=False)
+    assert records(read_table(spark, tables.predictions, schemas.PREDICTIONS)) == fitted
+    assert len(fitted) == 30
+
+
+def test_a_backtest_learns_only_from_earlier_days(spark, monkeypatch):
+    learned, fit = [], breakout.fit_models
+    monkeypatch.setattr(breakout, "fit_models", lambda days: learned.append(days) or fit(days))
+    found = breakout.backtest(spark, history(spark), days=2).orderBy("day").collect()
+    assert [(r["day"], r["repos"]) for r in found] == [("2026-04-04", 30), ("2026-04-05", 30)]
+    assert all(0 <= r["hits"] <= 30 and r["grew"] <= 30 and r["log_loss"] > 0 for r in found)
+    for day, rows in zip(("2026-04-04", "2026-04-05"), learned):
+        known = rows.where("next_velocity is not null").agg({"day": "max"}).first()[0]
+        assert known < day and rows.agg({"day": "max"}).first()[0] == day
+    assert breakout.backtest(spark, history(spark, days=1)).count() == 0

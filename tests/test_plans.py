@@ -15,6 +15,7 @@ EAGER = {
     "stream_canonical_events", "daily_job", "snapshot_job", "processed_days_job", "backfill_job",
     "raw_file_events", "archive_read", "archive_quarantine", "breakout_scores", "breakout_checks", "ai_insights",
     "stream_repos_log", "stream_late_rows", "stream_recovered", "stray_events_job",
+    "breakout_backtest", "distinct_repos_range", "archive_damage",
     "daily_job_stray_days", "daily_job_mixed_files", "late_day_job", "stream_live_feed_restart",
     "dashboard_trending_now", "dashboard_rising_languages", "dashboard_historical_trends",
     "dashboard_trending_daily",

@@ -154,3 +154,20 @@ def test_tables_not_written_yet_read_as_empty(spark, tables):
     with pytest.raises(AnalysisException):
         read_table(spark, tables.weekly_metrics, schemas.WEEKLY_METRICS)
     assert processed_days(spark, tables).count() == 0
+
+
+def test_damage_names_the_files_that_were_cut_off(spark, folder):
+    names = [f"{folder}/2026-04-13-{hour}.json.gz" for hour in range(4)]
+    for name in names:
+        write_gz(name, [line(repo=f"a/{i}") for i in range(3000)])
+    Path(names[1]).write_bytes(Path(names[1]).read_bytes()[:-900])
+    Path(names[2]).write_bytes(b"")
+    with gzip.open(names[3], "wt") as out:
+        out.write(line())
+    found = {r["path"].split("-")[-1]: r for r in archive.damage(spark, names).collect()}
+    assert {name: r["is_whole"] for name, r in found.items()} == {
+        "0.json.gz": True, "1.json.gz": False, "2.json.gz": False, "3.json.gz": True,
+    }
+    assert {r["day"] for r in found.values()} == {"2026-04-13"}
+    assert found["0.json.gz"]["lines"] == 3000 > found["1.json.gz"]["lines"]
+    assert found["2.json.gz"]["lines"] == 0

@@ -357,3 +357,36 @@ def test_an_incomplete_day_is_written_but_not_marked(spark, tables, folder):
     # The same bad line twice is one row.
     assert records(spark.read.parquet(tables.quarantine), "record") == [("{broken",)]
     assert daily_sinks.read_weekly(spark, tables).count() == 1
+
+
+def test_a_damaged_day_is_counted_listed_and_not_marked(spark, tables, folder):
+    Path(folder).mkdir(parents=True)
+    lines = [json.dumps({"type": "WatchEvent", "repo": {"name": f"a/{i}"}, "created_at": "2026-04-10T01:00:00Z"}) for i in range(5000)]
+    whole, cut = f"{folder}/2026-04-09.json.gz", f"{folder}/2026-04-10.json.gz"
+    for name, day in ((whole, "09"), (cut, "10")):
+        with gzip.open(name, "wt") as out:
+            out.write("\n".join(lines).replace("04-10", f"04-{day}") + "\n")
+    Path(cut).write_bytes(Path(cut).read_bytes()[:-2000])
+    days = ["2026-04-09", "2026-04-10"]
+    assert daily.run_archive(spark, tables, folder, days, skip_corrupt_files=True)
+    assert records(processed_days(spark, tables)) == [("2026-04-09",)]
+    broken = spark.read.parquet(tables.damaged_files).collect()
+    assert [(r["day"].isoformat() if hasattr(r["day"], "isoformat") else r["day"], r["is_whole"]) for r in broken] == [("2026-04-10", False)]
+    stored = {r["day"]: r["n"] for r in daily_sinks.read_weekly(spark, tables).groupBy("day").agg(F.count("*").alias("n")).collect()}
+    assert stored["2026-04-09"] == 5000 and 0 < stored["2026-04-10"] < 5000
+    # The whole file, once it is there, replaces the day and clears the list.
+    with gzip.open(cut, "wt") as out:
+        out.write("\n".join(lines) + "\n")
+    assert daily.run_archive(spark, tables, folder, days, skip_corrupt_files=True)
+    assert processed_days(spark, tables).count() == 2
+    assert not list(Path(tables.damaged_files).glob("day=*"))
+
+
+def test_sketches_of_days_merge_to_distinct_repositories(spark, tables):
+    from repopulse.operators.metrics import merged_distinct_repos
+
+    rows = [(f"2026-04-{d}", f"o/r{i}", 1, 0) for d in (10, 11, 12) for i in range(d, 60)]
+    daily.run_daily(spark, tables, archive(spark, rows))
+    rollup = daily_sinks.read_language_days(spark, tables)
+    assert records(merged_distinct_repos(rollup)) == [("Unknown", 50)]
+    assert records(merged_distinct_repos(rollup.where("day > '2026-04-11'"))) == [("Unknown", 48)]
