@@ -1,18 +1,23 @@
 """Packing of token streams into windows that all hold the same mixture of sources.
 
-Each source is a queue of tokens. Every token is due at its place in the queue
-divided by the weight of its source, and windows take tokens in the order in which
-they are due: deficit round-robin with a quantum of one token. What a source could
-not place in one window is thereby carried into the next, over all windows and
-partitions, and the window of any token follows from counts alone: no task has to
-wait for another one.
+Each source is a queue of tokens, with a first deficit of its own. Every token is
+due at its place in the queue, plus that deficit, over the weight of its source, and
+windows take tokens in the order in which they are due: deficit round-robin with a
+quantum of one token. What a source could not place in one window is thereby carried
+into the next, over all windows and partitions.
+
+The order is found without any task that sees all queues: time is cut into cells of
+about a window's tokens, the tokens of each cell are counted per queue and summed up
+over the cells, and where a window ends inside a cell is settled there.
 """
 
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -23,10 +28,8 @@ from pyspark.sql import functions as F
 from repopulse.llm.tokens import worker_encoder
 from repopulse.session import staged
 
-#: Sources with a queue of their own, by number of tokens; all others share one.
-QUEUES = 256
-#: Weights are whole numbers up to this one.
-FINEST = 1 << 16
+#: Places of a queue that are looked at together; no piece goes beyond one block.
+BLOCK = 1 << 18
 #: Bytes of texts that are encoded at a time.
 BATCH_BYTES = 2 << 20
 
@@ -72,108 +75,241 @@ def _encoded(path: str, end: int, lower: bool):
     return of
 
 
-@dataclass
-class Mixture:
-    """Tokens and weight of each queue."""
-
-    tokens: np.ndarray
-    weights: np.ndarray
-
-    def rank(self, queue: np.ndarray, place: np.ndarray) -> np.ndarray:
-        """How many tokens of all queues are due before each given one.
-
-        Token t of a queue of weight w is due at (2t + 1) / 2w; the queue with the
-        lower number goes first among equals.
-        """
-        twice = 2 * self.weights[queue]
-        total = np.zeros(len(place), np.int64)
-        for other, (tokens, weight) in enumerate(zip(self.tokens, self.weights)):
-            # Places u of the other queue with (2u + 1) / 2w before the token's own.
-            scaled = (2 * place + 1) * weight + twice // 2 - (other >= queue)
-            total += np.clip(scaled // twice, 0, tokens)
-        return total
-
-    def first_from(self, queue, low, high, rank) -> np.ndarray:
-        """The first place from `low` on, at most `high`, whose rank is `rank` or more.
-
-        As long as no queue is empty, it is near the queue's share of `rank`; where
-        that proves wrong, all places are searched.
-        """
-        share = self.weights[queue] / self.weights.sum()
-        near = (rank * share).astype(np.int64)
-        reach = (len(self.weights) * share).astype(np.int64) + 2
-        a, b = (np.clip(x, low, high) for x in (near - reach, near + reach))
-        missed = ((a > low) & (self.rank(queue, np.maximum(a - 1, 0)) >= rank)) | (
-            (b < high) & (self.rank(queue, b) < rank)
-        )
-        low, high = np.where(missed, low, a), np.where(missed, high, b)
-        while (open_ := low < high).any():
-            middle = (low + high) >> 1
-            below = open_ & (self.rank(queue, middle) < rank)
-            low = np.where(below, middle + 1, low)
-            high = np.where(open_ & ~below, middle, high)
-        return low
+@dataclass(frozen=True)
+class Cells:
+    """Cells of time: from `starts[i]` on they are `steps[i]` long and numbered from `firsts[i]`.
+
+    A cell holds about a window's tokens, by the weights of the queues that last at
+    least half as long as it is late.
+    """
+
+    starts: np.ndarray
+    steps: np.ndarray
+    firsts: np.ndarray
+
+    @staticmethod
+    def of(weights: dict[int, float], length: int) -> Cells:
+        """From the summed weights of the queues by the binary logarithm of their end."""
+        starts, steps, firsts, number = [], [], [], 0
+        edges = sorted({0.0, *(2.0**b for b in weights), *(2.0 ** (b + 1) for b in weights)})
+        for start, end in zip(edges, edges[1:]):
+            rate = sum(w for b, w in weights.items() if 2.0 ** (b + 1) > start)
+            starts.append(start)
+            steps.append(length / rate)
+            firsts.append(number)
+            number += int(np.ceil((end - start) / steps[-1])) + 1
+        return Cells(np.array(starts), np.array(steps), np.array(firsts, np.int64))
+
+    def at(self, due: np.ndarray) -> np.ndarray:
+        """The cell of each time."""
+        i = np.searchsorted(self.starts, due, side="right") - 1
+        return self.firsts[i] + ((due - self.starts[i]) / self.steps[i]).astype(np.int64)
 
 
-def _cut(mixture: Mixture, length: int):
-    """The pieces of each document, one row each, in the order of its ids."""
+def due(place, deficit, weight):
+    """When the token at a place of a queue is due; later for every further place."""
+    return (place + deficit) / weight
+
+
+def _runs(cells: Cells):
+    """The tokens of each cell, from blocks of places of one queue."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            queue, start, n = (batch[c].to_numpy() for c in ("queue", "start", "n"))
-            first = mixture.rank(queue, start) // length
-            last = mixture.rank(queue, start + n - 1) // length
-            # One cut for each further window that a document may reach into.
-            row = np.repeat(np.arange(len(n)), last - first)
-            step = np.arange(len(row)) - np.repeat(np.cumsum(last - first) - (last - first), last - first)
-            cut = mixture.first_from(
-                queue[row], start[row], start[row] + n[row], (first[row] + step + 1) * length
-            )
-            rows = np.concatenate((np.arange(len(n)), row))
-            froms = np.concatenate((start, cut))
-            windows = np.concatenate((first, first[row] + step + 1))
-            order = np.lexsort((windows, rows))
-            rows, froms, windows = rows[order], froms[order], windows[order]
-            ends = np.append(froms[1:], 0)
-            final = np.append(rows[1:] != rows[:-1], True)
-            ends[final] = (start + n)[rows[final]]
-            kept = ends > froms
-            rows, froms, ends, windows = (x[kept] for x in (rows, froms, ends, windows))
-            a, b = froms - start[rows], ends - start[rows]
-            ids = batch["ids"]
-            sums, current, data = [], -1, b""
-            for r, x, y in zip(rows.tolist(), a.tolist(), b.tolist()):
-                if r != current:
-                    octets = ids[r].as_buffer()
-                    numbers = np.frombuffer(octets, f"<u{octets.size // int(n[r])}")
-                    current, data = r, memoryview(numbers.astype("<u4")).cast("B")
-                sums.append(zlib.crc32(data[4 * x : 4 * y]))
-            yield pa.RecordBatch.from_arrays(
+            for row in batch.to_pylist():
+                places = np.arange(row["block"] * BLOCK, min((row["block"] + 1) * BLOCK, row["tokens"]))
+                found = cells.at(due(places, row["deficit"], row["weight"]))
+                first = np.flatnonzero(np.append(True, found[1:] != found[:-1]))
+                n = np.diff(np.append(first, len(found)))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(found[first]),
+                        pa.array([row["source"]] * len(n), pa.string()),
+                        pa.array(np.full(len(n), row["weight"])),
+                        pa.array(np.full(len(n), row["deficit"])),
+                        pa.array(places[first]),
+                        pa.array(n.astype(np.int64)),
+                    ],
+                    names=[x.split()[0] for x in RUNS.split(", ")],
+                )
+
+    return of
+
+
+RUNS = "cell long, source string, weight double, deficit double, place long, n long"
+STRETCHES = "source string, block long, place long, n long, sequence_id long"
+
+
+def cuts(weight: np.ndarray, deficit: np.ndarray, place: np.ndarray, n: np.ndarray, before: int) -> np.ndarray:
+    """How many tokens of each queue's run come first, when `before` of all do.
+
+    Runs are in the order of their queues, which decides among tokens due at once.
+    """
+    run = np.repeat(np.arange(len(n)), n)
+    start = np.cumsum(n) - n
+    times = due(place[run] + np.arange(len(run)) - start[run], deficit[run], weight[run])
+    last = np.partition(times, before)[before]
+    taken = np.bincount(run[times < last], minlength=len(n))
+    tied = np.flatnonzero(times == last)[: before - int(taken.sum())]
+    return taken + np.bincount(run[tied], minlength=len(n))
+
+
+def _windows(length: int):
+    """The window of each stretch of a queue, from runs in the order of cell and source.
+
+    Rows are (part, before, cell, source, weight, deficit, place, n), where `before`
+    counts the tokens of all earlier parts.
+    """
+
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+        for batch in batches:
+            yield from zip(*(column.to_pylist() for column in batch.columns))
+
+    def stretches(cell: list[tuple], rank: int) -> Iterator[tuple]:
+        weight, deficit = (np.array([r[k] for r in cell]) for k in (4, 5))
+        place, n = (np.array([r[k] for r in cell], np.int64) for k in (6, 7))
+        total = int(n.sum())
+        ends = range((rank // length + 1) * length - rank, total, length)
+        edges = [np.zeros(len(n), np.int64), *(cuts(weight, deficit, place, n, e) for e in ends), n]
+        for number, (low, high) in enumerate(zip(edges, edges[1:])):
+            for i in np.flatnonzero(high > low).tolist():
+                start, end = int(place[i] + low[i]), int(place[i] + high[i])
+                yield cell[i][3], start // BLOCK, start, end - start, rank // length + number
+
+    def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, held = [x.split()[0] for x in STRETCHES.split(", ")], []
+        for _, of_part in groupby(rows(batches), lambda r: r[0]):
+            rank = None
+            for _, of_cell in groupby(of_part, lambda r: r[2]):
+                cell = list(of_cell)
+                rank = cell[0][1] if rank is None else rank
+                held += stretches(cell, rank)
+                rank += sum(r[7] for r in cell)
+                if len(held) > 50_000:
+                    yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*held)], names=names)
+                    held = []
+        if held:
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in zip(*held)], names=names)
+
+    return of
+
+
+PLACED = "source string, block long, place long, n long, doc_id long, start long, doc_tokens long, ids binary"
+
+
+def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (source, place, doc_id, n, ids), cut where their queue's blocks end."""
+    for batch in batches:
+        place, n = (batch[c].to_numpy() for c in ("place", "n"))
+        first, last = place // BLOCK, (place + n - 1) // BLOCK
+        row = np.repeat(np.arange(len(n)), last - first + 1)
+        step = np.arange(len(row)) - np.repeat(np.cumsum(last - first + 1) - (last - first + 1), last - first + 1)
+        block = first[row] + step
+        low = np.maximum(block * BLOCK, place[row])
+        high = np.minimum((block + 1) * BLOCK, place[row] + n[row])
+        start, ids = low - place[row], batch["ids"].take(pa.array(row))
+        if len(row) > len(n):
+            width = [len(x.as_buffer()) // int(n[r]) for x, r in zip(ids, row)]
+            ids = pa.array(
                 [
-                    batch["doc_id"].take(pa.array(rows)),
-                    pa.array(a),
-                    pa.array(b - a),
-                    pa.array(sums, pa.int64()),
-                    pa.array(n[rows]),
-                    pa.array(windows),
-                    pa.array(queue[rows]),
-                    pa.array(froms),
+                    x.as_buffer()[int(a * w) : int((a + m) * w)].to_pybytes()
+                    for x, a, m, w in zip(ids, start, high - low, width)
                 ],
-                names=[x.split()[0] for x in PIECES.split(", ")],
+                pa.binary(),
             )
-
-    return of
+        yield pa.RecordBatch.from_arrays(
+            [
+                batch["source"].take(pa.array(row)), pa.array(block), pa.array(low), pa.array(high - low),
+                batch["doc_id"].take(pa.array(row)), pa.array(start), pa.array(n[row]), ids,
+            ],
+            names=[x.split()[0] for x in PLACED.split(", ")],
+        )
 
 
 PIECES = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
-    "sequence_id long, queue long, place long"
+    "sequence_id long, source string, place long"
 )
 
 
-def _whole_weights(weights: list[float]) -> np.ndarray:
-    most = max(weights)
-    return np.array([max(1, round(w / most * FINEST)) for w in weights], np.int64)
+def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Pieces from the stretches and documents of each block of a queue.
+
+    Rows are (source, block, place, n, sequence_id, doc_id, start, doc_tokens, ids),
+    by source and block; a block's stretches have a sequence_id and come first.
+    """
+    names = [x.split()[0] for x in PIECES.split(", ")]
+    types = [pa.int64()] * 6 + [pa.string(), pa.int64()]
+    key, froms, windows, held = None, [], [], []
+    for batch in batches:
+        for source, block, place, n, window, doc_id, start, doc_tokens, ids in zip(
+            *(column.to_pylist() for column in batch.columns)
+        ):
+            if (source, block) != key:
+                key, froms, windows = (source, block), [], []
+            if window is not None:
+                # Stretches of two cells in one window make one piece.
+                if not windows or windows[-1] != window:
+                    froms.append(place)
+                    windows.append(window)
+                continue
+            data = memoryview(np.frombuffer(ids, f"<u{len(ids) // n}").astype("<u4")).cast("B")
+            at, i = place, bisect_right(froms, place) - 1
+            while at < place + n:
+                end = min(froms[i + 1] if i + 1 < len(froms) else place + n, place + n)
+                low, high = at - place, end - place
+                crc = zlib.crc32(data[4 * low : 4 * high])
+                held.append((doc_id, start + low, high - low, crc, doc_tokens, windows[i], source, at))
+                at, i = end, i + 1
+        if held:
+            arrays = [pa.array(x, kind) for x, kind in zip(zip(*held), types)]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
+            held = []
+
+
+def _queues(sources: DataFrame, weights: dict[str, float] | None) -> DataFrame:
+    """(source, tokens) with weight and first deficit."""
+    deficit = (F.pmod(F.xxhash64("source"), F.lit(1 << 31)) + 0.5) / (1 << 31)
+    if weights is None:
+        weight = F.col("tokens").cast("double")
+    else:
+        given = sources.sparkSession.createDataFrame(
+            [(k, float(v)) for k, v in weights.items()], "source string, given double"
+        )
+        sources = sources.join(given, "source", "left")
+        weight = F.coalesce("given", F.lit(float(min(weights.values()))))
+    return sources.select("source", "tokens", weight.alias("weight"), deficit.alias("deficit"))
+
+
+def _stretches(spark: SparkSession, queues: DataFrame, length: int) -> DataFrame:
+    """The window of every stretch of every queue, none of them beyond a block.
+
+    The driver receives the summed weight of the queues that end in each octave of
+    time.
+    """
+    octave = F.floor(F.log2(F.col("tokens") / F.col("weight"))).alias("octave")
+    ends = queues.groupBy(octave).agg(F.sum("weight").alias("weight")).collect()
+    cells = Cells.of({r["octave"]: r["weight"] for r in ends}, length)
+    blocks = F.sequence(F.lit(0).cast("long"), F.floor((F.col("tokens") - 1) / BLOCK))
+    spread = queues.select("*", F.explode(blocks).alias("block")).repartition(
+        spark.sparkContext.defaultParallelism, "source", "block"
+    )
+    runs = staged(spark, spread.mapInArrow(_runs(cells), RUNS), "runs")
+    # All runs of a cell lie in one range.
+    ranged = runs.repartitionByRange("cell").withColumn("part", F.spark_partition_id())
+    ranged = staged(spark, ranged, "cells")
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per range.
+    before = ranged.groupBy("part").agg(F.sum("n").alias("n")).select(
+        "part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")
+    )
+    ordered = (
+        ranged.join(before, "part")
+        .select("part", "before", *(x.split()[0] for x in RUNS.split(", ")))
+        .repartition("part")
+        .sortWithinPartitions("part", "cell", "source")
+    )
+    return ordered.mapInArrow(_windows(length), STRETCHES)
 
 
 def pack(
@@ -191,14 +327,16 @@ def pack(
     `weights` gives the share of each source in a window, by default its share of
     all tokens; sources without one weigh as much as the lightest that has. Every
     sequence but the last is full. Windows keep to the shares within a few tokens
-    for as long as a source has tokens left; then the others share its part.
+    for as long as a source has tokens left; then the others share its part. There
+    may be any number of sources.
     Columns: doc_id, start (in the document's ids), length, ids_crc32, doc_tokens,
-    sequence_id, queue, place (in the queue), offset (in the sequence).
+    sequence_id, source, place (in its queue), offset (in the sequence).
 
     Null and empty texts are packed as `end` alone, a null source is the source
     ''; null ids and repeated rows are packed like any other; an empty table
-    gives no pieces. Ids are staged once and not shuffled if the table of queue
-    starts is small, as Spark measures it; otherwise they are shuffled once.
+    gives no pieces; other columns are not looked at, whatever their names. A queue
+    follows the order in which its rows are stored. Of tokens due at once the source
+    that is first by name goes first. Ids are staged once and shuffled once.
     """
     rows = docs.select("doc_id", F.coalesce(F.col("source"), F.lit("")).alias("source"), "text")
     schema = "doc_id long, source string, part long, before long, n long, ids binary"
@@ -209,45 +347,27 @@ def pack(
         "parts",
     )
     sources = parts.groupBy("source").agg(F.sum("tokens").alias("tokens"))
-    largest = sources.orderBy(F.desc("tokens"), "source").limit(QUEUES).collect()
-    names = sorted(r["source"] for r in largest)
-    tokens = {r["source"]: r["tokens"] for r in largest}
-    total = sources.agg(F.sum("tokens")).first()[0] or 0
-    queues = [tokens[s] for s in names]
-    if weights is None:
-        shares = [max(t, 1) for t in queues]
-    else:
-        lightest = min(weights.values())
-        shares = [weights.get(s, lightest) for s in names]
-    if total > sum(queues):
-        queues.append(total - sum(queues))
-        shares.append(queues[-1] if weights is None else min(weights.values()))
-    mixture = Mixture(np.array(queues, np.int64), _whole_weights(shares or [1]))
-    number = F.coalesce(
-        F.element_at(
-            F.create_map(*(F.lit(x) for i, s in enumerate(names) for x in (s, i))), F.col("source")
-        )
-        if names
-        else F.lit(0),
-        F.lit(len(names)),
-    ).cast("long")
-    ahead = Window.partitionBy("queue").orderBy("source").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sources.withColumn("queue", number).select(
-        "source", "queue", F.coalesce(F.sum("tokens").over(ahead), F.lit(0)).alias("ahead")
-    )
+    queues = staged(spark, _queues(sources, weights), "queues")
+    stretches = _stretches(spark, queues, length)
     earlier = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        parts.withColumn("earlier", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)))
-        .join(offsets, "source")
-        .select("part", "source", "queue", (F.col("ahead") + F.col("earlier")).alias("base"))
+    starts = parts.select(
+        "part", "source", F.coalesce(F.sum("tokens").over(earlier), F.lit(0)).alias("base")
     )
     placed = held.join(starts, ["part", "source"]).select(
-        "doc_id", "queue", (F.col("base") + F.col("before")).alias("start"), "n", "ids"
+        "source", (F.col("base") + F.col("before")).alias("place"), "doc_id", "n", "ids"
+    )
+    both = placed.mapInArrow(_blocks, PLACED).unionByName(stretches, allowMissingColumns=True)
+    pieces = (
+        both.select(
+            "source", "block", "place", "n", "sequence_id", "doc_id", "start", "doc_tokens", "ids"
+        )
+        .repartition("source", "block")
+        .sortWithinPartitions("source", "block", F.col("sequence_id").isNull(), "place")
+        .mapInArrow(_pieces, PIECES)
     )
-    pieces = placed.mapInArrow(_cut(mixture, length), PIECES)
     inside = (
         Window.partitionBy("sequence_id")
-        .orderBy("queue", "place")
+        .orderBy("source", "place")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     return pieces.withColumn("offset", F.coalesce(F.sum("length").over(inside), F.lit(0)))

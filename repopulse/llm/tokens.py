@@ -34,7 +34,8 @@ class Encoder:
     For vocabularies whose pre-tokens are runs of letters, single digits, and runs
     of other characters but white space, so that the ids of a text are those of its
     pieces in order; and which ignore case, if `lower`. Strings of special tokens
-    are ordinary text.
+    inside a text get the ids of these, as the tokenizer's default has it: texts are
+    split at them first.
     """
 
     def __init__(self, path: str, lower: bool) -> None:
@@ -43,6 +44,9 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.lower = lower
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.special = {t.content.encode(): i for i, t in added.items() if t.special}
+        self.specials = re.compile(b"(%s)" % b"|".join(map(re.escape, self.special))) if self.special else None
         self.known: dict[bytes, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
@@ -86,12 +90,25 @@ class Encoder:
             self._each(others[i : i + TOGETHER])
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
-        raw = [_MARKS.sub(rb" \g<0>", (t or "").encode()) for t in texts]
+        raw = [(t or "").encode() for t in texts]
+        if self.specials and any(b"<|" in r and self.specials.search(r) for r in raw):
+            return [self._with_specials(r) for r in raw]
+        return self._plain(raw)
+
+    def _plain(self, raw: list[bytes]) -> list[bytes]:
+        raw = [_MARKS.sub(rb" \g<0>", r) for r in raw]
         split = [(r.lower() if self.lower else r).split() for r in raw]
         self.learn(set().union(*split))
         of = self.known.__getitem__
         return [b"".join(map(of, pieces)) for pieces in split]
 
+    def _with_specials(self, text: bytes) -> bytes:
+        """Ids of a text, whose parts between special tokens are texts of their own."""
+        parts = self.specials.split(text)
+        plain = self._plain(parts[::2])
+        ids = [np.array([self.special[x]], self.kind).tobytes() for x in parts[1::2]]
+        return b"".join(x for pair in zip(plain, [*ids, b""]) for x in pair)
+
 
 def id_kind(tokenizer) -> str:
     return "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"

@@ -13,14 +13,13 @@ from repopulse.llm.tokens import Encoder
 
 TEXTS = [
     "Hello, world. It's THE end... (really!) of 'this' 1,234.5 story", "é, É. naïve; 'quoted', \"double\".",
-    "a.b,c. d,\te.\nf.", "<|endoftext|> in a text", "don't we'll I'm", "&&& ### word&&& x%%", "", None,
+    "a.b,c. d,\te.\nf.", "<|endoftext|> in a text", "a foo<|endoftext|> bar", "<|startoftext|><|endoftext|>x", "<|END<|endoftext|", "don't we'll I'm", "&&& ### word&&& x%%", "", None,
     "中文, 日本語。 ½ ² ǅ ͏a", "word\u00a0with\u2003odd\x1fspaces\x85here", "tail,", "Ünï,. öö!? ß.",
 ]
 
 
 def test_ids_are_those_of_the_tokenizer(word_vocabulary):
     plain = Tokenizer.from_file(word_vocabulary)
-    plain.encode_special_tokens = True
     encoder = Encoder(word_vocabulary, lower=True)
     for _ in range(2):
         found = encoder.encode(TEXTS)
@@ -29,15 +28,62 @@ def test_ids_are_those_of_the_tokenizer(word_vocabulary):
         ]
 
 
-def test_ranks_number_all_tokens_once():
-    for tokens, weights in (([7, 30, 1, 12], [7, 30, 1, 12]), ([50, 9, 20], [1, 5, 5]), ([3], [1])):
-        mixture = packing.Mixture(np.array(tokens), packing._whole_weights(weights))
-        queue = np.repeat(np.arange(len(tokens)), tokens)
-        place = np.concatenate([np.arange(t) for t in tokens])
-        ranks = mixture.rank(queue, place)
-        assert sorted(ranks) == list(range(sum(tokens)))
-        for q, t in enumerate(tokens):
-            assert (np.diff(ranks[queue == q]) > 0).all()
+def round_robin(queues, length):
+    """The window of every token (source, place): all of them, in the order in which they are due.
+
+    `queues` has tokens, weight and first deficit by source.
+    """
+    order = sorted(
+        ((place + deficit) / weight, source, place)
+        for source, (tokens, weight, deficit) in queues.items()
+        for place in range(tokens)
+    )
+    return {(source, place): rank // length for rank, (_, source, place) in enumerate(order)}
+
+
+def queue_table(spark, tokens, weights):
+    rows = [(f"s{i:03d}", n) for i, n in enumerate(tokens)]
+    given = weights and {f"s{i:03d}": w for i, w in enumerate(weights)}
+    return packing._queues(spark.createDataFrame(rows, "source string, tokens long"), given)
+
+
+@pytest.mark.parametrize(
+    "tokens, weights, length, block",
+    [
+        ([700, 300, 1, 120], None, 64, 1 << 18),
+        ([7, 30, 1, 12], None, 4, 8),
+        ([500, 90, 200], [1, 5, 5], 16, 32),
+        ([9, 2000, 40, 3], [1000, 0.5, 3, 1e-3], 50, 100),
+        ([100] * 60, [1] * 60, 32, 64),
+        ([3], None, 8, 2),
+    ],
+)
+def test_windows_are_those_of_a_plain_round_robin(spark, monkeypatch, tokens, weights, length, block):
+    monkeypatch.setattr(packing, "BLOCK", block)
+    queues = queue_table(spark, tokens, weights)
+    plain = {r["source"]: (r["tokens"], r["weight"], r["deficit"]) for r in queues.collect()}
+    found = {
+        (r["source"], place): r["sequence_id"]
+        for r in packing._stretches(spark, queues, length).collect()
+        for place in range(r["place"], r["place"] + r["n"])
+    }
+    assert found == round_robin(plain, length)
+
+
+def test_three_hundred_sources_are_in_every_window(spark, word_vocabulary):
+    """Each source in as many windows, and with as many tokens, as its share reaches."""
+    texts = [f"{'word ' * 1200}{i}" for i in range(300)]
+    rows = [(i, t, "en", f"s{i:03d}", len(t)) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    pieces = packing.pack(spark, docs.repartition(6), word_vocabulary).collect()
+    held, total = defaultdict(int), defaultdict(int)
+    for p in pieces:
+        held[p["sequence_id"], p["source"]] += p["length"]
+        total[p["source"]] += p["length"]
+    last, everything = max(p["sequence_id"] for p in pieces), sum(total.values())
+    assert len(total) == 300 and last == everything // 4096 > 80
+    for s in range(last):
+        assert all(abs(held[s, q] - 4096 * n / everything) <= 3 for q, n in total.items())
 
 
 def check(pieces, ids_of, length):
@@ -65,9 +111,9 @@ def check(pieces, ids_of, length):
 
 
 @pytest.mark.parametrize("weights", [None, {"src1": 5.0, "src2": 1.0}])
-@pytest.mark.parametrize("queues", [256, 3])
-def test_every_id_lies_in_one_piece(spark, word_vocabulary, monkeypatch, weights, queues):
-    monkeypatch.setattr(packing, "QUEUES", queues)
+@pytest.mark.parametrize("block", [1 << 18, 300])
+def test_every_id_lies_in_one_piece(spark, word_vocabulary, monkeypatch, weights, block):
+    monkeypatch.setattr(packing, "BLOCK", block)
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").repartition(3)
     plain = Tokenizer.from_file(word_vocabulary)
     ids_of = {
@@ -82,8 +128,8 @@ def test_every_full_window_holds_the_mixture(spark, word_vocabulary):
     pieces = packing.pack(spark, docs, word_vocabulary).collect()
     total, held = defaultdict(int), defaultdict(int)
     for p in pieces:
-        total[p["queue"]] += p["length"]
-        held[p["sequence_id"], p["queue"]] += p["length"]
+        total[p["source"]] += p["length"]
+        held[p["sequence_id"], p["source"]] += p["length"]
     last = max(p["sequence_id"] for p in pieces)
     share = {q: n / sum(total.values()) for q, n in total.items()}
     for s in range(last):
