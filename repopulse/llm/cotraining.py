@@ -40,13 +40,13 @@ class Settings:
 
 
 def views(docs: DataFrame, settings: Settings, *kept: str) -> DataFrame:
-    """The kept columns with the vectors `text_view` and `meta_view`.
+    """The kept columns with the vectors `text_view` and `meta_view`, which share no column.
 
     The text view hashes the words, in lower case, and their shapes, in which each
-    run of letters is one sign, and has the shares of different words and of words
-    that repeat the one before. The metadata view holds source and language, and
-    the size and layout of the page: characters, lines, characters per line, and
-    shares of capitals, digits, marks and white space.
+    run of letters is one sign, and has the shares of different words, of words
+    that repeat the one before, of capitals, digits, marks and white space, and the
+    number and length of lines. The metadata view holds source, language and the
+    stated number of characters, each by itself and language and size together.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     shapes = words(F.regexp_replace(text, r"\p{L}+", "a"))
@@ -62,9 +62,14 @@ def views(docs: DataFrame, settings: Settings, *kept: str) -> DataFrame:
         count_of(rest, r"[\p{L}\p{N}\s]+") / n,
         count_of(rest, r"\S+") / n,
     )
+    stated = F.greatest(F.coalesce(F.col("n_chars"), F.lit(-1)), F.lit(-1)) + 2
+    source, lang = (F.coalesce(c, F.lit("")) for c in ("source", "lang"))
+    size = F.floor(2 * F.log2(stated)).cast("string")
     named = F.array(
-        F.concat(F.lit("source="), F.coalesce("source", F.lit(""))),
-        F.concat(F.lit("lang="), F.coalesce("lang", F.lit(""))),
+        F.concat(F.lit("source="), source),
+        F.concat(F.lit("lang="), lang),
+        F.concat(F.lit("size="), size),
+        F.concat(F.lit("lang and size="), lang, F.lit(" "), size),
     )
     found = docs.select(
         *kept,
@@ -87,9 +92,11 @@ def views(docs: DataFrame, settings: Settings, *kept: str) -> DataFrame:
     stages = [
         HashingTF(inputCol="terms", outputCol="counts", numFeatures=settings.text_features),
         Normalizer(inputCol="counts", outputCol="frequencies"),
-        VectorAssembler(inputCols=["frequencies", "variety", "echoes"], outputCol="text_view"),
-        HashingTF(inputCol="named", outputCol="names", numFeatures=settings.meta_features),
-        VectorAssembler(inputCols=["names", *(f"figure{i}" for i in range(7))], outputCol="meta_view"),
+        VectorAssembler(
+            inputCols=["frequencies", "variety", "echoes", *(f"figure{i}" for i in range(7))],
+            outputCol="text_view",
+        ),
+        HashingTF(inputCol="named", outputCol="meta_view", numFeatures=settings.meta_features),
     ]
     for stage in stages:
         found = stage.transform(found)
@@ -149,35 +156,36 @@ class CoTrained:
 
 def fit(
     spark: SparkSession, docs: DataFrame, labels: DataFrame, settings: Settings = Settings()
-) -> CoTrained:
-    """Classifiers fitted on a bounded sample of labelled rows and all unlabelled ones.
+) -> tuple[CoTrained, DataFrame]:
+    """Classifiers fitted on a bounded sample of labelled rows and all others; and all rows' views.
 
     `labels` has doc_id and quality (0 or 1); null fields are passed over, and
-    several labels of an id count by majority. Unless the sample has both labels
-    for learning and for calibration, every score is the share of good labels,
-    or a half without any.
+    several labels of an id count by majority. Labelled rows that are not drawn take
+    part like unlabelled ones. Unless the sample has both labels for learning and
+    for calibration, every score is the share of good labels, or a half without any.
+
+    The views of all documents are made once and staged, with the labels drawn,
+    whose number is bounded by the settings, broadcast to them. No text is shuffled.
     """
     known = (
         labels.where("doc_id is not null and quality is not null")
         .groupBy("doc_id")
         .agg((F.avg("quality") >= 0.5).cast("double").alias("label"))
     )
-    in_labels = _share(F.col("doc_id"), settings.labelled, known.count(), 1)
-    columns = docs.select("doc_id", "text", "source", "lang").where("doc_id is not null")
-    taught = columns.where(in_labels).join(known.where(in_labels), "doc_id")
-    untaught = columns.join(known, "doc_id", "left_anti")
-    none = F.lit(None).cast("double").alias("label")
-    drawn = taught.unionByName(untaught.select("*", none))
-    held = staged(spark, views(drawn, settings, "doc_id", "label"), "views")
+    known = staged(spark, known, "known")
+    drawn = known.where(_share(F.col("doc_id"), settings.labelled, known.count(), 1))
+    columns = docs.select("doc_id", "text", "source", "lang", "n_chars")
+    marked = views(columns, settings, "doc_id").join(F.broadcast(drawn), "doc_id", "left")
+    held = staged(spark, marked, "views")
     # One labelled row in four is kept for calibration.
     quarter = F.pmod(F.xxhash64("doc_id", F.lit(3)), F.lit(4)) == 0
     calibration = held.where(F.col("label").isNotNull() & quarter)
     learning = held.where(F.col("label").isNotNull() & ~quarter)
-    pool = held.where("label is null")
+    pool = held.where("label is null and doc_id is not null")
     both = [rows.select("label").distinct().count() == 2 for rows in (learning, calibration)]
     if not all(both):
         share = known.agg(F.avg("label")).first()[0]
-        return CoTrained({}, {}, (), 0.5 if share is None else float(share))
+        return CoTrained({}, {}, (), 0.5 if share is None else float(share)), held
     models = {v: _fit(learning, f"{v}_view", settings) for v in VIEWS}
     for _ in range(settings.rounds):
         scored = pool
@@ -201,7 +209,8 @@ def fit(
         rated = rated.withColumn(f"{v}_even", scales[v][0] * F.col(f"{v}_odds") + scales[v][1])
     two = VectorAssembler(inputCols=[f"{v}_even" for v in VIEWS], outputCol="x").transform(rated)
     last = _fit(two, "x", settings)
-    return CoTrained(models, scales, (float(last.intercept), *map(float, last.coefficients)), None)
+    weights = (float(last.intercept), *map(float, last.coefficients))
+    return CoTrained(models, scales, weights, None), held
 
 
 def classify(
@@ -209,9 +218,11 @@ def classify(
 ) -> DataFrame:
     """doc_id, p_text, p_meta, score and good (score of a half or more) of every document.
 
-    Null texts count as empty, null metadata as values of their own; null ids and
-    repeated rows are scored like any other; an empty table has no scores.
+    `docs` has doc_id, text, source, lang and n_chars; other columns are not looked
+    at, whatever their names. Null texts count as empty, null metadata as values of
+    their own; null ids and repeated rows are scored like any other; an empty table
+    has no scores. Texts of any length count whole. A score of exactly a half is good.
     """
-    model = fit(spark, docs, labels, settings)
-    found = model.score(views(docs, settings, "doc_id"))
+    model, viewed = fit(spark, docs, labels, settings)
+    found = model.score(viewed.drop("label"))
     return found.withColumn("good", F.col("score") >= 0.5)
