@@ -21,10 +21,17 @@ def configure(spark: SparkSession) -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, as Spark itself is configured with it.
 
-    The checkpoint folder where one is named, else the warehouse.
+    The checkpoint folder where one is named, else the warehouse. On a cluster a
+    warehouse that nobody named lies in the driver's own file system, which no other
+    host can see; that is an error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    return (named or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
+    if named:
+        return named.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir")
+    if warehouse.startswith("file:") and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    return warehouse.rstrip("/")
 
 
 def run_dir(spark: SparkSession, label: str) -> str:

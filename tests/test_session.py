@@ -7,10 +7,10 @@ import pytest
 from repopulse.session import adaptive, run_dir, shared_dir, staged, stream_session
 
 
-def session_with(named=None, context_dir=None, warehouse="file:///warehouse"):
+def session_with(named=None, context_dir=None, warehouse="file:///warehouse", master="local[8]"):
     """Just what `shared_dir` asks a session for."""
     settings = {"spark.checkpoint.dir": named, "spark.sql.warehouse.dir": warehouse}
-    context = SimpleNamespace(getCheckpointDir=lambda: context_dir)
+    context = SimpleNamespace(getCheckpointDir=lambda: context_dir, master=master)
     return SimpleNamespace(conf=SimpleNamespace(get=lambda k, *_: settings[k]), sparkContext=context)
 
 
@@ -18,6 +18,9 @@ def test_the_folder_the_cluster_names_is_used():
     assert shared_dir(session_with("hdfs:///shared/")) == "hdfs:///shared"
     assert shared_dir(session_with(None, "hdfs:///set")) == "hdfs:///set"
     assert shared_dir(session_with()) == "file:///warehouse"
+    assert shared_dir(session_with(warehouse="s3a://shared/", master="yarn")) == "s3a://shared"
+    with pytest.raises(ValueError):
+        shared_dir(session_with(master="yarn"))
 
 
 def test_every_run_has_a_folder_of_its_own(spark):
