@@ -305,7 +305,8 @@ def verdicts(found: DataFrame, references: dict, rules: Rules = Rules()) -> Data
     odd_words = (F.col("n_words") >= rules.least_words) & (
         (F.col("word_distance") > rules.word_distance) | diluted
     )
-    measured = found.withColumn("near", nearest).select("*", "near.*")
+    # A filter on what follows would compute the distances of a plain column once per mention.
+    measured = found.select("*", F.explode(F.array(nearest)).alias("near")).select("*", "near.*")
     reason = (
         F.when(base_failed, "base").when(odd_classes, "classes").when(odd_words, "words")
     )
@@ -345,5 +346,5 @@ def judge(
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """The documents that pass, with their columns."""
+    """The documents that pass, with their columns, nulls and repeated rows as in `judge`."""
     return judge(spark, docs, rules).where("kept").select("row.*")

@@ -155,7 +155,9 @@ def keep_one(
 ) -> DataFrame:
     """One document of each group, with its columns: that of the least doc_id.
 
-    Null ids come last; of several rows with the least id any one stays.
+    Null ids come last; of several rows with the least id that with the least hash of
+    its text stays, and of equal rows any. Null and empty texts have a fingerprint like
+    others, so one of them stays; an empty table has none; columns may have any name.
     """
     rows = docs.select(
         F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row"),
@@ -163,9 +165,7 @@ def keep_one(
     )
     held = staged(spark, numbered(rows), "rows")
     found = grouped(spark, held.select("row_id", F.col("row.doc_id"), "print"), max_bits)
-    first = found.groupBy("group").agg(
-        F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_id"))["row_id"].alias(
-            "row_id"
-        )
-    )
+    texts = held.select("row_id", F.xxhash64("row.text").alias("text_key"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key", "row_id")
+    first = found.join(texts, "row_id").groupBy("group").agg(F.min(order)["row_id"].alias("row_id"))
     return held.join(first, "row_id", "left_semi").select("row.*")
