@@ -125,13 +125,13 @@ def _bound(words, order, lo, hi, depth, wanted, after: bool) -> np.ndarray:
 def search(words: np.ndarray, block: Block) -> tuple[np.ndarray, np.ndarray, dict]:
     """Matches of every item suffix in the text `words`, which ends with a 0.
 
-    Per suffix the length of its longest match and a place of it; and all places
-    of each window that occurs, by the window's number.
+    Place and length of every match that cannot be made longer at either end; and all
+    places of each window that occurs, by the window's number. Suffixes are looked up
+    to the length of their window; every place in the interval found is followed on.
     """
-    order = suffix_array(words, int(block.left.max()))
+    order = suffix_array(words, int(block.need.max()))
     n = len(block.starts)
     lo, hi = np.zeros(n, np.int64), np.full(n, len(words))
-    longest, place = np.zeros(n, np.int64), np.full(n, -1)
     first, last = np.zeros(n, np.int64), np.zeros(n, np.int64)
     active, depth = np.arange(n), 0
     while len(active):
@@ -141,14 +141,39 @@ def search(words: np.ndarray, block: Block) -> tuple[np.ndarray, np.ndarray, dic
         active, a, b = active[a < b], a[a < b], b[a < b]
         lo[active], hi[active] = a, b
         depth += 1
-        longest[active], place[active] = depth, order[a]
         whole = block.need[active] == depth
         first[active[whole]], last[active[whole]] = a[whole], b[whole]
-        active = active[block.left[active] > depth]
-    found = {}
-    for q in np.flatnonzero(last > first):
-        found.setdefault(int(block.window_of[q]), order[first[q] : last[q]])
-    return longest, place, found
+        active = active[~whole]
+    matched = np.flatnonzero(last > first)
+    found, all_places = {}, []
+    for q in matched:
+        all_places.append(order[first[q] : last[q]])
+        found.setdefault(int(block.window_of[q]), all_places[-1])
+    if not found:
+        return np.empty(0, np.int64), np.empty(0, np.int64), found
+    place = np.concatenate(all_places)
+    suffix = np.repeat(matched, last[matched] - first[matched])
+    # Where the words before are equal too, the suffix before has the same match and more.
+    start = block.starts[suffix]
+    before = np.where(start > 0, block.words[start - 1], 0)
+    inner = (place > 0) & (before > 0) & (before == words[place - 1])
+    place, suffix = place[~inner], suffix[~inner]
+    return place, _followed(words, block, place, suffix), found
+
+
+def _followed(words: np.ndarray, block: Block, place: np.ndarray, suffix: np.ndarray) -> np.ndarray:
+    """How long the match of each suffix at its place is, which is at least its window."""
+    length = block.need[suffix].copy()
+    start, left = block.starts[suffix], block.left[suffix]
+    going = np.arange(len(place))
+    while True:
+        going = going[length[going] < left[going]]
+        at = place[going] + length[going]
+        same = words[at] == block.words[start[going] + length[going]]
+        going = going[same]
+        if not len(going):
+            return length
+        length[going] += 1
 
 
 def _shard(texts: list[str | None], blocks: list) -> list[tuple]:
@@ -177,10 +202,12 @@ def _shard(texts: list[str | None], blocks: list) -> list[tuple]:
         if not runs:
             continue
         words, doc, at = np.concatenate(runs), np.concatenate(docs), np.concatenate(places)
-        deep, where, windows = search(words, block)
-        for q in np.flatnonzero(deep >= block.need):
-            i = int(doc[where[q]])
-            longest[i] = max(longest[i], (int(deep[q]), int(at[where[q]])))
+        where, deep, windows = search(words, block)
+        # Per document the longest match, and of equal ones the first.
+        best = np.lexsort((at[where], -deep, doc[where]))
+        best = best[np.append(True, np.diff(doc[where][best]) > 0)] if len(best) else best
+        for i, length, start in zip(doc[where][best].tolist(), deep[best].tolist(), at[where][best].tolist()):
+            longest[i] = max(longest[i], (length, start), key=lambda x: (x[0], -x[1]))
         for number, found in windows.items():
             length = int(block.need[block.window_of == number][0])
             for i in np.unique(doc[found]).tolist():
@@ -238,8 +265,9 @@ def matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window:
     A window is `window` consecutive words of an item, or all words of an item of
     fewer; a document word inside any occurrence of a window is hit. `items` are
     the ids, as strings, of items with an occurring window; `longest_match` is the
-    length in words of the longest match that any item suffix has in the shard
-    and that lies in this document, and `longest_place` the word it starts at.
+    length in words of the longest match that any item suffix has in this document,
+    and `longest_place` the word at which it first starts; both do not depend on how
+    documents fall into shards.
     Null texts have no words, a null item id counts as the empty string, repeated
     ids count once, and without items nothing is hit. No row is shuffled.
     """
@@ -253,5 +281,9 @@ def matches(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window:
 def without_benchmark(
     spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int = 10
 ) -> DataFrame:
-    """The documents no word of which is hit, with their columns."""
+    """The documents no word of which is hit, with their columns.
+
+    Null and empty texts are not hit; repeated rows all stay or go; without items all
+    documents stay.
+    """
     return matches(spark, docs, benchmark, window).where("n_hit = 0").select("row.*")

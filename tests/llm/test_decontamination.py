@@ -65,6 +65,38 @@ def test_longest_match_and_its_place(spark):
     assert found[1]["n_hit"] == 15
 
 
+def longest_plainly(text, items, window=10):
+    """The longest run of words that an item's window starts, and its first place."""
+    words, best = split_words(text), (0, None)
+    for _, body in items:
+        own = split_words(body)
+        n = min(window, len(own))
+        for i in range(len(own) - n + 1) if own else ():
+            for k in range(len(words) - n + 1):
+                length = 0
+                while i + length < len(own) and k + length < len(words) and words[k + length] == own[i + length]:
+                    length += 1
+                if length >= n and (length > best[0] or length == best[0] and k < best[1]):
+                    best = (length, k)
+    return best
+
+
+def test_longest_matches_do_not_depend_on_shards(spark, monkeypatch):
+    """Equal documents in one shard, repeated passages, and shards and blocks cut elsewhere."""
+    rng = random.Random(9)
+    body = lambda n: " ".join(f"w{rng.randrange(3)}" for _ in range(n))
+    items = [(i, body(rng.randrange(8, 40))) for i in range(8)] + [(8, "w1 w2"), (9, "solo")]
+    texts = [f"{body(20)} x {items[i % 8][1]} y {items[i % 8][1][: 9 * i]}" for i in range(12)] * 2 + ["solo w1", "", None]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    want = dict(enumerate(longest_plainly(t, items) for t in texts))
+    assert want[0][0] > 10
+    for shard, block in ((decontamination.SHARD_BYTES, decontamination.BLOCK_BYTES), (100, 60)):
+        monkeypatch.setattr(decontamination, "SHARD_BYTES", shard)
+        monkeypatch.setattr(decontamination, "BLOCK_BYTES", block)
+        found = decontamination.matches(spark, docs_of(spark, texts).repartition(2), benchmark).collect()
+        assert {r["row"]["doc_id"]: (r["longest_match"], r["longest_place"]) for r in found} == want
+
+
 def test_affected_documents_go(spark, odd_docs, no_docs, prose):
     benchmark = spark.createDataFrame([(1, prose)], "item_id long, text string")
     left = decontamination.without_benchmark(spark, odd_docs, benchmark)
