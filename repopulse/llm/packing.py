@@ -7,7 +7,7 @@ quantum of one token. What a source could not place in one window is thereby car
 into the next, over all windows and partitions.
 
 The order is found without any task that sees all queues: time is cut into cells of
-about a window's tokens, the tokens of each cell are counted per queue and summed up
+some windows' tokens, the tokens of each cell are counted per queue and summed up
 over the cells, and where a window ends inside a cell is settled there.
 """
 
@@ -30,6 +30,8 @@ from repopulse.session import staged
 
 #: Places of a queue that are looked at together; no piece goes beyond one block.
 BLOCK = 1 << 18
+#: Windows that a cell of time holds about.
+CELL = 8
 #: Bytes of texts that are encoded at a time.
 BATCH_BYTES = 2 << 20
 
@@ -79,7 +81,7 @@ def _encoded(path: str, end: int, lower: bool):
 class Cells:
     """Cells of time: from `starts[i]` on they are `steps[i]` long and numbered from `firsts[i]`.
 
-    A cell holds about a window's tokens, by the weights of the queues that last at
+    A cell holds about that many tokens, by the weights of the queues that last at
     least half as long as it is late.
     """
 
@@ -88,14 +90,14 @@ class Cells:
     firsts: np.ndarray
 
     @staticmethod
-    def of(weights: dict[int, float], length: int) -> Cells:
+    def of(weights: dict[int, float], tokens: int) -> Cells:
         """From the summed weights of the queues by the binary logarithm of their end."""
         starts, steps, firsts, number = [], [], [], 0
         edges = sorted({0.0, *(2.0**b for b in weights), *(2.0 ** (b + 1) for b in weights)})
         for start, end in zip(edges, edges[1:]):
             rate = sum(w for b, w in weights.items() if 2.0 ** (b + 1) > start)
             starts.append(start)
-            steps.append(length / rate)
+            steps.append(tokens / rate)
             firsts.append(number)
             number += int(np.ceil((end - start) / steps[-1])) + 1
         return Cells(np.array(starts), np.array(steps), np.array(firsts, np.int64))
@@ -140,18 +142,26 @@ RUNS = "cell long, source string, weight double, deficit double, place long, n l
 STRETCHES = "source string, block long, place long, n long, sequence_id long"
 
 
-def cuts(weight: np.ndarray, deficit: np.ndarray, place: np.ndarray, n: np.ndarray, before: int) -> np.ndarray:
-    """How many tokens of each queue's run come first, when `before` of all do.
+def cuts(
+    weight: np.ndarray, deficit: np.ndarray, place: np.ndarray, n: np.ndarray, before: np.ndarray
+) -> Iterator[np.ndarray]:
+    """For each number in `before`, how many tokens of each queue's run come first, when that many of all do.
 
     Runs are in the order of their queues, which decides among tokens due at once.
     """
+    if not len(before):
+        return
     run = np.repeat(np.arange(len(n)), n)
     start = np.cumsum(n) - n
-    times = due(place[run] + np.arange(len(run)) - start[run], deficit[run], weight[run])
-    last = np.partition(times, before)[before]
-    taken = np.bincount(run[times < last], minlength=len(n))
-    tied = np.flatnonzero(times == last)[: before - int(taken.sum())]
-    return taken + np.bincount(run[tied], minlength=len(n))
+    times = due((place - start)[run] + np.arange(len(run)), deficit[run], weight[run])
+    ordered = np.partition(times, before)
+    bounds = np.append(start, len(times)).tolist()
+    for count in before.tolist():
+        last = ordered[count]
+        # Within a run times ascend.
+        taken = np.array([np.searchsorted(times[a:b], last) for a, b in zip(bounds, bounds[1:])])
+        tied = run[np.flatnonzero(times == last)[: count - int(taken.sum())]]
+        yield taken + np.bincount(tied, minlength=len(n))
 
 
 def _windows(length: int):
@@ -169,8 +179,8 @@ def _windows(length: int):
         weight, deficit = (np.array([r[k] for r in cell]) for k in (4, 5))
         place, n = (np.array([r[k] for r in cell], np.int64) for k in (6, 7))
         total = int(n.sum())
-        ends = range((rank // length + 1) * length - rank, total, length)
-        edges = [np.zeros(len(n), np.int64), *(cuts(weight, deficit, place, n, e) for e in ends), n]
+        ends = np.arange((rank // length + 1) * length - rank, total, length)
+        edges = [np.zeros(len(n), np.int64), *cuts(weight, deficit, place, n, ends), n]
         for number, (low, high) in enumerate(zip(edges, edges[1:])):
             for i in np.flatnonzero(high > low).tolist():
                 start, end = int(place[i] + low[i]), int(place[i] + high[i])
@@ -207,16 +217,12 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block = first[row] + step
         low = np.maximum(block * BLOCK, place[row])
         high = np.minimum((block + 1) * BLOCK, place[row] + n[row])
-        start, ids = low - place[row], batch["ids"].take(pa.array(row))
+        start, ids = low - place[row], batch["ids"]
         if len(row) > len(n):
-            width = [len(x.as_buffer()) // int(n[r]) for x, r in zip(ids, row)]
-            ids = pa.array(
-                [
-                    x.as_buffer()[int(a * w) : int((a + m) * w)].to_pybytes()
-                    for x, a, m, w in zip(ids, start, high - low, width)
-                ],
-                pa.binary(),
-            )
+            octets = [ids[r].as_buffer() for r in row.tolist()]
+            width = [x.size // m for x, m in zip(octets, n[row].tolist())]
+            spans = zip(octets, width, start.tolist(), (high - place[row]).tolist())
+            ids = pa.array([memoryview(x)[a * w : b * w] for x, w, a, b in spans], pa.binary())
         yield pa.RecordBatch.from_arrays(
             [
                 batch["source"].take(pa.array(row)), pa.array(block), pa.array(low), pa.array(high - low),
@@ -289,7 +295,7 @@ def _stretches(spark: SparkSession, queues: DataFrame, length: int) -> DataFrame
     """
     octave = F.floor(F.log2(F.col("tokens") / F.col("weight"))).alias("octave")
     ends = queues.groupBy(octave).agg(F.sum("weight").alias("weight")).collect()
-    cells = Cells.of({r["octave"]: r["weight"] for r in ends}, length)
+    cells = Cells.of({r["octave"]: r["weight"] for r in ends}, CELL * length)
     blocks = F.sequence(F.lit(0).cast("long"), F.floor((F.col("tokens") - 1) / BLOCK))
     spread = queues.select("*", F.explode(blocks).alias("block")).repartition(
         spark.sparkContext.defaultParallelism, "source", "block"
