@@ -85,6 +85,18 @@ def test_late_events_count_until_their_window_has_closed(spark, session, feed, t
     ]
 
 
+def test_rows_dropped_as_late_are_reported(session, feed, tables, folder):
+    feed.add(message(1, "10:31:00"))
+    feed.add(message(2, "10:32:00"))
+    feed.add(message(3, "10:33:00"), message(4, "10:03:00"))
+    source = message_files(session, str(feed.path), maxFilesPerTrigger=1)
+    query = queries.stream_live_metrics(source, tables, f"{folder}/metrics", every=None)
+    query.awaitTermination()
+    report = queries.lateness_report(query)
+    assert [(r["batch_id"], r["rows"], r["dropped"]) for r in report] == [(0, 1, 0), (1, 1, 0), (2, 2, 1)]
+    assert report[-1]["watermark"].startswith("2026-04-13T10:27")
+
+
 def test_state_carries_over_batches_and_restarts(spark, session, feed, tables, folder):
     feed.add(message(1, "10:31:00", stars=5), message(2, "10:32:00", language="Unknown"))
     run_metrics(session, feed, tables, folder)
