@@ -113,23 +113,47 @@ def due(place, deficit, weight):
     return (place + deficit) / weight
 
 
+def firsts(cells: Cells, low: int, high: int, deficit: float, weight: float) -> tuple[np.ndarray, np.ndarray]:
+    """The cells that the places from `low` to before `high` of a queue reach, and the first place in each.
+
+    Times ascend with places, so the first places are searched where there are
+    fewer cells than places.
+    """
+    cell_of = lambda places: cells.at(due(places, deficit, weight))
+    a, b = cell_of(np.array([low, high - 1])).tolist()
+    if b - a >= (high - low) // 32:
+        places = np.arange(low, high)
+        found = cell_of(places)
+        first = np.append(True, found[1:] != found[:-1])
+        return found[first], places[first]
+    wanted = np.arange(a + 1, b + 1)
+    under, over = np.full(len(wanted), low), np.full(len(wanted), high - 1)
+    while (under < over).any():
+        middle = (under + over) >> 1
+        early = cell_of(middle) < wanted
+        under, over = np.where(early, middle + 1, under), np.where(early, over, middle)
+    places = np.append(low, under)
+    # Of cells without a place only the last stays, the one that the next place is in.
+    kept = np.append(places[1:] != places[:-1], True)
+    return cell_of(places[kept]), places[kept]
+
+
 def _runs(cells: Cells):
     """The tokens of each cell, from blocks of places of one queue."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                places = np.arange(row["block"] * BLOCK, min((row["block"] + 1) * BLOCK, row["tokens"]))
-                found = cells.at(due(places, row["deficit"], row["weight"]))
-                first = np.flatnonzero(np.append(True, found[1:] != found[:-1]))
-                n = np.diff(np.append(first, len(found)))
+                low, high = row["block"] * BLOCK, min((row["block"] + 1) * BLOCK, row["tokens"])
+                found, place = firsts(cells, low, high, row["deficit"], row["weight"])
+                n = np.diff(np.append(place, high))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(found[first]),
+                        pa.array(found),
                         pa.array([row["source"]] * len(n), pa.string()),
                         pa.array(np.full(len(n), row["weight"])),
                         pa.array(np.full(len(n), row["deficit"])),
-                        pa.array(places[first]),
+                        pa.array(place),
                         pa.array(n.astype(np.int64)),
                     ],
                     names=[x.split()[0] for x in RUNS.split(", ")],

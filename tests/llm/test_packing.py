@@ -41,6 +41,19 @@ def round_robin(queues, length):
     return {(source, place): rank // length for rank, (_, source, place) in enumerate(order)}
 
 
+def test_first_places_of_cells_are_found_either_way():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        low, n = int(rng.integers(0, 10_000)), int(rng.integers(1, 5_000))
+        weight, deficit = float(rng.random() * 10.0 ** rng.integers(-2, 3)), float(rng.random())
+        cells = packing.Cells.of({int(rng.integers(-3, 16)): weight, 2: 1.0}, int(10 ** rng.integers(0, 4)))
+        places = np.arange(low, low + n)
+        at = cells.at(packing.due(places, deficit, weight))
+        first = np.append(True, at[1:] != at[:-1])
+        found, place = packing.firsts(cells, low, low + n, deficit, weight)
+        assert found.tolist() == at[first].tolist() and place.tolist() == places[first].tolist()
+
+
 def queue_table(spark, tokens, weights):
     rows = [(f"s{i:03d}", n) for i, n in enumerate(tokens)]
     given = weights and {f"s{i:03d}": w for i, w in enumerate(weights)}
