@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from repopulse.llm.tokens import worker_encoder
-from repopulse.session import staged
+from repopulse.session import arrow_batches, staged
 
 #: Places of a queue that are looked at together; no piece goes beyond one block.
 BLOCK = 1 << 18
@@ -34,6 +34,15 @@ BLOCK = 1 << 18
 CELL = 8
 #: Bytes of texts that are encoded at a time.
 BATCH_BYTES = 2 << 20
+#: Rows with ids that are worked on at a time.
+ROWS = 500
+
+
+def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of few, so that a worker holds little besides what it is sent."""
+    for batch in batches:
+        for at in range(0, len(batch), ROWS):
+            yield batch.slice(at, ROWS)
 
 
 def _encoded(path: str, end: int, lower: bool):
@@ -61,9 +70,9 @@ def _encoded(path: str, end: int, lower: bool):
                 names=["doc_id", "source", "part", "before", "n", "ids"],
             )
 
+        held: tuple[list, list, list] = ([], [], [])
+        size = 0
         for batch in batches:
-            held: tuple[list, list, list] = ([], [], [])
-            size = 0
             for row in zip(batch["doc_id"], batch["source"], batch["text"]):
                 for column, value in zip(held, row):
                     column.append(value.as_py())
@@ -71,8 +80,8 @@ def _encoded(path: str, end: int, lower: bool):
                 if size >= BATCH_BYTES:
                     yield rows(*held)
                     held, size = ([], [], []), 0
-            if held[0]:
-                yield rows(*held)
+        if held[0]:
+            yield rows(*held)
 
     return of
 
@@ -233,7 +242,7 @@ PLACED = "source string, block long, place long, n long, doc_id long, start long
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (source, place, doc_id, n, ids), cut where their queue's blocks end."""
-    for batch in batches:
+    for batch in _few(batches):
         place, n = (batch[c].to_numpy() for c in ("place", "n"))
         first, last = place // BLOCK, (place + n - 1) // BLOCK
         row = np.repeat(np.arange(len(n)), last - first + 1)
@@ -271,7 +280,7 @@ def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     names = [x.split()[0] for x in PIECES.split(", ")]
     types = [pa.int64()] * 6 + [pa.string(), pa.int64()]
     key, froms, windows, held = None, [], [], []
-    for batch in batches:
+    for batch in _few(batches):
         for source, block, place, n, window, doc_id, start, doc_tokens, ids in zip(
             *(column.to_pylist() for column in batch.columns)
         ):
@@ -366,11 +375,13 @@ def pack(
     ''; null ids and repeated rows are packed like any other; an empty table
     gives no pieces; other columns are not looked at, whatever their names. A queue
     follows the order in which its rows are stored. Of tokens due at once the source
-    that is first by name goes first. Ids are staged once and shuffled once.
+    that is first by name goes first. Ids are staged once and shuffled once; texts
+    and ids reach Python in batches of bounded bytes.
     """
     rows = docs.select("doc_id", F.coalesce(F.col("source"), F.lit("")).alias("source"), "text")
     schema = "doc_id long, source string, part long, before long, n long, ids binary"
-    held = staged(spark, rows.mapInArrow(_encoded(path, end, lower), schema), "ids")
+    with arrow_batches(spark, BATCH_BYTES):
+        held = staged(spark, rows.mapInArrow(_encoded(path, end, lower), schema), "ids")
     parts = staged(
         spark,
         held.groupBy("part", "source").agg(F.sum("n").alias("tokens")),
@@ -395,6 +406,8 @@ def pack(
         .sortWithinPartitions("source", "block", F.col("sequence_id").isNull(), "place")
         .mapInArrow(_pieces, PIECES)
     )
+    with arrow_batches(spark, BATCH_BYTES):
+        pieces = staged(spark, pieces, "pieces")
     inside = (
         Window.partitionBy("sequence_id")
         .orderBy("source", "place")

@@ -115,6 +115,24 @@ def staged(spark: SparkSession, rows: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+@contextmanager
+def arrow_batches(session: SparkSession, size: int) -> Iterator[None]:
+    """About `size` bytes at most in a batch that Python tasks get, for jobs that run inside.
+
+    Spark's own limit is a number of rows, however long. A limit in bytes that the
+    session already has stays.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if session.conf.get(name, None) is not None:
+        yield
+        return
+    session.conf.set(name, str(size))
+    try:
+        yield
+    finally:
+        session.conf.unset(name)
+
+
 # State in RocksDB, checkpointed as changes instead of whole copies. Idle
 # batches would only evict state earlier, at the price of empty files.
 STREAM_SETTINGS = {

@@ -6,6 +6,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 from conftest import SF_DIR
+from llm.conftest import docs_of
 from tokenizers import Tokenizer
 
 from repopulse.llm import packing
@@ -136,6 +137,37 @@ def test_every_id_lies_in_one_piece(spark, word_vocabulary, monkeypatch, weights
     check(pieces, ids_of, 512)
 
 
+def test_python_gets_batches_of_bounded_bytes(spark, word_vocabulary, monkeypatch, tmp_path):
+    """Texts and ids, however long their rows are; the session's setting is as before."""
+    notes, setting = str(tmp_path / "sizes"), "spark.sql.execution.arrow.maxBytesPerBatch"
+
+    def noted(work):
+        def of(batches):
+            def seen():
+                for batch in batches:
+                    with open(notes, "a") as out:
+                        out.write(f"{batch.nbytes}\n")
+                    yield batch
+
+            return work(seen())
+
+        return of
+
+    encoded = packing._encoded
+    monkeypatch.setattr(packing, "_encoded", lambda *a: noted(encoded(*a)))
+    monkeypatch.setattr(packing, "_blocks", noted(packing._blocks))
+    monkeypatch.setattr(packing, "_pieces", noted(packing._pieces))
+    monkeypatch.setattr(packing, "BATCH_BYTES", 1 << 16)
+    texts = [f"{'word ' * 1200}{i}" for i in range(300)]
+    docs = docs_of(spark, texts).coalesce(1)
+    plain, before = Tokenizer.from_file(word_vocabulary), spark.conf.get(setting, None)
+    pieces = packing.pack(spark, docs, word_vocabulary).collect()
+    check(pieces, {i: [*plain.encode(t, add_special_tokens=False).ids, 2] for i, t in enumerate(texts)}, 4096)
+    sizes = [int(x) for x in open(notes).read().split()]
+    assert max(sizes) < 2 << 16 and sum(sizes) > 32 << 16
+    assert spark.conf.get(setting, None) == before
+
+
 def test_every_full_window_holds_the_mixture(spark, word_vocabulary):
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet").repartition(4)
     pieces = packing.pack(spark, docs, word_vocabulary).collect()

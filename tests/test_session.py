@@ -4,7 +4,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from repopulse.session import adaptive, run_dir, shared_dir, staged, stream_session
+from repopulse.session import adaptive, arrow_batches, run_dir, shared_dir, staged, stream_session
 
 
 def session_with(named=None, context_dir=None, warehouse="file:///warehouse", master="local[8]"):
@@ -52,3 +52,16 @@ def test_adaptive_is_switched_back_even_after_an_error(spark):
             assert session.conf.get("spark.sql.adaptive.enabled") == "true"
             raise OSError
     assert session.conf.get("spark.sql.adaptive.enabled") == "false"
+
+
+def test_the_limit_of_arrow_batches_ends_with_its_jobs(spark):
+    session, name = spark.newSession(), "spark.sql.execution.arrow.maxBytesPerBatch"
+    with pytest.raises(OSError):
+        with arrow_batches(session, 1000):
+            assert session.conf.get(name) == "1000"
+            raise OSError
+    assert session.conf.get(name, None) is None
+    session.conf.set(name, "500")
+    with arrow_batches(session, 1000):
+        assert session.conf.get(name) == "500"
+    assert session.conf.get(name) == "500"
